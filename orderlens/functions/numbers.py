@@ -6,18 +6,31 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,6)"
+# Millionths of a unit, split in two so that neither sum can overflow a long:
+# the low part allows 2^43 rows per group.
+MICRO = 1e6
+LOW_BITS = 20
+
+
+def _col(col: str | Column) -> Column:
+    return F.col(col) if isinstance(col, str) else col
 
 
 def exact_sum(col: str | Column) -> Column:
-    """Sum through fixed-point decimals, so that any partitioning gives the same value."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.cast(MONEY)).cast("double")
+    """Sum that is the same for any partitioning, to six decimals.
+
+    Values are added as whole millionths in long arithmetic, which stays in
+    generated code and is several times faster than decimal sums.
+    """
+    micro = F.rint(_col(col) * MICRO).cast("long")
+    high = F.sum(F.shiftright(micro, LOW_BITS)).cast("double")
+    low = F.sum(micro.bitwiseAND(F.lit(2 ** LOW_BITS - 1))).cast("double")
+    return (high * float(2 ** LOW_BITS) + low) / MICRO
 
 
 def exact_avg(col: str | Column) -> Column:
     """Mean of the non-null values from the exact sum; null when there are none."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.try_divide(exact_sum(c), F.count(c))
+    return F.try_divide(exact_sum(col), F.count(_col(col)))
 
 
 def share(flag: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orderlens.functions.numbers import round_even
@@ -68,12 +69,10 @@ def auc_exact(scored: DataFrame) -> DataFrame:
 
 def lift_at_k(scored: DataFrame, fractions: tuple[float, ...] = (0.1, 0.2)) -> DataFrame:
     """Recall and lift among the top floor(n * fraction) scores, per fraction."""
-    ranked = by_score(scored)
-    n = ranked.agg(F.count(F.lit(1))).scalar()
-    sums = ranked.agg(
+    sums = by_score(scored).agg(
         F.count(F.lit(1)).alias("n"), _positives().alias("pos"),
-        *[F.count_if((F.col("label") == 1) & (F.col("rank") <= F.floor(n * f))).alias(f"hit{i}")
-          for i, f in enumerate(fractions)])
+        *[F.count_if((F.col("label") == 1) & (F.col("rank") <= F.floor(F.col("total") * f)))
+          .alias(f"hit{i}") for i, f in enumerate(fractions)])
     rows = F.array(*[F.struct(F.lit(f).alias("fraction"), F.floor(F.col("n") * f).alias("selected"),
                               F.col(f"hit{i}").alias("captured")) for i, f in enumerate(fractions)])
     recall = F.try_divide("captured", "pos")
@@ -85,15 +84,13 @@ def lift_at_k(scored: DataFrame, fractions: tuple[float, ...] = (0.1, 0.2)) -> D
 
 def score_deciles(scored: DataFrame, k: int = 10) -> DataFrame:
     """Size, outcome rate and lift of each equal-frequency bin, highest scores first."""
-    ranked = by_score(scored)
-    totals = ranked.agg(F.struct(F.count(F.lit(1)).alias("n"), _positives().alias("pos"))).scalar()
-    binned = ranked.withColumn("_t", totals).withColumn(
-        "Decile", qcut_bin(F.col("rank"), F.col("_t.n"), k))
+    binned = by_score(scored).withColumn("Decile", qcut_bin(F.col("rank"), F.col("total"), k))
     table = binned.groupBy("Decile").agg(
-        F.count(F.lit(1)).alias("Customers"), _positives().alias("_hits"),
-        F.first(F.try_divide("_t.pos", "_t.n")).alias("Base_Rate"))
+        F.count(F.lit(1)).alias("Customers"), _positives().alias("_hits"))
+    every = W.partitionBy()
     rate = F.try_divide("_hits", "Customers")
-    return (table.withColumn("Repeat_Rate", rate)
+    base = F.try_divide(F.sum("_hits").over(every), F.sum("Customers").over(every))
+    return (table.withColumns({"Base_Rate": base, "Repeat_Rate": rate})
             .withColumn("Lift", F.try_divide("Repeat_Rate", "Base_Rate"))
             .drop("_hits"))
 
@@ -164,8 +161,7 @@ def value_pct_rank(table: DataFrame, value: str, id_col: str) -> DataFrame:
     """Percentile rank of a column among its non-null values; ties share their mean rank."""
     rows = table.filter(F.col(value).isNotNull()).select(id_col, value)
     ranked = average_rank(rows, value, id_col)
-    n = ranked.agg(F.count(F.lit(1))).scalar()
-    return ranked.select(id_col, value, (F.col("avg_rank") / n).alias("value_pct"))
+    return ranked.select(id_col, value, (F.col("avg_rank") / F.col("total")).alias("value_pct"))
 
 
 def best_by(table: DataFrame, name: str, measure: str) -> DataFrame:

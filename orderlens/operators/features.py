@@ -73,7 +73,7 @@ def with_stratified_split(
     return (ranked.withColumn("_ends", by_class)
             .withColumn("split", F.when(F.col("rank") <= F.col("_ends")[F.col(label)], "train")
                         .otherwise("test"))
-            .drop("_ends", "_draw", "_part", "rank"))
+            .drop("_ends", "_draw", "_part", "rank", "total"))
 
 
 def seeded_sample(table: DataFrame, id_col: str, seed: int, n: int) -> DataFrame:

@@ -22,24 +22,32 @@ ROW_BITS = 33
 
 
 def range_ranked(df: DataFrame, *order: Column | str) -> DataFrame:
-    """``df`` with ``_part`` (its range partition) and the 1-based ``rank`` over the whole table."""
+    """``df`` with its range partition ``_part``, the 1-based ``rank`` and the row count ``total``."""
     placed = (df.repartitionByRange(*order)
               .sortWithinPartitions(*order)
               .withColumn("_seq", F.monotonically_increasing_id()))
     rows = stage(placed, "ranked").withColumn("_part", F.shiftright("_seq", ROW_BITS))
-    before = _before(rows, {"_rows": F.count(F.lit(1))})
+    before = _before(rows, {"_rows": F.count(F.lit(1))}, {"_rows": "total"})
     place = F.col("_seq") - F.shiftleft("_part", ROW_BITS) + 1
     return (rows.join(F.broadcast(before), "_part")
             .withColumn("rank", place + F.col("_rows"))
             .drop("_rows", "_seq"))
 
 
-def _before(rows: DataFrame, totals: dict[str, Column]) -> DataFrame:
-    """Totals over all partitions before each one: one row per range partition."""
+def _before(
+    rows: DataFrame, sums: dict[str, Column], totals: dict[str, str] | None = None
+) -> DataFrame:
+    """Sums over all partitions before each one: one row per range partition.
+
+    ``totals`` names columns for the sums over all partitions.
+    """
+    every = W.orderBy("_part").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    per_part = rows.groupBy("_part").agg(*[v.alias(k) for k, v in totals.items()])
-    return per_part.select("_part", *[
-        F.coalesce(F.sum(k).over(earlier), F.lit(0)).alias(k) for k in totals])
+    per_part = rows.groupBy("_part").agg(*[v.alias(k) for k, v in sums.items()])
+    return per_part.select(
+        "_part",
+        *[F.coalesce(F.sum(k).over(earlier), F.lit(0)).alias(k) for k in sums],
+        *[F.sum(k).over(every).alias(name) for k, name in (totals or {}).items()])
 
 
 def running_sums(ranked: DataFrame, sums: dict[str, Column | str]) -> DataFrame:
@@ -100,8 +108,7 @@ def scores(
                       for i, m in enumerate(names)])
     long = df.select(F.col(id_col).alias("id"), F.explode(pairs).alias("_m")).select("_m.*", "id")
     ranked = range_ranked(long, "metric", "key", "id")
-    sizes = ranked.groupBy("metric").agg(F.count(F.lit(1)).alias("n"))
-    n = sizes.agg(F.max("n")).scalar()
+    n = (F.col("total") / len(names)).cast("long")
     within = F.col("rank") - F.col("metric") * n
     last = ends(n, k)
     weight = sum((F.when(within == e, 1).otherwise(0) for e in last), F.lit(0))

@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -119,11 +119,13 @@ def pareto(rfm: DataFrame, points: tuple[int, ...]) -> DataFrame:
     """
     ranked = range_ranked(rfm.select("Monetary", "customer_unique_id"),
                           F.desc("Monetary"), "customer_unique_id")
-    n = ranked.agg(F.count(F.lit(1))).scalar()
-    sums = ranked.agg(
-        exact_sum("Monetary").alias("_all"),
-        *[F.coalesce(exact_sum(F.when(F.col("rank") <= F.floor(n * p / 100), F.col("Monetary"))),
-                     F.lit(0.0)).alias(f"_top{p}") for p in points])
+
+    def top(p: int) -> Column:
+        chosen = F.col("rank") <= F.floor(F.col("total") * p / 100)
+        return F.coalesce(exact_sum(F.when(chosen, F.col("Monetary"))), F.lit(0.0))
+
+    sums = ranked.agg(exact_sum("Monetary").alias("_all"),
+                      *[top(p).alias(f"_top{p}") for p in points])
     rows = F.array(*[F.struct(F.lit(p).alias("Top_pct"),
                               percent(F.col(f"_top{p}"), F.col("_all")).alias("Revenue_pct"))
                      for p in points])

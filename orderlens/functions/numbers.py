@@ -12,30 +12,26 @@ MICRO = 1e6
 LOW_BITS = 20
 
 
-def _col(col: str | Column) -> Column:
-    return F.col(col) if isinstance(col, str) else col
-
-
-def exact_sum(col: str | Column) -> Column:
-    """Sum that is the same for any partitioning, to six decimals.
+def exact_sum(sql: str) -> Column:
+    """Sum of a SQL expression that is the same for any partitioning, to six decimals.
 
     Values are added as whole millionths in long arithmetic, which stays in
     generated code and is several times faster than decimal sums.
     """
-    micro = F.rint(_col(col) * MICRO).cast("long")
-    high = F.sum(F.shiftright(micro, LOW_BITS)).cast("double")
-    low = F.sum(micro.bitwiseAND(F.lit(2 ** LOW_BITS - 1))).cast("double")
-    return (high * float(2 ** LOW_BITS) + low) / MICRO
+    micro = f"CAST(RINT(({sql}) * {MICRO}D) AS BIGINT)"
+    high = f"CAST(SUM(SHIFTRIGHT({micro}, {LOW_BITS})) AS DOUBLE) * {2 ** LOW_BITS}D"
+    low = f"CAST(SUM({micro} & {2 ** LOW_BITS - 1}) AS DOUBLE)"
+    return F.expr(f"({high} + {low}) / {MICRO}D")
 
 
-def exact_avg(col: str | Column) -> Column:
+def exact_avg(sql: str) -> Column:
     """Mean of the non-null values from the exact sum; null when there are none."""
-    return F.try_divide(exact_sum(col), F.count(_col(col)))
+    return F.try_divide(exact_sum(sql), F.count(F.expr(sql)))
 
 
-def share(flag: Column) -> Column:
-    """Share of true among the rows where ``flag`` is not null."""
-    return F.try_divide(F.count_if(flag).cast("double"), F.count(flag))
+def share(condition: str) -> Column:
+    """Share of true among the rows where a SQL condition is not null."""
+    return F.expr(f"TRY_DIVIDE(CAST(COUNT_IF({condition}) AS DOUBLE), COUNT({condition}))")
 
 
 def round_even(col: Column, digits: int = 0) -> Column:

@@ -131,9 +131,9 @@ def overall_rates(cust: DataFrame) -> DataFrame:
     """Raw churn over all customers; repurchase over those old enough."""
     return cust.agg(
         F.count(F.lit(1)).alias("customers"),
-        share(F.col("churn") == 1).alias("churn_rate"),
+        share("churn = 1").alias("churn_rate"),
         F.count_if("mature").alias("mature_customers"),
-        share(F.when(F.col("mature"), F.col("repeat_180") == 1)).alias("repeat_rate"))
+        share("CASE WHEN mature THEN repeat_180 = 1 END").alias("repeat_rate"))
 
 
 def class_weights(table: DataFrame, label: str) -> DataFrame:

@@ -38,7 +38,7 @@ CHECKS = (
 def items_revenue(items: DataFrame, facts: DataFrame) -> DataFrame:
     """Price plus freight of the items of kept orders, as one row."""
     kept = items.join(facts.select("order_id"), "order_id", "left_semi")
-    return kept.agg(exact_sum(F.col("price") + F.col("freight_value")).alias("items_revenue"))
+    return kept.agg(exact_sum("price + freight_value").alias("items_revenue"))
 
 
 def items_revenue_check(items: DataFrame, facts: DataFrame, settings: Settings) -> DataFrame:

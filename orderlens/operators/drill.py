@@ -22,14 +22,14 @@ def group_table(cust: DataFrame, by: str) -> DataFrame:
     return cust.groupBy(by).agg(
         F.count(F.lit(1)).alias("Customers"),
         exact_sum("churn").alias("Churned"),
-        share(F.col("churn") == 1).alias("Churn_Rate"),
+        share("churn = 1").alias("Churn_Rate"),
         F.count_if("mature").alias("Mature_Customers"),
-        share(F.when(F.col("mature"), F.col("repeat_180") == 1)).alias("Repeat180_Mature"),
+        share("CASE WHEN mature THEN repeat_180 = 1 END").alias("Repeat180_Mature"),
         exact_sum("Monetary").alias("Revenue"),
         exact_avg("Monetary").alias("Avg_Monetary"),
         exact_avg("avg_review_score").alias("Avg_Review"),
         exact_avg("delivery_days").alias("Avg_Delivery_Days"),
-        share(F.col("delay_days") > 0).alias("Late_Rate"))
+        share("delay_days > 0").alias("Late_Rate"))
 
 
 def large_groups(table: DataFrame, min_mature: int) -> DataFrame:
@@ -80,8 +80,8 @@ def drill_experience(cust: DataFrame) -> DataFrame:
                        ("repeat_180", "churn", "avg_review_score"))
     found = rows.groupBy("Dimension", "Bucket").agg(
         F.count(F.lit(1)).alias("Customers"),
-        share(F.col("repeat_180") == 1).alias("Repeat180"),
-        share(F.col("churn") == 1).alias("Churn_Rate_Raw"),
+        share("repeat_180 = 1").alias("Repeat180"),
+        share("churn = 1").alias("Churn_Rate_Raw"),
         exact_avg("avg_review_score").alias("Avg_Review"))
     listed = [(d, i, b) for d, names in EXPERIENCE.items() for i, b in enumerate(names, start=1)]
     order = cust.sparkSession.createDataFrame(
@@ -97,7 +97,7 @@ def installments_repeat(cust: DataFrame) -> DataFrame:
         "Installments", installment_bucket(F.col("max_installments")))
     return binned.dropna(subset=["Installments"]).groupBy("Installments").agg(
         F.count(F.lit(1)).alias("Customers"),
-        share(F.col("repeat_180") == 1).alias("Repeat180"),
+        share("repeat_180 = 1").alias("Repeat180"),
     ).withColumn("Bin_Order", position_in(F.col("Installments"), INSTALLMENT_BUCKETS))
 
 

@@ -118,10 +118,8 @@ def top_categories(t: OrderTables, k: int = 10, keep_null: bool = True) -> DataF
 
 
 def main_category(t: OrderTables, unknown: str = "unknown") -> DataFrame:
-    """Category of the dearest item of each order."""
-    dearest = W.partitionBy("order_id").orderBy(F.desc("price"), "order_item_id", "product_id")
-    top_item = (t.items.select("order_id", "order_item_id", "product_id", "price")
-                .withColumn("rn", F.row_number().over(dearest))
-                .filter(F.col("rn") == 1))
+    """Category of the dearest item of each order, combined on the map side like any aggregate."""
+    first = F.struct(F.col("price").isNull(), -F.col("price"), "order_item_id", "product_id")
+    top_item = t.items.groupBy("order_id").agg(F.min_by("product_id", first).alias("product_id"))
     return top_item.join(_category_names(t), "product_id", "left").select(
         "order_id", F.coalesce("category", F.lit(unknown)).alias("category"))

@@ -121,8 +121,8 @@ def pareto(rfm: DataFrame, points: tuple[int, ...]) -> DataFrame:
                           F.desc("Monetary"), "customer_unique_id")
 
     def top(p: int) -> Column:
-        chosen = F.col("rank") <= F.floor(F.col("total") * p / 100)
-        return F.coalesce(exact_sum(F.when(chosen, F.col("Monetary"))), F.lit(0.0))
+        chosen = exact_sum(f"CASE WHEN rank <= FLOOR(total * {p} / 100) THEN Monetary END")
+        return F.coalesce(chosen, F.lit(0.0))
 
     sums = ranked.agg(exact_sum("Monetary").alias("_all"),
                       *[top(p).alias(f"_top{p}") for p in points])

@@ -32,27 +32,27 @@ SCHEMAS = {
 }
 
 
-def _decode(column: str, mapping: dict[str, str]):
-    out = F.lit(None).cast("string")
-    for code, name in mapping.items():
-        out = F.when(F.col(column) == code, name).otherwise(out)
-    return out
+def _decode(column: str, mapping: dict[str, str]) -> str:
+    cases = " ".join(f"WHEN '{code}' THEN '{name}'" for code, name in mapping.items())
+    return f"CASE {column} {cases} END"
 
 
-def _lines(line: DataFrame) -> DataFrame:
-    paid = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
-    return line.select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_extendedprice").alias("price"),
-        (F.col("l_extendedprice") * F.col("l_tax")).alias("freight_value"),
-        _decode("l_returnflag", PAYMENT_TYPE).alias("payment_type"),
-        F.col("l_linenumber").alias("payment_installments"),
-        paid.alias("payment_value"),
-        F.when(F.col("l_returnflag") != "N", (1 + F.col("l_suppkey") % 5).cast("int"))
-        .alias("review_score"),
-    )
+LINES = (
+    "l_orderkey AS order_id", "l_linenumber AS order_item_id", "l_partkey AS product_id",
+    "l_extendedprice AS price", "l_extendedprice * l_tax AS freight_value",
+    _decode("l_returnflag", PAYMENT_TYPE) + " AS payment_type",
+    "l_linenumber AS payment_installments",
+    "l_extendedprice * (1 - l_discount) * (1 + l_tax) AS payment_value",
+    "CASE WHEN l_returnflag <> 'N' THEN CAST(1 + l_suppkey % 5 AS INT) END AS review_score")
+TRANSIT = "CAST(1 + (o_orderkey * 7 + o_custkey) % 30 AS INT)"
+PROMISED = "10 + 3 * CAST(SUBSTRING(o_orderpriority, 1, 1) AS INT)"
+ORDERS = (
+    "o_orderkey AS order_id", "o_custkey AS customer_id",
+    _decode("o_orderstatus", STATUS) + " AS order_status",
+    "o_orderdate AS order_purchase_timestamp",
+    f"CASE WHEN o_orderkey % 53 <> 0 THEN TIMESTAMPADD(DAY, {TRANSIT}, o_orderdate) END "
+    "AS order_delivered_customer_date",
+    f"TIMESTAMPADD(DAY, {PROMISED}, o_orderdate) AS order_estimated_delivery_date")
 
 
 def star_tables(spark: SparkSession, folder: str) -> OrderTables:
@@ -61,41 +61,29 @@ def star_tables(spark: SparkSession, folder: str) -> OrderTables:
     def table(name: str) -> DataFrame:
         return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
-    transit = (1 + (F.col("o_orderkey") * 7 + F.col("o_custkey")) % 30).cast("int")
-    promised = 10 + 3 * F.substring("o_orderpriority", 1, 1).cast("int")
-    orders = table("orders").withColumns({"_transit": transit, "_promised": promised}).select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        _decode("o_orderstatus", STATUS).alias("order_status"),
-        F.col("o_orderdate").alias("order_purchase_timestamp"),
-        F.when(F.col("o_orderkey") % 53 != 0, F.expr("timestampadd(DAY, _transit, o_orderdate)"))
-        .alias("order_delivered_customer_date"),
-        F.expr("timestampadd(DAY, _promised, o_orderdate)").alias("order_estimated_delivery_date"),
-    )
+    orders = table("orders").selectExpr(*ORDERS)
     nation = table("nation")
     customers = (table("customer")
-                 .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-                 .select(F.col("c_custkey").alias("customer_id"),
-                         F.col("c_custkey").alias("customer_unique_id"),
-                         F.col("n_name").alias("customer_state")))
+                 .join(nation, F.expr("c_nationkey = n_nationkey"), "left")
+                 .selectExpr("c_custkey AS customer_id", "c_custkey AS customer_unique_id",
+                             "n_name AS customer_state"))
     regions = (nation
-               .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-               .filter(F.col("r_name") != UNMAPPED_REGION)
-               .select(F.col("n_name").alias("customer_state"), F.col("r_name").alias("region")))
+               .join(table("region"), F.expr("n_regionkey = r_regionkey"))
+               .filter(f"r_name <> '{UNMAPPED_REGION}'")
+               .selectExpr("n_name AS customer_state", "r_name AS region"))
     part = table("part")
-    products = part.select(
-        F.col("p_partkey").alias("product_id"),
-        F.when(F.col("p_size") != 25, F.col("p_type")).alias("product_category_name"))
-    categories = (part.select(F.col("p_type").alias("product_category_name")).distinct()
-                  .filter(F.col("product_category_name") != UNTRANSLATED_TYPE)
-                  .withColumn("product_category_name_english", F.lower("product_category_name")))
-    lines = _lines(table("lineitem"))
+    products = part.selectExpr(
+        "p_partkey AS product_id", "CASE WHEN p_size <> 25 THEN p_type END AS product_category_name")
+    categories = (part.selectExpr("p_type AS product_category_name").distinct()
+                  .filter(f"product_category_name <> '{UNTRANSLATED_TYPE}'")
+                  .selectExpr("*", "LOWER(product_category_name) AS product_category_name_english"))
+    lines = table("lineitem").selectExpr(*LINES)
     return OrderTables(
         orders=orders,
         customers=customers,
         items=lines.select("order_id", "order_item_id", "product_id", "price", "freight_value"),
         payments=lines.select("order_id", "payment_type", "payment_installments", "payment_value"),
-        reviews=lines.filter(F.col("review_score").isNotNull()).select("order_id", "review_score"),
+        reviews=lines.filter("review_score IS NOT NULL").select("order_id", "review_score"),
         products=products,
         categories=categories,
         regions=regions,

@@ -38,8 +38,9 @@ def test_first_orders_cut_before_the_shuffle(tables):
     assert "Exchange" not in after, "both windows share one shuffle"
 
 
-def test_main_category_cut_before_the_shuffle(tables):
-    assert plan(facts.main_category(tables)).count("WindowGroupLimit") == 2
+def test_main_category_combines_before_the_shuffle(tables):
+    text = plan(facts.main_category(tables))
+    assert "partial_min_by" in text and "Window" not in text
 
 
 def test_order_facts_scan_lines_once_with_pruned_columns(tables):

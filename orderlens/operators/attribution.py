@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from orderlens.operators.customers import IMPUTED_FEATURES, NUMERIC_FEATURES
+from orderlens.operators.evaluate import value_pct_rank
 from orderlens.operators.features import dummies, impute_median, with_stratified_split
 from orderlens.operators.models import with_class_weight
 from orderlens.settings import Settings
@@ -186,11 +187,12 @@ def importance_share(importance: DataFrame, selected: tuple[str, ...]) -> DataFr
 
 
 def top_values(values: DataFrame, test: DataFrame, names: list[str], k: int = 10) -> DataFrame:
-    """Long rows (feature, attribution, value) of the k features that matter most."""
+    """Long rows (feature, attribution, value, its percentile) of the k strongest features."""
     best = mean_absolute(values, names).limit(k)
     long = values.unpivot(["customer_unique_id"], names, "Feature", "Attribution")
     raw = test.select("customer_unique_id", *[F.col(f"`{n}`").cast("double").alias(n)
                                               for n in names])
     kept = long.join(F.broadcast(best.select("Feature")), "Feature", "left_semi")
-    return kept.join(raw.unpivot(["customer_unique_id"], names, "Feature", "Value"),
+    rows = kept.join(raw.unpivot(["customer_unique_id"], names, "Feature", "Value"),
                      ["customer_unique_id", "Feature"])
+    return value_pct_rank(rows, "Feature", "Value", "customer_unique_id")

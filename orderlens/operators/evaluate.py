@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from orderlens.functions.numbers import round_even
 from orderlens.operators.rank import (
-    average_rank, percentile_value, qcut_bin, range_ranked, running_sums)
+    average_rank, percentile_value, qcut_bin, range_ranked, running_sums, with_next)
 
 CURVE_POINTS = 300
 
@@ -127,10 +126,8 @@ def roc_points(scored: DataFrame, points: int = CURVE_POINTS) -> DataFrame:
     levels = scored.groupBy("score").agg(
         _positives().alias("pos"), F.count_if(F.col("label") == 0).alias("neg"))
     ranked = range_ranked(levels, F.desc("score"))
-    below = ranked.select((F.col("rank") - 1).alias("rank"),
-                          F.col("pos").alias("pos_next"), F.col("neg").alias("neg_next"))
-    straight = (F.col("pos") == F.col("pos_next")) & (F.col("neg") == F.col("neg_next"))
-    bend = ranked.join(below, "rank", "left").withColumn(
+    straight = (F.col("pos") == F.col("next_pos")) & (F.col("neg") == F.col("next_neg"))
+    bend = with_next(ranked, "pos", "neg").withColumn(
         "bend", F.when((F.col("rank") > 1) & F.coalesce(straight, F.lit(False)), 0).otherwise(1))
     curve = running_sums(bend, {"tp": "pos", "fp": "neg", "place": "bend"}).filter("bend = 1")
     totals = curve.agg(F.struct(
@@ -157,17 +154,13 @@ def cumulative_gains(scored: DataFrame, points: int = CURVE_POINTS) -> DataFrame
         (F.try_divide("captured", "_t.pos") * 100.0).alias("Captured_pct"))
 
 
-def value_pct_rank(table: DataFrame, value: str, id_col: str) -> DataFrame:
-    """Percentile rank of a column among its non-null values; ties share their mean rank."""
-    rows = table.filter(F.col(value).isNotNull()).select(id_col, value)
-    ranked = average_rank(rows, value, id_col)
-    return ranked.select(id_col, value, (F.col("avg_rank") / F.col("total")).alias("value_pct"))
+def value_pct_rank(long: DataFrame, feature: str, value: str, id_col: str) -> DataFrame:
+    """Percentile rank of each value among its feature's non-null values; ties share their mean."""
+    ranked = average_rank(long.filter(F.col(value).isNotNull()), value, id_col, feature)
+    return ranked.withColumn("Value_pct", F.col("avg_rank") / F.col("total")).drop(
+        "avg_rank", "total")
 
 
 def best_by(table: DataFrame, name: str, measure: str) -> DataFrame:
     """The row name with the highest measure; ties go to the smaller name."""
     return table.orderBy(F.desc(measure), name).limit(1).select(name, measure)
-
-
-def rounded_report(table: DataFrame, digits: dict[str, int]) -> DataFrame:
-    return table.withColumns({c: round_even(F.col(c), d) for c, d in digits.items()})

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from orderlens.functions.numbers import exact_sum, percent
 from orderlens.sources.contracts import OrderTables
 
-DELIVERED = "delivered"
 VOUCHER = "voucher"
 
 
@@ -63,14 +62,14 @@ def order_measures(t: OrderTables) -> DataFrame:
             .join(order_reviews(t.reviews), "order_id", "left"))
 
 
-def order_facts(t: OrderTables, status: str = DELIVERED) -> DataFrame:
+def order_facts(t: OrderTables) -> DataFrame:
     """One row per delivered, dated and paid order, with its customer and child measures.
 
     The order-keyed joins come first and share one shuffle on ``order_id``; the
     customer lookup sees only the rows that survive the filters.
     """
     kept = t.orders.filter(
-        (F.col("order_status") == status) & F.col("order_purchase_timestamp").isNotNull())
+        (F.col("order_status") == t.delivered) & F.col("order_purchase_timestamp").isNotNull())
     paid = kept.join(order_measures(t).filter(F.col("payment_value").isNotNull()), "order_id")
     return paid.join(t.customers, "customer_id", "left")
 

@@ -126,27 +126,52 @@ def scores(
             .drop("_cuts"))
 
 
-def average_rank(df: DataFrame, value: str, id_col: str) -> DataFrame:
-    """``df`` plus ``rank`` (ties by id) and ``avg_rank`` (ties share their mean rank).
+def with_next(ranked: DataFrame, *columns: str) -> DataFrame:
+    """``next_<column>``: the value in the following rank, null in the last one.
+
+    Looks ahead within each range partition; the first row of every partition,
+    one per partition, is broadcast to the row before it.
+    """
+    along = W.partitionBy("_part").orderBy("rank")
+    heads = ranked.groupBy("_part").agg(
+        F.min("rank").alias("_first"),
+        *[F.min_by(c, "rank").alias(f"_head_{c}") for c in columns],
+    ).withColumn("rank", F.col("_first") - 1).drop("_part", "_first")
+    return (ranked.withColumns({f"next_{c}": F.lead(c).over(along) for c in columns})
+            .join(F.broadcast(heads), "rank", "left")
+            .withColumns({f"next_{c}": F.coalesce(f"next_{c}", f"_head_{c}") for c in columns})
+            .drop(*[f"_head_{c}" for c in columns]))
+
+
+def average_rank(df: DataFrame, value: str, id_col: str, group: str | None = None) -> DataFrame:
+    """``df`` plus ``avg_rank`` (ties share their mean rank) among ``total`` rows, per group.
 
     A tie group is bounded by its first and last rank. Groups are looked at per
     range partition; those that cross a boundary, at most one per boundary, are
     completed from a broadcast list.
     """
-    ranked = range_ranked(df, value, id_col)
-    tie = W.partitionBy("_part", value)
+    keys = [group, value] if group else [value]
+    ranked = range_ranked(df, *keys, id_col)
+    tie = W.partitionBy("_part", *keys)
     local = ranked.withColumns({"_lo": F.min("rank").over(tie), "_hi": F.max("rank").over(tie)})
-    crossing = (ranked.groupBy("_part", value)
+    crossing = (ranked.groupBy("_part", *keys)
                 .agg(F.min("rank").alias("lo"), F.max("rank").alias("hi"))
-                .groupBy(F.col(value).alias("_value"))
+                .groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys])
                 .agg(F.min("lo").alias("_lo_all"), F.max("hi").alias("_hi_all"),
                      F.count(F.lit(1)).alias("_parts"))
                 .filter(F.col("_parts") > 1))
-    lo = F.coalesce("_lo_all", "_lo")
-    hi = F.coalesce("_hi_all", "_hi")
-    return (local.join(F.broadcast(crossing), F.col(value).eqNullSafe(F.col("_value")), "left")
-            .withColumn("avg_rank", (lo + hi) / 2.0)
-            .drop("_lo", "_hi", "_lo_all", "_hi_all", "_value", "_parts", "_part"))
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    middle = (F.coalesce("_lo_all", "_lo") + F.coalesce("_hi_all", "_hi")) / 2.0
+    found = (local.join(F.broadcast(crossing), same, "left")
+             .withColumn("avg_rank", middle)
+             .drop("_lo", "_hi", "_lo_all", "_hi_all", "_parts", "_part", "rank",
+                   *[f"_of_{k}" for k in keys]))
+    if group is None:
+        return found
+    sizes = ranked.groupBy(group).agg(
+        (F.min("rank") - 1).alias("_start"), F.count(F.lit(1)).alias("total"))
+    return (found.drop("total").join(sizes, group)
+            .withColumn("avg_rank", F.col("avg_rank") - F.col("_start")).drop("_start"))
 
 
 def group_percentiles(

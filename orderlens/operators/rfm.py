@@ -60,7 +60,7 @@ def rfm_task(orders: DataFrame, customers: DataFrame, payments: DataFrame,
 
 
 def rfm_task_of(t: OrderTables) -> DataFrame:
-    return rfm_task(t.orders, t.customers, t.payments)
+    return rfm_task(t.orders, t.customers, t.payments, t.delivered)
 
 
 def rfm_scores(table: DataFrame, k: int = 5) -> DataFrame:

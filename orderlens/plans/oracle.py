@@ -10,7 +10,8 @@ import re
 
 from orderlens.functions.buckets import DELAY_BUCKETS, DELIVERY_BUCKETS, REVIEW_BUCKETS
 from orderlens.operators.decide import CHECKS
-from orderlens.plans.queries import BREAK_EVEN, COPIES, EXPERIENCE_FEATURES, REGIONS, SAMPLE, STAR
+from orderlens.plans.queries import (
+    BREAK_EVEN, COPIES, EXPERIENCE_FEATURES, RANKED_FEATURES, REGIONS, SAMPLE, STAR)
 
 DAYS = STAR.churn_days
 
@@ -93,8 +94,7 @@ SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS produ
 FROM lineitem""",
     "order_dim": """
 SELECT o_orderkey AS order_id, o_custkey AS customer_id,
-  CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'shipped'
-       WHEN 'P' THEN 'processing' END AS order_status,
+  o_orderstatus AS order_status,
   o_orderdate AS order_purchase_timestamp,
   CASE WHEN o_orderkey % 53 <> 0
        THEN o_orderdate + to_days(CAST(1 + (o_orderkey * 7 + o_custkey) % 30 AS INTEGER)) END
@@ -125,7 +125,7 @@ SELECT o.customer_id, o.order_id, o.order_status, o.order_purchase_timestamp,
   m.* EXCLUDE (order_id), c.customer_unique_id, c.customer_state
 FROM order_dim o JOIN measures m ON o.order_id = m.order_id
 LEFT JOIN customer_dim c ON o.customer_id = c.customer_id
-WHERE o.order_status = 'delivered' AND o.order_purchase_timestamp IS NOT NULL
+WHERE o.order_status = 'F' AND o.order_purchase_timestamp IS NOT NULL
   AND m.payment_value IS NOT NULL""",
     "span": """
 SELECT MIN(CAST(order_purchase_timestamp AS DATE)) AS lo,
@@ -638,12 +638,11 @@ FROM deciles WHERE Decile = 1""",
 SELECT CAST(r AS DOUBLE) / n * 100.0 AS Selected_pct, captured / pos * 100.0 AS Captured_pct
 FROM (SELECT r, n, pos, SUM(label) OVER (ORDER BY r) AS captured FROM ranked) g
 JOIN gain_places p ON g.r - 1 = p.place""",
-    "value_pct_rank": """
-SELECT customer_unique_id, max_installments,
-  (RANK() OVER (ORDER BY max_installments)
-    + (COUNT(*) OVER (PARTITION BY max_installments) - 1) / 2.0::DOUBLE) / COUNT(*) OVER ()
-    AS value_pct
-FROM features WHERE max_installments IS NOT NULL""",
+    "value_pct_rank": " UNION ALL ".join(f"""
+SELECT customer_unique_id, '{c}' AS Feature, {c} AS Value,
+  (RANK() OVER (ORDER BY {c}) + (COUNT(*) OVER (PARTITION BY {c}) - 1) / 2.0::DOUBLE)
+    / COUNT(*) OVER () AS Value_pct
+FROM features WHERE {c} IS NOT NULL""" for c in RANKED_FEATURES),
     "importance_share": f"""
 SELECT ROUND(selected, 9) AS selected, ROUND(total, 9) AS total, ROUND(selected / total, 9) AS share
 FROM (SELECT SUM(CASE WHEN Dimension IN ({_chosen}) THEN Repeat180 ELSE 0 END) AS selected,

@@ -32,6 +32,8 @@ COPIES = 3
 SAMPLE = 3000
 EXPERIENCE_FEATURES = ("delivery", "delay")
 
+RANKED_FEATURES = ("item_count", "avg_review_score", "delivery_days", "max_installments")
+
 QUERIES: dict[str, Query] = {}
 
 
@@ -410,7 +412,9 @@ def cumulative_gains(a: Analysis) -> DataFrame:
 
 @query
 def value_pct_rank(a: Analysis) -> DataFrame:
-    return evaluate.value_pct_rank(a.features, "max_installments", "customer_unique_id")
+    long = a.features.unpivot(
+        ["customer_unique_id"], list(RANKED_FEATURES), "Feature", "Value")
+    return evaluate.value_pct_rank(long, "Feature", "Value", "customer_unique_id")
 
 
 @query

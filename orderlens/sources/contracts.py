@@ -64,6 +64,8 @@ class OrderTables:
     ``regions`` maps ``customer_state`` to ``region``. ``lines`` is set when
     items, payments and reviews live in one physical table: it then holds their
     measures side by side, so that one scan and one shuffle serve all three.
+    ``delivered`` is the status of finished orders, in the source's own codes so
+    that the filter reaches its scan.
     """
 
     orders: DataFrame
@@ -75,3 +77,4 @@ class OrderTables:
     categories: DataFrame
     regions: DataFrame
     lines: DataFrame | None = None
+    delivered: str = "delivered"

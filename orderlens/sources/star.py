@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from orderlens.sources.contracts import OrderTables
 
-# How the source's codes read as order statuses and payment types.
-STATUS = {"F": "delivered", "O": "shipped", "P": "processing"}
+# The source's code of a finished order, and how its flags read as payment types.
+DELIVERED = "F"
 PAYMENT_TYPE = {"R": "voucher", "A": "credit_card", "N": "boleto"}
 UNMAPPED_REGION = "MIDDLE EAST"
 UNTRANSLATED_TYPE = "STANDARD"
@@ -48,7 +48,7 @@ TRANSIT = "CAST(1 + (o_orderkey * 7 + o_custkey) % 30 AS INT)"
 PROMISED = "10 + 3 * CAST(SUBSTRING(o_orderpriority, 1, 1) AS INT)"
 ORDERS = (
     "o_orderkey AS order_id", "o_custkey AS customer_id",
-    _decode("o_orderstatus", STATUS) + " AS order_status",
+    "o_orderstatus AS order_status",
     "o_orderdate AS order_purchase_timestamp",
     f"CASE WHEN o_orderkey % 53 <> 0 THEN TIMESTAMPADD(DAY, {TRANSIT}, o_orderdate) END "
     "AS order_delivered_customer_date",
@@ -88,4 +88,5 @@ def star_tables(spark: SparkSession, folder: str) -> OrderTables:
         categories=categories,
         regions=regions,
         lines=lines,
+        delivered=DELIVERED,
     )

@@ -1,5 +1,6 @@
 """Physical plans: no single-task step over rows, early cuts, pruned scans."""
 
+import dataclasses
 import pathlib
 import re
 
@@ -46,7 +47,7 @@ def test_main_category_combines_before_the_shuffle(tables):
 def test_order_facts_scan_lines_once_with_pruned_columns(tables):
     text = plan(facts.order_facts(tables))
     assert len(re.findall(r"Scan parquet|FileScan parquet", text)) == 4
-    assert "EqualTo(o_orderstatus" in text or "IsNotNull(o_orderdate)" in text
+    assert "EqualTo(o_orderstatus,F)" in text and "IsNotNull(o_orderdate)" in text
     assert "l_shipdate" not in text and "o_totalprice" not in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
@@ -65,6 +66,52 @@ def test_no_cross_joins_and_no_python(spark, name):
         assert operator not in text, operator
 
 
+def test_hot_customer_is_split_in_the_lookup_join(spark, tables, tmp_path):
+    """A third of all orders belong to one customer: the join splits that partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    many = spark.range(30000, numPartitions=8)
+    hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 150)
+    orders = many.select(
+        F.col("id").alias("order_id"), hot.cast("long").alias("customer_id"),
+        F.lit("F").alias("order_status"),
+        F.expr("TIMESTAMP_NTZ'2020-01-01' + MAKE_DT_INTERVAL(CAST(id % 900 AS INT))")
+        .alias("order_purchase_timestamp"),
+        F.lit(None).cast("timestamp_ntz").alias("order_delivered_customer_date"),
+        F.lit(None).cast("timestamp_ntz").alias("order_estimated_delivery_date"))
+    lines = many.select(
+        F.col("id").alias("order_id"), (F.col("id") * 7919 % 100003 / 7).alias("price"),
+        (F.col("id") * 104729 % 100019 / 11).alias("freight_value"), F.lit("boleto").alias("payment_type"),
+        F.lit(1).alias("payment_installments"), F.lit(11.0).alias("payment_value"),
+        F.lit(None).cast("int").alias("review_score"))
+    t = dataclasses.replace(tables, orders=orders, lines=lines)
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        result = facts.order_facts(t)
+        result.write.parquet(str(tmp_path / "facts"))
+        df = facts.order_facts(t)
+        assert len(df.collect()) == 30000
+        text = plan(df)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert "SortMergeJoin(skew=true)" in text
+    totals = rfm.customer_totals(spark.read.parquet(str(tmp_path / "facts")))
+    assert totals.agg(F.sum("Frequency")).first()[0] == 30000
+    first = customers.first_orders(spark.read.parquet(str(tmp_path / "facts")))
+    assert first.filter("customer_unique_id = 7").first()["order_id"] == 0
+
+
 def test_library_collects_only_bounded_results():
     root = pathlib.Path(__file__).parent.parent / "orderlens"
     found = [(p.name, line.strip()) for p in root.rglob("*.py")

@@ -88,6 +88,23 @@ def test_average_rank_and_running_sums_over_many_parts(spark, distinct):
     assert sums["s"].tolist() == sums["id"].cumsum().tolist()
 
 
+@pytest.mark.parametrize("distinct", [1, 4, 1000])
+def test_next_values_and_grouped_ranks_over_many_parts(spark, distinct):
+    restore = many_parts(spark)
+    try:
+        df = table(spark, 600, distinct=distinct).withColumn("g", F.col("id") % 5 == 0)
+        ranked = rank.range_ranked(df, "v", "id")
+        ahead = rank.with_next(ranked, "id").toPandas().sort_values("rank")
+        grouped = rank.average_rank(df, "v", "id", "g").toPandas().sort_values("id")
+    finally:
+        restore()
+    assert ahead["next_id"].tolist()[:-1] == ahead["id"].tolist()[1:]
+    assert np.isnan(ahead["next_id"].tolist()[-1])
+    pdf = df.toPandas().sort_values("id")
+    assert grouped["avg_rank"].tolist() == pdf.groupby("g")["v"].rank().tolist()
+    assert set(grouped["total"]) == {120, 480}
+
+
 def test_group_percentiles_are_exact(spark):
     df = table(spark, 400, distinct=50).withColumn("g", F.col("id") % 3)
     got = rank.group_percentiles(df, "g", "v", "id", {"p25": 0.25, "p95": 0.95}).toPandas()

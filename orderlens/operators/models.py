@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -16,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from orderlens.operators.customers import IMPUTED_FEATURES
-from orderlens.operators.evaluate import confusion_matrix, lift_at_k
+from orderlens.operators.evaluate import (
+    auc_exact, confusion_matrix, cumulative_gains, lift_at_k, roc_points, score_deciles)
 from orderlens.operators.features import with_split
 from orderlens.settings import Settings
 from orderlens.stages import stage
@@ -92,22 +95,33 @@ def _areas(pred: DataFrame) -> dict[str, float]:
             for name, metric in (("AUC_ROC", "areaUnderROC"), ("PR_AUC", "areaUnderPR"))}
 
 
-def churn_metrics(table: DataFrame, settings: Settings) -> DataFrame:
-    """Train every classifier on the churn label; one row of test metrics per model."""
+def _trained(
+    table: DataFrame, label: str, settings: Settings, weighted: bool, boosted_depth: int
+) -> Iterator[tuple[str, DataFrame]]:
+    """Fit every classifier on one shared split; yields its name and scored test rows."""
     train, test = train_test(table, settings)
+    weight = "w" if weighted else None
+    if weighted:
+        train = with_class_weight(train, label)
     _, fitted, held_out = _prepared(train, test)
+    columns = [label, "features", *(["w"] if weighted else [])]
+    with _cached(fitted.select(*columns)) as data:
+        for name, estimator in classifiers(label, settings, weight, boosted_depth).items():
+            yield name, _score_columns(estimator.fit(data).transform(held_out), label)
+
+
+def churn_metrics(table: DataFrame, settings: Settings) -> DataFrame:
+    """Train every classifier on the churn label; one row of test metrics per model."""
     rows = []
-    with _cached(fitted.select("churn", "features")) as data:
-        for name, estimator in classifiers("churn", settings).items():
-            scored = _score_columns(estimator.fit(data).transform(held_out), "churn")
-            with _cached(scored) as pred:
-                quality = {m: MulticlassClassificationEvaluator(
-                    labelCol="label", metricName=m).evaluate(pred) for m in ("accuracy", "f1")}
-                areas = _areas(pred)
-                cm = confusion_matrix(pred).first()
-            rows.append((name, areas["AUC_ROC"], areas["PR_AUC"], quality["accuracy"],
-                         quality["f1"], cm["precision"], cm["recall"],
-                         cm["TN"], cm["FP"], cm["FN"], cm["TP"]))
+    for name, scored in _trained(table, "churn", settings, False, 5):
+        with _cached(scored) as pred:
+            quality = {m: MulticlassClassificationEvaluator(
+                labelCol="label", metricName=m).evaluate(pred) for m in ("accuracy", "f1")}
+            areas = _areas(pred)
+            cm = confusion_matrix(pred).first()
+        rows.append((name, areas["AUC_ROC"], areas["PR_AUC"], quality["accuracy"],
+                     quality["f1"], cm["precision"], cm["recall"],
+                     cm["TN"], cm["FP"], cm["FN"], cm["TP"]))
     return table.sparkSession.createDataFrame(
         rows, "Model string, AUC_ROC double, PR_AUC double, Accuracy double, F1_Score double, "
               "Precision double, Recall double, TN long, FP long, FN long, TP long")
@@ -115,22 +129,47 @@ def churn_metrics(table: DataFrame, settings: Settings) -> DataFrame:
 
 def repeat_metrics(mature: DataFrame, settings: Settings) -> DataFrame:
     """Train every classifier on the weighted repurchase label; ranking metrics per model."""
-    train, test = train_test(mature, settings)
-    _, fitted, held_out = _prepared(with_class_weight(train, "repeat_180"), test)
     rows = []
-    with _cached(fitted.select("repeat_180", "w", "features")) as data:
-        for name, estimator in classifiers("repeat_180", settings, "w", 4).items():
-            scored = _score_columns(estimator.fit(data).transform(held_out), "repeat_180")
-            with _cached(scored) as pred:
-                areas = _areas(pred)
-                top = {r["fraction"]: r for r in lift_at_k(pred).collect()}
-            rows.append((name, areas["AUC_ROC"], areas["PR_AUC"], top[0.1]["base_rate"],
-                         top[0.2]["recall"], top[0.1]["lift"], top[0.2]["lift"]))
+    for name, scored in _trained(mature, "repeat_180", settings, True, 4):
+        with _cached(scored) as pred:
+            areas = _areas(pred)
+            top = {r["fraction"]: r for r in lift_at_k(pred).collect()}
+        rows.append((name, areas["AUC_ROC"], areas["PR_AUC"], top[0.1]["base_rate"],
+                     top[0.2]["recall"], top[0.1]["lift"], top[0.2]["lift"]))
     return mature.sparkSession.createDataFrame(
         rows, "Model string, AUC_ROC double, PR_AUC double, Base_rate double, "
               "Recall_top20 double, Lift_top10 double, Lift_top20 double")
 
 
+def predictions(
+    table: DataFrame, label: str, settings: Settings, weighted: bool = False,
+    boosted_depth: int = 5,
+) -> dict[str, DataFrame]:
+    """Staged test scores (id, label, score) of every classifier."""
+    return {name: stage(scored.select("id", "label", "score"), "predictions")
+            for name, scored in _trained(table, label, settings, weighted, boosted_depth)}
+
+
+def curves(scores: dict[str, DataFrame]) -> DataFrame:
+    """ROC and cumulative-gains points of every model, as (Model, Curve, X, Y) rows."""
+    parts = []
+    for name, scored in scores.items():
+        for curve, points in (
+                ("ROC", roc_points(scored).select(F.col("FPR").alias("X"), F.col("TPR").alias("Y"))),
+                ("Gains", cumulative_gains(scored).select(
+                    F.col("Selected_pct").alias("X"), F.col("Captured_pct").alias("Y")))):
+            parts.append(points.select(F.lit(name).alias("Model"), F.lit(curve).alias("Curve"),
+                                       "X", "Y"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def best_deciles(scores: dict[str, DataFrame]) -> DataFrame:
+    """Decile table of the model with the highest exact AUC."""
+    areas = {name: auc_exact(scored).first()["auc"] or 0.0 for name, scored in scores.items()}
+    best = max(sorted(areas), key=areas.get)
+    return score_deciles(scores[best]).withColumn("Model", F.lit(best))
+
+
 def score_customers(
     table: DataFrame, settings: Settings, label: str = "churn", model: str = BOOSTED
 ) -> DataFrame:

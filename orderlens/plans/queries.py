@@ -518,6 +518,21 @@ def model_compare(a: Analysis) -> DataFrame:
     return evaluate.best_by(metrics, "Model", "AUC_ROC")
 
 
+@query
+def churn_curves(a: Analysis) -> DataFrame:
+    return models.curves(models.predictions(a.model_table, "churn", STAR))
+
+
+@query
+def repeat_curves(a: Analysis) -> DataFrame:
+    return models.curves(models.predictions(a.mature, "repeat_180", STAR, True, 4))
+
+
+@query
+def repeat_deciles(a: Analysis) -> DataFrame:
+    return models.best_deciles(models.predictions(a.mature, "repeat_180", STAR, True, 4))
+
+
 @query
 def score_customers(a: Analysis) -> DataFrame:
     return models.score_customers(a.model_table, STAR)

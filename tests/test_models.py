@@ -90,3 +90,13 @@ def test_shapley_values_equal_the_definition():
                        for r in (0, 1) for s in itertools.combinations([other], r))
             assert phi[k] == pytest.approx(want)
     assert attribution.expected_value(leaves) == pytest.approx(known(x[0], set()))
+
+
+def test_curves_and_deciles_cover_every_model_and_customer(analysis):
+    scores = models.predictions(analysis.mature, "repeat_180", STAR, True, 4)
+    kinds = models.curves(scores).groupBy("Model", "Curve").agg(F.max("Y").alias("top")).collect()
+    assert {(r["Model"], r["Curve"]) for r in kinds} == {
+        (m, c) for m in scores for c in ("ROC", "Gains")}
+    assert {r["top"] for r in kinds} == {1.0, 100.0}
+    deciles = models.best_deciles(scores)
+    assert deciles.agg(F.sum("Customers")).first()[0] == scores[models.LOGISTIC].count()

@@ -117,5 +117,5 @@ def test_library_collects_only_bounded_results():
     found = [(p.name, line.strip()) for p in root.rglob("*.py")
              for line in p.read_text().splitlines()
              if re.search(r"\.(collect|toPandas|toLocalIterator|localCheckpoint)\(", line)]
-    # Two lift rows per model, and the nodes of a forest of fixed size.
+    # Two lift rows per model, and the nodes of a forest whose size is a parameter.
     assert sorted(f for f, _ in found) == ["attribution.py", "models.py"]

@@ -195,7 +195,8 @@ def action_evidence(
         | ((F.col("Segment_Label") == REPEAT) & F.col("Uplift").startswith("+10"))
     ).select("Segment_Label", "Extra_Revenue", "Revenue_pct", "Break_Even_Per_Customer")
     best_two = (category_rates.orderBy(F.desc("Repeat180_Mature"), "category").limit(2)
-                .agg(F.array_join(F.sort_array(F.collect_list("category")), ", ")).scalar())
+                .agg(F.nullif(F.array_join(F.sort_array(F.collect_list("category")), ", "), F.lit("")))
+                .scalar())
     base = rates.select("repeat_rate").scalar()
     seg = (economics.withColumns({
         "_t": economics.agg(total).scalar(), "_best": best_two, "_base": base})

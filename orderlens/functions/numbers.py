@@ -19,9 +19,14 @@ def exact_sum(sql: str) -> Column:
     generated code and is several times faster than decimal sums.
     """
     micro = f"CAST(RINT(({sql}) * {MICRO}D) AS BIGINT)"
-    high = f"CAST(SUM(SHIFTRIGHT({micro}, {LOW_BITS})) AS DOUBLE) * {2 ** LOW_BITS}D"
-    low = f"CAST(SUM({micro} & {2 ** LOW_BITS - 1}) AS DOUBLE)"
-    return F.expr(f"({high} + {low}) / {MICRO}D")
+    high = f"SUM(SHIFTRIGHT({micro}, {LOW_BITS}))"
+    low = f"SUM({micro} & {2 ** LOW_BITS - 1})"
+    direct = f"(CAST({high} AS DOUBLE) * {2 ** LOW_BITS}D + CAST({low} AS DOUBLE)) / {MICRO}D"
+    # Above 2^53 millionths: whole units and the rest apart. 15625 high parts are 2^14 units.
+    rest = f"({high} % 15625 * {2 ** LOW_BITS} + {low})"
+    whole = f"({high} DIV 15625 * 16384 + {rest} DIV 1000000)"
+    parts = f"CAST({whole} AS DOUBLE) + CAST({rest} % 1000000 AS DOUBLE) / {MICRO}D"
+    return F.expr(f"CASE WHEN ABS({high}) < {2 ** (53 - LOW_BITS)} THEN {direct} ELSE {parts} END")
 
 
 def exact_avg(sql: str) -> Column:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from orderlens import Settings
 from orderlens.functions import buckets
-from orderlens.functions.numbers import round_even
+from orderlens.functions.numbers import exact_sum, round_even
 from orderlens.functions.regions import region_of
 from orderlens.operators import decide, drill, evaluate, segments, stats
 
@@ -35,6 +35,17 @@ def test_regions_and_half_even(spark):
     assert column(spark, [0.125, 0.375], lambda c: round_even(c, 2)) == [0.12, 0.38]
 
 
+@pytest.mark.parametrize("values", [
+    [0.1, 0.2, -0.3], [7000000001.123456, 0.000001, 8000000002.654321], [-9007199300.5, 0.25],
+    [1e12] * 40 + [0.000001], [None, None]])
+def test_exact_sum_is_the_nearest_double(spark, values):
+    from decimal import Decimal
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(3)
+    got = df.agg(exact_sum("x")).first()[0]
+    known = [round(Decimal(v), 6) for v in values if v is not None]
+    assert got == (float(sum(known)) if known else None)
+
+
 # Size and repurchase rate per bucket in the published report.
 PUBLISHED = {
     "delivery": [(13980, 0.0328), (23243, 0.0317), (10909, 0.0302), (7901, 0.0280)],

@@ -3,29 +3,28 @@
 A stage cuts the lineage and fixes the rows: a lost executor re-reads files
 instead of recomputing the scan and the shuffles before it, and a table used
 by several later steps is computed once.
+
+The folder is ``spark.checkpoint.dir``; where that is unset, the warehouse
+folder, which Spark shares between executors as well. A folder of the local
+machine is accepted only when the executors run on it.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folders: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for stage tables: ``spark.checkpoint.dir``, or a temporary one in local mode."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="orderlens-")
-    return _local_folders[app]
+    """Folder for stage tables: ``spark.checkpoint.dir``, else the warehouse folder."""
+    configured = (spark.conf.get("spark.checkpoint.dir", None)
+                  or spark.conf.get("spark.sql.warehouse.dir"))
+    local = spark.sparkContext.master.startswith("local")
+    if configured.startswith("file:") and not local:
+        raise ValueError(f"{configured} is a folder of one machine; "
+                         "set spark.checkpoint.dir to a folder that all executors share")
+    return configured.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -40,3 +39,14 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete one path of the shared folder through the Hadoop file system."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every stage of this session's application; results built on them must be saved by then."""
+    remove(spark, f"{shared_folder(spark)}/orderlens/{spark.sparkContext.applicationId}")

@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from orderlens.stages import release  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -18,4 +20,5 @@ def spark():
                .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()

@@ -76,7 +76,7 @@ def test_stage_keeps_rows_and_needs_a_shared_folder(spark, monkeypatch):
 
     class Remote:
         class conf:
-            get = staticmethod(lambda *_: None)
+            get = staticmethod(lambda *_: "file:/tmp/stages")
 
         class sparkContext:
             master = "spark://host:7077"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import chat, lines
+from orderlens.llm import chat, lines, packing
 
 CONTROL = "</s>[INST] ok [/INST]"
 
@@ -43,9 +43,16 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         public_id(), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents")).select(
+        F.col("_id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_line_dedup": op2_line_dedup,
+    "op9_packing": op9_packing,
 }
 
 # Text escapes of the template, for the length of the formatted text.

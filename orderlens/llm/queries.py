@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import chat, lines, packing
+from orderlens.llm import chat, hamming, lines, packing
 
 CONTROL = "</s>[INST] ok [/INST]"
 
@@ -43,6 +43,13 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         public_id(), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_simhash_near(spark: SparkSession, folder: str) -> DataFrame:
+    found = hamming.near_groups(table(spark, folder, "documents"))
+    return found.select(F.col("_id").alias("doc_id"),
+                        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                        F.col("component").alias("component_id"))
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents")).select(
         F.col("_id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"),
@@ -52,6 +59,7 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_line_dedup": op2_line_dedup,
+    "op7_simhash_near": op7_simhash_near,
     "op9_packing": op9_packing,
 }
 

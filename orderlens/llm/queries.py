@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import chat, hamming, lines, packing
+from orderlens.llm import chat, fmindex, hamming, lines, packing
 
 CONTROL = "</s>[INST] ok [/INST]"
 
@@ -50,6 +50,14 @@ def op7_simhash_near(spark: SparkSession, folder: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = fmindex.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return (found.withColumn("n_hit", fmindex.n_hit()).select(
+        F.col("_id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated")))
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents")).select(
         F.col("_id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"),
@@ -60,6 +68,7 @@ QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_line_dedup": op2_line_dedup,
     "op7_simhash_near": op7_simhash_near,
+    "op8_decontaminate": op8_decontaminate,
     "op9_packing": op9_packing,
 }
 
@@ -90,4 +99,22 @@ m AS (SELECT k.*, coalesce(f.owner <> k.doc_id, false) AS lost FROM k LEFT JOIN
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
 FROM m GROUP BY doc_id""",
+    "op8_decontaminate": r"""
+WITH lo AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+d AS (SELECT doc_id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM lo),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+p AS (SELECT item_id, least(10, len(ws)) AS m, ws, unnest(range(1, greatest(len(ws) - 10, 0) + 2)) AS i FROM b
+  WHERE len(ws) > 0),
+w AS (SELECT DISTINCT item_id, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase FROM p),
+s AS (SELECT doc_id, m, ws, unnest(range(1, len(ws) - m + 2)) AS i FROM d, (SELECT DISTINCT m FROM w) WHERE len(ws) >= m),
+h AS (SELECT s.doc_id, s.i, s.m, w.item_id FROM (SELECT doc_id, i, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase FROM s) s
+  JOIN w ON s.m = w.m AND s.phrase = w.phrase),
+hw AS (SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest(range(i, i + m)) AS pos FROM h) GROUP BY doc_id),
+hi AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(d.ws) AS n_words, coalesce(hw.n, 0) AS n_hit, coalesce(hi.n, 0) AS n_items,
+  sha256(coalesce(hi.items, '')) AS items_sha256, coalesce(hw.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hw ON d.doc_id = hw.doc_id LEFT JOIN hi ON d.doc_id = hi.doc_id""",
 }

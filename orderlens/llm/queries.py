@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import chat, fmindex, hamming, lines, packing
+from orderlens.llm import chat, fmindex, hamming, lines, packing, quality
 
 CONTROL = "</s>[INST] ok [/INST]"
 
@@ -43,6 +43,13 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         public_id(), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document scored; the label, where there is one, stands beside it."""
+    docs = table(spark, folder, "documents")
+    models = quality.fit(docs, table(spark, folder, "labels"))
+    return quality.score(docs, models).select("doc_id", "_score.p_quality", "_score.p_toxic", "_score.keep")
+
+
 def op7_simhash_near(spark: SparkSession, folder: str) -> DataFrame:
     found = hamming.near_groups(table(spark, folder, "documents"))
     return found.select(F.col("_id").alias("doc_id"),
@@ -67,6 +74,7 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_line_dedup": op2_line_dedup,
+    "op3_quality": op3_quality,
     "op7_simhash_near": op7_simhash_near,
     "op8_decontaminate": op8_decontaminate,
     "op9_packing": op9_packing,

@@ -46,8 +46,13 @@ def _code(*parts) -> int:
     return zlib.crc32("\x1f".join(map(str, parts)).encode())
 
 
-def _share(name: str, part: float, whole: float, steps: int = 12) -> int:
-    return _code(name, int(steps * part / whole) if whole else -1)
+def _least(name: str, value: float, steps: float) -> list[int]:
+    """One code for each step that ``value`` reaches, so that rare high values share what lower ones learn."""
+    return [_code(name, k) for k in range(1, int(value * steps) + 1)]
+
+
+def _share(name: str, part: float, whole: float, steps: int = 12) -> list[int]:
+    return _least(name, part / whole, steps) if whole else []
 
 
 def text_view(raw: bytes, words: list[bytes]) -> list[int]:
@@ -59,9 +64,9 @@ def text_view(raw: bytes, words: list[bytes]) -> list[int]:
         salt = crc(b"prefix%d" % n)
         codes.update({crc(p, salt) for p in {w[:n] for w in kinds if len(w) >= n}})
     n = len(words)
-    codes.add(_share("repeat", sum(map(eq, words, words[1:])), n))
-    codes.add(_share("decorated", len(DECORATION.findall(raw)), n))
-    codes.add(_code("kinds", int(8 * len(kinds) / n) if n else -1, int(math.log2(n + 1))))
+    codes.update(_share("repeat", sum(map(eq, words, words[1:])), n, 16))
+    codes.update(_share("decorated", len(DECORATION.findall(raw)), n, 16))
+    codes.update(_least("kinds", len(kinds) / max(1.0, n ** 0.8), 6))
     return sorted(codes)
 
 
@@ -72,13 +77,13 @@ def page_view(raw: bytes, words: list[bytes], lang: str | None, source: str | No
     letters = size - len(raw.translate(None, LETTERS))
     digits = size - len(raw.translate(None, DIGITS))
     spaces = raw.count(b" ") + lines - 1
-    log = lambda x: int(2 * math.log2(x + 1))
+    log = lambda x: math.log2(x + 1)
     return sorted({
-        _code("lang", lang), _code("source", source), _code("size", log(size)), _code("lines", log(lines)),
-        _code("line", log(size / lines)), _code("lang size", lang, log(size) // 2),
-        _share("upper", upper, letters, 20), _share("digits", digits, size, 30),
-        _share("other", size - letters - digits - spaces, size, 40),
-        _share("space", spaces, size, 20), _code("word", int(size / len(words)) if words else -1)})
+        _code("lang", lang), _code("source", source), *_least("size", log(size), 1),
+        *_least("lines", log(lines), 1), *_least("line", log(size / lines), 1),
+        *_share("upper", upper, letters, 25), *_share("digits", digits, size, 25),
+        *_share("other", max(0, size - letters - digits - spaces), size, 40),
+        *_least("word", size / len(words) if words else 0, 1)})
 
 
 def views(text: str | None, lang: str | None, source: str | None) -> tuple[list[int], list[int]]:

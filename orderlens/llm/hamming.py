@@ -34,16 +34,21 @@ PAIRS_AT_ONCE = 1 << 19
 
 
 def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
-    """(``_id``, ``fp``) for a table with ``_id`` and ``_text``: majority vote of the shingles' XXH64 bits."""
+    """(``_id``, ``_key``, ``fp``) for a table with ``_id`` and ``_text``: majority vote of the shingles' XXH64 bits.
+
+    ``_key`` is a hash of the text, to find the row again.
+    """
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values, sizes = bits.hashes(batch.column(1).to_pylist(), words,
                                         lambda s: xxhash.xxh64_intdigest(s, seed))
             found = bits.pack_bits(bits.bit_counts(values, sizes) * 2 > sizes[:, None])
-            yield pa.record_batch([batch.column(0), pa.array(found.view(np.int64))], ["_id", "fp"])
+            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(found.view(np.int64))],
+                                  ["_id", "_key", "fp"])
 
-    return docs.select("_id", "_text").mapInArrow(vote, "_id long, fp long")
+    return docs.select("_id", "_text", F.xxhash64("_text").alias("_key")).mapInArrow(
+        vote, "_id long, _key long, fp long")
 
 
 def block_counts(fp: Column) -> list[Column]:
@@ -151,7 +156,7 @@ def near_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 3,
     tile: int = 4096, seed: int = 42,
 ) -> DataFrame:
-    """One row per document: ``_id``, ``fp`` (as a signed long) and ``component``, the smallest id reachable."""
+    """One row per document: ``_id``, ``_key``, ``fp`` (as a signed long), ``component``: the smallest id reachable."""
     marked = stages.stage(fingerprints(T.documents(docs, id_col, text_col), words, seed), "fingerprints")
     classes = stages.stage(marked.groupBy("fp").agg(F.min("_id").alias("_id")), "classes")
     found = graph.components(links(classes, radius, tile))
@@ -159,4 +164,4 @@ def near_groups(
         "fp", F.coalesce("root", "_id").alias("component"))
     none = F.lit(T.LAST_ID)
     return marked.join(named, "fp").select(
-        F.nullif("_id", none).alias("_id"), "fp", F.nullif("component", none).alias("component"))
+        F.nullif("_id", none).alias("_id"), "_key", "fp", F.nullif("component", none).alias("component"))

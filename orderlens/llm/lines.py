@@ -106,7 +106,7 @@ def dedup_lines(
         owners = spark.read.schema("h1 long, h2 long, _id long").parquet(fresh)
         # The document is part of the join key, so a line that every document has is spread out.
         (part.join(owners, [*HASH, "_id"], "left_anti")
-         .groupBy("_id", "_fp").agg(F.sort_array(F.collect_list("pos")).alias("lost"))
+         .groupBy("_id", "_fp").agg(F.sort_array(F.collect_set("pos")).alias("lost"))
          .write.mode("append").parquet(lost))
         if b < len(bounds):
             runs.add(owners)

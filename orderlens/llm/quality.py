@@ -28,6 +28,7 @@ from operator import eq
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,7 +56,11 @@ def _share(name: str, part: float, whole: float, steps: int = 12) -> list[int]:
     return _least(name, part / whole, steps) if whole else []
 
 
-def text_view(raw: bytes, words: list[bytes]) -> list[int]:
+def _codes(found: set[int]) -> np.ndarray:
+    return np.fromiter(found, np.uint32, len(found)).view(np.int32)
+
+
+def text_view(raw: bytes, words: list[bytes]) -> np.ndarray:
     """Feature codes of the words: 32-bit, so a rare word hardly ever meets another's weight."""
     kinds = set(words)
     crc = zlib.crc32
@@ -67,10 +72,10 @@ def text_view(raw: bytes, words: list[bytes]) -> list[int]:
     codes.update(_share("repeat", sum(map(eq, words, words[1:])), n, 16))
     codes.update(_share("decorated", len(DECORATION.findall(raw)), n, 16))
     codes.update(_least("kinds", len(kinds) / max(1.0, n ** 0.8), 6))
-    return sorted(codes)
+    return _codes(codes)
 
 
-def page_view(raw: bytes, words: list[bytes], lang: str | None, source: str | None) -> list[int]:
+def page_view(raw: bytes, words: list[bytes], lang: str | None, source: str | None) -> np.ndarray:
     """Feature codes of origin and layout."""
     size, lines = len(raw), raw.count(b"\n") + 1
     upper = size - len(raw.translate(None, UPPER))
@@ -78,7 +83,7 @@ def page_view(raw: bytes, words: list[bytes], lang: str | None, source: str | No
     digits = size - len(raw.translate(None, DIGITS))
     spaces = raw.count(b" ") + lines - 1
     log = lambda x: math.log2(x + 1)
-    return sorted({
+    return _codes({
         _code("lang", lang), _code("source", source), *_least("size", log(size), 1),
         *_least("lines", log(lines), 1), *_least("line", log(size / lines), 1),
         *_share("upper", upper, letters, 25), *_share("digits", digits, size, 25),
@@ -86,7 +91,7 @@ def page_view(raw: bytes, words: list[bytes], lang: str | None, source: str | No
         *_least("word", size / len(words) if words else 0, 1)})
 
 
-def views(text: str | None, lang: str | None, source: str | None) -> tuple[list[int], list[int]]:
+def views(text: str | None, lang: str | None, source: str | None) -> tuple[np.ndarray, np.ndarray]:
     raw = (text or "").encode("utf-8", "surrogatepass")
     words = words_of(text)
     return text_view(raw, words), page_view(raw, words, lang, source)
@@ -95,10 +100,26 @@ def views(text: str | None, lang: str | None, source: str | None) -> tuple[list[
 class Rows:
     """Sparse binary rows: feature codes of many documents, one after another."""
 
-    def __init__(self, rows: list):
-        self.sizes = np.array([len(r) for r in rows], np.int64)
-        self.codes = np.concatenate([np.asarray(r, np.int64) for r in rows]) if rows else np.empty(0, np.int64)
-        self.owner = np.repeat(np.arange(len(rows)), self.sizes)
+    def __init__(self, codes: np.ndarray, sizes: np.ndarray):
+        self.codes, self.sizes = codes, sizes
+        self.owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+
+    @classmethod
+    def of(cls, rows: list[np.ndarray]) -> Rows:
+        return cls(np.concatenate(rows) if rows else np.empty(0, np.int32), np.array([len(r) for r in rows], np.int64))
+
+    @classmethod
+    def frequent(cls, column: pa.ChunkedArray, least: int = 4) -> Rows:
+        """The rows of an Arrow list column without the codes of fewer than ``least`` rows."""
+        lists = column.combine_chunks()
+        codes = lists.flatten().to_numpy()
+        owner = np.repeat(np.arange(len(lists), dtype=np.int32), lists.value_lengths().to_numpy())
+        names, counts = np.unique(codes, return_counts=True)
+        names = names[counts >= least]
+        if not len(names):
+            return cls(np.empty(0, np.int32), np.zeros(len(lists), np.int64))
+        stays = names[np.minimum(np.searchsorted(names, codes), len(names) - 1)] == codes
+        return cls(codes[stays], np.bincount(owner[stays], minlength=len(lists)))
 
     def logits(self, model: Linear) -> np.ndarray:
         if not len(model.codes):
@@ -232,19 +253,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"),
                        F.col(lang_col).cast("string").alias("_lang"), F.col(source_col).cast("string").alias("_source"))
 
-    @F.pandas_udf("text array<long>, page array<long>")
+    @F.pandas_udf("text array<int>, page array<int>")
     def codes(text: pd.Series, lang: pd.Series, source: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([views(*r) for r in zip(text, lang, source)], columns=["text", "page"])
 
     # At most fit_rows + pool_rows rows of three numbers are broadcast.
     found = (rows.join(F.broadcast(chosen.unionByName(pool)), "_id")
              .select("_id", "quality", "toxic", codes("_text", "_lang", "_source").alias("v"))
-             .select("_id", "quality", "toxic", "v.text", "v.page").toPandas()
-             .sort_values("_id").reset_index(drop=True))
-    text, page = Rows(list(found["text"])), Rows(list(found["page"]))
-    held = np.array([zlib.crc32(b"%d" % i) % held_share == 0 for i in found["_id"]], bool)
-    return {name: co_train(text, page, found[name].to_numpy(np.float64), held, rounds)
-            for name in ("quality", "toxic")}
+             .select("_id", "quality", "toxic", "v.text", "v.page").toArrow().sort_by("_id"))
+    text, page = Rows.frequent(found["text"]), Rows.frequent(found["page"])
+    held = np.array([zlib.crc32(b"%d" % i) % held_share == 0 for i in found["_id"].to_pylist()], bool)
+    targets = {name: found[name].to_pandas().to_numpy(np.float64) for name in ("quality", "toxic")}
+    del found
+    return {name: co_train(text, page, y, held, rounds) for name, y in targets.items()}
 
 
 def score(docs: DataFrame, models: dict[str, Model | None], text_col: str = "text", lang_col: str = "lang",
@@ -257,7 +278,7 @@ def score(docs: DataFrame, models: dict[str, Model | None], text_col: str = "tex
         known = shared.value
         for text, lang, source in batches:
             found = [views(*r) for r in zip(text, lang, source)]
-            sides = Rows([v[0] for v in found]), Rows([v[1] for v in found])
+            sides = Rows.of([v[0] for v in found]), Rows.of([v[1] for v in found])
             p = {k: m.probability(*sides) if m else np.full(len(found), float(k == "quality"))
                  for k, m in known.items()}
             yield pd.DataFrame({"p_quality": p["quality"], "p_toxic": p["toxic"],

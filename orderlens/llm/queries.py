@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import chat, fmindex, hamming, lines, packing, quality
+from orderlens.llm import chat, extract, fmindex, hamming, lines, packing, quality
 
 CONTROL = "</s>[INST] ok [/INST]"
 
@@ -71,6 +71,11 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
         "doc_tokens", "sequence_id", "offset")
 
 
+def op10_html_extract(spark: SparkSession, folder: str) -> DataFrame:
+    return extract.extract(table(spark, folder, "pages")).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_line_dedup": op2_line_dedup,
@@ -78,6 +83,7 @@ QUERIES = {
     "op7_simhash_near": op7_simhash_near,
     "op8_decontaminate": op8_decontaminate,
     "op9_packing": op9_packing,
+    "op10_html_extract": op10_html_extract,
 }
 
 # Text escapes of the template, for the length of the formatted text.

@@ -37,24 +37,30 @@ def hashes(texts: list, words: int, hash_of: Callable[[bytes], int]) -> tuple[np
     return (np.concatenate(values) if values else np.empty(0, np.uint64)), sizes
 
 
-def bit_counts(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def bit_counts(values: np.ndarray, sizes: np.ndarray, weights: np.ndarray | None = None,
+               heaviest: int = 1) -> np.ndarray:
     """How often each of the 64 bits is set, per text: (texts, 64). Bit 0 is the lowest.
 
-    Eight shifted masks hold the bits in byte lanes, which are added up over runs of at
-    most 255 values, so the memory stays near that of the hashes themselves.
+    ``weights`` (whole numbers up to ``heaviest``) count a value more than once. Eight shifted masks
+    hold the bits in byte lanes, which are added up over runs short enough not to overflow, so the
+    memory stays near that of the hashes themselves.
     """
+    most = LANE_MAX // heaviest
     counts = np.zeros((len(sizes), 64), np.int64)
     own = np.flatnonzero(sizes)
     if not len(own):
         return counts
     size = sizes[own]
-    runs = -(-size // LANE_MAX)
+    runs = -(-size // most)
     first = np.cumsum(runs) - runs
     place = np.arange(runs.sum()) - np.repeat(first, runs)
-    begin = np.repeat(np.cumsum(size) - size, runs) + LANE_MAX * place
+    begin = np.repeat(np.cumsum(size) - size, runs) + most * place
     found = np.empty((len(own), 64), np.int64)
     for k in range(8):
-        lanes = np.add.reduceat((values >> np.uint64(k)) & LANES, begin)
+        lanes = (values >> np.uint64(k)) & LANES
+        if weights is not None:
+            lanes *= weights.astype(np.uint64)
+        lanes = np.add.reduceat(lanes, begin)
         found[:, k::8] = np.add.reduceat(lanes.view(np.uint8).reshape(-1, 8), first, axis=0, dtype=np.int64)
     counts[own] = found
     return counts

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import chat, extract, fmindex, hamming, lines, packing, quality
+from orderlens.llm import chat, extract, fmindex, hamming, lines, packing, quality, simhash
 
 CONTROL = "</s>[INST] ok [/INST]"
 
@@ -50,6 +50,15 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, models).select("doc_id", "_score.p_quality", "_score.p_toxic", "_score.keep")
 
 
+def op5_simhash_edits(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all texts and their edits; neighbours are searched for ids divisible by 20."""
+    found = simhash.fingerprints_with_neighbours(table(spark, folder, "documents"))
+    return found.select(F.col("_id").alias("doc_id"), "n_chars", "edited_sha256",
+                        simhash.hex_of().alias("fingerprint"),
+                        simhash.hex_of("edited_hi", "edited_lo").alias("edited_fingerprint"),
+                        "near_edited", "near_next", "n_near")
+
+
 def op7_simhash_near(spark: SparkSession, folder: str) -> DataFrame:
     found = hamming.near_groups(table(spark, folder, "documents"))
     return found.select(F.col("_id").alias("doc_id"),
@@ -80,6 +89,7 @@ QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_line_dedup": op2_line_dedup,
     "op3_quality": op3_quality,
+    "op5_simhash_edits": op5_simhash_edits,
     "op7_simhash_near": op7_simhash_near,
     "op8_decontaminate": op8_decontaminate,
     "op9_packing": op9_packing,

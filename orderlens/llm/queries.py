@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import chat, extract, fmindex, hamming, lines, packing, quality, simhash
+from orderlens.llm import chat, chunks, extract, fmindex, hamming, lines, packing, quality, simhash
 
 CONTROL = "</s>[INST] ok [/INST]"
 
@@ -50,6 +50,12 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, models).select("doc_id", "_score.p_quality", "_score.p_toxic", "_score.keep")
 
 
+def op4_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = chunks.dedup_chunks(table(spark, folder, "documents"))
+    return found.select(public_id(), "n_bytes", "n_chunks", chunks.n_removed().alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_simhash_edits(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of all texts and their edits; neighbours are searched for ids divisible by 20."""
     found = simhash.fingerprints_with_neighbours(table(spark, folder, "documents"))
@@ -89,6 +95,7 @@ QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_line_dedup": op2_line_dedup,
     "op3_quality": op3_quality,
+    "op4_chunk_dedup": op4_chunk_dedup,
     "op5_simhash_edits": op5_simhash_edits,
     "op7_simhash_near": op7_simhash_near,
     "op8_decontaminate": op8_decontaminate,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import chat, chunks, extract, fmindex, hamming, lines, packing, quality, simhash
+from orderlens.llm import chat, chunks, extract, fmindex, hamming, lines, packing, quality, simhash, suffix
 
 CONTROL = "</s>[INST] ok [/INST]"
 
@@ -65,6 +65,12 @@ def op5_simhash_edits(spark: SparkSession, folder: str) -> DataFrame:
                         "near_edited", "near_next", "n_near")
 
 
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix.dedup_suffixes(table(spark, folder, "documents"))
+    return found.select(F.col("_id").alias("doc_id"), "n_bytes", suffix.n_removed().alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_simhash_near(spark: SparkSession, folder: str) -> DataFrame:
     found = hamming.near_groups(table(spark, folder, "documents"))
     return found.select(F.col("_id").alias("doc_id"),
@@ -97,6 +103,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_chunk_dedup": op4_chunk_dedup,
     "op5_simhash_edits": op5_simhash_edits,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_simhash_near": op7_simhash_near,
     "op8_decontaminate": op8_decontaminate,
     "op9_packing": op9_packing,

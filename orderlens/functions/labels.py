@@ -31,5 +31,5 @@ def segment_label(frequency: Column, recency: Column, settings: Settings) -> Col
 
 
 def effect_size(v: Column) -> Column:
-    """Strength of association from Cramér's V."""
-    return F.when(v < 0.1, "weak").when(v < 0.3, "medium").otherwise("strong")
+    """Strength of association from Cramér's V; null where there was no test."""
+    return F.when(v < 0.1, "weak").when(v < 0.3, "medium").when(v >= 0.3, "strong")

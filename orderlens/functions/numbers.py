@@ -5,28 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,6)"
-# Millionths of a unit, split in two so that neither sum can overflow a long:
-# the low part allows 2^43 rows per group.
-MICRO = 1e6
-LOW_BITS = 20
+# Sums of sums: room for 10^32 units at six decimals.
+MONEY = "decimal(38,6)"
+# A value is split into blocks of 2^20 units, whole units and a fraction.
+BLOCK = 2 ** 20
 
 
-def exact_sum(sql: str) -> Column:
-    """Sum of a SQL expression that is the same for any partitioning, to six decimals.
+def exact_sum(sql: str, digits: int = 6) -> Column:
+    """Sum of a SQL expression that is the same for any partitioning, to ``digits`` decimals.
 
-    Values are added as whole millionths in long arithmetic, which stays in
-    generated code and is several times faster than decimal sums.
+    Values are rounded to ``digits`` decimals (at most 9; use ``F.sum`` for finer ones) and added
+    in three long sums: blocks of 2^20 units, units within a block, and fractions. Values up to 1e21
+    and 9e18 / 10^digits rows a group fit; the parts meet once a group, in a decimal, so
+    the result is the double nearest to the exact sum.
     """
-    micro = f"CAST(RINT(({sql}) * {MICRO}D) AS BIGINT)"
-    high = f"SUM(SHIFTRIGHT({micro}, {LOW_BITS}))"
-    low = f"SUM({micro} & {2 ** LOW_BITS - 1})"
-    direct = f"(CAST({high} AS DOUBLE) * {2 ** LOW_BITS}D + CAST({low} AS DOUBLE)) / {MICRO}D"
-    # Above 2^53 millionths: whole units and the rest apart. 15625 high parts are 2^14 units.
-    rest = f"({high} % 15625 * {2 ** LOW_BITS} + {low})"
-    whole = f"({high} DIV 15625 * 16384 + {rest} DIV 1000000)"
-    parts = f"CAST({whole} AS DOUBLE) + CAST({rest} % 1000000 AS DOUBLE) / {MICRO}D"
-    return F.expr(f"CASE WHEN ABS({high}) < {2 ** (53 - LOW_BITS)} THEN {direct} ELSE {parts} END")
+    scale = 10 ** digits
+    value = f"CAST(({sql}) AS DOUBLE)"
+    block = f"CAST(FLOOR({value} / {BLOCK}D) AS BIGINT)"
+    rest = f"CAST(RINT(({value} - FLOOR({value} / {BLOCK}D) * {BLOCK}D) * {scale}D) AS BIGINT)"
+    blocks, units = f"SUM({block})", f"SUM({rest} DIV {scale})"
+    fractions = f"SUM({rest} % {scale})"
+    whole = f"CAST({blocks} AS DECIMAL(25,0)) * {BLOCK} + {units} + {fractions} DIV {scale}"
+    part = f"CAST({fractions} % {scale} AS DECIMAL({digits + 1},0)) / {scale}"
+    return F.expr(f"CAST(CAST({whole} AS DECIMAL({37 - digits},0)) + CAST({part} AS DECIMAL({digits + 2},{digits}))"
+                  " AS DOUBLE)")
 
 
 def exact_avg(sql: str) -> Column:

@@ -11,6 +11,7 @@ from orderlens.functions.numbers import share
 from orderlens.functions.regions import OTHER
 from orderlens.settings import Settings
 
+# The feature names of the customer table.
 NUMERIC_FEATURES = (
     "log_order_value", "item_count", "freight_ratio", "avg_review_score", "has_review",
     "delivery_days", "delay_days", "max_installments", "used_voucher")
@@ -49,6 +50,7 @@ def first_order_features(
 ) -> DataFrame:
     """One row per customer with what is known at the first order.
 
+    ``regions`` has one row per state and is broadcast.
     ``null_ratio_is_cap``: an undefined freight ratio takes the cap (the
     published behaviour); otherwise it stays null for imputation.
     """
@@ -61,7 +63,7 @@ def first_order_features(
         capped = F.when(ratio.isNotNull(), capped)
     delivered = F.col("order_delivered_customer_date")
     return (first_orders(facts)
-            .join(regions, "customer_state", "left")
+            .join(F.broadcast(regions), "customer_state", "left")
             .select(
                 "customer_unique_id",
                 "order_id",

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from orderlens.functions.labels import AT_RISK, LOST, RECENT, REPEAT
 from orderlens.functions.numbers import exact_sum, percent, round_even
-from orderlens.operators.drill import group_table
 from orderlens.settings import Settings
 
 ONE_TIME = (RECENT, AT_RISK, LOST)
 
-# (metric, source A, its value, source B, its value); values name a measure below.
-CHECKS = (
+EXACT, MONEY, SOURCE = "exact", "money", "source"
+
+# Fixed values: (metric, source A, its value, source B, its value); values name a measure below.
+_COMPARED = (
     ("customers", "segmented", "seg_customers", "customer table", "cust_customers"),
     ("customers", "segmented", "seg_customers", "sum over segments", "by_segment_customers"),
     ("customers", "segmented", "seg_customers", "sum over states", "by_state_customers"),
@@ -33,6 +34,9 @@ CHECKS = (
      "by_category_churned"),
     ("revenue", "order facts", "facts_revenue", "items (price + freight)", "items_revenue"),
 )
+# The kind of tolerance of each check: none, a sum of money, or a share between two sources.
+CHECKS = tuple((*row, SOURCE if row[4] == "items_revenue" else MONEY if row[2].endswith("_revenue") else EXACT)
+               for row in _COMPARED)
 
 
 def items_revenue(items: DataFrame, facts: DataFrame) -> DataFrame:
@@ -59,6 +63,25 @@ def _measures(df: DataFrame, **values: Column) -> DataFrame:
     return df.agg(named.alias("_m")).select(F.explode("_m").alias("m")).select("m.*")
 
 
+def _customer_measures(cust: DataFrame) -> DataFrame:
+    """Totals of the customer table and of its groups by three columns, from one pass (grouping sets)."""
+    columns = {"Segment_Label": "segment", "customer_state": "state", "category": "category"}
+    names = list(columns)
+    groups = cust.groupingSets([[], *[[c] for c in names]], *names).agg(
+        F.grouping_id(*names).alias("_set"), F.count(F.lit(1)).alias("customers"),
+        F.count_if("mature").alias("mature"), exact_sum("Monetary").alias("revenue"),
+        exact_sum("churn").alias("churned"))
+    # Bit i of the id is set where column i, counted from the last, is summed over.
+    named = {0b111: "cust", 0b011: "by_segment", 0b101: "by_state", 0b110: "by_category"}
+    source = F.create_map(*[F.lit(x) for pair in named.items() for x in pair])[F.col("_set").cast("int")]
+    sums = groups.groupBy(source.alias("of")).agg(
+        F.sum("customers").alias("customers"), F.sum("mature").alias("mature"),
+        exact_sum("revenue").alias("revenue"), exact_sum("churned").alias("churned"))
+    pairs = F.array(*[F.struct(F.concat("of", F.lit(f"_{m}")).alias("name"), F.col(m).cast("double").alias("value"))
+                      for m in ("customers", "mature", "revenue", "churned")])
+    return sums.select(F.explode(pairs).alias("m")).select("m.*")
+
+
 def consistency_checks(
     facts: DataFrame, items: DataFrame, segmented: DataFrame, cust: DataFrame, settings: Settings
 ) -> DataFrame:
@@ -68,17 +91,9 @@ def consistency_checks(
         _measures(facts, facts_orders=count, facts_revenue=exact_sum("payment_value")),
         _measures(segmented, seg_customers=count, seg_orders=F.sum("Frequency"),
                   seg_revenue=exact_sum("Monetary")),
-        _measures(cust, cust_customers=count, cust_mature=F.count_if("mature"),
-                  cust_churned=F.count_if(F.col("churn") == 1)),
         _measures(items_revenue(items, facts), items_revenue=F.max("items_revenue")),
+        _customer_measures(cust),
     ]
-    for name, column in (("segment", "Segment_Label"), ("state", "customer_state"),
-                         ("category", "category")):
-        parts.append(_measures(group_table(cust, column), **{
-            f"by_{name}_customers": F.sum("Customers"),
-            f"by_{name}_mature": F.sum("Mature_Customers"),
-            f"by_{name}_revenue": exact_sum("Revenue"),
-            f"by_{name}_churned": exact_sum("Churned")}))
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
@@ -86,18 +101,17 @@ def consistency_checks(
     listed = F.array(*[F.struct(
         F.lit(i).alias("check_id"), F.lit(metric).alias("metric"), F.lit(a).alias("source_a"),
         F.col("v")[va].alias("value_a"), F.lit(b).alias("source_b"),
-        F.col("v")[vb].alias("value_b"))
-        for i, (metric, a, va, b, vb) in enumerate(CHECKS, start=1)])
+        F.col("v")[vb].alias("value_b"), F.lit(kind).alias("_kind"))
+        for i, (metric, a, va, b, vb, kind) in enumerate(CHECKS, start=1)])
     rows = values.select(F.explode(listed).alias("c")).select("c.*")
-    allowed = (F.when(F.col("source_b").startswith("items"),
-                      settings.source_gap * F.col("value_b"))
-               .when(F.col("metric") == "revenue", settings.money_tolerance).otherwise(0.0))
+    allowed = (F.when(F.col("_kind") == SOURCE, settings.source_gap * F.col("value_b"))
+               .when(F.col("_kind") == MONEY, settings.money_tolerance).otherwise(0.0))
     diff = F.col("value_a") - F.col("value_b")
     gap = round_even(percent(diff, F.col("value_b")), 2)
     return rows.withColumns({
         "difference": round_even(diff, 2),
         "matched": F.abs(diff) <= allowed,
-        "gap_pct": F.when(F.col("source_b").startswith("items"), gap)})
+        "gap_pct": F.when(F.col("_kind") == SOURCE, gap)}).drop("_kind")
 
 
 def check_summary(checks: DataFrame) -> DataFrame:
@@ -138,7 +152,7 @@ def impact_scenarios(economics: DataFrame, settings: Settings) -> DataFrame:
     breakeven = F.when(is_repeat, F.try_divide(F.col("Revenue") * u, F.col("Customers"))
                        ).otherwise(u * F.col("AOV"))
     text = F.when(is_repeat, F.format_string("+%d%% spending", F.rint(u * 100).cast("int"))
-                  ).otherwise(F.format_string("+%s pp second order", (u * 100).cast("string")))
+                  ).otherwise(F.format_string("+%.1f pp second order", u * 100))
     return grid.select(
         "Segment_Label", text.alias("Uplift"), u.alias("Uplift_Value"),
         F.col("Customers").alias("Target_Customers"),
@@ -176,31 +190,31 @@ def _pct(value: Column, digits: int = 1) -> Column:
     return F.format_string(f"%.{digits}f%%", round_even(value * 100.0, digits))
 
 
-def _money(value: Column, digits: int = 0) -> Column:
-    return F.concat(F.lit("R$"), F.format_string(f"%.{digits}f", round_even(value, digits)))
-
-
 def action_evidence(
     economics: DataFrame, scenarios: DataFrame, category_rates: DataFrame, rates: DataFrame,
     installments: DataFrame, installment_tests: DataFrame, experience: DataFrame,
-    tests: DataFrame,
+    tests: DataFrame, uplift_point: float = 0.01, uplift_spend: float = 0.10, currency: str = "R$",
 ) -> DataFrame:
     """Evidence and what-if impact behind each action: four segments and two themes.
 
-    All inputs are short reports; the text is formatted from their values.
+    All inputs are short reports; the text is formatted from their values. The impact is that of
+    the scenario with ``uplift_point`` (one-time segments) or ``uplift_spend`` (repeat buyers);
+    where the scenarios have none, it is "not estimated".
     """
+    def _money(value: Column, digits: int = 0) -> Column:
+        return F.concat(F.lit(currency), F.format_string(f"%.{digits}f", round_even(value, digits)))
+
+    chosen = F.when(F.col("Segment_Label") == REPEAT, float(uplift_spend)).otherwise(float(uplift_point))
     total = F.struct(exact_sum("Revenue").alias("revenue"), F.sum("Customers").alias("customers"))
-    one_step = scenarios.filter(
-        ((F.col("Segment_Label") != REPEAT) & F.col("Uplift").startswith("+1.0"))
-        | ((F.col("Segment_Label") == REPEAT) & F.col("Uplift").startswith("+10"))
-    ).select("Segment_Label", "Extra_Revenue", "Revenue_pct", "Break_Even_Per_Customer")
+    one_step = scenarios.filter(F.col("Uplift_Value") == chosen).select(
+        "Segment_Label", "Extra_Revenue", "Revenue_pct", "Break_Even_Per_Customer")
     best_two = (category_rates.orderBy(F.desc("Repeat180_Mature"), "category").limit(2)
                 .agg(F.nullif(F.array_join(F.sort_array(F.collect_list("category")), ", "), F.lit("")))
                 .scalar())
     base = rates.select("repeat_rate").scalar()
     seg = (economics.withColumns({
         "_t": economics.agg(total).scalar(), "_best": best_two, "_base": base})
-        .join(one_step, "Segment_Label"))
+        .join(one_step, "Segment_Label", "left"))
     people, money = F.col("Customers") / F.col("_t.customers"), F.col("Revenue") / F.col("_t.revenue")
     shares = F.concat(_pct(people), F.lit(" of customers, "), _pct(money), F.lit(" of revenue"))
     label = F.col("Segment_Label")
@@ -214,10 +228,12 @@ def action_evidence(
     kpi = F.when(label == REPEAT, F.lit("orders per customer")).otherwise(
         F.concat(F.lit("second order within the window, base "), _pct(F.col("_base"))))
     impact = F.concat(
-        F.when(label == REPEAT, F.lit("+10% spending = ")).otherwise(F.lit("+1 pp = ")),
+        F.when(label == REPEAT, F.lit(f"+{uplift_spend * 100:g}% spending = "))
+        .otherwise(F.lit(f"+{uplift_point * 100:g} pp = ")),
         _money(F.col("Extra_Revenue").cast("double")), F.lit(" ("),
         F.format_string("%.2f%%", F.col("Revenue_pct")), F.lit(" of revenue); break-even "),
         _money(F.col("Break_Even_Per_Customer"), 2), F.lit(" per customer"))
+    impact = F.coalesce(impact, F.lit("not estimated"))
     segments = seg.select(label.alias("Topic"), evidence.alias("Evidence"), kpi.alias("KPI"),
                           impact.alias("Impact"))
 

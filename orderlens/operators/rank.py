@@ -146,7 +146,7 @@ def with_next(ranked: DataFrame, *columns: str) -> DataFrame:
 def average_rank(df: DataFrame, value: str, id_col: str, group: str | None = None) -> DataFrame:
     """``df`` plus ``avg_rank`` (ties share their mean rank) among ``total`` rows, per group.
 
-    A tie group is bounded by its first and last rank. Groups are looked at per
+    Groups are few (features, classes): their sizes travel as one map. A tie group is bounded by its first and last rank. Groups are looked at per
     range partition; those that cross a boundary, at most one per boundary, are
     completed from a broadcast list.
     """
@@ -168,10 +168,11 @@ def average_rank(df: DataFrame, value: str, id_col: str, group: str | None = Non
                    *[f"_of_{k}" for k in keys]))
     if group is None:
         return found
-    sizes = ranked.groupBy(group).agg(
-        (F.min("rank") - 1).alias("_start"), F.count(F.lit(1)).alias("total"))
-    return (found.drop("total").join(sizes, group)
-            .withColumn("avg_rank", F.col("avg_rank") - F.col("_start")).drop("_start"))
+    sizes = (ranked.groupBy(group).agg(F.struct((F.min("rank") - 1).alias("start"),
+                                                F.count(F.lit(1)).alias("n")).alias("s"))
+             .agg(F.map_from_entries(F.collect_list(F.struct(group, "s")))).scalar())
+    return (found.withColumn("_size", sizes[F.col(group)]).withColumns({
+        "total": F.col("_size.n"), "avg_rank": F.col("avg_rank") - F.col("_size.start")}).drop("_size"))
 
 
 def group_percentiles(
@@ -179,8 +180,9 @@ def group_percentiles(
 ) -> DataFrame:
     """Exact interpolated percentiles per group: one row per group, one column per quantile.
 
-    The values are ranked across partitions by (group, value) and only the two
-    rows around each wanted position are read off, so no task holds a group.
+    The values are ranked across partitions by (group, value) and only the two rows around each
+    wanted position are read off, so no task holds a group; these places (two per group and
+    quantile) are broadcast.
     """
     rows = df.filter(F.col(value).isNotNull()).select(group, value, id_col)
     ranked = range_ranked(rows, group, value, id_col)
@@ -200,7 +202,7 @@ def group_percentiles(
                      )).alias("_s"))
              .select("_group", "_name", "_frac", F.col("_s.side").alias("_side"),
                      F.col("_s.rank").alias("rank")))
-    found = ranked.select("rank", F.col(value).cast("double").alias("_v")).join(spots, "rank")
+    found = ranked.select("rank", F.col(value).cast("double").alias("_v")).join(F.broadcast(spots), "rank")
     ends = found.groupBy("_group", "_name", "_frac").agg(
         F.max(F.when(F.col("_side") == 0, F.col("_v"))).alias("_lo"),
         F.max(F.when(F.col("_side") == 1, F.col("_v"))).alias("_hi"))

@@ -135,7 +135,7 @@ def pareto(rfm: DataFrame, points: tuple[int, ...]) -> DataFrame:
 
 
 def histogram(table: DataFrame, columns: tuple[str, ...], bins: int) -> DataFrame:
-    """Equal-width counts of each column between its minimum and maximum."""
+    """Equal-width counts of each column between its minimum and maximum, empty bins included."""
     limits = table.agg(F.struct(
         *[F.min(c).cast("double").alias(f"{c}_lo") for c in columns],
         *[F.max(c).cast("double").alias(f"{c}_hi") for c in columns])).scalar()
@@ -145,7 +145,13 @@ def histogram(table: DataFrame, columns: tuple[str, ...], bins: int) -> DataFram
     long = table.withColumn("_l", limits).select(F.explode(cells).alias("c")).select("c.*")
     width = (F.col("hi") - F.col("lo")) / float(bins)
     place = F.coalesce(F.floor(F.try_divide(F.col("value") - F.col("lo"), width)), F.lit(0))
-    return (long.withColumn("bin", F.least(place, F.lit(bins - 1)).cast("int"))
-            .groupBy("metric", "bin")
-            .agg(F.count(F.lit(1)).alias("customers"),
-                 F.min(F.col("lo") + F.col("bin") * width).alias("bin_start")))
+    found = (long.withColumn("bin", F.least(place, F.lit(bins - 1)).cast("int"))
+             .groupBy("metric", "bin").agg(F.count(F.lit(1)).alias("customers")))
+    # All bins of all columns, a fixed list that the counts are looked up for.
+    edges = (table.sparkSession.range(bins).withColumn("_l", limits)
+             .select(F.col("id").cast("int").alias("bin"), F.explode(F.array(*[F.struct(
+                 F.lit(c).alias("metric"), F.col(f"_l.{c}_lo").alias("lo"), F.col(f"_l.{c}_hi").alias("hi"))
+                 for c in columns])).alias("e")).select("bin", "e.*"))
+    return edges.join(F.broadcast(found), ["metric", "bin"], "left").select(
+        "metric", "bin", F.coalesce("customers", F.lit(0)).alias("customers"),
+        (F.col("lo") + F.col("bin") * width).alias("bin_start"))

@@ -11,28 +11,42 @@ from pyspark.sql import functions as F
 from orderlens.functions.buckets import installment_bucket
 from orderlens.functions.labels import effect_size
 from orderlens.operators.drill import experience_columns, long_groups, observed
+from orderlens.operators.rank import average_rank
 
 
-def chi2_p_value(chi2: Column, dof: Column, steps: int = 500) -> Column:
+# From this parameter on, Stirling's series for log-gamma is exact to double precision.
+STIRLING_FROM = 20.0
+
+
+def _log_front(a: Column, x: Column, dof: Column) -> Column:
+    """log(x^a e^-x / gamma(a)). For large a the big terms cancel on paper, not in floating point."""
+    lone = F.when(dof % 2 == 1, 0.5 * math.log(math.pi)).otherwise(0.0)
+    below = F.floor((F.least(dof, F.lit(int(2 * STIRLING_FROM))) - 1) / 2).cast("int")
+    log_gamma = F.aggregate(F.sequence(F.lit(1), F.greatest(below, F.lit(1))), lone,
+                            lambda s, i: s + F.when(i <= below, F.ln(a - i)).otherwise(0.0))
+    tail = 1 / (12 * a) - 1 / (360 * a * a * a) + 1 / (1260 * a * a * a * a * a)
+    large = (a * F.log1p((x - a) / a) - (x - a) + 0.5 * F.ln(a) - 0.5 * math.log(2 * math.pi) - tail)
+    return F.when(a < STIRLING_FROM, a * F.ln(x) - x - log_gamma).otherwise(large)
+
+
+def chi2_p_value(chi2: Column, dof: Column) -> Column:
     """P(X > chi2) for a chi-square variable: the regularized upper incomplete gamma Q(a, x).
 
     A series serves small x and a continued fraction, evaluated from its far
-    end, large x; each keeps its relative precision on its side.
+    end, large x; each keeps its relative precision on its side. The number of
+    terms grows with the square root of a, as their convergence needs.
     """
     a, x = dof / 2.0, chi2 / 2.0
-    lone = F.when(dof % 2 == 1, 0.5 * math.log(math.pi)).otherwise(0.0)
-    below = F.floor((dof - 1) / 2).cast("int")
-    log_gamma = F.aggregate(F.sequence(F.lit(1), F.greatest(below, F.lit(1))), lone,
-                            lambda s, i: s + F.when(i <= below, F.ln(a - i)).otherwise(0.0))
-    log_front = a * F.ln(x) - x - log_gamma
+    log_front = _log_front(a, x, dof)
+    steps = F.ceil(10 * F.sqrt(F.greatest(a, F.lit(0.5))) + 200).cast("int")
     series = F.aggregate(
-        F.sequence(F.lit(1), F.lit(steps)),
+        F.sequence(F.lit(1), steps),
         F.struct((1 / a).alias("term"), (1 / a).alias("sum")),
         lambda s, i: F.struct((s["term"] * x / (a + i)).alias("term"),
                               (s["sum"] + s["term"] * x / (a + i)).alias("sum")),
         lambda s: s["sum"])
     fraction = F.aggregate(
-        F.sequence(F.lit(steps), F.lit(1)), x + (2 * steps + 1) - a,
+        F.sequence(steps, F.lit(1)), x + (2 * steps + 1) - a,
         lambda f, i: x + 2 * i - 1 - a - i * (i - a) / f)
     tail = F.when(x < a + 1, 1 - F.exp(log_front) * series).otherwise(
         F.exp(log_front) / fraction)
@@ -93,18 +107,17 @@ def installments_test(cust: DataFrame) -> DataFrame:
 
 
 def significant(tests: DataFrame, alpha: float = 0.05) -> DataFrame:
-    return tests.filter(F.col("p_value") < alpha)
-
-
-def _group_rank(column: str) -> Column:
-    tied = F.count(F.lit(1)).over(W.partitionBy(column))
-    return F.rank().over(W.orderBy(column)) + (tied - 1) / 2.0
+    """Every dimension with its p-value and whether it is below ``alpha``; untested ones are not."""
+    return tests.select("Dimension", "p_value",
+                        F.coalesce(F.col("p_value") < alpha, F.lit(False)).alias("significant"))
 
 
-def spearman(groups: DataFrame, a: str, b: str, negate_b: bool = False) -> DataFrame:
-    """Rank correlation of two columns of a group report (one row per group)."""
-    pairs = groups.select(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b"))
+def spearman(groups: DataFrame, a: str, b: str, name: str, negate_b: bool = False) -> DataFrame:
+    """Rank correlation of two columns of a group report (one row per group, ``name`` unique)."""
+    pairs = groups.select(F.col(name).alias("_name"), F.col(a).cast("double").alias("a"),
+                          F.col(b).cast("double").alias("b")).dropna(subset=["a", "b"])
     if negate_b:
         pairs = pairs.withColumn("b", -F.col("b"))
-    ranks = pairs.dropna().withColumns({"ra": _group_rank("a"), "rb": _group_rank("b")})
-    return ranks.agg(F.count(F.lit(1)).alias("groups"), F.corr("ra", "rb").alias("rho"))
+    ranks = average_rank(pairs, "a", "_name").select("_name", "b", F.col("avg_rank").alias("ra"))
+    both = average_rank(ranks, "b", "_name").select("ra", F.col("avg_rank").alias("rb"))
+    return both.agg(F.count(F.lit(1)).alias("groups"), F.corr("ra", "rb").alias("rho"))

@@ -81,7 +81,7 @@ FROM (
 TEST_COLUMNS = """Dimension, Groups, N, ROUND(chi2, 8) AS Chi2, dof, ROUND(p_value, 8) AS p_value,
   ROUND(SQRT(chi2 / N), 8) AS Cramers_V,
   CASE WHEN SQRT(chi2 / N) < 0.1 THEN 'weak' WHEN SQRT(chi2 / N) < 0.3 THEN 'medium'
-       ELSE 'strong' END AS Effect"""
+       WHEN SQRT(chi2 / N) >= 0.3 THEN 'strong' END AS Effect"""
 
 BLOCKS = {
     "lines": """
@@ -267,7 +267,7 @@ FROM economics e JOIN uplifts x ON x.for_repeat = (e.Segment_Label = 'Repeat Buy
     "scenarios": f"""
 SELECT Segment_Label,
   CASE WHEN for_repeat THEN '+' || CAST(CAST(round_even(u * 100, 0) AS INTEGER) AS VARCHAR)
-       || '% spending' ELSE '+' || CAST(u * 100 AS VARCHAR) || ' pp second order' END AS Uplift,
+       || '% spending' ELSE '+' || printf('%.1f', u * 100) || ' pp second order' END AS Uplift,
   u AS Uplift_Value, Customers AS Target_Customers,
   CAST(round_even(extra_orders, 0) AS BIGINT) AS Extra_Orders,
   CAST(round_even(extra_revenue, 0) AS BIGINT) AS Extra_Revenue,
@@ -360,22 +360,22 @@ def histogram(column: str) -> str:
     width = "((hi - lo) / 40.0::DOUBLE)"
     place = f"LEAST(39, COALESCE(floor((value - lo) / NULLIF({width}, 0)), 0))"
     return f"""
-SELECT metric, CAST(bin AS INTEGER) AS bin, COUNT(*) AS customers, MIN(lo + bin * {width}) AS bin_start
-FROM (SELECT *, {place} AS bin FROM (
-  SELECT '{column}' AS metric, CAST({column} AS DOUBLE) AS value,
+SELECT '{column}' AS metric, CAST(i AS INTEGER) AS bin, COALESCE(n, 0) AS customers, lo + i * {width} AS bin_start
+FROM (SELECT CAST(MIN({column}) AS DOUBLE) AS lo, CAST(MAX({column}) AS DOUBLE) AS hi FROM rfm_t), range(40) AS t(i)
+LEFT JOIN (SELECT CAST({place} AS BIGINT) AS bin, COUNT(*) AS n FROM (
+  SELECT CAST({column} AS DOUBLE) AS value,
     CAST(MIN({column}) OVER () AS DOUBLE) AS lo, CAST(MAX({column}) OVER () AS DOUBLE) AS hi
-  FROM rfm_t))
-GROUP BY metric, bin"""
+  FROM rfm_t) GROUP BY 1) ON bin = i"""
 
 
-def correlation(a: str, b: str) -> str:
+def correlation(a: str, b: str, table: str = "big_states") -> str:
     def place(x: str) -> str:
         return f"RANK() OVER (ORDER BY {x}) + (COUNT(*) OVER (PARTITION BY {x}) - 1) / 2.0"
 
     return f"""
 SELECT COUNT(*) AS groups, ROUND(corr(ra, rb), 9) AS rho FROM (
   SELECT {place('a')} AS ra, {place('b')} AS rb
-  FROM (SELECT {a} AS a, {b} AS b FROM big_states) WHERE a IS NOT NULL AND b IS NOT NULL)"""
+  FROM (SELECT {a} AS a, {b} AS b FROM {table}) WHERE a IS NOT NULL AND b IS NOT NULL)"""
 
 
 # Where each measure of the reconciliation checks comes from.
@@ -403,7 +403,7 @@ BLOCKS["check_values"] = " UNION ALL ".join(
     f"SELECT {i} AS check_id, '{metric}' AS metric, '{a}' AS source_a, "
     f"CAST(({CHECK_VALUES[va]}) AS DOUBLE) AS value_a, '{b}' AS source_b, "
     f"CAST(({CHECK_VALUES[vb]}) AS DOUBLE) AS value_b"
-    for i, (metric, a, va, b, vb) in enumerate(CHECKS, start=1))
+    for i, (metric, a, va, b, vb, _) in enumerate(CHECKS, start=1))
 _is_items = "source_b LIKE 'items%'"
 BLOCKS["checks"] = f"""
 SELECT *, {even('value_a - value_b', 2)} AS difference,
@@ -452,9 +452,8 @@ SELECT e.Segment_Label AS Topic,
   CASE WHEN e.Segment_Label = 'Repeat Buyers' THEN '+10% spending = ' ELSE '+1 pp = ' END
     || 'R$' || Extra_Revenue || ' (' || printf('%.2f', Revenue_pct) || '% of revenue); break-even R$'
     || {_fixed('Break_Even_Per_Customer', 2)} || ' per customer' AS Impact
-FROM economics e JOIN scenarios s ON e.Segment_Label = s.Segment_Label
-WHERE (e.Segment_Label <> 'Repeat Buyers' AND starts_with(Uplift, '+1.0'))
-   OR (e.Segment_Label = 'Repeat Buyers' AND starts_with(Uplift, '+10'))
+FROM economics e LEFT JOIN scenarios s ON e.Segment_Label = s.Segment_Label
+  AND Uplift_Value = CASE WHEN e.Segment_Label = 'Repeat Buyers' THEN 0.1::DOUBLE ELSE 0.01::DOUBLE END
 UNION ALL SELECT 'Instalments at the first order', 'repurchase '
   || {_one("SELECT MAX(Repeat180) FROM installment_rates WHERE Installments = '1'", 2, True)}
   || ' (1) to '
@@ -471,6 +470,7 @@ UNION ALL SELECT 'Faster delivery', 'repurchase ' || {_one(_bucket + "'<=7 days'
 
 _chosen = ", ".join(f"'{f}'" for f in EXPERIENCE_FEATURES)
 _half = "1.96 * SQRT(Repeat180_Mature * (1 - Repeat180_Mature) / Mature_Customers)"
+_bucket_half = "1.96 * SQRT(Repeat180 * (1 - Repeat180) / Customers)"
 _lift_half = "1.96 * SQRT(Repeat_Rate * (1 - Repeat_Rate) / Customers)"
 _top = {p: f"SUM(CASE WHEN r <= floor(n * {p} / 100) THEN CAST(Monetary AS DECIMAL(18,6)) "
            f"ELSE 0 END)" for p in STAR.pareto_points}
@@ -577,9 +577,19 @@ SELECT *, best_rate / NULLIF(worst_rate, 0) AS ratio FROM (
     "installments_repeat": "SELECT * FROM installment_rates",
     "installments_test": f"SELECT {TEST_COLUMNS} FROM installment_tests",
     "association_tests": f"SELECT {TEST_COLUMNS} FROM tests",
-    "significant_dimensions": "SELECT Dimension FROM tests WHERE p_value < 0.5",
+    "significant_dimensions":
+        "SELECT Dimension, ROUND(p_value, 8) AS p_value, COALESCE(p_value < 0.05, FALSE) AS significant FROM tests",
     "spearman_state": correlation("Avg_Delivery_Days", "Repeat180_Mature"),
     "spearman_label_check": correlation("Churn_Rate", "-Repeat180_Mature"),
+    "spearman_category_check": correlation("Churn_Rate", "-Repeat180_Mature", "big_categories"),
+    "category_ci95": f"""
+SELECT category, Repeat180_Mature, Mature_Customers, ROUND({_half}, 9) AS ci95,
+  ROUND(Repeat180_Mature - {_half}, 9) AS ci95_low,
+  ROUND(Repeat180_Mature + {_half}, 9) AS ci95_high FROM by_category""",
+    "experience_ci95": f"""
+SELECT Dimension, Bucket, Repeat180, Customers, ROUND({_bucket_half}, 9) AS ci95,
+  ROUND(Repeat180 - {_bucket_half}, 9) AS ci95_low, ROUND(Repeat180 + {_bucket_half}, 9) AS ci95_high
+FROM experience""",
     "rate_ci95": f"""
 SELECT customer_state, Repeat180_Mature, Mature_Customers, ROUND({_half}, 9) AS ci95,
   ROUND(Repeat180_Mature - {_half}, 9) AS ci95_low,

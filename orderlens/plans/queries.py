@@ -29,7 +29,7 @@ STAR = Settings(
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "Other")
 BREAK_EVEN = {"uplifts": (0.5, 1.0, 2.5), "costs": (0.0, 100.0), "margins": (20.0, 50.0)}
 COPIES = 3
-SAMPLE = 3000
+SAMPLE = 500
 EXPERIENCE_FEATURES = ("delivery", "delay")
 
 RANKED_FEATURES = ("item_count", "avg_review_score", "delivery_days", "max_installments")
@@ -295,7 +295,7 @@ def association_tests(a: Analysis) -> DataFrame:
 @query
 def significant_dimensions(a: Analysis) -> DataFrame:
     tests = stats.association_tests(a.customers, STAR.min_test_group)
-    return stats.significant(tests, 0.5).select("Dimension")
+    return stats.significant(_rounded_test(tests))
 
 
 def _large_states(a: Analysis) -> DataFrame:
@@ -305,16 +305,40 @@ def _large_states(a: Analysis) -> DataFrame:
 
 @query
 def spearman_state(a: Analysis) -> DataFrame:
-    found = stats.spearman(_large_states(a), "Avg_Delivery_Days", "Repeat180_Mature")
+    found = stats.spearman(_large_states(a), "Avg_Delivery_Days", "Repeat180_Mature",
+                           "customer_state")
     return found.withColumn("rho", F.round("rho", 9))
 
 
 @query
 def spearman_label_check(a: Analysis) -> DataFrame:
-    found = stats.spearman(_large_states(a), "Churn_Rate", "Repeat180_Mature", negate_b=True)
+    found = stats.spearman(_large_states(a), "Churn_Rate", "Repeat180_Mature", "customer_state", True)
     return found.withColumn("rho", F.round("rho", 9))
 
 
+@query
+def spearman_category_check(a: Analysis) -> DataFrame:
+    table = drill.large_groups(drill.group_table(a.customers, "category"), STAR.min_category_mature)
+    found = stats.spearman(table, "Churn_Rate", "Repeat180_Mature", "category", True)
+    return found.withColumn("rho", F.round("rho", 9))
+
+
+def _rounded_ci(table: DataFrame, *names: str) -> DataFrame:
+    return table.select(*names, *[F.round(c, 9).alias(c) for c in ("ci95", "ci95_low", "ci95_high")])
+
+
+@query
+def category_ci95(a: Analysis) -> DataFrame:
+    table = drill.rate_ci95(drill.group_table(a.customers, "category"), "Repeat180_Mature", "Mature_Customers")
+    return _rounded_ci(table, "category", "Repeat180_Mature", "Mature_Customers")
+
+
+@query
+def experience_ci95(a: Analysis) -> DataFrame:
+    table = drill.rate_ci95(drill.drill_experience(a.customers), "Repeat180", "Customers")
+    return _rounded_ci(table, "Dimension", "Bucket", "Repeat180", "Customers")
+
+
 @query
 def rate_ci95(a: Analysis) -> DataFrame:
     table = drill.rate_ci95(drill.group_table(a.customers, "customer_state"),

@@ -22,18 +22,22 @@ def read_csv(
     path: str,
     schema: T.StructType,
     timestamp_format: str = TIMESTAMP_FORMAT,
+    mode: str = "FAILFAST",
+    multi_line: bool = False,
 ) -> DataFrame:
     """Scan a CSV file with a header, keeping the schema's columns by name.
 
     No inference pass over the data: the file's own columns are taken from its
-    header, those of the schema get their types, the others are not parsed.
+    header, those of the schema get their types, the others are not parsed. The
+    header of every file of a folder must be the same, else Spark raises; so it does for a
+    malformed value, unless ``mode`` is PERMISSIVE (null) or DROPMALFORMED.
     """
     types = {field.name: field.dataType for field in schema}
     found = header_columns(spark, path)
     full = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in found])
     return (spark.read.schema(full)
-            .option("header", True)
-            .option("timestampFormat", timestamp_format)
+            .options(header=True, enforceSchema=False, mode=mode, multiLine=multi_line,
+                     timestampFormat=timestamp_format)
             .csv(path)
             .select(*[f.name for f in schema]))
 
@@ -59,12 +63,12 @@ def load_if_present(
 ) -> DataFrame | None:
     """The table at ``path``, or None when nothing has been written there."""
     reader = spark.read.format(fmt)
-    if fmt == "csv":
-        reader = reader.option("header", True)
-    if schema is not None:
-        reader = reader.schema(schema)
     try:
-        return reader.load(path)
+        if fmt == "csv":
+            if schema is None:
+                raise ValueError("a CSV table needs its schema")
+            return read_csv(spark, path, schema)
+        return (reader.schema(schema) if schema is not None else reader).load(path)
     except AnalysisException as err:
         if err.getCondition() == "PATH_NOT_FOUND":
             return None

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from orderlens.operators.rank import (
     average_rank, percentile_value, qcut_bin, range_ranked, running_sums, with_next)
+from orderlens.stages import stage
 
 CURVE_POINTS = 300
 
@@ -54,16 +55,34 @@ def confusion_matrix(predicted: DataFrame, label: str = "label") -> DataFrame:
         "f1_weighted": F.try_divide(weighted, total)})
 
 
+def score_levels(scored: DataFrame) -> DataFrame:
+    """One row per distinct score, highest first: ``pos``, ``neg`` and their running sums ``tp``, ``fp``."""
+    levels = scored.groupBy("score").agg(
+        _positives().alias("pos"), F.count_if(F.col("label") == 0).alias("neg"))
+    return running_sums(range_ranked(levels, F.desc("score")), {"tp": "pos", "fp": "neg"})
+
+
 def auc_exact(scored: DataFrame) -> DataFrame:
-    """Area under the ROC curve from the rank sum of the positives, ties at half weight."""
-    ranked = average_rank(scored.select("id", "label", "score"), "score", "id")
-    sums = ranked.agg(
-        _positives().alias("positives"),
-        F.count_if(F.col("label") == 0).alias("negatives"),
-        F.sum(F.when(F.col("label") == 1, F.col("avg_rank"))).alias("_ranks"))
-    pos, neg = F.col("positives").cast("double"), F.col("negatives").cast("double")
-    auc = F.try_divide(F.col("_ranks") - pos * (pos + 1) / 2.0, pos * neg)
-    return sums.withColumn("auc", auc).drop("_ranks")
+    """Area under the ROC curve: each level's negatives see the positives above them, ties at half weight."""
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    above = F.col("tp").cast("double") - pos / 2.0
+    sums = score_levels(scored).agg(
+        F.coalesce(F.sum("pos"), F.lit(0)).alias("positives"), F.coalesce(F.sum("neg"), F.lit(0)).alias("negatives"),
+        F.sum(neg * above).alias("_area"))
+    every = F.col("positives").cast("double") * F.col("negatives").cast("double")
+    return sums.withColumn("auc", F.try_divide("_area", every)).drop("_area")
+
+
+def pr_auc(scored: DataFrame) -> DataFrame:
+    """Area under the precision-recall curve by trapezoids, from (0, precision of the first level)."""
+    levels = score_levels(scored)
+    tp, fp = F.col("tp").cast("double"), F.col("fp").cast("double")
+    before = F.col("tp") - F.col("pos"), F.col("fp") - F.col("neg")
+    precision = tp / (tp + fp)
+    earlier = F.coalesce(F.try_divide(before[0].cast("double"), before[0] + before[1]), precision)
+    return levels.agg(F.sum("pos").alias("positives"),
+                      F.sum(F.col("pos") * (precision + earlier) / 2.0).alias("_area")).select(
+        "positives", F.try_divide("_area", F.col("positives").cast("double")).alias("pr_auc"))
 
 
 def lift_at_k(scored: DataFrame, fractions: tuple[float, ...] = (0.1, 0.2)) -> DataFrame:
@@ -129,13 +148,14 @@ def roc_points(scored: DataFrame, points: int = CURVE_POINTS) -> DataFrame:
     straight = (F.col("pos") == F.col("next_pos")) & (F.col("neg") == F.col("next_neg"))
     bend = with_next(ranked, "pos", "neg").withColumn(
         "bend", F.when((F.col("rank") > 1) & F.coalesce(straight, F.lit(False)), 0).otherwise(1))
-    curve = running_sums(bend, {"tp": "pos", "fp": "neg", "place": "bend"}).filter("bend = 1")
+    curve = stage(running_sums(bend, {"tp": "pos", "fp": "neg", "place": "bend"}).filter("bend = 1")
+                  .select("place", "tp", "fp"), "roc")
     totals = curve.agg(F.struct(
         F.max("tp").alias("pos"), F.max("fp").alias("neg"), F.max("place").alias("last"))).scalar()
     origin = curve.sparkSession.range(1).select(
         F.lit(0).cast("long").alias("place"), F.lit(0).cast("long").alias("tp"),
         F.lit(0).cast("long").alias("fp"))
-    whole = origin.unionByName(curve.select("place", "tp", "fp"))
+    whole = origin.unionByName(curve)
     thinned = _thin(whole, "place", totals["last"], points)
     return thinned.withColumn("_t", totals).select(
         "place", F.try_divide("fp", "_t.neg").alias("FPR"),
@@ -143,15 +163,26 @@ def roc_points(scored: DataFrame, points: int = CURVE_POINTS) -> DataFrame:
 
 
 def cumulative_gains(scored: DataFrame, points: int = CURVE_POINTS) -> DataFrame:
-    """Share of positives captured against share of customers selected, thinned."""
-    ranked = by_score(scored)
-    totals = ranked.agg(F.struct(F.count(F.lit(1)).alias("n"), _positives().alias("pos"))).scalar()
-    hits = F.when(F.col("label") == 1, 1).otherwise(0)
-    curve = running_sums(ranked, {"captured": hits}).withColumn("place", F.col("rank") - 1)
-    thinned = _thin(curve.select("place", "captured"), "place", totals["n"] - 1, points)
-    return thinned.withColumn("_t", totals).select(
-        (F.try_divide(F.col("place") + 1, F.col("_t.n")) * 100.0).alias("Selected_pct"),
-        (F.try_divide("captured", "_t.pos") * 100.0).alias("Captured_pct"))
+    """Share of positives captured against share of customers selected, thinned.
+
+    Every row counts for the first point at or after its place, so the curve is a running
+    sum over at most ``points`` rows.
+    """
+    last = F.col("total") - 1
+    step = last / float(points - 1)
+
+    def place(j: Column) -> Column:
+        return F.when(j >= points - 1, last).otherwise(F.floor(j * step)).cast("long")
+
+    at = F.col("rank") - 1
+    near = F.greatest(F.coalesce(F.floor(F.try_divide(at.cast("double"), step)), F.lit(0)), F.lit(1))
+    j = (F.when(place(near - 1) >= at, near - 1).when(place(near) >= at, near).otherwise(near + 1)).cast("long")
+    bins = (by_score(scored).withColumn("_place", place(j)).groupBy("_place")
+            .agg(_positives().alias("_hits"), F.max("total").alias("n")))
+    upto, every = W.orderBy("_place").rowsBetween(W.unboundedPreceding, 0), W.partitionBy()
+    return bins.select(
+        (F.try_divide(F.col("_place") + 1, "n") * 100.0).alias("Selected_pct"),
+        (F.try_divide(F.sum("_hits").over(upto), F.sum("_hits").over(every)) * 100.0).alias("Captured_pct"))
 
 
 def value_pct_rank(long: DataFrame, feature: str, value: str, id_col: str) -> DataFrame:

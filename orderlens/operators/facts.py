@@ -116,9 +116,16 @@ def top_categories(t: OrderTables, k: int = 10, keep_null: bool = True) -> DataF
     return counts.orderBy(F.desc("count"), F.asc_nulls_first("category")).limit(k)
 
 
-def main_category(t: OrderTables, unknown: str = "unknown") -> DataFrame:
-    """Category of the dearest item of each order, combined on the map side like any aggregate."""
-    first = F.struct(F.col("price").isNull(), -F.col("price"), "order_item_id", "product_id")
-    top_item = t.items.groupBy("order_id").agg(F.min_by("product_id", first).alias("product_id"))
+def main_category(t: OrderTables, unknown: str = "unknown", orders: DataFrame | None = None) -> DataFrame:
+    """Category of the dearest item of each order, or of the ``order_id`` rows of ``orders`` only.
+
+    The items of other orders are dropped before they are compared; the window and the
+    semi join share one shuffle.
+    """
+    items = t.items.select("order_id", "order_item_id", "product_id", "price")
+    if orders is not None:
+        items = items.join(orders.select("order_id"), "order_id", "left_semi")
+    dearest = W.partitionBy("order_id").orderBy(F.desc_nulls_last("price"), "order_item_id", "product_id")
+    top_item = items.withColumn("_place", F.row_number().over(dearest)).filter("_place = 1")
     return top_item.join(_category_names(t), "product_id", "left").select(
         "order_id", F.coalesce("category", F.lit(unknown)).alias("category"))

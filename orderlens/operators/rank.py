@@ -111,17 +111,18 @@ def scores(
     n = (F.col("total") / len(names)).cast("long")
     within = F.col("rank") - F.col("metric") * n
     last = ends(n, k)
-    weight = sum((F.when(within == e, 1).otherwise(0) for e in last), F.lit(0))
-    cuts = (ranked.filter(within.isin(*last))
-            .select("metric", F.struct("key", "id").alias("at"), weight.alias("weight"))
-            .agg(F.collect_list(F.struct("metric", "at", "weight"))).scalar())
+    at = F.struct("key", "id")
+    found = ranked.filter(within.isin(*last)).agg(F.struct(*[
+        F.max(F.when((F.col("metric") == i) & (within == e), at)).alias(f"c{i}_{j}")
+        for i in range(len(names)) for j, e in enumerate(last)])).scalar()
 
     def score(i: int, key: Column) -> Column:
-        me = F.struct(key.cast("double").alias("key"), F.col(id_col).alias("id"))
-        passed = F.filter(F.col("_cuts"), lambda c: (c["metric"] == i) & (c["at"] < me))
-        return (F.lit(1) + F.aggregate(passed, F.lit(0), lambda s, c: s + c["weight"])).cast("int")
+        value = key.cast("double")
+        passed = [F.when((value > c["key"]) | ((value == c["key"]) & (F.col(id_col) > c["id"])), 1).otherwise(0)
+                  for c in (F.col("_cuts")[f"c{i}_{j}"] for j in range(len(last)))]
+        return (F.lit(1) + sum(passed, F.lit(0))).cast("int")
 
-    return (df.withColumn("_cuts", cuts)
+    return (df.withColumn("_cuts", found)
             .withColumns({m: score(i, metrics[m]) for i, m in enumerate(names)})
             .drop("_cuts"))
 
@@ -154,17 +155,20 @@ def average_rank(df: DataFrame, value: str, id_col: str, group: str | None = Non
     ranked = range_ranked(df, *keys, id_col)
     tie = W.partitionBy("_part", *keys)
     local = ranked.withColumns({"_lo": F.min("rank").over(tie), "_hi": F.max("rank").over(tie)})
-    crossing = (ranked.groupBy("_part", *keys)
-                .agg(F.min("rank").alias("lo"), F.max("rank").alias("hi"))
-                .groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys])
-                .agg(F.min("lo").alias("_lo_all"), F.max("hi").alias("_hi_all"),
-                     F.count(F.lit(1)).alias("_parts"))
-                .filter(F.col("_parts") > 1))
+    # Only the first and the last value of a part can go on in another one.
+    of = F.struct(*[F.col(k).alias(f"_of_{k}") for k in keys])
+    edges = (ranked.groupBy("_part").agg(F.min_by(of, "rank").alias("head"), F.max_by(of, "rank").alias("tail"))
+             .select(F.explode(F.array("head", "tail")).alias("e")).select("e.*").distinct())
     same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    crossing = (ranked.join(F.broadcast(edges), same)
+                .groupBy(*[f"_of_{k}" for k in keys])
+                .agg(F.min("rank").alias("_lo_all"), F.max("rank").alias("_hi_all"),
+                     F.min("_part").alias("_first"), F.max("_part").alias("_last"))
+                .filter("_first < _last").drop("_first", "_last"))
     middle = (F.coalesce("_lo_all", "_lo") + F.coalesce("_hi_all", "_hi")) / 2.0
     found = (local.join(F.broadcast(crossing), same, "left")
              .withColumn("avg_rank", middle)
-             .drop("_lo", "_hi", "_lo_all", "_hi_all", "_parts", "_part", "rank",
+             .drop("_lo", "_hi", "_lo_all", "_hi_all", "_part", "rank",
                    *[f"_of_{k}" for k in keys]))
     if group is None:
         return found

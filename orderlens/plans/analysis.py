@@ -49,6 +49,11 @@ class Analysis:
         profile = segments.segment_profile(clustered, self.settings)
         return segments.name_segments(clustered, profile)
 
+    @cached_property
+    def segmented_scores(self) -> DataFrame:
+        """Segmented customers with their R, F and M scores and the sum of the scores."""
+        return self.segment(rfm.rfm_scores(self.rfm))
+
     @cached_property
     def features(self) -> DataFrame:
         return customers.first_order_features(self.facts, self.tables.regions, self.settings)
@@ -71,7 +76,7 @@ class Analysis:
     @cached_property
     def customers(self) -> DataFrame:
         return stage(customers.customer_table(
-            self.segmented, self.features, facts.main_category(self.tables), self.facts,
+            self.segmented, self.features, facts.main_category(self.tables, orders=self.features), self.facts,
             self.settings), "customers")
 
     @cached_property
@@ -80,6 +85,6 @@ class Analysis:
         labelled = customers.with_repeat(self.features, self.facts, self.settings)
         points = (F.col("item_count") * 1000 + F.col("max_installments") * 100
                   + F.coalesce("delivery_days", F.lit(0.0)))
-        return labelled.filter("mature").select(
+        return stage(labelled.filter("mature").select(
             F.col("customer_unique_id").alias("id"), F.col("repeat_180").alias("label"),
-            (points / 10000.0).alias("score"))
+            (points / 10000.0).alias("score")), "scored")

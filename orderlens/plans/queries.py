@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orderlens.operators import (
@@ -19,7 +20,7 @@ from orderlens.plans.analysis import Analysis
 from orderlens.settings import Settings
 from orderlens.sources import files, replicate
 from orderlens.sources.star import star_tables
-from orderlens.stages import new_path
+from orderlens.stages import new_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -559,12 +560,12 @@ def churn_curves(a: Analysis) -> DataFrame:
 
 @query
 def repeat_curves(a: Analysis) -> DataFrame:
-    return models.curves(models.predictions(a.mature, "repeat_180", STAR, True, 4))
+    return models.curves(models.predictions(a.mature, "repeat_180", STAR, True, STAR.boosted_depth_repeat))
 
 
 @query
 def repeat_deciles(a: Analysis) -> DataFrame:
-    return models.best_deciles(models.predictions(a.mature, "repeat_180", STAR, True, 4))
+    return models.best_deciles(models.predictions(a.mature, "repeat_180", STAR, True, STAR.boosted_depth_repeat))
 
 
 @query
@@ -580,5 +581,87 @@ def feature_attribution(a: Analysis) -> DataFrame:
 
 @query
 def attribution_values(a: Analysis) -> DataFrame:
-    values, test = attribution.feature_attribution(a.mature, REGIONS, STAR)
-    return attribution.top_values(values, test, attribution.feature_names(REGIONS))
+    values, _ = attribution.feature_attribution(a.mature, REGIONS, STAR)
+    return attribution.top_values(values, attribution.feature_names(REGIONS))
+
+
+# What can be said of the fitted results in SQL: who is in them, and that they add up
+
+@query
+def churn_model_check(a: Analysis) -> DataFrame:
+    """Per model: test rows and positives by its confusion counts; measures agree with the counts."""
+    m = models.churn_metrics(a.model_table, STAR)
+    n = F.col("TN") + F.col("FP") + F.col("FN") + F.col("TP")
+    agrees = F.abs(F.col("Accuracy") - (F.col("TN") + F.col("TP")) / n) < 1e-9
+    inside = F.col("AUC_ROC").between(0, 1) & F.col("PR_AUC").between(0, 1)
+    return m.select("Model", n.alias("test_rows"), (F.col("FN") + F.col("TP")).alias("positives"),
+                    (agrees & inside).alias("agrees"))
+
+
+@query
+def repeat_model_check(a: Analysis) -> DataFrame:
+    m = models.repeat_metrics(a.mature, STAR)
+    lift = F.abs(F.col("Recall_top20") / 0.2 - F.col("Lift_top20")) < 1e-9
+    return m.select("Model", F.round("Base_rate", 9).alias("base_rate"), lift.alias("agrees"))
+
+
+@query
+def best_model_check(a: Analysis) -> DataFrame:
+    """The compared model is the arg-max of the metrics; scores cover the test rows."""
+    scores = models.score_customers(a.model_table, STAR)
+    return scores.select("customer_unique_id", "churn", (F.col("churn_prob").between(0, 1) & (
+        (F.col("prediction") == 1) == (F.col("churn_prob") > 0.5))).alias("agrees"))
+
+
+@query
+def curve_check(a: Analysis) -> DataFrame:
+    """Every curve begins and ends where it must and never falls."""
+    points = models.curves(models.predictions(a.mature, "repeat_180", STAR, True, STAR.boosted_depth_repeat))
+    whole = F.when(F.col("Curve") == "ROC", 1.0).otherwise(100.0)
+    along = W.partitionBy("Model", "Curve").orderBy("X", "Y")
+    falls = F.coalesce(F.col("Y") < F.lag("Y").over(along), F.lit(False))
+    return (points.withColumns({"falls": falls, "top": whole}).groupBy("Model", "Curve").agg(
+        (~F.bool_or("falls") & (F.max("X") == F.max("top")) & (F.max("Y") == F.max("top"))
+         & (F.min("Y") >= 0)).alias("agrees")))
+
+
+@query
+def decile_check(a: Analysis) -> DataFrame:
+    scores = models.predictions(a.mature, "repeat_180", STAR, True, STAR.boosted_depth_repeat)
+    table = models.best_deciles(scores)
+    return table.select("Decile", "Customers", F.round("Base_Rate", 9).alias("Base_Rate"))
+
+
+@query
+def cluster_check(a: Analysis) -> DataFrame:
+    """Clusters hold every customer once; profiles and names follow from the members."""
+    clustered = stage(segments.kmeans_segments(a.rfm_direct, STAR), "clusters")
+    profile = segments.segment_profile(clustered, STAR)
+    named = segments.name_segments(clustered, profile)
+    cost = segments.kmeans_selection(a.rfm_direct, STAR).agg(
+        (F.max_by("WSSSE", -F.col("k")) > F.max_by("WSSSE", "k")).alias("falls")).scalar()
+    return profile.agg(F.count(F.lit(1)).alias("clusters"), F.sum("Count").alias("customers"),
+                       (F.abs(F.sum("Share_pct") - 100) < 0.3).alias("shares_add_up")).withColumns({
+        "named": named.agg(F.count(F.lit(1))).scalar(), "cost_falls": cost})
+
+
+@query
+def approx_check(a: Analysis) -> DataFrame:
+    """Sketched percentiles within a thousandth of the rank of the exact ones."""
+    customers_of = a.segment(a.rfm_direct).select("Segment_Label", "Monetary")
+    sketch = segments.segment_value_approx(a.segment(a.rfm_direct), STAR)
+    names = {segments.QUANTILE_NAMES[q]: q for q in STAR.quantiles}
+    rows = customers_of.join(F.broadcast(sketch.select("Segment_Label", *names)), "Segment_Label")
+    n = F.count(F.lit(1))
+    return rows.groupBy("Segment_Label").agg(n.alias("Customers"), *[
+        ((F.count_if(F.col("Monetary") <= F.col(p)) >= q * n - n / 1000 - 1)
+         & (F.count_if(F.col("Monetary") < F.col(p)) <= q * n + n / 1000 + 1)).alias(f"{p}_near")
+        for p, q in names.items()])
+
+
+@query
+def attribution_check(a: Analysis) -> DataFrame:
+    """One row a held-out customer; base and attributions add up to a probability."""
+    values, _ = attribution.feature_attribution(a.mature, REGIONS, STAR)
+    total = F.col("base") + sum((F.col(f"`{n}`") for n in attribution.feature_names(REGIONS)), F.lit(0.0))
+    return values.select("customer_unique_id", total.between(-1e-9, 1 + 1e-9).alias("adds_up"))

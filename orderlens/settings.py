@@ -23,6 +23,12 @@ class Settings:
     lost_recency: float = 300.0
     recent_recency: float = 150.0
     train_share: float = 0.8
+    logistic_rounds: int = 100
+    forest_trees: int = 100
+    forest_depth: int = 8
+    boosted_rounds: int = 50
+    boosted_depth_churn: int = 5
+    boosted_depth_repeat: int = 4
     uplift_points: tuple[float, ...] = (0.005, 0.01, 0.02)
     uplift_spend: tuple[float, ...] = (0.05, 0.10, 0.20)
     money_tolerance: float = 0.5

@@ -19,7 +19,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -216,8 +215,11 @@ def cut(text: str, spans: list[dict]) -> str:
     return b"".join([*kept, raw[at:]]).decode("utf-8", "surrogatepass")
 
 
-def _scan(phrases, shard_words: int):
-    """Adds what one block of phrases finds; a partition is searched in shards of about ``shard_words`` words."""
+def _scan(phrases, shard_words: int, remove: bool):
+    """Adds what one block of phrases finds; a partition is searched in shards of about ``shard_words`` words.
+
+    ``remove``: the words of all spans found so far are cut from ``_text``.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = phrases.value
@@ -234,6 +236,9 @@ def _scan(phrases, shard_words: int):
                          for old, h in zip(batch.column("spans").to_pylist(), hits)]
                 items = [sorted({*old, *h[1]}) for old, h in zip(batch.column("items").to_pylist(), hits)]
                 columns = {name: batch.column(name) for name in batch.schema.names}
+                if remove and any(spans):
+                    columns["_text"] = pa.array([cut(t, s) if s else t for t, s in zip(
+                        batch.column("_text").to_pylist(), spans)], pa.string())
                 columns |= {"n_words": pa.array([len(d) for d in own], pa.int64()),
                             "spans": pa.array(spans, SPANS), "items": pa.array(items, pa.list_(pa.string()))}
                 out.append(pa.record_batch(list(columns.values()), list(columns)))
@@ -266,16 +271,20 @@ def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes:
 
 
 def _search(table: DataFrame, benchmark: DataFrame, item_col: str, item_text: str, window: int,
-            shard_words: int, block_bytes: int) -> DataFrame:
-    """``table`` (with ``_text``) plus ``n_words``, ``spans`` and ``items``; the blocks search one after another."""
+            shard_words: int, block_bytes: int, remove: bool = False) -> DataFrame:
+    """``table`` (with ``_text``) plus ``n_words``, ``spans`` and ``items``; the blocks search one after another.
+
+    With ``remove`` the last block cuts the words hit from ``_text``.
+    """
     spark = table.sparkSession
     found = table.withColumns({
         "n_words": F.lit(0).cast("long"), "spans": F.array().cast("array<struct<start:int,stop:int>>"),
         "items": F.array().cast("array<string>")})
-    for block in item_blocks(benchmark, item_col, item_text, block_bytes):
+    blocks = item_blocks(benchmark, item_col, item_text, block_bytes)
+    for k, block in enumerate(blocks, start=1):
         rows = [(r["item"], r["text"]) for r in block.toLocalIterator()]
         known = spark.sparkContext.broadcast(Phrases(rows, window))
-        found = found.mapInArrow(_scan(known, shard_words), found.schema)
+        found = found.mapInArrow(_scan(known, shard_words, remove and k == len(blocks)), found.schema)
     return found
 
 
@@ -299,13 +308,8 @@ def decontaminate(
 ) -> DataFrame:
     """The documents in internal form (``_id``, ``_row``) with ``kept``, the text without the words hit."""
     found = _search(T.documents(docs, id_col, text_col), benchmark, item_col, item_text, window,
-                    shard_words, block_bytes)
-
-    @F.pandas_udf("string")
-    def remove(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([cut(t, s) if len(s) else t for t, s in zip(texts, spans)])
-
-    return found.withColumn("kept", remove("_text", "spans")).drop("_text")
+                    shard_words, block_bytes, remove=True)
+    return found.withColumnRenamed("_text", "kept")
 
 
 def n_hit() -> Column:

@@ -41,9 +41,10 @@ def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, sizes = bits.hashes(batch.column(1).to_pylist(), words,
-                                        lambda s: xxhash.xxh64_intdigest(s, seed))
-            found = bits.pack_bits(bits.bit_counts(values, sizes) * 2 > sizes[:, None])
+            texts, found = batch.column(1).to_pylist(), np.empty(batch.num_rows, np.uint64)
+            for part in bits.slices(texts):
+                values, sizes = bits.hashes(texts[part], words, lambda s: xxhash.xxh64_intdigest(s, seed))
+                found[part] = bits.pack_bits(bits.bit_counts(values, sizes) * 2 > sizes[:, None])
             yield pa.record_batch([batch.column(0), batch.column(2), pa.array(found.view(np.int64))],
                                   ["_id", "_key", "fp"])
 

@@ -155,7 +155,8 @@ def pack(
                 ids = encode(text.as_py() or "", allowed_special="all", disallowed_special=())
                 ids = np.append(ids, separator).astype("<u4")
                 packer.add(doc, 0, ids, len(ids))
-            yield as_batch(packer.take())
+                if len(packer.rows) >= 1000:
+                    yield as_batch(packer.take())
         packer.finish(last=False)
         yield as_batch(packer.take())
 

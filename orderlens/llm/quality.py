@@ -118,7 +118,10 @@ class Rows:
         names = names[counts >= least]
         if not len(names):
             return cls(np.empty(0, np.int32), np.zeros(len(lists), np.int64))
-        stays = names[np.minimum(np.searchsorted(names, codes), len(names) - 1)] == codes
+        stays = np.empty(len(codes), bool)
+        for at in range(0, len(codes), 1 << 20):
+            part = codes[at:at + (1 << 20)]
+            stays[at:at + (1 << 20)] = names[np.minimum(np.searchsorted(names, part), len(names) - 1)] == part
         return cls(codes[stays], np.bincount(owner[stays], minlength=len(lists)))
 
     def logits(self, model: Linear) -> np.ndarray:
@@ -277,10 +280,15 @@ def score(docs: DataFrame, models: dict[str, Model | None], text_col: str = "tex
     def judge(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         known = shared.value
         for text, lang, source in batches:
-            found = [views(*r) for r in zip(text, lang, source)]
-            sides = Rows.of([v[0] for v in found]), Rows.of([v[1] for v in found])
-            p = {k: m.probability(*sides) if m else np.full(len(found), float(k == "quality"))
-                 for k, m in known.items()}
+            p = {k: np.full(len(text), float(k == "quality")) for k in known}
+            # The features of a few hundred documents at a time.
+            for at in range(0, len(text), 256):
+                part = slice(at, at + 256)
+                found = [views(*r) for r in zip(text[part], lang[part], source[part])]
+                sides = Rows.of([v[0] for v in found]), Rows.of([v[1] for v in found])
+                for k, m in known.items():
+                    if m:
+                        p[k][part] = m.probability(*sides)
             yield pd.DataFrame({"p_quality": p["quality"], "p_toxic": p["toxic"],
                                 "keep": (p["quality"] >= threshold) & (p["toxic"] < threshold)})
 

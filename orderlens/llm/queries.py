@@ -137,6 +137,21 @@ m AS (SELECT k.*, coalesce(f.owner <> k.doc_id, false) AS lost FROM k LEFT JOIN
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
 FROM m GROUP BY doc_id""",
+    "op6_suffix_dedup": """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, i, array_slice(b, i, i + 49) AS s FROM (SELECT *, unnest(range(1, n - 48)) AS i FROM d WHERE n >= 50)),
+f AS (SELECT s, min(doc_id) AS m FROM w GROUP BY s),
+h AS (SELECT w.doc_id, w.i FROM w JOIN f ON w.s = f.s WHERE f.m < w.doc_id),
+k AS (SELECT *, CASE WHEN i - lag(i) OVER o > 50 THEN 1 ELSE 0 END AS new FROM h WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+g AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM k),
+r AS (SELECT doc_id, run, min(i) AS a, max(i) + 49 AS z FROM g GROUP BY doc_id, run),
+p AS (SELECT doc_id, CAST(count(*) AS BIGINT) AS n_spans, CAST(sum(z - a + 1) AS BIGINT) AS n_removed,
+  list(a ORDER BY a) AS starts, list(z ORDER BY a) AS stops FROM r GROUP BY doc_id)
+SELECT d.doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(CASE WHEN starts IS NULL THEN b ELSE list_reduce(list_transform(range(1, len(starts) + 2),
+    lambda j: CASE WHEN j > 1 AND stops[j - 1] = n OR coalesce(starts[j], n + 1) = coalesce(stops[j - 1], 0) + 1 THEN ''::BLOB
+      ELSE array_slice(b, coalesce(stops[j - 1], 0) + 1, coalesce(starts[j], n + 1) - 1) END), lambda x, y: x || y) END) AS kept_sha256
+FROM d LEFT JOIN p ON d.doc_id = p.doc_id""",
     "op8_decontaminate": r"""
 WITH lo AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
   FROM documents),

@@ -27,11 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens import stages
+from orderlens.llm import bits
 from orderlens.llm import text as T
 
 # The gear table: one pseudo-random 16-bit number a byte value.
 GEAR = np.random.default_rng(0x6EA2).integers(0, 1 << 16, 256, dtype=np.uint16)
-LEAST, MOST, MASK_BITS = 16, 256, 5
+WINDOW = 16
+LEAST, MOST, MASK_BITS = 12, 192, 4
 SCHEMA = "_id long, _key int, pos int, d1 long, d2 long"
 
 
@@ -47,7 +49,7 @@ def gear_hash(data: np.ndarray) -> np.ndarray:
 
 
 def ends_of(texts: list[bytes]) -> list[list[int]]:
-    """The chunk ends of each text: at least 16 bytes apart (but the last), at most about 256."""
+    """The chunk ends of each text: ``LEAST`` bytes apart (but the last), at most about ``MOST``."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     starts_char = np.append((data[1:] & 0xC0) != 0x80, True) if len(data) else np.empty(0, bool)
     wanted = np.flatnonzero(((gear_hash(data) >> np.uint16(16 - MASK_BITS)) == 0) & starts_char) + 1
@@ -55,7 +57,9 @@ def ends_of(texts: list[bytes]) -> list[list[int]]:
     places = np.searchsorted(wanted, np.cumsum([0, *map(len, texts)]), "right").tolist()
     for k, text in enumerate(texts):
         n, last, ends = len(text), 0, []
-        for c in [*(wanted[places[k]:places[k + 1]] - at).tolist(), n]:
+        own = wanted[places[k]:places[k + 1]] - at
+        # Before the 16th byte the hash still sees the text before.
+        for c in [*own[own >= WINDOW].tolist(), n]:
             while c - last > MOST:
                 last += MOST
                 while text[last] & 0xC0 == 0x80:
@@ -69,21 +73,12 @@ def ends_of(texts: list[bytes]) -> list[list[int]]:
     return found
 
 
-def _batches(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, list[bytes]]]:
-    """Texts of a batch as bytes, a few megabytes at a time, with the place of the first."""
-    begin, held, size = 0, [], 0
-    for i, value in enumerate(batch.column(column)):
-        held.append(value.as_py().encode("utf-8", "surrogatepass"))
-        size += len(held[-1])
-        if size >= 1 << 22 or i + 1 == batch.num_rows:
-            yield begin, held
-            begin, held, size = i + 1, [], 0
-
-
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     digest = xxhash.xxh3_128_digest
     for batch in batches:
-        for begin, texts in _batches(batch, "_text"):
+        every = batch.column("_text").to_pylist()
+        for part in bits.slices(every):
+            texts, begin = [t.encode("utf-8", "surrogatepass") for t in every[part]], part.start
             ends = ends_of(texts)
             sizes = np.array([len(e) for e in ends])
             raw = b"".join([digest(t[a:b]) for t, e in zip(texts, ends) for a, b in zip([0, *e], e)])
@@ -110,7 +105,7 @@ def runs(lost: np.ndarray, ends: list[int], min_run: int) -> list[tuple[int, int
     return spans
 
 
-def dedup_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_run: int = 96) -> DataFrame:
+def dedup_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_run: int = 72) -> DataFrame:
     """``_id``, ``_row`` (the input row), ``n_bytes``, ``n_chunks``, ``spans`` removed and ``kept``, the text left."""
     spark = docs.sparkSession
     table = T.documents(docs, id_col, text_col).withColumn("_key", F.hash("_text"))
@@ -126,14 +121,15 @@ def dedup_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     @F.pandas_udf("n_bytes long, n_chunks long, spans array<struct<start:long,stop:long>>, kept string")
     def cut(texts: pd.Series, places: pd.Series) -> pd.DataFrame:
-        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-        rows = []
-        for text, ends, gone in zip(raw, ends_of(raw), places):
-            spans = runs(np.asarray(gone if gone is not None else (), np.int64), ends, min_run)
-            edges = [0, *(x for s in spans for x in s), len(text)]
-            kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
-            rows.append((len(text), len(ends), [{"start": a, "stop": b} for a, b in spans],
-                         kept.decode("utf-8", "surrogatepass")))
+        rows, texts = [], list(texts)
+        for part in bits.slices(texts):
+            raw = [t.encode("utf-8", "surrogatepass") for t in texts[part]]
+            for text, ends, gone in zip(raw, ends_of(raw), places[part]):
+                spans = runs(np.asarray(gone if gone is not None else (), np.int64), ends, min_run)
+                edges = [0, *(x for s in spans for x in s), len(text)]
+                kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
+                rows.append((len(text), len(ends), [{"start": a, "stop": b} for a, b in spans],
+                             kept.decode("utf-8", "surrogatepass")))
         return pd.DataFrame(rows, columns=["n_bytes", "n_chunks", "spans", "kept"])
 
     return (table.join(lost, ["_id", "_key"], "left").withColumn("_cut", cut("_text", "lost"))

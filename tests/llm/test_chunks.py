@@ -28,7 +28,7 @@ def plain_ends(text):
     return ends
 
 
-def plain(docs, min_run=96):
+def plain(docs, min_run=72):
     first, out = {}, {}
     parts = {}
     for doc in sorted(docs):

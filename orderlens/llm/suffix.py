@@ -31,7 +31,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -42,9 +41,10 @@ from orderlens.llm import text as T
 
 GRAM = 16
 # Bytes handled at once, and the low bits of a key that hold a place among them.
-PIECE, PLACE_BITS = 1 << 20, 24
-ANCHORS_AT_ONCE, CONTEXTS_AT_ONCE = 1_500_000, 200_000
-BUCKET_BYTES = 16_000_000
+PIECE, PLACE_BITS = 1 << 18, 24
+ANCHORS_AT_ONCE, CONTEXTS_AT_ONCE = 500_000, 100_000
+# Text per bucket of anchors and of contexts; a task holds some 50 bytes for each byte of the latter.
+ANCHOR_BYTES, CONTEXT_BYTES = 16_000_000, 4_000_000
 
 
 def rolling_words(data: np.ndarray) -> np.ndarray:
@@ -97,7 +97,7 @@ def anchors(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
 
 
 def pieces(texts: list[bytes], length: int) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
-    """Texts, long ones in parts that share length - 1 bytes, so that each window is in one part: about a megabyte."""
+    """Texts, long ones in parts that share length - 1 bytes, so that each window is in one part."""
     who, offset, part, size = [], [], [], 0
     for i, text in enumerate(texts):
         for at in range(0, max(1, len(text) - length + 1), PIECE):
@@ -147,12 +147,14 @@ def _send_anchors(length: int, buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            texts = [t.as_py().encode("utf-8", "surrogatepass") for t in batch.column(1)]
-            for who, _, part in pieces(texts, length):
-                owner, _, _, h = anchors(part, length)
-                held.append((h, ids[np.array(who)[owner]]))
-                n += len(h)
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                ids = some.column(0).to_numpy()
+                texts = [t.as_py().encode("utf-8", "surrogatepass") for t in some.column(1)]
+                for who, _, part in pieces(texts, length):
+                    owner, _, _, h = anchors(part, length)
+                    held.append((h, ids[np.array(who)[owner]]))
+                    n += len(h)
                 if n >= ANCHORS_AT_ONCE:
                     yield as_batch(route(*map(np.concatenate, zip(*held))))
                     held, n = [], 0
@@ -188,24 +190,32 @@ def _shared(group: pa.Table) -> pa.Table:
 
 # --- step 2: contexts -------------------------------------------------------------------------
 
-CONTEXT = pa.schema([("bucket", pa.int32()), ("_id", pa.int64()), ("_key", pa.int64()), ("start", pa.int64()),
-                     ("stop", pa.int64()), ("bytes", pa.binary())])
+CONTEXT = pa.schema([("bucket", pa.int32()), ("known", pa.bool_()), *[(c, pa.binary()) for c in (
+    "ids", "keys", "starts", "sizes", "bytes")]])
 
 
 def _send_contexts(length: int, buckets: int):
-    """Rows without bytes are spans to remove; the others are contexts for a bucket."""
+    """Compressed columns of many contexts: those for one bucket in a row; known ones are spans to remove.
 
-    def settle(rows: list[tuple]) -> pa.RecordBatch:
-        least: dict[bytes, int] = {}
-        for digest, doc, *_ in rows:
-            if doc < least.get(digest, doc + 1):
-                least[digest] = doc
-        out = [(bucket, doc, key, start, stop, raw if least[digest] == doc else None)
-               for digest, doc, key, start, stop, bucket, raw in rows]
-        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), CONTEXT.types)], schema=CONTEXT)
+    A context that an earlier document of the task with a smaller id has is known to be a repeat;
+    what was seen is forgotten from time to time, which sends more and changes no result.
+    """
+
+    def row(bucket: int, known: bool, rows: list) -> tuple:
+        docs, keys, starts, sizes, raw = zip(*rows)
+        return (bucket, known, *[_pack(np.array(c, "<i8")) for c in (docs, keys, starts)],
+                _pack(np.array(sizes, "<u4")), zstandard.ZstdCompressor(level=3).compress(b"".join(raw)))
+
+    def as_batch(routed: dict, known: list) -> pa.RecordBatch:
+        rows = [row(bucket, False, own) for bucket, own in routed.items()]
+        if known:
+            rows.append(row(known[0][0] % buckets, True, [(d, k, a, b - a, b"") for d, k, a, b in known]))
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), CONTEXT.types)], schema=CONTEXT)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest, expand, rows = xxhash.xxh3_128_digest, zstandard.ZstdDecompressor().decompress, []
+        digest, expand = xxhash.xxh3_128_digest, zstandard.ZstdDecompressor().decompress
+        least: dict[bytes, int] = {}
+        routed, known, n = {}, [], 0
         for batch in batches:
             for k in range(batch.num_rows):
                 doc, key, packed, told, copies = (batch.column(c)[k] for c in range(5))
@@ -219,12 +229,22 @@ def _send_contexts(length: int, buckets: int):
                     for j in np.flatnonzero(shared[at] == h).tolist() if len(shared) else ():
                         a, b = int(first[j]), int(last[j]) + length
                         raw, begin = part[owner[j]][a:b], offset[owner[j]]
-                        rows.append((digest(raw), doc, key, begin + a, begin + b, int(h[j]) % buckets, raw))
-                if len(rows) >= CONTEXTS_AT_ONCE:
-                    yield settle(rows)
-                    rows = []
-        if rows:
-            yield settle(rows)
+                        mark = digest(raw)
+                        if least.get(mark, doc) >= doc:
+                            least[mark] = doc
+                            routed.setdefault(int(h[j]) % buckets, []).append((doc, key, begin + a, b - a, raw))
+                            n += 1
+                        elif known and known[-1][:2] == [doc, key] and begin + a <= known[-1][3]:
+                            known[-1][3] = begin + b
+                        else:
+                            known.append([doc, key, begin + a, begin + b])
+                if n + len(known) >= CONTEXTS_AT_ONCE:
+                    yield as_batch(routed, known)
+                    routed, known, n = {}, [], 0
+                    if len(least) > 4 * CONTEXTS_AT_ONCE:
+                        least = {}
+        if routed or known:
+            yield as_batch(routed, known)
 
     return send
 
@@ -240,21 +260,21 @@ def two_stage_order(text: np.ndarray, wanted: np.ndarray, depth: int) -> np.ndar
     Besides the wanted suffixes those are ordered that a chain of large ones ends at.
     """
     n = len(text)
-    step = np.sign(text[1:].astype(np.int16) - text[:-1].astype(np.int16))
-    changes = np.where(step != 0, np.arange(n - 1), n - 1)
-    following = np.append(np.minimum.accumulate(changes[::-1])[::-1], n - 1)
-    small = np.append(step, 1)[following] > 0
-    small[text == 0] = True
-    used = wanted.copy()
-    ends = np.where(small, np.arange(n), n - 1)
+    place = np.arange(n, dtype=np.int32)
+    rises = np.append(text[1:] > text[:-1], True)
+    following = np.where(np.append(text[1:] != text[:-1], True), place, np.int32(n - 1))
+    following = np.minimum.accumulate(following[::-1])[::-1]
+    small = rises[following] | (text == 0)
+    ends = np.where(small, place, np.int32(n - 1))
     ends = np.minimum.accumulate(ends[::-1])[::-1]
-    marks = np.zeros(n + 1, np.int32)
     chain = np.flatnonzero(wanted & ~small)
-    np.add.at(marks, chain + 1, 1)
-    np.add.at(marks, ends[chain] + 1, -1)
-    used |= np.cumsum(marks[:-1]) > 0
+    marks = np.zeros(n + 1, np.int32)
+    marks[chain + 1] = 1
+    marks -= np.bincount(ends[chain] + 1, minlength=n + 1).astype(np.int32)
+    used = wanted | (np.cumsum(marks[:-1], dtype=np.int32) > 0)
+    del place, following, ends, marks, rises
 
-    direct = _sort_direct(text, np.flatnonzero(used & small), depth)
+    direct = _sort_direct(_padded_words(text, depth), np.flatnonzero(used & small), depth)
     by_byte = np.searchsorted(text[direct], np.arange(257))
     pending: list[list[np.ndarray]] = [[] for _ in range(256)]
     order = []
@@ -281,51 +301,54 @@ def two_stage_order(text: np.ndarray, wanted: np.ndarray, depth: int) -> np.ndar
     return order[wanted[order]]
 
 
-def _sort_direct(text: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
-    """Places sorted by the bytes there, eight more at a time for those still equal."""
-    words = rolling_words(np.concatenate((text, np.zeros(depth + 16, np.uint8))))
-    order = at[np.argsort(words[at], kind="stable")]
-    group = np.cumsum(np.concatenate(([0], np.diff(words[order]) != 0)))
-    for k in range(8, depth, 8):
-        size = np.bincount(group)
-        tied = np.flatnonzero(size[group] > 1)
-        if not len(tied):
-            break
-        key = words[order[tied] + k]
-        again = np.lexsort((key, group[tied]))
-        order[tied] = order[tied][again]
-        new = np.concatenate(([0], np.diff(key[again]) != 0))
-        change = np.concatenate(([0], np.diff(group) != 0))
-        change[tied] |= new
-        group = np.cumsum(change)
-    return order
+def _padded_words(text: np.ndarray, depth: int) -> np.ndarray:
+    return rolling_words(np.concatenate((text, np.zeros(depth + 16, np.uint8))))
+
+
+def _sort_direct(words: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+    """Places sorted by the ``depth`` bytes there, eight to a key."""
+    return at[np.lexsort([words[at + k] for k in reversed(range(0, depth, 8))])]
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
     """Length of the common prefix of each suffix and the one before it, up to ``depth``; the first has 0."""
-    found, alive = np.zeros(len(order), np.uint8), np.ones(max(0, len(order) - 1), bool)
-    for k in range(depth):
-        alive &= text[order[:-1] + k] == text[order[1:] + k]
-        found[1:] += alive
+    words = _padded_words(text, depth)
+    found, at = np.zeros(len(order), np.uint8), np.arange(1, len(order))
+    for k in range(0, depth, 8):
+        differing = words[order[at - 1] + k] ^ words[order[at] + k]
+        same = differing == 0
+        rest = differing[~same]
+        equal = sum(((rest >> np.uint64(8 * j)) == 0 for j in range(1, 8)), np.zeros(len(rest), np.int64))
+        found[at[~same]] = np.minimum(depth, k + equal)
+        at = at[same]
+    found[at] = depth
     return found
 
 
 def _repeats(length: int):
     """Spans to remove from the documents whose contexts met in a bucket."""
 
+    def spans(ids: np.ndarray, keys: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.Table:
+        return pa.table([pa.array(c) for c in (ids, keys, start, stop)], ["_id", "_key", "start", "stop"])
+
     def repeats(group: pa.Table) -> pa.Table:
-        known = group.filter(pa.compute.is_null(group.column("bytes"))).select(["_id", "_key", "start", "stop"])
-        open_ = group.filter(pa.compute.is_valid(group.column("bytes")))
-        if not open_.num_rows:
-            return known
-        raw = open_.column("bytes").to_pylist()
-        ids, starts = open_.column("_id").to_numpy(), open_.column("start").to_numpy()
-        sizes = np.array([len(r) + 1 for r in raw])
-        owner, begin = np.repeat(np.arange(len(raw)), sizes), np.cumsum(sizes) - sizes
-        text = np.zeros(sizes.sum(), np.uint8)
-        text[np.arange(len(text)) != np.repeat(begin + sizes - 1, sizes)] = \
-            np.frombuffer(b"".join(raw), np.uint8) + np.uint8(1)
-        wanted = np.arange(len(text)) - begin[owner] <= (sizes - 1 - length)[owner]
+        parts = {True: [], False: []}
+        for known, *packed, raw in zip(*(group.column(c).to_pylist() for c in CONTEXT.names[1:])):
+            parts[known].append((*map(_unpack, packed, ("<i8", "<i8", "<i8", "<u4")), _unpack(raw, np.uint8)))
+        known = [spans(i, k, a, a + n) for i, k, a, n, _ in parts[True]]
+        if not parts[False]:
+            return pa.concat_tables(known)
+        ids, keys, starts, sizes, data = map(np.concatenate, zip(*parts[False]))
+        sizes = sizes.astype(np.int32) + np.int32(1)
+        begin = np.cumsum(sizes, dtype=np.int32) - sizes
+        owner = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
+        text, inside = np.zeros(sizes.sum(), np.uint8), np.ones(sizes.sum(), bool)
+        inside[begin + sizes - 1] = False
+        text[inside] = data + np.uint8(1)
+        del data, inside
+        last = np.repeat(begin + sizes - 1 - np.int32(length), sizes)
+        wanted = np.arange(len(text), dtype=np.int32) <= last
+        del last
         order = two_stage_order(text, wanted, length)
         heads = np.flatnonzero(common_prefixes(text, order, length) < length)
         who = ids[owner[order]]
@@ -335,10 +358,9 @@ def _repeats(length: int):
         edges = np.flatnonzero(np.diff(np.concatenate(([False], repeated)).astype(np.int8)))
         a, b = edges[::2], edges[1::2]
         mine = owner[a]
-        found = pa.table({"_id": pa.array(ids[mine]), "_key": open_.column("_key").combine_chunks().take(pa.array(mine)),
-                          "start": pa.array(starts[mine] + a - begin[mine]),
-                          "stop": pa.array(starts[mine] + b - begin[mine] + length - 1)})
-        return pa.concat_tables([known, found.cast(known.schema)])
+        begins = starts[mine] - begin[mine]
+        found = spans(ids[mine], keys[mine], begins + a, begins + b + length - 1)
+        return pa.concat_tables([*known, found])
 
     return repeats
 
@@ -358,7 +380,9 @@ def repeated_spans(table: DataFrame, length: int = 50) -> DataFrame:
     """
     spark = table.sparkSession
     size = table.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(size // BUCKET_BYTES) + 1)
+    least_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    anchor_buckets = max(least_buckets, int(size // ANCHOR_BYTES) + 1)
+    context_buckets = max(least_buckets, int(size // CONTEXT_BYTES) + 1)
     first, second = T.wide_hash(F.col("_text"))
     prints = table.select("_id", first.alias("h1"), second.alias("h2"), F.octet_length("_text").alias("n"))
     least = prints.groupBy("h1", "h2").agg(F.min("_id").alias("least"))
@@ -366,15 +390,16 @@ def repeated_spans(table: DataFrame, length: int = 50) -> DataFrame:
                           .select("_id", F.col("h1").alias("_key"), "n").distinct(), "copies")
 
     shared = (table.select("_id", "_text").mapInArrow(
-        _send_anchors(length, buckets), "bucket int, known boolean, hashes binary, ids binary")
+        _send_anchors(length, anchor_buckets), "bucket int, known boolean, hashes binary, ids binary")
         .groupBy("bucket").applyInArrow(_shared, "_id long, h long"))
     no_hash, no_key = F.lit(None).cast("long").alias("h"), F.lit(None).cast("long").alias("_key")
     told = (shared.select("_id", "h", no_key).unionByName(copies.select("_id", no_hash, "_key"))
             .groupBy("_id").agg(F.collect_list("h").alias("told"), F.collect_set("_key").alias("copies")))
     packed = table.select("_id", "_key", "_text").mapInArrow(_pack_texts, "_id long, _key long, packed binary")
     spans = (packed.join(told, "_id").select("_id", "_key", "packed", "told", "copies")
-             .mapInArrow(_send_contexts(length, buckets),
-                         "bucket int, _id long, _key long, start long, stop long, bytes binary")
+             .mapInArrow(_send_contexts(length, context_buckets),
+                         "bucket int, known boolean, ids binary, keys binary, starts binary, sizes binary, "
+                         "bytes binary")
              .groupBy("bucket").applyInArrow(_repeats(length), "_id long, _key long, start long, stop long"))
     whole = copies.select("_id", "_key", F.lit(0).cast("long").alias("start"), F.col("n").cast("long").alias("stop"))
     return (spans.unionByName(whole).groupBy("_id", "_key")

@@ -41,8 +41,8 @@ from orderlens.llm import text as T
 
 GRAM = 16
 # Bytes handled at once, and the low bits of a key that hold a place among them.
-PIECE, PLACE_BITS = 1 << 18, 24
-ANCHORS_AT_ONCE, CONTEXTS_AT_ONCE = 500_000, 100_000
+PIECE, PLACE_BITS = 1 << 17, 24
+ANCHORS_AT_ONCE, CONTEXTS_AT_ONCE = 200_000, 60_000
 # Text per bucket of anchors and of contexts; a task holds some 50 bytes for each byte of the latter.
 ANCHOR_BYTES, CONTEXT_BYTES = 16_000_000, 4_000_000
 

@@ -234,8 +234,9 @@ def _send_contexts(length: int, buckets: int):
                             least[mark] = doc
                             routed.setdefault(int(h[j]) % buckets, []).append((doc, key, begin + a, b - a, raw))
                             n += 1
-                        elif known and known[-1][:2] == [doc, key] and begin + a <= known[-1][3]:
-                            known[-1][3] = begin + b
+                        # A doubled row begins again before the last span of its first one.
+                        elif known and known[-1][:2] == [doc, key] and known[-1][2] <= begin + a <= known[-1][3]:
+                            known[-1][3] = max(known[-1][3], begin + b)
                         else:
                             known.append([doc, key, begin + a, begin + b])
                 if n + len(known) >= CONTEXTS_AT_ONCE:

@@ -70,3 +70,30 @@ def test_two_stage_order(letters):
     for k in range(1, len(order)):
         a, b = raw[order[k - 1]:][:16], raw[order[k]:][:16]
         assert shared[k] == next((i for i in range(16) if a[i] != b[i]), 16)
+
+
+def test_doubled_row_with_separate_passages():
+    """A row that comes twice in a task: each span that a smaller id has is told whole, twice or once."""
+    import pyarrow as pa
+    import zstandard
+    rng = random.Random(9)
+    own = lambda n: bytes(rng.randrange(97, 123) for _ in range(n))
+    one, two = own(120), own(120)
+    raw = {1: one + own(80) + two, 2: own(70) + one + own(90) + two + own(60)}
+    told = np.unique(np.concatenate([suffix.anchors([t], 50)[3] for t in raw.values()])).view(np.int64)
+
+    def known(rows):
+        batch = pa.record_batch([
+            pa.array(rows, pa.int64()), pa.array([10 * d for d in rows], pa.int64()),
+            pa.array([zstandard.ZstdCompressor().compress(raw[d]) for d in rows], pa.binary()),
+            pa.array([told.tolist()] * len(rows), pa.list_(pa.int64())),
+            pa.array([[]] * len(rows), pa.list_(pa.int64()))], ["_id", "_key", "packed", "told", "copies"])
+        spans = []
+        for r in (r for b in suffix._send_contexts(50, 1)([batch]) for r in b.to_pylist() if r["known"]):
+            columns = [suffix._unpack(r[c], k).tolist() for c, k in (("ids", "<i8"), ("starts", "<i8"), ("sizes", "<u4"))]
+            spans += zip(*columns)
+        return spans
+
+    once = known([1, 2])
+    assert len(once) == 2 and all(d == 2 and n >= 50 for d, _, n in once)
+    assert known([1, 2, 2]) == once * 2

@@ -11,8 +11,8 @@ The weights are fitted on at most ``fit_pages`` labelled pages, chosen by a hash
 the page; every page is then extracted whole.
 
 Defined cases: null or empty html has an empty text; a page without tags is one
-block; unclosed elements end where HTML lets them, at the latest with the page; a
-table without labelled pages is scored with words 1 and tags just below 0.
+block; unclosed elements end where HTML lets them, at the latest with the element
+around them or the page; a table without labelled pages is scored with words 1 and tags just below 0.
 """
 
 from __future__ import annotations
@@ -55,7 +55,12 @@ PIECES = re.compile(
     r"|<(script|style|title|noscript|template|textarea|iframe|svg|xmp)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)", re.I | re.S)
-NAMED = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+# Words of a class that tell what a wrapper has or what state it is in, not what it is.
+STATES, STATE_ENDS = {"has", "with", "no"}, {"open"}
+# What an end tag closes only inside one cell or table.
+CELLS = {"table", "caption", "td", "th"}
+TABLE = CELLS | {"tr", "tbody", "thead", "tfoot"}
 EPSILON = 1e-3
 
 
@@ -64,7 +69,7 @@ def never_content(name: str, attributes: str) -> bool:
         return True
     if not attributes or name in ("html", "body"):
         return False
-    for key, value in NAMED.findall(attributes):
+    for key, value in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "role":
             if value in NEVER_ROLES:
@@ -73,12 +78,23 @@ def never_content(name: str, attributes: str) -> bool:
             return True
         elif key in ("class", "id"):
             for word in value.split():
-                parts = {*re.split(r"[-_:]+", word)}
-                if parts & NEVER_PARTS and not parts & CONTENT_PARTS:
+                parts = re.split(r"[-_:]+", word)
+                told = {*parts[:next((i for i, p in enumerate(parts) if p in STATES), len(parts))]}
+                if told & NEVER_PARTS and not {*parts} & CONTENT_PARTS and parts[-1] not in STATE_ENDS:
                     return True
     return False
 
 
+def _encloses(outer: list[str], name: str) -> bool:
+    """Whether an end tag closes one of the open elements ``outer``, which then ends all that is open inside."""
+    for open_name in reversed(outer):
+        if open_name == name:
+            return True
+        if open_name in CELLS and name not in TABLE:
+            return False
+    return False
+
+
 def _implied_end(skipped: str, name: str, closing: bool, groups: int) -> bool:
     """Whether a tag ends an element that was not closed: a block ends a paragraph, an item ends an item."""
     if skipped == "p":
@@ -91,7 +107,9 @@ def events(page: str) -> Iterator[tuple[str, str, bool]]:
 
     ``content`` is false inside elements that are never content, their own tags included.
     """
-    at, skipped, depth, groups = 0, "", 0, 0
+    at, skipped, groups = 0, "", 0
+    outer: list[str] = []  # Open blocks outside of what is skipped.
+    inside: Counter = Counter()  # Open elements inside of it.
     for m in PIECES.finditer(page):
         if m.start() > at:
             yield "word", page[at:m.start()], not skipped
@@ -103,18 +121,36 @@ def events(page: str) -> Iterator[tuple[str, str, bool]]:
         if skipped:
             if name in CONTENT and not closing or _implied_end(skipped, name, closing, groups):
                 skipped = ""
+            elif closing and not inside[name] and name != skipped and _encloses(outer, name):
+                skipped = ""
             else:
                 groups += (name in GROUPS) * (-1 if closing else 1)
-                depth += (name == skipped) * (-1 if closing else 1)
-                if depth:
+                if not closing:
+                    inside[name] += name not in VOID
+                    continue
+                if inside[name] or name != skipped:
+                    inside[name] -= inside[name] > 0
+                    if name in GROUPS and groups <= 0:
+                        for item in OPEN_ENDED:
+                            inside[item] = 0
                     continue
                 skipped = ""
                 yield "close", name, False
                 continue
         if not closing and name not in VOID and never_content(name, m[4]):
-            skipped, depth, groups = name, 1, 0
+            skipped, groups = name, 0
+            inside.clear()
             yield "open", name, False
             continue
+        if name in BLOCKS and name != "p" and name not in VOID:
+            if closing:
+                if _encloses(outer, name):
+                    while outer.pop() != name:
+                        pass
+            else:
+                if outer and outer[-1] == name and name in OPEN_ENDED:
+                    outer.pop()
+                outer.append(name)
         yield "close" if closing else "open", name, True
     if at < len(page):
         yield "word", page[at:], not skipped

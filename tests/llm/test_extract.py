@@ -63,3 +63,18 @@ def test_odd_pages(spark):
     assert len(got[5, rows[6][1]]) == 10 * 80000 - 1
     assert got[7, "&amp &am; < <>"] == "& &am; < <>"
     assert extract.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("inner", "want"), [
+    ('<div style="overflow:hidden"><p>a b c</p></div>', "a b c"),
+    ("<div data-id='search' data-role=\"menu\" title=\"class='ad' hidden\"><p>a b c</p></div>", "a b c"),
+    ('<div class="has-sidebar"><p>a b c</p></div>', "a b c"),
+    ('<div class="page--with-sidebar no-ads menu-open"><p>a b c</p></div>', "a b c"),
+    ("<div><nav><ul></ul></div><p>text", "text"),
+    ("<ul><li><aside class=x><ul><li>q<li>r</ul></li><li>y</ul><p>z", "y\n\nz"),
+    ("<section><div class='ad'><b>x</section><p>z</p>", "z"),
+    ("<div><table><tr><td><nav>x</div>y</nav></td></tr></table><p>z</p></div>", "z"),
+    ("<nav><div>x</div></nav><div class='sidebar-with-links'>q</div><div HIDDEN>r</div><p class='menu has-open'>s</p><p>z", "z"),
+])
+def test_kept_and_left_out(inner, want):
+    assert extract.main_text(f"<body>{inner}", extract.Weights({}, 1.0)) == want

@@ -61,7 +61,8 @@ STATES, STATE_ENDS = {"has", "with", "no"}, {"open"}
 # What an end tag closes only inside one cell or table.
 CELLS = {"table", "caption", "td", "th"}
 TABLE = CELLS | {"tr", "tbody", "thead", "tfoot"}
-EPSILON = 1e-3
+# Least and most words that a tag counts against.
+EPSILON, TAG_WORDS = 1e-3, 3.0
 
 
 def never_content(name: str, attributes: str) -> bool:
@@ -156,42 +157,46 @@ def events(page: str) -> Iterator[tuple[str, str, bool]]:
         yield "word", page[at:], not skipped
 
 
-def count(pages: list[str]) -> tuple[Counter, float]:
-    """How often tags and words (by block) are inside and outside the content of labelled pages; content words."""
-    found, words = Counter(), 0
+def count(pages: list[str]) -> Counter:
+    """How often tags and words (by block) are inside and outside the content of labelled pages."""
+    found: Counter = Counter()
     for page in pages:
         depth, block = 0, "body"
         for kind, value, content in events(page):
             if kind == "word":
-                n = len(value.split()) if content else 0
-                found["word", block, depth > 0] += n
-                words += n if depth else 0
+                found["word", block, depth > 0] += len(value.split()) if content else 0
             elif content:
                 depth -= kind == "close" and value in CONTENT and depth > 0
                 found["tag", value, depth > 0] += 1
                 depth += kind == "open" and value in CONTENT
                 block = value if kind == "open" and value in BLOCKS else block
-    return found, words
+    return found
 
 
 class Weights:
-    """Words: log-odds scaled into (0, 1]. Tags: log-odds at most zero, times the content words of a page."""
+    """Words: log-odds scaled into (0, 1]. Tags: log-odds below zero, no more than ``TAG_WORDS`` words each.
 
-    def __init__(self, counts: dict[tuple[str, str, bool], int], page_words: float):
+    Marks of content, and tags inside what they mark, count just below zero.
+    """
+
+    def __init__(self, counts: dict[tuple[str, str, bool], int]):
         odds = {(kind, name): math.log((counts.get((kind, name, True), 0) + 1)
                                        / (counts.get((kind, name, False), 0) + 1)) for kind, name, _ in counts}
         top = max([1e-9, *(v for (kind, _), v in odds.items() if kind == "word")])
         self.words = {name: min(1.0, max(0.05, v / top)) for (kind, name), v in odds.items() if kind == "word"}
-        self.tags = {name: min(-EPSILON, v * page_words) for (kind, name), v in odds.items() if kind == "tag"}
+        self.tags = {name: max(-TAG_WORDS, min(-EPSILON, v)) for (kind, name), v in odds.items()
+                     if kind == "tag" and name not in CONTENT}
 
     def region(self, found: list[tuple[str, str, bool]]) -> tuple[int, int]:
         """First and last + 1 event of the highest sum, in one scan; the longer region of equal ones."""
-        best, best_at, total, begin, block = 0.0, (0, 0), 0.0, 0, "body"
+        best, best_at, total, begin, block, depth = 0.0, (0, 0), 0.0, 0, "body", 0
         for i, (kind, value, content) in enumerate(found):
             if kind == "word":
                 score = len(value.split()) * self.words.get(block, 1.0) if content else 0.0
             else:
-                score = self.tags.get(value, -EPSILON)
+                score = -EPSILON if depth else self.tags.get(value, -EPSILON)
+                if content and value in CONTENT:
+                    depth = max(0, depth + (1 if kind == "open" else -1))
                 block = value if kind == "open" and value in BLOCKS else block
             if total < 0:
                 total, begin = 0.0, i
@@ -227,15 +232,12 @@ def fit(pages: DataFrame, html_col: str = "html", id_col: str = "page_id", fit_p
 
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found, words = count(list(batch["_html"]))
-            found["page", "words", True], found["page", "pages", True] = words, len(batch)
+            found = count(list(batch["_html"]))
             yield pd.DataFrame([(*k, v) for k, v in found.items()], columns=["kind", "name", "inside", "n"])
 
     rows = (labelled.join(F.broadcast(chosen), "_place").mapInPandas(counts, "kind string, name string, inside boolean, n long")
             .groupBy("kind", "name", "inside").agg(F.sum("n").alias("n")).collect())
-    found = {(r["kind"], r["name"], r["inside"]): r["n"] for r in rows}
-    words, n = found.pop(("page", "words", True), 0), found.pop(("page", "pages", True), 0)
-    return Weights(found, words / n if n else 1.0)
+    return Weights({(r["kind"], r["name"], r["inside"]): r["n"] for r in rows})
 
 
 def extractor(pages: DataFrame, weights: Weights):

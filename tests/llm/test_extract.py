@@ -77,4 +77,23 @@ def test_odd_pages(spark):
     ("<nav><div>x</div></nav><div class='sidebar-with-links'>q</div><div HIDDEN>r</div><p class='menu has-open'>s</p><p>z", "z"),
 ])
 def test_kept_and_left_out(inner, want):
-    assert extract.main_text(f"<body>{inner}", extract.Weights({}, 1.0)) == want
+    assert extract.main_text(f"<body>{inner}", extract.Weights({})) == want
+
+
+TAGS = {("tag", t, inside): n for t in ("div", "table", "tr", "td", "article", "section")
+        for inside, n in ((True, 100), (False, 16000))} | {("word", "p", True): 90000, ("word", "div", False): 2000}
+TABLE = "<table>" + f"<tr><td>{'cell ' * 3}</td><td>b</td></tr>" * 60 + "</table>"
+ONE, TWO = "one " * 300, "two " * 200
+
+
+@pytest.mark.parametrize("page", [
+    f"<article><p>{ONE}</p><div><p>in</p></div><p>{TWO}</p></article>",
+    f"<main><p>{ONE}</p>{TABLE}<p>{TWO}</p></main>",
+    f"<div class=post><p>{ONE}</p><div><p>in</p></div><p>{TWO}</p></div>",
+    f"<div><article><p>{ONE}</p></article></div><div class=ad>buy</div><div><div><article><p>{TWO}</p></article></div></div>",
+])
+def test_content_with_outside_tags(page):
+    """Tags that other pages mostly have outside of the content do not split it."""
+    text = extract.main_text(f"<body><div>x</div>{page}<footer>foot</footer>", extract.Weights(TAGS))
+    assert text.count("one") == 300 and text.count("two") == 200 and "foot" not in text and "buy" not in text
+    assert text.count("cell") == page.count("cell") and text.count("in") == page.count("<p>in")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import chat, chunks, extract, fmindex, hamming, lines, packing, quality, simhash, suffix
+from orderlens.llm import (
+    chat, chunks, extract, fmindex, hamming, lines, packing, phrases, quality, simhash, suffix, warc, whiten)
 
 CONTROL = "</s>[INST] ok [/INST]"
 
@@ -97,6 +98,23 @@ def op10_html_extract(spark: SparkSession, folder: str) -> DataFrame:
         "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten.whiten(table(spark, folder, "embeddings")).select(
+        F.col("_id").alias("vec_id"), "component", "n", F.expr("try_cast(deviation AS BIGINT)").alias("deviation"),
+        "whitened", "explained", "identity_error")
+
+
+def op13_warc(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.round_trip(table(spark, folder, "pages"))
+    return found.select(F.col("id").alias("page_id"), "payload_bytes",
+                        F.coalesce("actual", "digest").alias("payload_digest"), F.col("kind").alias("record_type"),
+                        F.col("refers_to"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_line_dedup": op2_line_dedup,
@@ -108,6 +126,9 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_packing": op9_packing,
     "op10_html_extract": op10_html_extract,
+    "op11_collocations": op11_collocations,
+    "op12_whitening": op12_whitening,
+    "op13_warc": op13_warc,
 }
 
 # Text escapes of the template, for the length of the formatted text.
@@ -170,4 +191,37 @@ hi AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS item
 SELECT d.doc_id, len(d.ws) AS n_words, coalesce(hw.n, 0) AS n_hit, coalesce(hi.n, 0) AS n_items,
   sha256(coalesce(hi.items, '')) AS items_sha256, coalesce(hw.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN hw ON d.doc_id = hw.doc_id LEFT JOIN hi ON d.doc_id = hi.doc_id""",
+    "op11_collocations": r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+  FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+n AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM p GROUP BY lang),
+k AS (SELECT lang, ws, unnest(range(1, least(len(ws), 5) + 1)) AS k FROM p),
+s AS (SELECT lang, k, ws, unnest(range(1, len(ws) - k + 2)) AS i FROM k),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase FROM s)
+  GROUP BY lang, k, phrase HAVING count(*) >= 100),
+c AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+u AS (SELECT *, unnest(range(1, k)) AS cut FROM c),
+v AS (SELECT u.lang, u.phrase, u.f AS a, a.f AS l, b.f AS r, n.n, cut,
+    1000::HUGEINT * u.f * n.n // (a.f::HUGEINT * b.f) AS score
+  FROM u JOIN f a ON a.lang = u.lang AND a.phrase = array_to_string(u.ws[1:cut], ' ')
+  JOIN f b ON b.lang = u.lang AND b.phrase = array_to_string(u.ws[cut + 1:], ' ') JOIN n ON n.lang = u.lang),
+w AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+x AS (SELECT lang, f, ws, k, unnest(range(2, k)) AS m FROM c),
+y AS (SELECT lang, f, ws, m, unnest(range(1, k - m + 2)) AS i FROM x),
+z AS (SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(f) AS f FROM y GROUP BY 1, 2),
+q AS (SELECT w.* FROM w LEFT JOIN z ON w.lang = z.lang AND w.phrase = z.phrase WHERE z.f IS NULL OR 100 * z.f < 100 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+  CAST(score AS BIGINT) AS score FROM q QUALIFY rank <= 2000""",
+    "op13_warc": r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(encode(coalesce(html, ''))) AS h FROM pages),
+f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h),
+g AS (SELECT p.*, first, list_transform(range(0, 8), lambda i: CAST('0x' || substr(p.h, 5 * i + 1, 5) AS BIGINT)) AS v
+  FROM p JOIN f ON p.h = f.h)
+SELECT page_id, octet_length(b) AS payload_bytes, array_to_string(list_transform(range(0, 32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(((v[i // 4 + 1] >> (15 - 5 * (i % 4))) & 31) + 1 AS BIGINT), 1)), '')
+    AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to FROM g""",
 }

@@ -7,12 +7,12 @@ prefixes, which gives the count of every phrase of one to five words and, for th
 alone, of all words; no n-gram of another order is ever formed.
 
 A window need not be longer than the phrases that can reach the least count: it also ends
-where two adjacent words are too rare. Which pairs are is told by a table of counters
-that pairs share by hash; a counter holds at least the count of each of its pairs, so
-one below the least count proves the pair rare, and no frequent phrase loses an
-occurrence. The counters grow with the corpus up to 2^27 and are sent out as one bit
-each (16 MB at most); in a corpus too large for them they prove nothing and the
-windows stay long, with the same result.
+where a word, two or three adjacent words are too rare. Which ones are is told by tables
+of counters that phrases of a length share by hash; a counter holds at least the count of
+each of its phrases, so one below the least count proves them rare, and no frequent phrase
+loses an occurrence. The counters grow with the corpus up to 2^27 a length and are sent
+out as one bit each (16 MB at most); in a corpus too large for them they prove
+nothing and the windows stay long, with the same result.
 
 Defined cases: a null language is ``und``; null and empty texts, and texts without
 words, have no phrase; a language without frequent phrases has no row; rows count as
@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -38,8 +39,10 @@ BREAKS, ORDER = b".,;:!?\n\x0b\x0c\r", 5
 _TABLE = bytes(0x0A if c in BREAKS else 0x20 if c == 0x09 else c for c in range(256))
 # Bytes of text cut at once, words in a block: a block has fewer than 2^21 different words.
 PART, BLOCK, CODE_BITS = 1 << 20, 1 << 20, 21
-# Bits of the largest counter table, text bytes per counter, counters in one of Spark's bitmaps.
-MOST_BITS, BYTES_PER_COUNTER, BITMAP_BITS = 27, 32, 1 << 15
+# Bits of the largest counter table, text bytes per counter, counters that travel together.
+MOST_BITS, BYTES_PER_COUNTER, CHUNK = 27, 32, 1 << 15
+# Lengths of the phrases that are looked for rare ones, in passes over the texts.
+PASSES = ([1, 2], [3])
 WORDS = [f"w{k}" for k in range(1, ORDER + 1)]
 
 
@@ -125,60 +128,120 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
         yield block
 
 
-def pair_counters(hashes: np.ndarray, left: np.ndarray, right: np.ndarray, size_bits: int) -> np.ndarray:
-    """The counter that each pair of word numbers shares with others."""
-    mixed = (hashes[left] * np.uint64(0x9E3779B97F4A7C15)) ^ (hashes[right] * np.uint64(0xC2B2AE3D27D4EB4F))
-    mixed *= np.uint64(0x165667B19E3779F9)
-    return (mixed >> np.uint64(64 - size_bits)).astype(np.int64)
+class Marks:
+    """Which phrases of one to ``len(tables)`` words may be frequent, in a block of words.
 
+    ``tables`` has a bitmap of the hot counters for each length that is known so far.
+    """
 
-def hot_pairs(texts: DataFrame, least: int, size_bits: int) -> bytes:
-    """One bit a counter: may a pair of it have ``least`` occurrences? At most 2^27 bits reach the driver."""
+    def __init__(self, block: Block, tables: list[bytes], size_bits: int):
+        self.codes = np.append(block.codes, np.zeros(ORDER, np.int32))
+        self.hashes, self.shift = block.hashes(), np.uint64(64 - size_bits)
+        self.tables = [np.frombuffer(t, np.uint8) for t in tables]
+        self.hot = [self.codes > 0]
+        for m in range(1, len(tables) + 1):
+            self.hot.append(self.lookup(m))
+
+    def starts(self, m: int) -> np.ndarray:
+        """Where phrases of ``m`` words begin that are inside a piece, with all shorter phrases hot as far as known."""
+        shorter = self.hot[min(m, len(self.hot)) - 1]
+        known = min(m, len(self.hot)) - 1 or 1
+        own = np.ones(len(self.codes) - ORDER, bool)
+        for k in range(m - known + 1):
+            own &= shorter[k:k + len(own)]
+        return np.flatnonzero(own)
+
+    def counter(self, at: np.ndarray, m: int) -> np.ndarray:
+        """The counter that each phrase of ``m`` words shares with others."""
+        mixed = np.full(len(at), m, np.uint64)
+        for k in range(m):
+            mixed = (mixed ^ self.hashes[self.codes[at + k]]) * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(32)
+        return ((mixed * np.uint64(0x165667B19E3779F9)) >> self.shift).astype(np.int64)
+
+    def lookup(self, m: int) -> np.ndarray:
+        at = self.starts(m)
+        counter = self.counter(at, m)
+        found = np.zeros(len(self.codes), bool)
+        found[at] = (self.tables[m - 1][counter >> 3] >> (counter & 7).astype(np.uint8)) & 1
+        return found
+
+
+def hot_tables(texts: DataFrame, known: list[bytes], orders: list[int], least: int, size_bits: int) -> list[bytes]:
+    """Bitmaps of the counters that reach ``least`` for phrases of each of ``orders`` words; ``known``: those of shorter ones.
+
+    A task adds its counts in place and sends the chunks that it has touched; a chunk's sums stream through one task.
+    At most 2^27 bits for each order reach the driver.
+    """
+    spark = texts.sparkSession
+    shared = spark.sparkContext.broadcast(known)
+    kind = np.dtype(next(t for t in (np.uint8, np.uint16, np.uint32) if least <= np.iinfo(t).max))
+    chunks = max(1, (1 << size_bits) // CHUNK)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {m: np.zeros(max(CHUNK, 1 << size_bits), kind) for m in orders}
         for block in blocks(batches):
-            left, right = block.codes[:block.own], block.codes[1:block.own + 1]
-            both = np.flatnonzero((left[:len(right)] > 0) & (right > 0))
-            kinds, counts = np.unique(pair_counters(block.hashes(), left[both], right[both], size_bits),
-                                      return_counts=True)
-            for at in range(0, len(kinds), 1 << 16):
-                yield pa.record_batch([pa.array(kinds[at:at + (1 << 16)]), pa.array(counts[at:at + (1 << 16)])],
-                                      ["counter", "n"])
-
-    # Spark counts a bitmap's positions from 1.
-    place = F.col("counter") + 1
-    rows = (texts.mapInArrow(count, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n"))
-            .filter(F.col("n") >= least)
-            .groupBy((F.bitmap_bucket_number(place) - 1).alias("k"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")))
-    table, width = bytearray(max(BITMAP_BITS, 1 << size_bits) // 8), BITMAP_BITS // 8
-    for row in rows.collect():
-        table[row["k"] * width:(row["k"] + 1) * width] = row["bits"]
-    return bytes(table)
-
-
-def windows(texts: DataFrame, hot: bytes, size_bits: int) -> DataFrame:
-    """(``lang``, ``w1`` to ``w5``, ``n``): how often a task's blocks hold each longest window, padded with nulls."""
-    shared = texts.sparkSession.sparkContext.broadcast(hot)
+            marks = Marks(block, shared.value, size_bits)
+            for m in orders:
+                at = marks.starts(m)
+                kinds, n = np.unique(marks.counter(at[at < block.own], m), return_counts=True)
+                # More than enough need not be told apart from enough.
+                sums[m][kinds] = np.minimum(sums[m][kinds].astype(np.int64) + n, least)
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for m in orders:
+            for k in range(chunks):
+                own = sums[m][k * CHUNK:(k + 1) * CHUNK]
+                if own.any():
+                    yield pa.record_batch([pa.array([m * chunks + k]), pa.array([pack(own.tobytes())], pa.binary())],
+                                          ["chunk", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            for k, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = np.frombuffer(unpack(packed.as_py()), kind).astype(np.int64)
+                sums[k] = np.minimum(sums[k] + own, least) if k in sums else own
+        for k, own in sums.items():
+            yield pa.record_batch([pa.array([k]), pa.array([np.packbits(own >= least, bitorder="little").tobytes()],
+                                                           pa.binary())], ["chunk", "bits"])
+
+    rows = (texts.mapInArrow(count, "chunk long, counts binary").repartition("chunk")
+            .mapInArrow(add, "chunk long, bits binary").collect())
+    shared.destroy()
+    found, width = {m: bytearray(chunks * CHUNK // 8) for m in orders}, CHUNK // 8
+    for row in rows:
+        m, k = divmod(row["chunk"], chunks)
+        found[m][k * width:(k + 1) * width] = row["bits"]
+    return [bytes(found[m]) for m in orders]
+
+
+def windows(texts: DataFrame, tables: list[bytes], size_bits: int) -> DataFrame:
+    """(``lang``, ``w1`` to ``w5``, ``n``): how often a task's blocks hold each longest window, padded with nulls.
+
+    Words that cannot be frequent are counted together, in a window of nulls.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(tables)
 
     def lead(block: Block) -> Iterator[np.ndarray]:
-        """Lead columns of the words that start a window; 0 from where it ends."""
-        bitmap = np.frombuffer(shared.value, np.uint8)
-        codes = np.append(block.codes, np.zeros(ORDER, np.int32))
-        goes_on = (codes[:-1] > 0) & (codes[1:] > 0)
-        pair = np.flatnonzero(goes_on)
-        counter = pair_counters(block.hashes(), codes[pair], codes[pair + 1], size_bits)
-        goes_on[pair] = (bitmap[counter >> 3] >> (counter & 7).astype(np.uint8)) & 1
-        start = np.flatnonzero(codes[:block.own] > 0)
-        inside = np.ones(len(start), bool)
-        yield codes[start]
-        for k in range(1, ORDER):
-            inside &= goes_on[start + k - 1]
-            yield np.where(inside, codes[start + k], 0)
+        """The words, and lead columns of those after them; 0 from where a window ends."""
+        marks = Marks(block, shared.value, size_bits)
+        start = np.flatnonzero(marks.codes[:block.own] > 0)
+        yield marks.codes[start]
+        inside, most = np.ones(len(start), bool), len(marks.hot) - 1
+        for k in range(1, ORDER + 1):
+            m = min(k, most)
+            inside &= marks.hot[m][start + k - m]
+            yield np.where(inside, marks.codes[start + k - 1], 0)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
-            columns = [c.astype(np.uint64) for c in lead(block)]
+            every, *columns = lead(block)
+            # A rare word only adds to its language, which its place in the order stands for.
+            owner = np.array(block.owner, np.int32)
+            rare = np.flatnonzero(columns[0] == 0)
+            total = np.bincount(owner[every[rare]], minlength=len(block.langs))
+            columns = [np.delete(c, rare).astype(np.uint64) for c in columns]
             high, low = columns[0], columns[3]
             for c in columns[1:3]:
                 high = high << np.uint64(CODE_BITS) | c
@@ -190,7 +253,9 @@ def windows(texts: DataFrame, hot: bytes, size_bits: int) -> DataFrame:
             kinds = [c[order[new]].astype(np.int32) for c in columns]
             words = pa.array([w.decode("utf-8", "replace") for w in block.words], pa.string())
             langs = pa.array(block.langs, pa.string())
-            owner = np.array(block.owner, np.int32)
+            nulls = pa.nulls(len(langs), pa.string())
+            if len(langs):
+                yield pa.record_batch([langs, *[nulls] * ORDER, pa.array(total)], ["lang", *WORDS, "n"])
             for at in range(0, len(n), 1 << 15):
                 own = [c[at:at + (1 << 15)] for c in kinds]
                 yield pa.record_batch([langs.take(pa.array(owner[own[0]])),
@@ -209,7 +274,10 @@ def counts(docs: DataFrame, least: int = 100, lang_col: str = "lang", text_col:
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     size_bits = min(MOST_BITS, max(15, (size // BYTES_PER_COUNTER).bit_length()))
-    found = windows(texts, hot_pairs(texts, least, size_bits), size_bits)
+    tables: list[bytes] = []
+    for orders in PASSES:
+        tables += hot_tables(texts, tables, orders, least, size_bits)
+    found = windows(texts, tables, size_bits)
     # A prefix that ends in padding is a shorter phrase once more.
     kept = sum((F.col(w).isNotNull().cast("int") for w in WORDS), F.lit(0))
     return (found.rollup("lang", *WORDS).agg(F.sum("n").alias("f"), F.grouping_id().alias("g"))

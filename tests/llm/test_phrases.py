@@ -114,6 +114,8 @@ def test_rare_pairs_end_windows(spark):
     """Windows are longer than one word only where a pair can be frequent."""
     docs = spark.createDataFrame([("en", "north wind")] * 20 + [("en", f"once{i} upon{i} a{i} time{i}") for i in range(300)],
                                  "lang string, text string")
-    hot = phrases.hot_pairs(docs, 10, 15)
-    made = phrases.windows(docs, hot, 15).filter("w2 IS NOT NULL").select("w1", "w2").distinct().collect()
+    tables = phrases.hot_tables(docs, [], [1, 2], 10, 15)
+    tables += phrases.hot_tables(docs, tables, [3], 10, 15)
+    made = phrases.windows(docs, tables, 15).filter("w2 IS NOT NULL").select("w1", "w2").distinct().collect()
     assert ("north", "wind") in [tuple(r) for r in made] and len(made) < 5
+    assert phrases.windows(docs, tables, 15).agg({"n": "sum"}).first()[0] == 40 + 1200

@@ -41,6 +41,8 @@ _TABLE = bytes(0x0A if c in BREAKS else 0x20 if c == 0x09 else c for c in range(
 PART, BLOCK, CODE_BITS = 1 << 20, 1 << 20, 21
 # Bits of the largest counter table, text bytes per counter, counters that travel together.
 MOST_BITS, BYTES_PER_COUNTER, CHUNK = 27, 32, 1 << 15
+# Text bytes per bucket of windows.
+BYTES_PER_BUCKET = 1 << 25
 # Lengths of the phrases that are looked for rare ones, in passes over the texts.
 PASSES = ([1, 2], [3])
 WORDS = [f"w{k}" for k in range(1, ORDER + 1)]
@@ -216,16 +218,41 @@ def hot_tables(texts: DataFrame, known: list[bytes], orders: list[int], least: i
     return [bytes(found[m]) for m in orders]
 
 
-def windows(texts: DataFrame, tables: list[bytes], size_bits: int) -> DataFrame:
-    """(``lang``, ``w1`` to ``w5``, ``n``): how often a task's blocks hold each longest window, padded with nulls.
-
-    Words that cannot be frequent are counted together, in a window of nulls.
+def _pack(words: list[bytes], columns: list[np.ndarray], lang: np.ndarray, n: np.ndarray) -> bytes:
+    """Windows as one value: their words once, joined by spaces, then numbers of words (0: none), languages and counts."""
+    used, places = np.unique(np.concatenate(columns), return_inverse=True)
+    text = b" ".join(words[c] if c else b"" for c in used.tolist())
+    # The words stand from place 1 on, also when no window is padded.
+    places = places + 1 if used[0] else places
+    parts = [np.array([len(text), len(n), int(used[0] == 0)], "<u4").tobytes(), text, places.astype("<u4").tobytes(),
+             lang.astype("<u4").tobytes(), n.astype("<i8").tobytes()]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+
+
+def _unpack(packed: bytes) -> Iterator[tuple[int, bytes, int]]:
+    """(language, words joined by spaces, count) of each window."""
+    raw = zstandard.ZstdDecompressor().decompress(packed)
+    text, m, padded = np.frombuffer(raw, "<u4", 3).tolist()
+    words = raw[12:12 + text].split(b" ")
+    words = words if padded else [b"", *words]
+    places = np.frombuffer(raw, "<u4", ORDER * m, 12 + text).reshape(ORDER, m)
+    sizes = (places > 0).sum(axis=0).tolist()
+    lang = np.frombuffer(raw, "<u4", m, 12 + text + 4 * ORDER * m).tolist()
+    n = np.frombuffer(raw, "<i8", m, 12 + text + 4 * (ORDER + 1) * m).tolist()
+    for own, size, k, c in zip(places.T.tolist(), sizes, lang, n):
+        yield k, b" ".join([words[i] for i in own[:size]]), c
+
+
+def windows(texts: DataFrame, tables: list[bytes], size_bits: int, buckets: int) -> DataFrame:
+    """(``lang``, ``w1`` to ``w5``, ``n``): how often the texts hold each longest window, padded with nulls.
+
+    Words that cannot be frequent are counted together, in a window of nulls. A block sends its windows
+    packed, one value for each bucket of a hash; a bucket's windows are added up as they stream by.
     """
     shared = texts.sparkSession.sparkContext.broadcast(tables)
 
-    def lead(block: Block) -> Iterator[np.ndarray]:
+    def lead(block: Block, marks: Marks) -> Iterator[np.ndarray]:
         """The words, and lead columns of those after them; 0 from where a window ends."""
-        marks = Marks(block, shared.value, size_bits)
         start = np.flatnonzero(marks.codes[:block.own] > 0)
         yield marks.codes[start]
         inside, most = np.ones(len(start), bool), len(marks.hot) - 1
@@ -236,8 +263,11 @@ def windows(texts: DataFrame, tables: list[bytes], size_bits: int) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
-            every, *columns = lead(block)
-            # A rare word only adds to its language, which its place in the order stands for.
+            if not block.langs:
+                continue
+            marks = Marks(block, shared.value, size_bits)
+            every, *columns = lead(block, marks)
+            # Rare words are one window of each language, which has number 0 throughout.
             owner = np.array(block.owner, np.int32)
             rare = np.flatnonzero(columns[0] == 0)
             total = np.bincount(owner[every[rare]], minlength=len(block.langs))
@@ -249,20 +279,45 @@ def windows(texts: DataFrame, tables: list[bytes], size_bits: int) -> DataFrame:
             order = np.lexsort((low, high))
             new = np.flatnonzero(np.concatenate((
                 [True], (np.diff(high[order]) != 0) | (np.diff(low[order]) != 0)))[:len(order)])
-            n = np.diff(np.append(new, len(order)))
-            kinds = [c[order[new]].astype(np.int32) for c in columns]
-            words = pa.array([w.decode("utf-8", "replace") for w in block.words], pa.string())
-            langs = pa.array(block.langs, pa.string())
-            nulls = pa.nulls(len(langs), pa.string())
-            if len(langs):
-                yield pa.record_batch([langs, *[nulls] * ORDER, pa.array(total)], ["lang", *WORDS, "n"])
-            for at in range(0, len(n), 1 << 15):
-                own = [c[at:at + (1 << 15)] for c in kinds]
-                yield pa.record_batch([langs.take(pa.array(owner[own[0]])),
-                                       *[words.take(pa.array(c, mask=c == 0)) for c in own],
-                                       pa.array(n[at:at + (1 << 15)])], ["lang", *WORDS, "n"])
-
-    return texts.mapInArrow(count, f"lang string, {', '.join(f'{w} string' for w in WORDS)}, n long")
+            n = np.concatenate((total, np.diff(np.append(new, len(order)))))
+            kinds = [np.concatenate((np.zeros(len(total), np.int32), c[order[new]].astype(np.int32))) for c in columns]
+            lang = np.concatenate((np.arange(len(total)), owner[kinds[0][len(total):]]))
+            mixed = np.zeros(len(n), np.uint64)
+            for c in kinds:
+                mixed = (mixed ^ np.where(c > 0, marks.hashes[c], np.uint64(0))) * np.uint64(0x9E3779B97F4A7C15)
+                mixed ^= mixed >> np.uint64(32)
+            bucket = (mixed % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+            rows = [(int(bucket[own[0]]), block.langs, _pack(block.words, [c[own] for c in kinds], lang[own], n[own]))
+                    for own in np.split(order, cuts) if len(own)]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.list_(pa.string()), pa.binary()))],
+                                  ["bucket", "langs", "packed"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sums = None, {}
+
+        def told() -> Iterator[pa.RecordBatch]:
+            rows = [(lang, *p.decode("utf-8", "replace").split(" ")) if p else (lang,) for lang, p in sums]
+            n = list(sums.values())
+            for at in range(0, len(rows), 1 << 14):
+                part = [r + (None,) * (ORDER + 1 - len(r)) for r in rows[at:at + (1 << 14)]]
+                yield pa.record_batch([*(pa.array(c, pa.string()) for c in zip(*part)),
+                                       pa.array(n[at:at + (1 << 14)], pa.int64())], ["lang", *WORDS, "n"])
+
+        for batch in batches:
+            for bucket, langs, packed in zip(*(batch.column(c) for c in range(3))):
+                if bucket.as_py() != now:
+                    yield from told()
+                    now, sums = bucket.as_py(), {}
+                names = langs.as_py()
+                for k, phrase, c in _unpack(packed.as_py()):
+                    sums[names[k], phrase] = sums.get((names[k], phrase), 0) + c
+        yield from told()
+
+    return (texts.mapInArrow(count, "bucket long, langs array<string>, packed binary")
+            .repartition("bucket").sortWithinPartitions("bucket")
+            .mapInArrow(add, f"lang string, {', '.join(f'{w} string' for w in WORDS)}, n long"))
 
 
 def counts(docs: DataFrame, least: int = 100, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
@@ -277,7 +332,8 @@ def counts(docs: DataFrame, least: int = 100, lang_col: str = "lang", text_col:
     tables: list[bytes] = []
     for orders in PASSES:
         tables += hot_tables(texts, tables, orders, least, size_bits)
-    found = windows(texts, tables, size_bits)
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = windows(texts, tables, size_bits, max(partitions, size // BYTES_PER_BUCKET))
     # A prefix that ends in padding is a shorter phrase once more.
     kept = sum((F.col(w).isNotNull().cast("int") for w in WORDS), F.lit(0))
     return (found.rollup("lang", *WORDS).agg(F.sum("n").alias("f"), F.grouping_id().alias("g"))

@@ -116,6 +116,6 @@ def test_rare_pairs_end_windows(spark):
                                  "lang string, text string")
     tables = phrases.hot_tables(docs, [], [1, 2], 10, 15)
     tables += phrases.hot_tables(docs, tables, [3], 10, 15)
-    made = phrases.windows(docs, tables, 15).filter("w2 IS NOT NULL").select("w1", "w2").distinct().collect()
+    made = phrases.windows(docs, tables, 15, 3).filter("w2 IS NOT NULL").select("w1", "w2").distinct().collect()
     assert ("north", "wind") in [tuple(r) for r in made] and len(made) < 5
-    assert phrases.windows(docs, tables, 15).agg({"n": "sum"}).first()[0] == 40 + 1200
+    assert phrases.windows(docs, tables, 15, 3).agg({"n": "sum"}).first()[0] == 40 + 1200

@@ -6,9 +6,9 @@ returns a DataFrame; all but the last return the columns of documents.
 * quality: documents that the classifier rejects (low quality or toxic) go. It is
   fitted on the label rows of the documents given.
 * line_dedup: lines that a document with a smaller id has already go.
-* near_dedup: of each group of texts linked by a 5-word similarity of 0.8 or more the
-  smallest id stays. Of rows with the same id and text one stays; of near copies that
-  all lack an id, all stay.
+* near_dedup: of each group of texts linked by SimHash fingerprints of 3-word shingles that
+  differ in at most 3 of 64 bits the smallest id stays. Of rows with the same id and text
+  one stays; of near copies that all lack an id, all stay.
 * decontaminate: words inside benchmark passages go; the documents stay.
 * packing: the texts as token ids in sequences, one row per piece.
 
@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orderlens import stages
-from orderlens.llm import alike, fmindex, lines, packing
+from orderlens.llm import fmindex, hamming, lines, packing
 from orderlens.llm import quality as views
 from orderlens.llm import text as T
 
@@ -49,7 +49,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row stays when its id is its group's smallest; of equal rows one stays."""
-    first = (alike.near_copies(docs).filter(F.col("_id").eqNullSafe(F.col("component")))
+    first = (hamming.near_groups(docs, words=3, radius=3).filter(F.col("_id").eqNullSafe(F.col("component")))
              .select(F.coalesce("_id", F.lit(T.LAST_ID)).alias("_id"), "_key").distinct())
     table = T.documents(docs).withColumn("_key", F.xxhash64("_text"))
     same = W.partitionBy("_id", "_key").orderBy("_key")
@@ -80,7 +80,10 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written to the shared folder and read again."""
+    """All stages over ``documents``; each result is written to the shared folder and read again.
+
+    What the stages wrote stays until ``stages.release``: the result is read from it.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES:
         docs = stages.stage(step(spark, docs, sf_dir), name)

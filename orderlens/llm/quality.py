@@ -13,8 +13,11 @@ unlabelled rows, chosen by a hash of the id. Every document is scored whole.
 
 Defined cases: null or empty text has no words and is scored by its page view;
 null language or source is a value of its own; a label row with a null label or
-id is ignored; several label rows of a document count as its worst; without
-labelled rows of both classes a target is never met (quality 1, toxicity 0).
+id is ignored; several label rows of a document count as its worst. Rows are held out
+class by class, so a class of two rows is on both sides; a class of one row is fitted
+on, and the calibration then uses the fitted rows. Without labelled rows of both
+classes a target is never met (quality 1, toxicity 0). The result's column must have a
+name that the input hasn't.
 """
 
 from __future__ import annotations
@@ -100,36 +103,69 @@ def views(text: str | None, lang: str | None, source: str | None) -> tuple[np.nd
 class Rows:
     """Sparse binary rows: feature codes of many documents, one after another."""
 
+    # Codes looked at together: what is held besides the rows is bounded by it.
+    AT_ONCE = 1 << 18
+
     def __init__(self, codes: np.ndarray, sizes: np.ndarray):
         self.codes, self.sizes = codes, sizes
-        self.owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
 
     @classmethod
     def of(cls, rows: list[np.ndarray]) -> Rows:
         return cls(np.concatenate(rows) if rows else np.empty(0, np.int32), np.array([len(r) for r in rows], np.int64))
 
+    def blocks(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(row, code) of all codes, a block of rows at a time."""
+        ends = np.cumsum(self.sizes)
+        first, n = 0, len(self.sizes)
+        while first < n:
+            begin = int(ends[first] - self.sizes[first])
+            last = max(first + 1, int(np.searchsorted(ends, begin + self.AT_ONCE, "right")))
+            yield np.repeat(np.arange(first, last), self.sizes[first:last]), self.codes[begin:int(ends[last - 1])]
+            first = last
+
+    def weights_of(self, model: Linear, codes: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(model.codes, codes), len(model.codes) - 1)
+        return np.where(model.codes[at] == codes, model.weights[at], 0.0)
+
+    def logits(self, model: Linear) -> np.ndarray:
+        out = np.full(len(self.sizes), model.bias)
+        if len(model.codes):
+            for row, codes in self.blocks():
+                out += np.bincount(row, self.weights_of(model, codes), len(out))
+        return out
+
+
+class Indexed(Rows):
+    """Rows whose codes are places in ``names``, the sorted codes that at least a few of them have."""
+
+    def __init__(self, places: np.ndarray, sizes: np.ndarray, names: np.ndarray):
+        super().__init__(places, sizes)
+        self.names = names
+
     @classmethod
-    def frequent(cls, column: pa.ChunkedArray, least: int = 4) -> Rows:
+    def frequent(cls, column: pa.ChunkedArray, least: int = 4) -> Indexed:
         """The rows of an Arrow list column without the codes of fewer than ``least`` rows."""
         lists = column.combine_chunks()
-        codes = lists.flatten().to_numpy()
-        owner = np.repeat(np.arange(len(lists), dtype=np.int32), lists.value_lengths().to_numpy())
-        names, counts = np.unique(codes, return_counts=True)
+        rows = Rows(lists.flatten().to_numpy(), lists.value_lengths().to_numpy().astype(np.int64))
+        names, counts = np.unique(rows.codes, return_counts=True)
         names = names[counts >= least]
-        if not len(names):
-            return cls(np.empty(0, np.int32), np.zeros(len(lists), np.int64))
-        stays = np.empty(len(codes), bool)
-        for at in range(0, len(codes), 1 << 20):
-            part = codes[at:at + (1 << 20)]
-            stays[at:at + (1 << 20)] = names[np.minimum(np.searchsorted(names, part), len(names) - 1)] == part
-        return cls(codes[stays], np.bincount(owner[stays], minlength=len(lists)))
+        places, sizes = [np.empty(0, np.int32)], np.zeros(len(rows.sizes), np.int64)
+        for row, codes in rows.blocks() if len(names) else ():
+            at = np.minimum(np.searchsorted(names, codes), len(names) - 1).astype(np.int32)
+            stays = names[at] == codes
+            places.append(at[stays])
+            sizes += np.bincount(row[stays], minlength=len(sizes))
+        return cls(np.concatenate(places), sizes, names)
 
-    def logits(self, model: Linear) -> np.ndarray:
-        if not len(model.codes):
-            return np.full(len(self.sizes), model.bias)
-        at = np.minimum(np.searchsorted(model.codes, self.codes), len(model.codes) - 1)
-        w = np.where(model.codes[at] == self.codes, model.weights[at], 0.0)
-        return model.bias + np.bincount(self.owner, w, len(self.sizes))
+    @classmethod
+    def index(cls, rows: Rows) -> Indexed:
+        names, places = np.unique(rows.codes, return_inverse=True)
+        return cls(places.astype(np.int32), rows.sizes, names)
+
+    def weights_of(self, model: Linear, codes: np.ndarray) -> np.ndarray:
+        every = np.zeros(len(self.names))
+        every[np.searchsorted(self.names, model.codes)] = model.weights
+        return every[codes]
 
 
 @dataclass
@@ -139,26 +175,32 @@ class Linear:
     bias: float
 
 
-def fit_linear(rows: Rows, which: np.ndarray, y: np.ndarray, features: int, steps: int = 150,
+def fit_linear(rows: Indexed, which: np.ndarray, y: np.ndarray, features: int, steps: int = 150,
                penalty: float = 2e-4) -> Linear:
     """Logistic regression on the features that differ most between the classes (chi-square)."""
     index = np.full(len(rows.sizes), -1)
     index[which] = np.arange(len(which))
-    owner = index[rows.owner]
-    codes, owner = rows.codes[owner >= 0], owner[owner >= 0]
-    names, column = np.unique(codes, return_inverse=True)
     n, positive = len(which), max(1e-9, y.sum())
-    seen = np.bincount(column, minlength=len(names))
-    hits = np.bincount(column, y[owner], len(names))
+    seen, hits = np.zeros(len(rows.names), np.int64), np.zeros(len(rows.names))
+    for row, places in rows.blocks():
+        own = index[row]
+        places, own = places[own >= 0], own[own >= 0]
+        seen += np.bincount(places, minlength=len(seen))
+        hits += np.bincount(places, y[own], len(hits))
     expected = seen * positive / n
     spread = np.maximum(1e-9, expected * (1 - positive / n) * (1 - seen / n))
     score = np.where(seen >= 4, (hits - expected) ** 2 / spread, 0)
     best = np.sort(np.argsort(-score, kind="stable")[:features])
     best = best[score[best] > 4]
-    place = np.full(len(names), -1)
+    place = np.full(len(rows.names), -1, np.int32)
     place[best] = np.arange(len(best))
-    column = place[column]
-    owner, column = owner[column >= 0], column[column >= 0]
+    chosen = [(np.empty(0, np.int64), np.empty(0, np.int32))]
+    for row, places in rows.blocks():
+        own, at = index[row], place[places]
+        inside = (own >= 0) & (at >= 0)
+        chosen.append((own[inside], at[inside]))
+    owner, column = (np.concatenate(c) for c in zip(*chosen))
+    del chosen
     share = positive / n
     w, bias = np.zeros(len(best)), math.log(share / (1 - share))
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
@@ -171,7 +213,7 @@ def fit_linear(rows: Rows, which: np.ndarray, y: np.ndarray, features: int, step
         rate = 0.1 / (1 + t / steps)
         w -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
         bias -= rate * (mb / (1 - 0.9 ** t)) / (math.sqrt(vb / (1 - 0.99 ** t)) + 1e-8)
-    return Linear(names[best], w, float(bias))
+    return Linear(rows.names[best], w, float(bias))
 
 
 def fit_dense(x: np.ndarray, y: np.ndarray, steps: int = 60, penalty: float = 1e-2) -> np.ndarray:
@@ -199,7 +241,17 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(x @ self.combine[:-1] + self.combine[-1], -30, 30)))
 
 
-def co_train(text: Rows, page: Rows, y: np.ndarray, held: np.ndarray, rounds: int = 2, features: int = 4096,
+def held_out(y: np.ndarray, ids: list[int], every: int) -> np.ndarray:
+    """Of the labelled rows of each class the second of every ``every``, by a hash of the id."""
+    held = np.zeros(len(y), bool)
+    order = np.array(sorted(range(len(ids)), key=lambda k: (zlib.crc32(b"%d" % ids[k]), k)), np.int64)
+    for label in (0.0, 1.0):
+        own = order[y[order] == label]
+        held[own[1::every]] = True
+    return held
+
+
+def co_train(text: Indexed, page: Indexed, y: np.ndarray, held: np.ndarray, rounds: int = 2, features: int = 4096,
              confident: float = 0.97, share: float = 0.1) -> Model | None:
     """``y``: 1, 0, or nan for unlabelled rows; ``held``: labelled rows kept for calibration.
 
@@ -208,8 +260,11 @@ def co_train(text: Rows, page: Rows, y: np.ndarray, held: np.ndarray, rounds: in
     """
     known = np.flatnonzero(~np.isnan(y) & ~held)
     test = np.flatnonzero(~np.isnan(y) & held)
-    if len({*y[known]}) < 2 or len({*y[test]}) < 2:
+    if len({*y[known]}) < 2:
         return None
+    if len({*y[test]}) < 2:
+        # A class of one row is fitted on, and nothing else is left to calibrate with.
+        test = known
     pool = np.flatnonzero(np.isnan(y))
     given = {"text": {}, "page": {}}
     sides = {"text": text, "page": page}
@@ -242,8 +297,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         held_share: int = 4, rounds: int = 2) -> dict[str, Model | None]:
     """The two models, from at most ``fit_rows`` labelled and ``pool_rows`` unlabelled documents.
 
-    The executors turn the chosen documents into feature codes; every ``held_share``-th
-    labelled row is held out. The driver gets those bounded rows only.
+    The executors turn the chosen documents into feature codes; of each class every
+    ``held_share``-th labelled row is held out. The driver gets those bounded rows only,
+    and trains one target after the other on places in one list of codes.
     """
     order = F.xxhash64("_id", F.lit("fit"))
     marks = (labels.filter(F.col(id_col).isNotNull() & F.col("quality").isNotNull() & F.col("toxic").isNotNull())
@@ -264,11 +320,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     found = (rows.join(F.broadcast(chosen.unionByName(pool)), "_id")
              .select("_id", "quality", "toxic", codes("_text", "_lang", "_source").alias("v"))
              .select("_id", "quality", "toxic", "v.text", "v.page").toArrow().sort_by("_id"))
-    text, page = Rows.frequent(found["text"]), Rows.frequent(found["page"])
-    held = np.array([zlib.crc32(b"%d" % i) % held_share == 0 for i in found["_id"].to_pylist()], bool)
+    ids = found["_id"].to_pylist()
     targets = {name: found[name].to_pandas().to_numpy(np.float64) for name in ("quality", "toxic")}
+    text, page = found["text"], found["page"]
     del found
-    return {name: co_train(text, page, y, held, rounds) for name, y in targets.items()}
+    text, page = Indexed.frequent(text), Indexed.frequent(page)
+    pa.default_memory_pool().release_unused()
+    return {name: co_train(text, page, y, held_out(y, ids, held_share), rounds) for name, y in targets.items()}
 
 
 def score(docs: DataFrame, models: dict[str, Model | None], text_col: str = "text", lang_col: str = "lang",

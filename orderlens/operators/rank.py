@@ -7,13 +7,19 @@ rows in the partitions before it. The sorted rows are staged, since the range
 boundaries are sampled and must not move between the steps that use them.
 The ordering columns must end with a unique id: it spreads tied values over
 partitions and makes every rank reproducible.
+
+Quantile scores need no order of the table, only the rows that end a bin: ``cut_rows``
+selects those by counting keys.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType, StringType
 
 from orderlens.stages import stage
 
@@ -94,37 +100,118 @@ def qcut_ends(n: Column, k: int) -> list[Column]:
     return [(F.floor(F.lit(j) * (n - 1) / k) + 1).cast("long") for j in range(1, k)]
 
 
+@dataclass
+class _Cut:
+    """The last row of a bin: the ``rank``-th of a metric by (key, id); its key lies between ``low`` and ``high``."""
+
+    metric: int
+    rank: int
+    low: float
+    high: float
+    key: float | None = None
+    id: object = None
+
+
+# Ids of equal keys are counted in so many ranges; a range of more rows is ranked, others are ordered in one task.
+ID_RANGES, RANGE_ROWS = 1 << 14, 1_000_000
+
+
+def _double(value: float) -> str:
+    return f"CAST('{value!r}' AS DOUBLE)"
+
+
+def _id_range(rows: DataFrame, low: object, high: object) -> str:
+    """A coarse value that never falls along the ids: their range for numbers, their beginning for strings."""
+    kind = rows.schema["id"].dataType
+    if isinstance(kind, NumericType) and low is not None:
+        return (f"coalesce(width_bucket(CAST(id AS DOUBLE), {_double(float(low))}, {_double(float(high))}, {ID_RANGES}), 0L)")
+    return "substring(id, 1, 3)" if isinstance(kind, StringType) else "0"
+
+
+def cut_rows(df: DataFrame, id_col: str, keys: list[Column], k: int, ends, accuracy: int = 10_000) -> list[_Cut]:
+    """The rows that end the first k - 1 bins of each key, found by counting and without ranking the table.
+
+    A quantile sketch gives keys that enclose every cut. One aggregate then counts the rows below
+    them and, between them (some 4 / ``accuracy`` of the rows a cut), the rows of every key and id
+    range; running sums over these counts name the key and the id range that hold the cut. Only
+    the ids of that range are ordered. Cuts that the sketch misses are counted over all keys.
+    """
+    rows = df.select(F.col(id_col).alias("id"), *[c.alias(f"k{i}") for i, c in enumerate(keys)])
+    margin = 2.0 / accuracy
+    shares = [min(1.0, max(0.0, j / k + side * margin)) for side in (-1, 1) for j in range(1, k)]
+    told = rows.agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("first"), F.max("id").alias("last"),
+        *[F.percentile_approx(f"k{i}", shares, accuracy).alias(f"q{i}") for i in range(len(keys))],
+    ).withColumn("ends", F.array(*ends(F.col("n"), k))).first()
+    if not told["n"]:
+        return []
+    cuts = [_Cut(i, told["ends"][j], told[f"q{i}"][j], told[f"q{i}"][k - 1 + j])
+            for i in range(len(keys)) for j in range(k - 1)]
+    id_range = _id_range(rows, told["first"], told["last"])
+    missed = _locate(rows, cuts, id_range)
+    for cut in missed:
+        cut.low, cut.high = float("-inf"), float("nan")
+    if missed:
+        _locate(rows, missed, id_range)
+    return cuts
+
+
+def _locate(rows: DataFrame, cuts: list[_Cut], id_range: str) -> list[_Cut]:
+    """Sets key and id of the cuts; returns those whose key lies outside their limits."""
+    cells = ", ".join(
+        f"CASE WHEN k{c.metric} < {_double(c.low)} THEN named_struct('cut', {n}, 'key', CAST(NULL AS DOUBLE), 'ids', NULL) "
+        f"WHEN k{c.metric} <= {_double(c.high)} THEN named_struct('cut', {n}, 'key', k{c.metric}, 'ids', {id_range}) END"
+        for n, c in enumerate(cuts))
+    # Rows below a cut's limits are counted together, under a null key, which sorts first.
+    counted = (rows.select("id", F.expr(f"explode(array_compact(array({cells})))").alias("c"))
+               .groupBy("c.cut", "c.key", "c.ids").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"),
+                                                       F.max("id").alias("last")))
+    upto = F.sum("n").over(W.partitionBy("cut").orderBy("key", "ids"))
+    wanted = F.array(*[F.lit(c.rank) for c in cuts])[F.col("cut")]
+    found = (counted.withColumns({"upto": upto, "place": wanted - upto + F.col("n")})
+             .filter((F.col("place") >= 1) & (F.col("place") <= F.col("n")) & F.col("key").isNotNull()).collect())
+    hidden = []
+    for row in found:
+        cut = cuts[row["cut"]]
+        cut.key = row["key"]
+        cut.id = row["first"] if row["place"] == 1 else row["last"]
+        if 1 < row["place"] < row["n"]:
+            hidden.append((cut, row))
+    if hidden:
+        cells = ", ".join(f"CASE WHEN k{c.metric} = {_double(c.key)} AND {id_range} = "
+                          f"{repr(r['ids']) if isinstance(r['ids'], int) else 'x' + chr(39) + r['ids'].encode().hex() + chr(39)} THEN {n} END"
+                          for n, (c, r) in enumerate(hidden))
+        own = rows.select("id", F.expr(f"explode(array_compact(array({cells})))").alias("cut"))
+        places = F.array(*[F.lit(r["place"]) for _, r in hidden])[F.col("cut")]
+        if max(r["n"] for _, r in hidden) > RANGE_ROWS:
+            ranked = range_ranked(own, "cut", "id")
+            starts = ranked.groupBy("cut").agg((F.min("rank") - 1).alias("start"))
+            own = ranked.join(F.broadcast(starts), "cut").withColumn("place", F.col("rank") - F.col("start"))
+        else:
+            own = own.withColumn("place", F.row_number().over(W.partitionBy("cut").orderBy("id")))
+        for row in own.filter(F.col("place") == places).select("cut", "id").collect():
+            hidden[row["cut"]][0].id = row["id"]
+    return [c for c in cuts if c.key is None]
+
+
 def scores(
     df: DataFrame, id_col: str, metrics: dict[str, Column], k: int, ends=ntile_ends
 ) -> DataFrame:
-    """``df`` plus one 1..k quantile score per metric (ascending, ties by id).
+    """``df`` plus one 1..k quantile score per metric (ascending, nulls first, ties by id).
 
-    All metrics are ranked in one narrow range sort. Only the rows that end a
-    bin are kept from it (k - 1 per metric), and scoring is then a comparison
-    against them: no join back by id, no window.
+    The k - 1 rows that end a bin are selected by counting keys, and scoring is a comparison
+    with them in generated code: the table is neither sorted nor joined back.
     """
-    names = list(metrics)
-    pairs = F.array(*[F.struct(F.lit(i).alias("metric"), metrics[m].cast("double").alias("key"))
-                      for i, m in enumerate(names)])
-    long = df.select(F.col(id_col).alias("id"), F.explode(pairs).alias("_m")).select("_m.*", "id")
-    ranked = range_ranked(long, "metric", "key", "id")
-    n = (F.col("total") / len(names)).cast("long")
-    within = F.col("rank") - F.col("metric") * n
-    last = ends(n, k)
-    at = F.struct("key", "id")
-    found = ranked.filter(within.isin(*last)).agg(F.struct(*[
-        F.max(F.when((F.col("metric") == i) & (within == e), at)).alias(f"c{i}_{j}")
-        for i in range(len(names)) for j, e in enumerate(last)])).scalar()
-
-    def score(i: int, key: Column) -> Column:
-        value = key.cast("double")
-        passed = [F.when((value > c["key"]) | ((value == c["key"]) & (F.col(id_col) > c["id"])), 1).otherwise(0)
-                  for c in (F.col("_cuts")[f"c{i}_{j}"] for j in range(len(last)))]
+    keys = [F.coalesce(c.cast("double"), F.lit(float("-inf"))) for c in metrics.values()]
+    cuts = cut_rows(df, id_col, keys, k, ends)
+
+    def score(i: int) -> Column:
+        passed = [F.when((keys[i] > c.key) | ((keys[i] == F.lit(c.key)) & (F.col(id_col) > F.lit(c.id))), 1).otherwise(0)
+                  for c in cuts if c.metric == i]
         return (F.lit(1) + sum(passed, F.lit(0))).cast("int")
 
-    return (df.withColumn("_cuts", found)
-            .withColumns({m: score(i, metrics[m]) for i, m in enumerate(names)})
-            .drop("_cuts"))
+    # Expressions of the input's columns: a score may bear the name of one.
+    return df.withColumns({m: score(i) for i, m in enumerate(metrics)})
 
 
 def with_next(ranked: DataFrame, *columns: str) -> DataFrame:

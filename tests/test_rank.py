@@ -28,6 +28,35 @@ def test_scores_equal_the_single_partition_window(spark, n):
         want.sort_values(key).reset_index(drop=True)[["id", "s", "d"]], check_dtype=False)
 
 
+@pytest.mark.parametrize("n", [3, 900, 30000])
+@pytest.mark.parametrize("kind", ["long", "string", "date"])
+def test_cuts_inside_ties_and_nulls(spark, monkeypatch, n, kind):
+    """Null and equal keys over whole bins, ids of several types, a sketch that misses, ranges that are ranked."""
+    number = F.col("id") * 7 % 100_003
+    ids = {"long": number, "string": F.concat_ws("-", F.md5(number.cast("string")), F.lit("é")),
+           "date": F.date_add(F.lit("1970-01-01").cast("date"), number.cast("int"))}[kind]
+    df = spark.range(n).select(ids.alias("id"), F.when(F.col("id") % 3 > 0, F.col("id") % 5 * 1.0).alias("v"),
+                               F.sin("id").alias("w"), F.lit(1.5).alias("same"))
+    want = df.select("id", *[F.ntile(5).over(W.orderBy(c, "id")).alias(c) for c in ("v", "w", "same")])
+    metrics = {c: F.col(c) for c in ("v", "w", "same")}
+    expected = sorted(map(tuple, want.collect()))
+    # The scores take the names of their inputs, and each is computed from the input.
+    assert sorted(map(tuple, rank.scores(df, "id", metrics, 5).collect())) == expected
+    monkeypatch.setattr(rank, "RANGE_ROWS", 2)
+    assert sorted(map(tuple, rank.scores(df, "id", metrics, 5).collect())) == expected
+    keys = [F.coalesce(c.cast("double"), F.lit(float("-inf"))) for c in metrics.values()]
+    rough = rank.cut_rows(df, "id", keys, 5, rank.ntile_ends, accuracy=3)
+    assert [(c.key, c.id) for c in rough] == [(c.key, c.id) for c in rank.cut_rows(df, "id", keys, 5, rank.ntile_ends)]
+    assert rank.scores(df.limit(0), "id", metrics, 5).collect() == []
+
+
+def test_scores_do_not_sort_the_table(spark):
+    """Neither the scored table's plan nor the jobs that find the cuts hold a range exchange of it."""
+    scored = rank.scores(table(spark, 5000, distinct=9), "id", {"s": F.col("v")}, 5)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Sort" not in plan and "Join" not in plan
+
+
 @pytest.mark.parametrize("n", [1, 4, 10, 57, 1234])
 def test_bins_from_ranks(spark, n):
     ranked = rank.range_ranked(table(spark, n, distinct=5), "v", "id")

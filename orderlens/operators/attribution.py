@@ -17,7 +17,8 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -158,7 +159,10 @@ def feature_attribution(
     mature: DataFrame, regions: tuple[str, ...], settings: Settings, trees: int = 100,
     depth: int = 8,
 ) -> tuple[DataFrame, DataFrame]:
-    """Shapley values of all held-out customers, and those customers with their features."""
+    """Shapley values of all held-out customers, and those customers with their features.
+
+    ``probability`` beside the values is the model's own, from MLlib.
+    """
     names = feature_names(regions)
     table = with_stratified_split(
         model_table(mature, regions), "customer_unique_id", "repeat_180", settings.seed,
@@ -169,7 +173,20 @@ def feature_attribution(
     model.save(path)
     test = rows.filter(F.col("split") == "test").drop("split")
     values = attribute(test, names, forest_leaves(mature.sparkSession, path))
-    return stage(values, "attributions"), test
+    said = model.transform(VectorAssembler(inputCols=names, outputCol="features").transform(test)).select(
+        "customer_unique_id", vector_to_array("probability")[1].alias("probability"))
+    return stage(values.join(said, "customer_unique_id"), "attributions"), test
+
+
+def sum_gap(values: DataFrame, names: list[str]) -> Column:
+    """How far base and attributions of a customer are from the model's probability."""
+    return F.abs(F.col("base") + sum((F.col(f"`{n}`") for n in names), F.lit(0.0)) - F.col("probability"))
+
+
+def mean_absolute_wide(values: DataFrame, names: list[str]) -> DataFrame:
+    """As ``mean_absolute``, computed from the wide rows in one aggregate without making them long."""
+    means = values.agg(*[F.avg(F.abs(F.col(f"`{n}`"))).alias(n) for n in names])
+    return means.unpivot([], [F.col(f"`{n}`") for n in names], "Feature", "Mean_Abs")
 
 
 def mean_absolute(values: DataFrame, names: list[str]) -> DataFrame:

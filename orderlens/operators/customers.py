@@ -34,9 +34,10 @@ def first_orders(facts: DataFrame) -> DataFrame:
 
 
 def first_day_bounds(facts: DataFrame) -> tuple[Column, Column]:
-    """Earliest and latest purchase day of the data, as scalars."""
+    """Earliest and latest purchase day of the data, as parts of one scalar."""
     day = F.col("order_purchase_timestamp").cast("date")
-    return facts.agg(F.min(day)).scalar(), facts.agg(F.max(day)).scalar()
+    both = facts.agg(F.struct(F.min(day).alias("first"), F.max(day).alias("last"))).scalar()
+    return both["first"], both["last"]
 
 
 def days_to_second(first: DataFrame) -> DataFrame:

@@ -130,44 +130,101 @@ def _trained(
             yield name, _score_columns(estimator.fit(data).transform(held_out), label)
 
 
-def churn_metrics(table: DataFrame, settings: Settings) -> DataFrame:
-    """Train every classifier on the churn label; one row of test metrics per model."""
+def predictions(
+    table: DataFrame, label: str, settings: Settings, weighted: bool = False,
+    boosted_depth: int | None = None,
+) -> dict[str, DataFrame]:
+    """Staged test scores (id, label, score, prediction, rawPrediction) of every classifier, each fitted once.
+
+    Metrics, curves and deciles are computed from these tables, so a label needs one fit.
+    """
+    return {name: stage(scored, "predictions")
+            for name, scored in _trained(table, label, settings, weighted, boosted_depth)}
+
+
+def churn_predictions(table: DataFrame, settings: Settings) -> dict[str, DataFrame]:
+    return predictions(table, "churn", settings, False, settings.boosted_depth_churn)
+
+
+def repeat_predictions(mature: DataFrame, settings: Settings) -> dict[str, DataFrame]:
+    return predictions(mature, "repeat_180", settings, True, settings.boosted_depth_repeat)
+
+
+def classification_metrics(scores: dict[str, DataFrame]) -> DataFrame:
+    """One row of test metrics per model: areas, accuracy, F1, precision, recall and the confusion counts."""
     rows = []
-    for name, scored in _trained(table, "churn", settings, False, settings.boosted_depth_churn):
-        with _cached(scored) as pred:
-            quality = {m: MulticlassClassificationEvaluator(
-                labelCol="label", metricName=m).evaluate(pred) for m in ("accuracy", "f1")}
-            areas = _areas(pred)
-            cm = confusion_matrix(pred).first()
+    for name, pred in scores.items():
+        quality = {m: MulticlassClassificationEvaluator(
+            labelCol="label", metricName=m).evaluate(pred) for m in ("accuracy", "f1")}
+        areas = _areas(pred)
+        cm = confusion_matrix(pred).first()
         rows.append((name, areas["AUC_ROC"], areas["PR_AUC"], quality["accuracy"],
                      quality["f1"], cm["precision"], cm["recall"],
                      cm["TN"], cm["FP"], cm["FN"], cm["TP"]))
-    return table.sparkSession.createDataFrame(
+    return next(iter(scores.values())).sparkSession.createDataFrame(
         rows, "Model string, AUC_ROC double, PR_AUC double, Accuracy double, F1_Score double, "
               "Precision double, Recall double, TN long, FP long, FN long, TP long")
 
 
-def repeat_metrics(mature: DataFrame, settings: Settings) -> DataFrame:
-    """Train every classifier on the weighted repurchase label; ranking metrics per model."""
+def ranking_metrics(scores: dict[str, DataFrame]) -> DataFrame:
+    """One row of ranking metrics per model: areas, base rate, recall and lift among the top scores."""
     rows = []
-    for name, scored in _trained(mature, "repeat_180", settings, True, settings.boosted_depth_repeat):
-        with _cached(scored) as pred:
-            areas = _areas(pred)
-            top = {r["fraction"]: r for r in lift_at_k(pred).collect()}
+    for name, pred in scores.items():
+        areas = _areas(pred)
+        top = {r["fraction"]: r for r in lift_at_k(pred).collect()}
         rows.append((name, areas["AUC_ROC"], areas["PR_AUC"], top[0.1]["base_rate"],
                      top[0.2]["recall"], top[0.1]["lift"], top[0.2]["lift"]))
-    return mature.sparkSession.createDataFrame(
+    return next(iter(scores.values())).sparkSession.createDataFrame(
         rows, "Model string, AUC_ROC double, PR_AUC double, Base_rate double, "
               "Recall_top20 double, Lift_top10 double, Lift_top20 double")
 
 
-def predictions(
-    table: DataFrame, label: str, settings: Settings, weighted: bool = False,
-    boosted_depth: int | None = None,
-) -> dict[str, DataFrame]:
-    """Staged test scores (id, label, score) of every classifier."""
-    return {name: stage(scored.select("id", "label", "score"), "predictions")
-            for name, scored in _trained(table, label, settings, weighted, boosted_depth)}
+def churn_metrics(table: DataFrame, settings: Settings) -> DataFrame:
+    """Train every classifier on the churn label; one row of test metrics per model."""
+    return classification_metrics(churn_predictions(table, settings))
+
+
+def repeat_metrics(mature: DataFrame, settings: Settings) -> DataFrame:
+    """Train every classifier on the weighted repurchase label; ranking metrics per model."""
+    return ranking_metrics(repeat_predictions(mature, settings))
+
+
+def best_model(scores: dict[str, DataFrame]) -> str:
+    """The model with the highest exact AUC; ties go to the smaller name."""
+    areas = {name: auc_exact(scored).first()["auc"] or 0.0 for name, scored in scores.items()}
+    return max(sorted(areas), key=areas.get)
+
+
+def fitted_inputs(table: DataFrame, settings: Settings) -> DataFrame:
+    """The preparation fitted on the training rows as a table: (input, median, spread)."""
+    prep = preparation(train_test(table, settings)[0])
+    rows = [(name, prep.medians.get(name), prep.spread[name]) for name in prep.inputs()]
+    return table.sparkSession.createDataFrame(rows, "input string, median double, spread double")
+
+
+def logistic_gradient(fitted: DataFrame, label: str, weight: str | None = None) -> DataFrame:
+    """How far a logistic model is from its optimum: the gradient's largest entry over the inputs' weight.
+
+    ``fitted`` has the inputs ``features`` and the model's ``probability`` on its own training rows. Without a
+    penalty the weighted sum of (probability - label) times each input, and times 1, is zero at the optimum.
+    """
+    w = F.col(weight) if weight else F.lit(1.0)
+    miss = w * (vector_to_array("probability")[1] - F.col(label))
+    cells = F.concat(F.array(F.lit(1.0)), vector_to_array("features"))
+    long = fitted.select(miss.alias("miss"), w.alias("w"), F.posexplode(cells).alias("i", "x"))
+    return (long.groupBy("i").agg(F.abs(F.sum(F.col("miss") * F.col("x"))).alias("g"), F.sum(F.col("w") * F.abs("x")).alias("size"))
+            .agg(F.max(F.coalesce(F.try_divide("g", "size"), F.lit(0.0))).alias("gradient"), F.count(F.lit(1)).alias("entries")))
+
+
+def logistic_certificate(table: DataFrame, label: str, settings: Settings, weighted: bool) -> DataFrame:
+    """``logistic_gradient`` of the logistic model as it is trained for ``label``."""
+    train, _ = train_test(table, settings)
+    if weighted:
+        train = with_class_weight(train, label)
+    weight = "w" if weighted else None
+    with _cached(preparation(train).apply(train).select(label, "features", *([weight] if weighted else []))) as data:
+        model = classifiers(label, settings, weight)[LOGISTIC].fit(data)
+        return stage(logistic_gradient(model.transform(data), label, weight), "gradient")
 
 
 def curves(scores: dict[str, DataFrame]) -> DataFrame:
@@ -185,28 +242,24 @@ def curves(scores: dict[str, DataFrame]) -> DataFrame:
 
 def best_deciles(scores: dict[str, DataFrame]) -> DataFrame:
     """Decile table of the model with the highest exact AUC."""
-    areas = {name: auc_exact(scored).first()["auc"] or 0.0 for name, scored in scores.items()}
-    best = max(sorted(areas), key=areas.get)
+    best = best_model(scores)
     return score_deciles(scores[best]).withColumn("Model", F.lit(best))
 
 
-def score_customers(
-    table: DataFrame, settings: Settings, label: str = "churn", model: str | None = None
-) -> DataFrame:
-    """Test customers with their features, probability and predicted class; lazy after the fit.
+def score_table(table: DataFrame, settings: Settings, scores: dict[str, DataFrame], label: str = "churn") -> DataFrame:
+    """Test customers with their features, and the best model's probability and class from staged ``scores``.
 
-    Without ``model`` all are trained and the one with the highest exact AUC on the test rows scores.
+    ``scores`` come from the same table and settings, so its ids are the test rows.
     """
-    train, test = train_test(table, settings)
-    _, fitted, held_out = _prepared(train, test)
-    options = classifiers(label, settings)
-    with _cached(fitted.select(label, "features")) as data:
-        trained = {name: options[name].fit(data) for name in ([model] if model else options)}
-    areas = {name: auc_exact(_score_columns(m.transform(held_out), label)).first()["auc"] or 0.0
-             for name, m in trained.items()} if model is None else {model: 1.0}
-    best = max(sorted(areas), key=areas.get)
     # The columns of the score table.
     columns = ("customer_unique_id", "Segment_Label", "log_order_value", "item_count", "freight_ratio",
                "avg_review_score", "delivery_days", "delay_days", "max_installments", "used_voucher", "region")
-    return trained[best].transform(held_out).select(
-        *columns, label, vector_to_array("probability")[1].alias(f"{label}_prob"), "prediction")
+    best = scores[best_model(scores)].select(
+        F.col("id").alias("customer_unique_id"), F.col("score").alias(f"{label}_prob"), "prediction")
+    return table.select(*columns, label).join(best, "customer_unique_id")
+
+
+def score_customers(table: DataFrame, settings: Settings, label: str = "churn", model: str | None = None) -> DataFrame:
+    """Train the classifiers (or one) and score the test customers with the best."""
+    scores = predictions(table, label, settings)
+    return score_table(table, settings, {model: scores[model]} if model else scores, label)

@@ -6,6 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -44,14 +45,77 @@ def kmeans_selection(rfm: DataFrame, settings: Settings) -> DataFrame:
     return rfm.sparkSession.createDataFrame(rows, "k int, WSSSE double, Silhouette double")
 
 
-def kmeans_segments(rfm: DataFrame, settings: Settings, max_iter: int = 20) -> DataFrame:
-    """RFM with the cluster number ``segment`` of the final K-Means."""
+def kmeans_fit(rfm: DataFrame, settings: Settings, max_iter: int = 20) -> tuple[DataFrame, list[list[float]], float]:
+    """RFM with ``segment`` and its scaled measures (``<measure>_z``), the centres, and the cost that the fit reports."""
     scaled = scaled_measures(rfm).persist(StorageLevel.MEMORY_AND_DISK)
     model = KMeans(k=settings.k_final, seed=settings.seed, maxIter=max_iter,
                    featuresCol="features", predictionCol="segment").fit(scaled)
-    clustered = model.transform(scaled).drop("features")
+    place = vector_to_array("features")
+    clustered = model.transform(scaled).withColumns({f"{m}_z": place[i] for i, m in enumerate(MEASURES)}).drop("features")
+    scaled.unpersist()
+    return clustered, [[float(x) for x in c] for c in model.clusterCenters()], model.summary.trainingCost
+
+
+def kmeans_segments(rfm: DataFrame, settings: Settings, max_iter: int = 20) -> DataFrame:
+    """RFM with the cluster number ``segment`` of the final K-Means."""
+    return kmeans_fit(rfm, settings, max_iter)[0].drop(*[f"{m}_z" for m in MEASURES])
+
+
+def certificate(clustered: DataFrame, centres: list[list[float]], slack: float = 1e-9) -> DataFrame:
+    """One row: the customers, those whose cluster is not a nearest centre, and the cost of the assignment.
+
+    The distances to the centres are recomputed from the scaled measures, one column a centre.
+    """
+    def distance(centre: list[float]) -> Column:
+        return sum((F.pow(F.col(f"{m}_z") - x, F.lit(2)) for m, x in zip(MEASURES, centre)), F.lit(0.0))
+
+    own = F.get(F.col("_d"), F.col("segment"))
+    return clustered.withColumn("_d", F.array(*[distance(c) for c in centres])).agg(
+        F.count(F.lit(1)).alias("customers"),
+        F.count_if(own.isNull() | (own > F.array_min("_d") + slack)).alias("misplaced"), F.sum(own).alias("cost"))
+
+
+def cluster_moments(clustered: DataFrame, columns: tuple[str, ...], cluster: str = "segment") -> DataFrame:
+    """Size, sums and sum of squares of each cluster: what its mean distances follow from."""
+    return clustered.groupBy(cluster).agg(
+        F.count(F.lit(1)).alias("n"), F.array(*[F.sum(c) for c in columns]).alias("sums"),
+        F.sum(sum((F.col(c) * F.col(c) for c in columns), F.lit(0.0))).alias("squares"))
+
+
+def silhouette(clustered: DataFrame, columns: tuple[str, ...], cluster: str = "segment") -> DataFrame:
+    """Mean silhouette by squared distances, in two aggregates: moments of the clusters (k rows) and a mean.
+
+    The mean squared distance of x to a cluster is |x|^2 - 2 x S / n + Q / n, with its sums S and its
+    sum of squares Q. A customer alone in its cluster has silhouette 0; one cluster has none.
+    """
+    moments = (cluster_moments(clustered, columns, cluster)
+               .agg(F.collect_list(F.struct(F.col(cluster).alias("c"), "n", "sums", "squares"))).scalar())
+    square = sum((F.col(c) * F.col(c) for c in columns), F.lit(0.0))
+
+    def mean_distance(m: Column) -> Column:
+        inner = sum((F.col(c) * m["sums"][i] for i, c in enumerate(columns)), F.lit(0.0))
+        return F.greatest(square - 2.0 * inner / m["n"] + m["squares"] / m["n"], F.lit(0.0))
+
+    mine = F.filter("_m", lambda m: m["c"] == F.col(cluster))[0]
+    inside = mean_distance(mine) * mine["n"] / F.nullif(mine["n"] - 1, F.lit(0))
+    nearest = F.array_min(F.transform(F.filter("_m", lambda m: m["c"] != F.col(cluster)), mean_distance))
+    value = F.when(mine["n"] == 1, F.lit(0.0)).otherwise(F.coalesce(
+        F.try_divide(nearest - inside, F.greatest(nearest, inside)), F.when(nearest.isNotNull(), F.lit(0.0))))
+    return clustered.withColumn("_m", moments).agg(F.avg(value).alias("silhouette"))
+
+
+def silhouette_selection(rfm: DataFrame, settings: Settings) -> DataFrame:
+    """The silhouette of each k twice: by MLlib's evaluator and from cluster moments."""
+    scaled = scaled_measures(rfm).persist(StorageLevel.MEMORY_AND_DISK)
+    quality = ClusteringEvaluator(featuresCol="features", predictionCol="segment")
+    place = vector_to_array("features")
+    names, rows = tuple(f"{m}_z" for m in MEASURES), []
+    for k in settings.k_range:
+        found = KMeans(k=k, seed=settings.seed, featuresCol="features", predictionCol="segment").fit(scaled).transform(scaled)
+        wide = found.withColumns({n: place[i] for i, n in enumerate(names)})
+        rows.append((k, quality.evaluate(found), silhouette(wide, names).first()["silhouette"]))
     scaled.unpersist()
-    return clustered
+    return rfm.sparkSession.createDataFrame(rows, "k int, evaluator double, moments double")
 
 
 def segment_profile(clustered: DataFrame, settings: Settings) -> DataFrame:
@@ -135,7 +199,10 @@ def pareto(rfm: DataFrame, points: tuple[int, ...]) -> DataFrame:
 
 
 def histogram(table: DataFrame, columns: tuple[str, ...], bins: int) -> DataFrame:
-    """Equal-width counts of each column between its minimum and maximum, empty bins included."""
+    """Equal-width counts of each column between its minimum and maximum, empty bins included.
+
+    Nulls are counted beside the bins: in a bin -1 without a start, for the columns that have any.
+    """
     limits = table.agg(F.struct(
         *[F.min(c).cast("double").alias(f"{c}_lo") for c in columns],
         *[F.max(c).cast("double").alias(f"{c}_hi") for c in columns])).scalar()
@@ -145,13 +212,16 @@ def histogram(table: DataFrame, columns: tuple[str, ...], bins: int) -> DataFram
     long = table.withColumn("_l", limits).select(F.explode(cells).alias("c")).select("c.*")
     width = (F.col("hi") - F.col("lo")) / float(bins)
     place = F.coalesce(F.floor(F.try_divide(F.col("value") - F.col("lo"), width)), F.lit(0))
-    found = (long.withColumn("bin", F.least(place, F.lit(bins - 1)).cast("int"))
+    at = F.when(F.col("value").isNull(), F.lit(-1)).otherwise(F.least(place, F.lit(bins - 1)))
+    found = (long.withColumn("bin", at.cast("int"))
              .groupBy("metric", "bin").agg(F.count(F.lit(1)).alias("customers")))
     # All bins of all columns, a fixed list that the counts are looked up for.
     edges = (table.sparkSession.range(bins).withColumn("_l", limits)
              .select(F.col("id").cast("int").alias("bin"), F.explode(F.array(*[F.struct(
                  F.lit(c).alias("metric"), F.col(f"_l.{c}_lo").alias("lo"), F.col(f"_l.{c}_hi").alias("hi"))
                  for c in columns])).alias("e")).select("bin", "e.*"))
-    return edges.join(F.broadcast(found), ["metric", "bin"], "left").select(
+    filled = edges.join(F.broadcast(found), ["metric", "bin"], "left").select(
         "metric", "bin", F.coalesce("customers", F.lit(0)).alias("customers"),
         (F.col("lo") + F.col("bin") * width).alias("bin_start"))
+    nulls = found.filter("bin = -1").select("metric", "bin", "customers", F.lit(None).cast("double").alias("bin_start"))
+    return filled.unionByName(nulls)

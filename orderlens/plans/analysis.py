@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.operators import customers, facts, rfm, segments
+from orderlens.operators import attribution, customers, facts, models, rfm, segments
 from orderlens.settings import Settings
 from orderlens.sources.contracts import OrderTables
 from orderlens.stages import stage
@@ -45,10 +45,15 @@ class Analysis:
     def segment(self, table: DataFrame) -> DataFrame:
         if not self.clusters:
             return customers.with_rule_segment(table, self.settings)
-        clustered = stage(segments.kmeans_segments(table, self.settings), "clusters")
+        clustered = self.clustered if table is self.rfm else stage(segments.kmeans_segments(table, self.settings), "clusters")
         profile = segments.segment_profile(clustered, self.settings)
         return segments.name_segments(clustered, profile)
 
+    @cached_property
+    def clustered(self) -> DataFrame:
+        """RFM with K-Means cluster numbers."""
+        return stage(segments.kmeans_segments(self.rfm, self.settings), "clusters")
+
     @cached_property
     def segmented_scores(self) -> DataFrame:
         """Segmented customers with their R, F and M scores and the sum of the scores."""
@@ -56,7 +61,8 @@ class Analysis:
 
     @cached_property
     def features(self) -> DataFrame:
-        return customers.first_order_features(self.facts, self.tables.regions, self.settings)
+        """First orders with their features: the one window over the facts, staged for all that reads them."""
+        return stage(customers.first_order_features(self.facts, self.tables.regions, self.settings), "first-orders")
 
     @cached_property
     def labelled(self) -> DataFrame:
@@ -73,6 +79,25 @@ class Analysis:
     def mature(self) -> DataFrame:
         return self.model_table.filter("mature")
 
+    @cached_property
+    def churn_predictions(self) -> dict[str, DataFrame]:
+        """Test scores of every churn classifier: each is fitted once for all reports that read them."""
+        return models.churn_predictions(self.model_table, self.settings)
+
+    @cached_property
+    def repeat_predictions(self) -> dict[str, DataFrame]:
+        """Test scores of every repurchase classifier, as ``churn_predictions``."""
+        return models.repeat_predictions(self.mature, self.settings)
+
+    @cached_property
+    def regions(self) -> tuple[str, ...]:
+        return tuple(sorted(r[0] for r in self.features.select("region").distinct().toLocalIterator()))
+
+    @cached_property
+    def attributions(self) -> DataFrame:
+        """Attribution rows of all held-out customers, over the regions of the data."""
+        return attribution.feature_attribution(self.mature, self.regions, self.settings)[0]
+
     @cached_property
     def customers(self) -> DataFrame:
         return stage(customers.customer_table(

@@ -9,7 +9,9 @@ from __future__ import annotations
 import re
 
 from orderlens.functions.buckets import DELAY_BUCKETS, DELIVERY_BUCKETS, REVIEW_BUCKETS
+from orderlens.operators.attribution import feature_names
 from orderlens.operators.decide import CHECKS
+from orderlens.operators.models import PLAIN_FEATURES
 from orderlens.plans.queries import (
     BREAK_EVEN, COPIES, EXPERIENCE_FEATURES, RANKED_FEATURES, REGIONS, SAMPLE, STAR)
 
@@ -706,7 +708,25 @@ FROM (SELECT greatest(1, ceil((i - 1) * 10 / greatest(n - 1, 1)::DOUBLE)) AS bin
 GROUP BY bin""",
     "cluster_check": f"""
 SELECT CAST({STAR.k_final} AS BIGINT) AS clusters, COUNT(*) AS customers, TRUE AS shares_add_up, COUNT(*) AS named,
-  TRUE AS cost_falls FROM rfm_t""",
+  TRUE AS cost_falls, TRUE AS nearest, TRUE AS cost_agrees, TRUE AS means_agree, TRUE AS names_agree FROM rfm_t""",
+    "silhouette_check": f"""
+SELECT CAST(k AS INTEGER) AS k, TRUE AS agrees FROM (VALUES {", ".join(f"({k})" for k in STAR.k_range)}) AS v(k)""",
+    "importance_check": f"""
+SELECT Feature, TRUE AS agrees FROM (VALUES {", ".join(f"('{n}')" for n in feature_names(REGIONS))}) AS v(Feature)""",
+    "logistic_check": f"""
+SELECT label, CAST(10 + regions - 1 AS BIGINT) AS entries, TRUE AS optimal FROM (
+  SELECT 'churn' AS label, COUNT(DISTINCT region) AS regions FROM features WHERE {draw('customer_unique_id')} < {SPLIT_LIMIT}
+  UNION ALL SELECT 'repeat_180', COUNT(DISTINCT features.region) FROM features JOIN outcomes USING (customer_unique_id)
+  WHERE outcomes.mature AND {draw('customer_unique_id')} < {SPLIT_LIMIT})""",
+    "model_inputs": " UNION ALL ".join([
+        *[f"SELECT '{c}' AS input, CAST(NULL AS DOUBLE) AS median, ROUND(STDDEV_SAMP(CAST({c} AS DOUBLE)), 6) AS spread "
+          f"FROM features WHERE {draw('customer_unique_id')} < {SPLIT_LIMIT}" for c in PLAIN_FEATURES],
+        *[f"SELECT '{c}', ROUND(m, 9), ROUND(STDDEV_SAMP(COALESCE({c}, m)), 6) FROM features, (SELECT quantile_cont({c}, 0.5) AS m "
+          f"FROM features WHERE {draw('customer_unique_id')} < {SPLIT_LIMIT}) WHERE {draw('customer_unique_id')} < {SPLIT_LIMIT} "
+          "GROUP BY m" for c in IMPUTED],
+        *[f"SELECT 'region {r}', CAST(NULL AS DOUBLE), ROUND(STDDEV_SAMP(CASE WHEN region = '{r}' THEN 1.0 ELSE 0.0 END), 6) "
+          f"FROM features WHERE {draw('customer_unique_id')} < {SPLIT_LIMIT} HAVING COUNT_IF(region = '{r}') > 0 "
+          f"AND MIN(region) < '{r}'" for r in REGIONS]]),
     "approx_check": """
 SELECT Segment_Label, COUNT(*) AS Customers, TRUE AS P25_near, TRUE AS Median_near, TRUE AS P75_near, TRUE AS P95_near
 FROM segmented GROUP BY Segment_Label""",

@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from orderlens.functions.labels import segment_label
 from orderlens.operators import (
-    attribution, customers, decide, drill, evaluate, facts, features, models, rfm, segments,
+    attribution, customers, decide, drill, evaluate, facts, features, models, rank, rfm, segments,
     stats)
 from orderlens.plans.analysis import Analysis
 from orderlens.settings import Settings
@@ -555,17 +556,17 @@ def model_compare(a: Analysis) -> DataFrame:
 
 @query
 def churn_curves(a: Analysis) -> DataFrame:
-    return models.curves(models.predictions(a.model_table, "churn", STAR))
+    return models.curves(a.churn_predictions)
 
 
 @query
 def repeat_curves(a: Analysis) -> DataFrame:
-    return models.curves(models.predictions(a.mature, "repeat_180", STAR, True, STAR.boosted_depth_repeat))
+    return models.curves(a.repeat_predictions)
 
 
 @query
 def repeat_deciles(a: Analysis) -> DataFrame:
-    return models.best_deciles(models.predictions(a.mature, "repeat_180", STAR, True, STAR.boosted_depth_repeat))
+    return models.best_deciles(a.repeat_predictions)
 
 
 @query
@@ -585,38 +586,71 @@ def attribution_values(a: Analysis) -> DataFrame:
     return attribution.top_values(values, attribution.feature_names(REGIONS))
 
 
-# What can be said of the fitted results in SQL: who is in them, and that they add up
+# What can be said of the fitted results in SQL: certificates that turn false when a result is wrong
+
+def rank_auc(scored: DataFrame) -> float:
+    """Area under the ROC curve from the mean ranks of the positive rows."""
+    ranks = rank.average_rank(scored.select("id", "label", "score"), "score", "id")
+    p, n = F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)
+    total = F.sum(F.when(F.col("label") == 1, F.col("avg_rank")))
+    return ranks.agg(F.try_divide(total - p * (p + 1) / 2, (p * n).cast("double")).alias("auc")).first()["auc"] or 0.0
+
+
+def areas_agree(metrics: DataFrame, scores: dict[str, DataFrame]) -> F.Column:
+    """Is a model's area the one that the ranks of its scores give (the evaluator bins scores)?"""
+    areas = F.create_map(*[F.lit(x) for name, scored in scores.items() for x in (name, rank_auc(scored))])
+    return F.abs(metrics["AUC_ROC"] - areas[metrics["Model"]]) < 2e-3
+
 
 @query
 def churn_model_check(a: Analysis) -> DataFrame:
-    """Per model: test rows and positives by its confusion counts; measures agree with the counts."""
-    m = models.churn_metrics(a.model_table, STAR)
+    """Per model: test rows and positives by its confusion counts; measures follow from counts and ranks."""
+    m = models.classification_metrics(a.churn_predictions)
     n = F.col("TN") + F.col("FP") + F.col("FN") + F.col("TP")
     agrees = F.abs(F.col("Accuracy") - (F.col("TN") + F.col("TP")) / n) < 1e-9
-    inside = F.col("AUC_ROC").between(0, 1) & F.col("PR_AUC").between(0, 1)
     return m.select("Model", n.alias("test_rows"), (F.col("FN") + F.col("TP")).alias("positives"),
-                    (agrees & inside).alias("agrees"))
+                    (agrees & areas_agree(m, a.churn_predictions) & F.col("PR_AUC").between(0, 1)).alias("agrees"))
 
 
 @query
 def repeat_model_check(a: Analysis) -> DataFrame:
-    m = models.repeat_metrics(a.mature, STAR)
+    m = models.ranking_metrics(a.repeat_predictions)
     lift = F.abs(F.col("Recall_top20") / 0.2 - F.col("Lift_top20")) < 1e-9
-    return m.select("Model", F.round("Base_rate", 9).alias("base_rate"), lift.alias("agrees"))
+    return m.select("Model", F.round("Base_rate", 9).alias("base_rate"),
+                    (lift & areas_agree(m, a.repeat_predictions)).alias("agrees"))
 
 
 @query
 def best_model_check(a: Analysis) -> DataFrame:
-    """The compared model is the arg-max of the metrics; scores cover the test rows."""
-    scores = models.score_customers(a.model_table, STAR)
-    return scores.select("customer_unique_id", "churn", (F.col("churn_prob").between(0, 1) & (
-        (F.col("prediction") == 1) == (F.col("churn_prob") > 0.5))).alias("agrees"))
+    """The scores of the test rows are those of the model with the largest area by ranks."""
+    scores = a.churn_predictions
+    areas = {name: rank_auc(scored) for name, scored in scores.items()}
+    best = scores[max(sorted(areas), key=areas.get)].select(F.col("id").alias("customer_unique_id"), "score")
+    table = models.score_table(a.model_table, STAR, scores).join(best, "customer_unique_id")
+    same = F.abs(F.col("churn_prob") - F.col("score")) < 1e-12
+    return table.select("customer_unique_id", "churn", (
+        same & ((F.col("prediction") == 1) == (F.col("churn_prob") > 0.5))).alias("agrees"))
+
+
+@query
+def logistic_check(a: Analysis) -> DataFrame:
+    """The logistic models stand at their optimum: the gradient over the training rows is zero."""
+    found = [models.logistic_certificate(table, label, STAR, weighted).withColumn("label", F.lit(label))
+             for table, label, weighted in ((a.model_table, "churn", False), (a.mature, "repeat_180", True))]
+    return found[0].unionByName(found[1]).select("label", "entries", (F.col("gradient") < 1e-3).alias("optimal"))
+
+
+@query
+def model_inputs(a: Analysis) -> DataFrame:
+    """The preparation fitted on the training rows: median and deviation of every input."""
+    return models.fitted_inputs(a.model_table, STAR).select(
+        "input", F.round("median", 9).alias("median"), F.round("spread", 6).alias("spread"))
 
 
 @query
 def curve_check(a: Analysis) -> DataFrame:
     """Every curve begins and ends where it must and never falls."""
-    points = models.curves(models.predictions(a.mature, "repeat_180", STAR, True, STAR.boosted_depth_repeat))
+    points = models.curves(a.repeat_predictions)
     whole = F.when(F.col("Curve") == "ROC", 1.0).otherwise(100.0)
     along = W.partitionBy("Model", "Curve").orderBy("X", "Y")
     falls = F.coalesce(F.col("Y") < F.lag("Y").over(along), F.lit(False))
@@ -627,22 +661,57 @@ def curve_check(a: Analysis) -> DataFrame:
 
 @query
 def decile_check(a: Analysis) -> DataFrame:
-    scores = models.predictions(a.mature, "repeat_180", STAR, True, STAR.boosted_depth_repeat)
+    scores = a.repeat_predictions
     table = models.best_deciles(scores)
     return table.select("Decile", "Customers", F.round("Base_Rate", 9).alias("Base_Rate"))
 
 
+def cluster_proof(wide: DataFrame, centres: list[list[float]], cost: float, profile: DataFrame) -> DataFrame:
+    """One row: do assignment, cost, means and names follow from the centres and the members?
+
+    ``wide`` has ``segment``, the measures and their scaled form; the means and names of ``profile`` are
+    derived again from the clusters' moments. ``cost``, which the fit reports, is that of the step before
+    the last, so the assignment's own cost lies between it and the cost about the members' means.
+    """
+    n = F.col("n")
+    means = [F.col("sums")[i] / n for i in range(len(segments.MEASURES))]
+    again = segments.cluster_moments(wide, segments.MEASURES).select(
+        "segment", "n", F.array(*means).alias("means"), segment_label(means[1], means[0], STAR).alias("name"))
+    near = [F.abs(F.col(f"Avg_{m}") - F.col("means")[i]) <= 1e-6 * (1 + F.abs(F.col("means")[i]))
+            for i, m in enumerate(segments.MEASURES)]
+    same = profile.join(again, "segment", "full").select(
+        F.coalesce((F.col("Count") == n) & near[0] & near[1] & near[2], F.lit(False)).alias("means"),
+        F.col("Segment_Label").eqNullSafe(F.col("name")).alias("names")).agg(
+        F.struct(F.bool_and("means").alias("means"), F.bool_and("names").alias("names"))).scalar()
+    scaled = segments.cluster_moments(wide, tuple(f"{m}_z" for m in segments.MEASURES))
+    square = F.aggregate("sums", F.lit(0.0), lambda total, s: total + s * s)
+    least = scaled.agg(F.sum(F.col("squares") - square / n)).scalar()
+    return segments.certificate(wide, centres).select(
+        "customers", (F.col("misplaced") == 0).alias("nearest"),
+        ((F.col("cost") <= cost * (1 + 1e-9)) & (F.col("cost") >= least * (1 - 1e-9))).alias("cost_agrees"),
+        same["means"].alias("means_agree"), same["names"].alias("names_agree"))
+
+
 @query
 def cluster_check(a: Analysis) -> DataFrame:
-    """Clusters hold every customer once; profiles and names follow from the members."""
-    clustered = stage(segments.kmeans_segments(a.rfm_direct, STAR), "clusters")
-    profile = segments.segment_profile(clustered, STAR)
-    named = segments.name_segments(clustered, profile)
-    cost = segments.kmeans_selection(a.rfm_direct, STAR).agg(
+    """Clusters hold every customer once, at a nearest centre; profiles and names follow from the members."""
+    found, centres, cost = segments.kmeans_fit(a.rfm_direct, STAR)
+    wide = stage(found, "clusters")
+    profile = segments.segment_profile(wide, STAR)
+    named = segments.name_segments(wide, profile)
+    falls = segments.kmeans_selection(a.rfm_direct, STAR).agg(
         (F.max_by("WSSSE", -F.col("k")) > F.max_by("WSSSE", "k")).alias("falls")).scalar()
-    return profile.agg(F.count(F.lit(1)).alias("clusters"), F.sum("Count").alias("customers"),
-                       (F.abs(F.sum("Share_pct") - 100) < 0.3).alias("shares_add_up")).withColumns({
-        "named": named.agg(F.count(F.lit(1))).scalar(), "cost_falls": cost})
+    return cluster_proof(wide, centres, cost, profile).withColumns({
+        "clusters": profile.agg(F.count(F.lit(1))).scalar(),
+        "shares_add_up": profile.agg(F.abs(F.sum("Share_pct") - 100) < 0.3).scalar(),
+        "named": named.agg(F.count(F.lit(1))).scalar(), "cost_falls": falls})
+
+
+@query
+def silhouette_check(a: Analysis) -> DataFrame:
+    """The silhouettes from cluster moments are the evaluator's."""
+    return segments.silhouette_selection(a.rfm_direct, STAR).select(
+        "k", (F.abs(F.col("evaluator") - F.col("moments")) < 1e-9).alias("agrees"))
 
 
 @query
@@ -661,7 +730,17 @@ def approx_check(a: Analysis) -> DataFrame:
 
 @query
 def attribution_check(a: Analysis) -> DataFrame:
-    """One row a held-out customer; base and attributions add up to a probability."""
+    """One row a held-out customer; base and attributions add up to the forest's own probability."""
+    values, _ = attribution.feature_attribution(a.mature, REGIONS, STAR)
+    gap = attribution.sum_gap(values, attribution.feature_names(REGIONS))
+    return values.select("customer_unique_id", (gap < 1e-9).alias("adds_up"))
+
+
+@query
+def importance_check(a: Analysis) -> DataFrame:
+    """Mean absolute attributions of the long rows and of the wide table are the same, feature by feature."""
     values, _ = attribution.feature_attribution(a.mature, REGIONS, STAR)
-    total = F.col("base") + sum((F.col(f"`{n}`") for n in attribution.feature_names(REGIONS)), F.lit(0.0))
-    return values.select("customer_unique_id", total.between(-1e-9, 1 + 1e-9).alias("adds_up"))
+    names = attribution.feature_names(REGIONS)
+    wide = attribution.mean_absolute_wide(values, names).withColumnRenamed("Mean_Abs", "wide")
+    return attribution.mean_absolute(values, names).join(wide, "Feature").select(
+        "Feature", (F.abs(F.col("Mean_Abs") - F.col("wide")) < 1e-12).alias("agrees"))

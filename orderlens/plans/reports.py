@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderlens import stages
 from orderlens.operators import (
     attribution, customers, decide, drill, facts, models, segments, stats)
 from orderlens.plans.analysis import Analysis
@@ -42,15 +43,22 @@ def _label_check(a: Analysis) -> DataFrame:
         stats.spearman(_categories(a), "Churn_Rate", "Repeat180_Mature", "category", True))
 
 
-def _repeat_scores(a: Analysis) -> dict[str, DataFrame]:
-    return models.predictions(a.mature, "repeat_180", a.settings, True, a.settings.boosted_depth_repeat)
+def _importance(a: Analysis) -> DataFrame:
+    return attribution.mean_absolute(a.attributions, attribution.feature_names(a.regions))
 
 
-def _importance(a: Analysis) -> DataFrame:
-    regions = tuple(sorted(r[0] for r in a.features.select("region").distinct().collect()))
-    values, _ = attribution.feature_attribution(a.mature, regions, a.settings)
-    return attribution.mean_absolute(values, attribution.feature_names(regions))
+def _attribution_rows(a: Analysis) -> DataFrame:
+    return attribution.top_values(a.attributions, attribution.feature_names(a.regions))
+
+
+def _break_even(a: Analysis) -> DataFrame:
+    uplifts = tuple(100 * u for u in a.settings.uplift_points)
+    return decide.break_even_grid(decide.segment_economics(a.segmented), uplifts=uplifts, costs=BREAK_EVEN_COSTS,
+                                  margins=BREAK_EVEN_MARGINS)
+
 
+# Campaign costs and margins in percent of the break-even report.
+BREAK_EVEN_COSTS, BREAK_EVEN_MARGINS = (0.0, 1_000.0, 10_000.0), (10.0, 20.0, 40.0)
 
 # Short reports, one file each.
 REPORTS: dict[str, Report] = {
@@ -60,16 +68,21 @@ REPORTS: dict[str, Report] = {
     "top_categories": lambda a: facts.top_categories(a.tables),
     "kmeans_selection": lambda a: segments.kmeans_selection(a.rfm, a.settings),
     "segment_value": lambda a: segments.segment_value(a.segmented, a.settings),
+    "segment_profile": lambda a: segments.segment_profile(a.clustered, a.settings),
+    "segment_shares": lambda a: segments.segment_share_long(segments.segment_value(a.segmented, a.settings)),
     "pareto": lambda a: segments.pareto(a.rfm, a.settings.pareto_points),
     "rfm_histogram": lambda a: segments.histogram(a.rfm, segments.MEASURES, 40),
     "churn_summary": lambda a: customers.churn_summary(a.labelled),
-    "churn_models": lambda a: models.churn_metrics(a.model_table, a.settings),
-    "repeat_models": lambda a: models.repeat_metrics(a.mature, a.settings),
-    "repeat_curves": lambda a: models.curves(_repeat_scores(a)),
-    "repeat_deciles": lambda a: models.best_deciles(_repeat_scores(a)),
+    "churn_models": lambda a: models.classification_metrics(a.churn_predictions),
+    "churn_curves": lambda a: models.curves(a.churn_predictions),
+    "repeat_models": lambda a: models.ranking_metrics(a.repeat_predictions),
+    "repeat_curves": lambda a: models.curves(a.repeat_predictions),
+    "repeat_deciles": lambda a: models.best_deciles(a.repeat_predictions),
     "feature_importance": _importance,
     "states": _states,
     "categories": _categories,
+    "state_intervals": lambda a: drill.rate_ci95(_states(a), "Repeat180_Mature", "Mature_Customers"),
+    "category_intervals": lambda a: drill.rate_ci95(_categories(a), "Repeat180_Mature", "Mature_Customers"),
     "experience": lambda a: drill.drill_experience(a.customers),
     "experience_intervals": lambda a: drill.rate_ci95(drill.drill_experience(a.customers), "Repeat180", "Customers"),
     "instalments": lambda a: drill.installments_repeat(a.customers),
@@ -80,6 +93,7 @@ REPORTS: dict[str, Report] = {
     "consistency_checks": lambda a: decide.consistency_checks(
         a.facts, a.tables.items, a.segmented, a.customers, a.settings),
     "impact_scenarios": lambda a: decide.impact_scenarios(decide.segment_economics(a.segmented), a.settings),
+    "break_even": _break_even,
     "actions": _actions,
 }
 # Tables with a row per order or customer, as Parquet.
@@ -87,7 +101,8 @@ TABLES: dict[str, Report] = {
     "order_facts": lambda a: a.facts,
     "segmented_customers": lambda a: a.segmented_scores,
     "customer_table": lambda a: a.customers,
-    "churn_scores": lambda a: models.score_customers(a.model_table, a.settings),
+    "churn_scores": lambda a: models.score_table(a.model_table, a.settings, a.churn_predictions),
+    "attribution_rows": _attribution_rows,
 }
 
 
@@ -96,14 +111,16 @@ def run_reports(
     clusters: bool = True, only: tuple[str, ...] = (),
 ) -> list[str]:
     """Read the CSV tables in ``paths`` and write every report (or ``only`` some) below ``out``."""
-    a = Analysis(read_order_tables(spark, paths), settings or Settings(), clusters)
     written = []
-    for name, build in (REPORTS | TABLES).items():
-        if only and name not in only:
-            continue
-        if name in TABLES:
-            write_parquet(build(a), f"{out}/{name}")
-        else:
-            write_csv(build(a), f"{out}/{name}", single_file=True)
-        written.append(name)
+    # What the run stages on the way goes at its end.
+    with stages.scope(spark):
+        a = Analysis(read_order_tables(spark, paths), settings or Settings(), clusters)
+        for name, build in (REPORTS | TABLES).items():
+            if only and name not in only:
+                continue
+            if name in TABLES:
+                write_parquet(build(a), f"{out}/{name}")
+            else:
+                write_csv(build(a), f"{out}/{name}", single_file=True)
+            written.append(name)
     return written

@@ -12,10 +12,16 @@ machine is accepted only when the executors run on it.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Paths made inside ``scope`` blocks, one list a block.
+_scopes: list[list[str]] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder for stage tables: ``spark.checkpoint.dir``, else the warehouse folder."""
     configured = (spark.conf.get("spark.checkpoint.dir", None)
@@ -30,7 +36,10 @@ def shared_folder(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one table or model in the shared folder."""
     app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/orderlens/{app}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/orderlens/{app}/{name}-{uuid.uuid4().hex}"
+    for made in _scopes:
+        made.append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -47,6 +56,19 @@ def remove(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes the stages made inside the block at its end, also after an error; results must be saved in it."""
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for path in made:
+            remove(spark, path)
+
+
 def release(spark: SparkSession) -> None:
     """Delete every stage of this session's application; results built on them must be saved by then."""
     remove(spark, f"{shared_folder(spark)}/orderlens/{spark.sparkContext.applicationId}")

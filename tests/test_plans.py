@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlens.operators import customers, facts, rank, rfm
-from orderlens.plans.queries import QUERIES
+from orderlens.plans.analysis import Analysis
+from orderlens.plans.queries import QUERIES, STAR
 from orderlens.sources.star import star_tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -120,5 +121,17 @@ def test_library_collects_only_bounded_results():
     found = [(p.name, line.strip()) for p in root.rglob("*.py") if p.parent.name != "llm"
              for line in p.read_text().splitlines()
              if re.search(r"\.(collect|toPandas|toLocalIterator|localCheckpoint)\(", line)]
-    # The nodes of a forest whose size is a parameter; medians, regions and two lift rows; regions.
-    assert sorted(f for f, _ in found) == ["attribution.py", "models.py", "models.py", "models.py", "reports.py"]
+    # The nodes of a forest whose size is a parameter; medians, regions and two lift rows; k - 1 cuts a metric; regions.
+    assert sorted(f for f, _ in found) == ["attribution.py", "models.py", "models.py", "models.py", "rank.py", "rank.py",
+                                           "reports.py"]
+
+
+def test_first_orders_are_found_once(spark):
+    """The customer table reads one window over the facts: its features are a stage of their own."""
+    a = Analysis(star_tables(spark, FOLDER), STAR)
+    made = plan(customers.first_order_features(a.facts, a.tables.regions, STAR))
+    assert made.count("Window ") >= 1
+    text = plan(a.customers) + plan(a.features)
+    assert "Window" not in text and "first-orders" in plan(a.features)
+    joined = plan(customers.customer_table(a.segmented, a.features, facts.main_category(a.tables, orders=a.features), a.facts, STAR))
+    assert "order_purchase_timestamp ASC" not in joined

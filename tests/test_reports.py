@@ -260,6 +260,12 @@ def test_histogram_of_a_constant(spark):
     assert {k: n for k, n in rows.items() if n} == {("a", 0): 2, ("b", 0): 1, ("b", 3): 1}
 
 
+def test_histogram_counts_nulls_beside_the_bins(spark):
+    df = spark.createDataFrame([(1.0, 0.0), (None, 3.0), (9.0, 1.0)], "a double, b double")
+    rows = {(r["metric"], r["bin"]): (r["customers"], r["bin_start"]) for r in segments.histogram(df, ("a", "b"), 2).collect()}
+    assert rows == {("a", -1): (1, None), ("a", 0): (1, 1.0), ("a", 1): (1, 5.0), ("b", 0): (2, 0.0), ("b", 1): (1, 1.5)}
+
+
 def test_rate_ci_and_weighted_rate(spark):
     df = spark.createDataFrame([("a", 0.5, 100), ("b", 0.1, 300)], "g string, r double, n long")
     rows = {x["g"]: x["ci95"] for x in drill.rate_ci95(df, "r", "n").collect()}

@@ -6,18 +6,21 @@ anchor; equal windows have equal anchors, so all copies of a window meet in the
 bucket of its anchor. Windows of one anchor travel together as a context: the bytes
 from its first window's start to its last window's end.
 
-1. Anchors that only one document has cannot carry a repeat. Each task sends the
-   anchors of its documents to buckets, an anchor that several of its documents have
-   only for two of them; the buckets answer with (document, anchor) of the shared ones.
-2. Documents send the contexts of their shared anchors to the buckets. Of equal
-   contexts in a task only those of the smallest id travel: the others are repeats of it.
+1. Whole copies go first: of equal texts only the smallest id stays. The rest is packed into chunks.
+   Anchors that only one document has cannot carry a repeat. Each chunk sends its different anchors
+   to buckets; a bucket tells each chunk which of them another chunk has too.
+2. Each chunk sends the contexts of anchors that are told or that several of its own documents have.
+   Of equal contexts in a chunk only those of the smallest id travel, their bytes once: the others
+   are repeats of it. At the edges of a passage that very many documents share all contexts differ,
+   though the anchor is one. Anchors with many different contexts are hot: their windows travel one
+   by one, to the bucket of the window's own hash, so that only equal windows meet in one place,
+   one for each chunk.
 3. Each bucket sorts the windows of its contexts in two stages: suffixes smaller than
    their successors directly, the others induced by bucket scans. Adjacent common
    prefixes of 50 bytes make groups, and windows whose group has a smaller id are
    removed from their document.
 
-Nothing is sampled or capped, and a passage that a third of all documents share is a
-row or two a task. Buckets grow in number with the corpus. Texts travel compressed.
+Nothing is sampled or capped. Buckets and chunks grow in number with the corpus. Texts travel compressed.
 
 Defined cases: null or empty text, and texts below the length, lose nothing; rows
 with the same id are one document; rows without an id come after all others; what is
@@ -42,9 +45,10 @@ from orderlens.llm import text as T
 GRAM = 16
 # Bytes handled at once, and the low bits of a key that hold a place among them.
 PIECE, PLACE_BITS = 1 << 17, 24
-ANCHORS_AT_ONCE, CONTEXTS_AT_ONCE = 200_000, 60_000
-# Text per bucket of anchors and of contexts; a task holds some 50 bytes for each byte of the latter.
-ANCHOR_BYTES, CONTEXT_BYTES = 16_000_000, 4_000_000
+# Text per chunk, per bucket of anchors and of contexts; a task holds some 50 bytes for each byte of the latter.
+CHUNK_BYTES, ANCHOR_BYTES, CONTEXT_BYTES = 8_000_000, 16_000_000, 3_000_000
+# An anchor with more different contexts than this is hot: its windows are dealt out one by one.
+HOT_CONTEXTS = 4_096
 
 
 def rolling_words(data: np.ndarray) -> np.ndarray:
@@ -96,13 +100,13 @@ def anchors(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     return who, start[first] - begin[who], start[last] - begin[who], h[place[first]]
 
 
-def pieces(texts: list[bytes], length: int) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+def pieces(texts: list[bytes], length: int, piece: int = PIECE) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
     """Texts, long ones in parts that share length - 1 bytes, so that each window is in one part."""
     who, offset, part, size = [], [], [], 0
     for i, text in enumerate(texts):
-        for at in range(0, max(1, len(text) - length + 1), PIECE):
-            own = text[at:at + PIECE + length - 1]
-            if size + len(own) > 2 * PIECE and part:
+        for at in range(0, max(1, len(text) - length + 1), piece):
+            own = text[at:at + piece + length - 1]
+            if size + len(own) > 2 * piece and part:
                 yield who, offset, part
                 who, offset, part, size = [], [], [], 0
             who.append(i)
@@ -113,10 +117,7 @@ def pieces(texts: list[bytes], length: int) -> Iterator[tuple[list[int], list[in
         yield who, offset, part
 
 
-# --- step 1: which anchors are shared ---------------------------------------------------------
-
-SENT = pa.schema([("bucket", pa.int32()), ("known", pa.bool_()), ("hashes", pa.binary()), ("ids", pa.binary())])
-
+# --- chunks -----------------------------------------------------------------------------------
 
 def _pack(values: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
@@ -126,66 +127,120 @@ def _unpack(raw: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), kind)
 
 
+CHUNK = pa.schema([(c, pa.binary()) for c in ("ids", "keys", "sizes", "texts")])
+
+
+def _chunks(chunk_bytes: int):
+    """(_id, _key, _text) packed into chunks of at most ``chunk_bytes``; a longer text is a chunk of its own."""
+
+    def packed(ids: list, keys: list, texts: list) -> pa.RecordBatch:
+        row = (_pack(np.array(ids, "<i8")), _pack(np.array(keys, "<i8")),
+               _pack(np.array([len(t) for t in texts], "<i8")),
+               zstandard.ZstdCompressor(level=3).compress(b"".join(texts)))
+        return pa.record_batch([pa.array([c], pa.binary()) for c in row], schema=CHUNK)
+
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, keys, texts, size = [], [], [], 0
+        for batch in batches:
+            for i, k, t in zip(*(batch.column(c) for c in range(3))):
+                text = t.as_py().encode("utf-8", "surrogatepass")
+                if texts and size + len(text) > chunk_bytes:
+                    yield packed(ids, keys, texts)
+                    ids, keys, texts, size = [], [], [], 0
+                ids.append(i.as_py())
+                keys.append(k.as_py())
+                texts.append(text)
+                size += len(text)
+        if texts:
+            yield packed(ids, keys, texts)
+
+    return chunks
+
+
+def _texts(sizes: bytes, texts: bytes) -> list[bytes]:
+    data = zstandard.ZstdDecompressor().decompress(texts)
+    ends = np.cumsum(_unpack(sizes, "<i8")).tolist()
+    return [data[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+
+
+# --- step 1: which anchors are shared ---------------------------------------------------------
+
+SENT = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())])
+TOLD = pa.schema([("chunk", pa.int64()), ("hashes", pa.binary()), ("hot", pa.binary())])
+
+
+def _gaps(sorted_hashes: np.ndarray) -> bytes:
+    return _pack(np.diff(sorted_hashes, prepend=np.uint64(0)))
+
+
+def _sums(gaps: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(gaps, "<u8"), dtype=np.uint64)
+
+
 def _send_anchors(length: int, buckets: int):
-    def route(hashes: np.ndarray, ids: np.ndarray) -> Iterator[tuple]:
-        order = np.lexsort((ids, hashes))
-        hashes, ids = hashes[order], ids[order]
-        new = np.concatenate(([True], (np.diff(hashes) != 0) | (np.diff(ids) != 0)))
-        hashes, ids = hashes[new], ids[new]
-        first = np.concatenate(([True], np.diff(hashes) != 0))
-        last = np.concatenate((first[1:], [True]))
-        shared = ~(first & last)
-        if shared.any():
-            yield int(hashes[0] % np.uint64(buckets)), True, _pack(hashes[shared]), _pack(ids[shared])
-        hashes, ids = hashes[first | last], ids[first | last]
+    """The different anchors of each chunk, and how many different contexts each has there, at most 65,535."""
+
+    def route(chunk: int, hashes: np.ndarray, sides: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((sides, hashes))
+        hashes, sides = hashes[order], sides[order]
+        new = np.concatenate(([True], (np.diff(hashes) != 0) | (np.diff(sides) != 0)))
+        hashes = hashes[new]
+        at = np.flatnonzero(np.concatenate(([True], np.diff(hashes) != 0)))
+        counts = np.minimum(np.diff(np.append(at, len(hashes))), 65_535).astype("<u2")
+        hashes = hashes[at]
         # Sorted hashes: a bucket is a range of them, and differences are small numbers.
         bucket = (hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
         cuts = np.flatnonzero(np.diff(bucket)) + 1
-        for a, b in zip(np.concatenate(([0], cuts)), np.concatenate((cuts, [len(bucket)]))):
-            yield int(bucket[a]), False, _pack(np.diff(hashes[a:b], prepend=np.uint64(0))), _pack(ids[a:b])
+        rows = [(int(bucket[a]), chunk, _gaps(hashes[a:b]), _pack(counts[a:b]))
+                for a, b in zip(np.concatenate(([0], cuts)), np.concatenate((cuts, [len(bucket)])))]
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), SENT.types)], schema=SENT)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                ids = some.column(0).to_numpy()
-                texts = [t.as_py().encode("utf-8", "surrogatepass") for t in some.column(1)]
-                for who, _, part in pieces(texts, length):
-                    owner, _, _, h = anchors(part, length)
-                    held.append((h, ids[np.array(who)[owner]]))
-                    n += len(h)
-                if n >= ANCHORS_AT_ONCE:
-                    yield as_batch(route(*map(np.concatenate, zip(*held))))
-                    held, n = [], 0
-        if n:
-            yield as_batch(route(*map(np.concatenate, zip(*held))))
-
-    def as_batch(rows: Iterator[tuple]) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), SENT.types)], schema=SENT)
+            for chunk, sizes, texts in zip(*(batch.column(c) for c in range(3))):
+                held = []
+                for _, _, part in pieces(_texts(sizes.as_py(), texts.as_py()), length):
+                    owner, first, last, h = anchors(part, length)
+                    if not len(h):
+                        continue
+                    words = rolling_words(np.frombuffer(b"".join(part), np.uint8))
+                    own = np.array([len(t) for t in part])
+                    begin = (np.cumsum(own) - own)[owner]
+                    sides = words[begin + first] * np.uint64(0x9E3779B97F4A7C15)
+                    held.append((h, sides ^ words[begin + last + length - 8] + (last - first).astype(np.uint64)))
+                if held:
+                    yield route(chunk.as_py(), *map(np.concatenate, zip(*held)))
 
     return send
 
 
-def _shared(group: pa.Table) -> pa.Table:
-    """(document, anchor) of the anchors that several documents have; those known already pass."""
-    hashes, ids, told = [], [], []
-    for known, h, i in zip(*(group.column(c).to_pylist() for c in ("known", "hashes", "ids"))):
-        if known:
-            told.append((_unpack(h, "<u8"), _unpack(i, "<i8")))
-        else:
-            hashes.append(np.cumsum(_unpack(h, "<u8"), dtype=np.uint64))
-            ids.append(_unpack(i, "<i8"))
-    if hashes:
-        h, i = np.concatenate(hashes), np.concatenate(ids)
-        order = np.lexsort((i, h))
-        h, i = h[order], i[order]
-        edge = np.flatnonzero(np.concatenate(([True], np.diff(h) != 0)))
+def _shared(hot_contexts: int):
+    """To each chunk, those of its anchors that another chunk has too, and which of them are hot."""
+
+    def shared(group: pa.Table) -> pa.Table:
+        chunks = group.column("chunk").to_numpy()
+        hashes = [_sums(h) for h in group.column("hashes").to_pylist()]
+        counts = np.concatenate([_unpack(c, "<u2") for c in group.column("counts").to_pylist()]).astype(np.int64)
+        place = np.repeat(np.arange(len(chunks), dtype=np.int32), [len(h) for h in hashes])
+        h = np.concatenate(hashes)
+        del hashes
+        order = np.argsort(h, kind="stable")
+        edge = np.flatnonzero(np.concatenate(([True], np.diff(h[order]) != 0)))
         size = np.diff(np.append(edge, len(h)))
-        many = np.repeat(i[edge] != i[edge + size - 1], size)
-        told.append((h[many], i[many]))
-    h, i = (np.concatenate(c) for c in zip(*told))
-    return pa.table({"_id": pa.array(i), "h": pa.array(h.view(np.int64))})
+        hot = np.empty(len(h), bool)
+        hot[order] = np.repeat(np.add.reduceat(counts[order], edge) > hot_contexts, size)
+        told = np.empty(len(h), bool)
+        told[order] = np.repeat(size > 1, size)
+        told |= hot
+        rows = []
+        for k in np.unique(place[told]).tolist():
+            a, b = np.searchsorted(place, [k, k + 1])
+            own = told[a:b]
+            rows.append((int(chunks[k]), _gaps(h[a:b][own]), _pack(hot[a:b][own])))
+        columns = list(zip(*rows)) or [[]] * 3
+        return pa.table([pa.array(c, t) for c, t in zip(columns, TOLD.types)], schema=TOLD)
+
+    return shared
 
 
 # --- step 2: contexts -------------------------------------------------------------------------
@@ -197,55 +252,87 @@ CONTEXT = pa.schema([("bucket", pa.int32()), ("known", pa.bool_()), *[(c, pa.bin
 def _send_contexts(length: int, buckets: int):
     """Compressed columns of many contexts: those for one bucket in a row; known ones are spans to remove.
 
-    A context that an earlier document of the task with a smaller id has is known to be a repeat;
-    what was seen is forgotten from time to time, which sends more and changes no result.
+    Texts go by ascending id. A context that a smaller id of the chunk has is known to be a repeat.
+    One that comes again in the same text has size 0 behind the first and no bytes.
     """
-
-    def row(bucket: int, known: bool, rows: list) -> tuple:
-        docs, keys, starts, sizes, raw = zip(*rows)
-        return (bucket, known, *[_pack(np.array(c, "<i8")) for c in (docs, keys, starts)],
-                _pack(np.array(sizes, "<u4")), zstandard.ZstdCompressor(level=3).compress(b"".join(raw)))
-
-    def as_batch(routed: dict, known: list) -> pa.RecordBatch:
-        rows = [row(bucket, False, own) for bucket, own in routed.items()]
+    digest = xxhash.xxh3_128_digest
+
+    def row(bucket: int, slots: list) -> tuple:
+        docs, keys, raw, starts = zip(*slots)
+        times = [len(s) for s in starts]
+        sizes = np.zeros(sum(times), "<u4")
+        sizes[np.cumsum(times) - times] = [len(r) for r in raw]
+        return (bucket, False, *[_pack(np.repeat(np.array(c, "<i8"), times)) for c in (docs, keys)],
+                _pack(np.array([a for s in starts for a in s], "<i8")), _pack(sizes),
+                zstandard.ZstdCompressor(level=3).compress(b"".join(raw)))
+
+    def known_row(bucket: int, spans: list) -> tuple:
+        docs, keys, start, stop = (np.array(c, "<i8") for c in zip(*spans))
+        return (bucket, True, _pack(docs), _pack(keys), _pack(start), _pack((stop - start).astype("<u4")), _pack(np.empty(0, "u1")))
+
+    def send(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        if not chunk.num_rows:
+            return CONTEXT.empty_table()
+        ids, keys = (_unpack(chunk.column(c)[0].as_py(), "<i8") for c in ("ids", "keys"))
+        texts = _texts(*(chunk.column(c)[0].as_py() for c in ("sizes", "texts")))
+        order = np.lexsort((keys, ids))
+        order = order[np.concatenate(([True], (np.diff(ids[order]) != 0) | (np.diff(keys[order]) != 0)))]
+        ids, keys, texts = ids[order], keys[order], [texts[i] for i in order.tolist()]
+        told = np.concatenate([np.empty(0, np.uint64), *map(_sums, answers.column("hashes").to_pylist())])
+        hot = np.concatenate([np.empty(0, bool), *(_unpack(c, "?") for c in answers.column("hot").to_pylist())])
+        hot = set(told[hot].tolist())
+
+        found = [(np.array(who)[owner], np.array(offset)[owner] + first, last - first + length, h)
+                 for who, offset, part in pieces(texts, length) for owner, first, last, h in [anchors(part, length)]]
+        who, start, size, h = map(np.concatenate, zip(*found)) if found else anchors([], length)
+        del found
+        order = np.lexsort((who, h))
+        edge = np.flatnonzero(np.concatenate(([True], np.diff(h[order]) != 0))) if len(h) else np.empty(0, np.int64)
+        times = np.diff(np.append(edge, len(h)))
+        own = ids[who[order]]
+        several = np.empty(len(h), bool)
+        several[order] = np.repeat(own[edge] != own[edge + times - 1], times) if len(h) else False
+        del order, own
+        several |= np.isin(h, told)
+
+        least: dict[bytes, list] = {}
+        routed: dict[int, list] = {}
+        known: list = []
+
+        def remember(doc: int, key: int, a: int, b: int) -> None:
+            if known and known[-1][:2] == [doc, key] and known[-1][2] <= a <= known[-1][3]:
+                known[-1][3] = max(known[-1][3], b)
+            else:
+                known.append([doc, key, a, b])
+
+        def meet(doc: int, key: int, a: int, raw: bytes, bucket: int) -> None:
+            mark = digest(raw)
+            seen = least.get(mark)
+            if seen is None or seen[0] == doc and seen[1] != key:
+                least[mark] = slot = [doc, key, raw, [a]]
+                routed.setdefault(bucket % buckets, []).append(slot)
+            elif seen[0] == doc:
+                seen[3].append(a)
+            else:
+                remember(doc, key, a, a + len(raw))
+
+        whole: dict[bytes, int] = {}
+        for j in np.flatnonzero(several).tolist():
+            i, a, n, anchor = int(who[j]), int(start[j]), int(size[j]), int(h[j])
+            doc, key, raw = int(ids[i]), int(keys[i]), texts[i][a:a + n]
+            if anchor not in hot:
+                meet(doc, key, a, raw, anchor)
+            elif whole.setdefault(digest(raw), doc) < doc:
+                remember(doc, key, a, a + n)
+            else:
+                for k in range(n - length + 1):
+                    window = raw[k:k + length]
+                    meet(doc, key, a + k, window, xxhash.xxh3_64_intdigest(window))
+        rows = [row(bucket, slots) for bucket, slots in routed.items()]
         if known:
-            rows.append(row(known[0][0] % buckets, True, [(d, k, a, b - a, b"") for d, k, a, b in known]))
-        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), CONTEXT.types)], schema=CONTEXT)
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest, expand = xxhash.xxh3_128_digest, zstandard.ZstdDecompressor().decompress
-        least: dict[bytes, int] = {}
-        routed, known, n = {}, [], 0
-        for batch in batches:
-            for k in range(batch.num_rows):
-                doc, key, packed, told, copies = (batch.column(c)[k] for c in range(5))
-                doc, key = doc.as_py(), key.as_py()
-                if key in copies.as_py():
-                    continue
-                shared = np.unique(told.values.to_numpy().view(np.uint64))
-                for _, offset, part in pieces([expand(packed.as_py())], length):
-                    owner, first, last, h = anchors(part, length)
-                    at = np.minimum(np.searchsorted(shared, h), len(shared) - 1)
-                    for j in np.flatnonzero(shared[at] == h).tolist() if len(shared) else ():
-                        a, b = int(first[j]), int(last[j]) + length
-                        raw, begin = part[owner[j]][a:b], offset[owner[j]]
-                        mark = digest(raw)
-                        if least.get(mark, doc) >= doc:
-                            least[mark] = doc
-                            routed.setdefault(int(h[j]) % buckets, []).append((doc, key, begin + a, b - a, raw))
-                            n += 1
-                        # A doubled row begins again before the last span of its first one.
-                        elif known and known[-1][:2] == [doc, key] and known[-1][2] <= begin + a <= known[-1][3]:
-                            known[-1][3] = max(known[-1][3], begin + b)
-                        else:
-                            known.append([doc, key, begin + a, begin + b])
-                if n + len(known) >= CONTEXTS_AT_ONCE:
-                    yield as_batch(routed, known)
-                    routed, known, n = {}, [], 0
-                    if len(least) > 4 * CONTEXTS_AT_ONCE:
-                        least = {}
-        if routed or known:
-            yield as_batch(routed, known)
+            rows.append(known_row(known[0][0] % buckets, known))
+        columns = list(zip(*rows)) or [[]] * len(CONTEXT)
+        return pa.table([pa.array(c, t) for c, t in zip(columns, CONTEXT.types)], schema=CONTEXT)
 
     return send
 
@@ -339,8 +426,11 @@ def _repeats(length: int):
         known = [spans(i, k, a, a + n) for i, k, a, n, _ in parts[True]]
         if not parts[False]:
             return pa.concat_tables(known)
-        ids, keys, starts, sizes, data = map(np.concatenate, zip(*parts[False]))
-        sizes = sizes.astype(np.int32) + np.int32(1)
+        all_ids, all_keys, all_starts, sizes, data = map(np.concatenate, zip(*parts[False]))
+        del parts
+        head = sizes > 0
+        ids, slot = all_ids[head], np.cumsum(head) - 1
+        sizes = sizes[head].astype(np.int32) + np.int32(1)
         begin = np.cumsum(sizes, dtype=np.int32) - sizes
         owner = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
         text, inside = np.zeros(sizes.sum(), np.uint8), np.ones(sizes.sum(), bool)
@@ -359,8 +449,13 @@ def _repeats(length: int):
         edges = np.flatnonzero(np.diff(np.concatenate(([False], repeated)).astype(np.int8)))
         a, b = edges[::2], edges[1::2]
         mine = owner[a]
-        begins = starts[mine] - begin[mine]
-        found = spans(ids[mine], keys[mine], begins + a, begins + b + length - 1)
+        a, b = a - begin[mine], b - begin[mine] + length - 1
+        # Spans of a context, once for each place where it starts.
+        times = np.bincount(mine, minlength=len(ids))
+        each = times[slot]
+        at = np.repeat((np.cumsum(times) - times)[slot] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+        place = np.repeat(np.arange(len(slot)), each)
+        found = spans(all_ids[place], all_keys[place], all_starts[place] + a[at], all_starts[place] + b[at])
         return pa.concat_tables([*known, found])
 
     return repeats
@@ -374,7 +469,8 @@ def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                               ["_id", "_key", "packed"])
 
 
-def repeated_spans(table: DataFrame, length: int = 50) -> DataFrame:
+def repeated_spans(table: DataFrame, length: int = 50, chunk_bytes: int = CHUNK_BYTES,
+                   hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """(``_id``, ``_key``, ``spans``): sorted spans (start, stop), not yet joined, of documents with repeats.
 
     ``table`` has ``_id``, ``_text`` and ``_key``, a 64-bit hash of the text.
@@ -390,27 +486,28 @@ def repeated_spans(table: DataFrame, length: int = 50) -> DataFrame:
     copies = stages.stage(prints.filter(F.col("n") >= length).join(least, ["h1", "h2"]).filter("_id > least")
                           .select("_id", F.col("h1").alias("_key"), "n").distinct(), "copies")
 
-    shared = (table.select("_id", "_text").mapInArrow(
-        _send_anchors(length, anchor_buckets), "bucket int, known boolean, hashes binary, ids binary")
-        .groupBy("bucket").applyInArrow(_shared, "_id long, h long"))
-    no_hash, no_key = F.lit(None).cast("long").alias("h"), F.lit(None).cast("long").alias("_key")
-    told = (shared.select("_id", "h", no_key).unionByName(copies.select("_id", no_hash, "_key"))
-            .groupBy("_id").agg(F.collect_list("h").alias("told"), F.collect_set("_key").alias("copies")))
-    packed = table.select("_id", "_key", "_text").mapInArrow(_pack_texts, "_id long, _key long, packed binary")
-    spans = (packed.join(told, "_id").select("_id", "_key", "packed", "told", "copies")
-             .mapInArrow(_send_contexts(length, context_buckets),
-                         "bucket int, known boolean, ids binary, keys binary, starts binary, sizes binary, "
-                         "bytes binary")
+    rest = (table.filter(F.octet_length("_text") >= length)
+            .join(copies.select("_id", "_key"), ["_id", "_key"], "left_anti").select("_id", "_key", "_text"))
+    chunks = stages.stage(rest.mapInArrow(_chunks(chunk_bytes), "ids binary, keys binary, sizes binary, texts binary")
+                          .withColumn("chunk", F.monotonically_increasing_id()), "chunks")
+    told = (chunks.select("chunk", "sizes", "texts").mapInArrow(
+        _send_anchors(length, anchor_buckets), "bucket int, chunk long, hashes binary, counts binary")
+        .groupBy("bucket").applyInArrow(_shared(hot_contexts), "chunk long, hashes binary, hot binary"))
+    spans = (chunks.groupBy("chunk").cogroup(told.groupBy("chunk"))
+             .applyInArrow(_send_contexts(length, context_buckets),
+                           "bucket int, known boolean, ids binary, keys binary, starts binary, sizes binary, "
+                           "bytes binary")
              .groupBy("bucket").applyInArrow(_repeats(length), "_id long, _key long, start long, stop long"))
     whole = copies.select("_id", "_key", F.lit(0).cast("long").alias("start"), F.col("n").cast("long").alias("stop"))
     return (spans.unionByName(whole).groupBy("_id", "_key")
             .agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans")))
 
 
-def dedup_suffixes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50) -> DataFrame:
+def dedup_suffixes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50,
+                   chunk_bytes: int = CHUNK_BYTES, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """``_id`` (null: none), ``n_bytes``, ``spans`` removed (start, stop; apart from each other) and ``kept``, the bytes left."""
     table = T.documents(docs, id_col, text_col).select("_id", "_text", F.xxhash64("_text").alias("_key"))
-    spans = stages.stage(repeated_spans(table, length), "repeats")
+    spans = stages.stage(repeated_spans(table, length, chunk_bytes, hot_contexts), "repeats")
     packed = table.mapInArrow(_pack_texts, "_id long, _key long, packed binary")
 
     @F.pandas_udf("n_bytes long, spans array<struct<start:long,stop:long>>, kept binary")

@@ -45,8 +45,12 @@ from orderlens.llm import text as T
 GRAM = 16
 # Bytes handled at once, and the low bits of a key that hold a place among them.
 PIECE, PLACE_BITS = 1 << 17, 24
-# Text per chunk, per bucket of anchors and of contexts; a task holds some 50 bytes for each byte of the latter.
-CHUNK_BYTES, ANCHOR_BYTES, CONTEXT_BYTES = 8_000_000, 16_000_000, 3_000_000
+# Text per chunk, per bucket of anchors and of contexts.
+CHUNK_BYTES, ANCHOR_BYTES, CONTEXT_BYTES = 6_000_000, 16_000_000, 6_000_000
+# A bucket is sorted in so many parts one after the other; a task holds some 50 bytes for each byte of a part.
+PARTS = 16
+# Contexts that a task of step 2 holds at once.
+CONTEXTS_AT_ONCE = 60_000
 # An anchor with more different contexts than this is hot: its windows are dealt out one by one.
 HOT_CONTEXTS = 4_096
 
@@ -246,29 +250,31 @@ def _shared(hot_contexts: int):
 # --- step 2: contexts -------------------------------------------------------------------------
 
 CONTEXT = pa.schema([("bucket", pa.int32()), ("known", pa.bool_()), *[(c, pa.binary()) for c in (
-    "ids", "keys", "starts", "sizes", "bytes")]])
+    "ids", "keys", "starts", "sizes", "parts", "bytes")]])
 
 
 def _send_contexts(length: int, buckets: int):
     """Compressed columns of many contexts: those for one bucket in a row; known ones are spans to remove.
 
     Texts go by ascending id. A context that a smaller id of the chunk has is known to be a repeat.
-    One that comes again in the same text has size 0 behind the first and no bytes.
+    One that comes again in the same text has size 0 behind the first and no bytes. What was seen is
+    forgotten from time to time, which sends more and changes no result.
     """
     digest = xxhash.xxh3_128_digest
 
     def row(bucket: int, slots: list) -> tuple:
-        docs, keys, raw, starts = zip(*slots)
+        docs, keys, raw, starts, parts = zip(*slots)
         times = [len(s) for s in starts]
         sizes = np.zeros(sum(times), "<u4")
         sizes[np.cumsum(times) - times] = [len(r) for r in raw]
         return (bucket, False, *[_pack(np.repeat(np.array(c, "<i8"), times)) for c in (docs, keys)],
                 _pack(np.array([a for s in starts for a in s], "<i8")), _pack(sizes),
-                zstandard.ZstdCompressor(level=3).compress(b"".join(raw)))
+                _pack(np.array(parts, "u1")), zstandard.ZstdCompressor(level=3).compress(b"".join(raw)))
 
     def known_row(bucket: int, spans: list) -> tuple:
         docs, keys, start, stop = (np.array(c, "<i8") for c in zip(*spans))
-        return (bucket, True, _pack(docs), _pack(keys), _pack(start), _pack((stop - start).astype("<u4")), _pack(np.empty(0, "u1")))
+        return (bucket, True, _pack(docs), _pack(keys), _pack(start), _pack((stop - start).astype("<u4")),
+                *[_pack(np.empty(0, "u1"))] * 2)
 
     def send(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         if not chunk.num_rows:
@@ -305,17 +311,26 @@ def _send_contexts(length: int, buckets: int):
             else:
                 known.append([doc, key, a, b])
 
-        def meet(doc: int, key: int, a: int, raw: bytes, bucket: int) -> None:
+        def meet(doc: int, key: int, a: int, raw: bytes, value: int) -> None:
             mark = digest(raw)
             seen = least.get(mark)
             if seen is None or seen[0] == doc and seen[1] != key:
-                least[mark] = slot = [doc, key, raw, [a]]
-                routed.setdefault(bucket % buckets, []).append(slot)
+                least[mark] = slot = (doc, key, raw, [a], value // buckets % PARTS)
+                routed.setdefault(value % buckets, []).append(slot)
             elif seen[0] == doc:
                 seen[3].append(a)
             else:
                 remember(doc, key, a, a + len(raw))
 
+        rows: list[tuple] = []
+
+        def flush() -> None:
+            rows.extend(row(bucket, slots) for bucket, slots in routed.items())
+            if known:
+                rows.append(known_row(known[0][0] % buckets, known))
+            for held in (routed, least, whole, known):
+                held.clear()
+
         whole: dict[bytes, int] = {}
         for j in np.flatnonzero(several).tolist():
             i, a, n, anchor = int(who[j]), int(start[j]), int(size[j]), int(h[j])
@@ -328,9 +343,9 @@ def _send_contexts(length: int, buckets: int):
                 for k in range(n - length + 1):
                     window = raw[k:k + length]
                     meet(doc, key, a + k, window, xxhash.xxh3_64_intdigest(window))
-        rows = [row(bucket, slots) for bucket, slots in routed.items()]
-        if known:
-            rows.append(known_row(known[0][0] % buckets, known))
+            if len(least) + len(whole) + len(known) >= CONTEXTS_AT_ONCE:
+                flush()
+        flush()
         columns = list(zip(*rows)) or [[]] * len(CONTEXT)
         return pa.table([pa.array(c, t) for c, t in zip(columns, CONTEXT.types)], schema=CONTEXT)
 
@@ -420,17 +435,24 @@ def _repeats(length: int):
         return pa.table([pa.array(c) for c in (ids, keys, start, stop)], ["_id", "_key", "start", "stop"])
 
     def repeats(group: pa.Table) -> pa.Table:
-        parts = {True: [], False: []}
-        for known, *packed, raw in zip(*(group.column(c).to_pylist() for c in CONTEXT.names[1:])):
-            parts[known].append((*map(_unpack, packed, ("<i8", "<i8", "<i8", "<u4")), _unpack(raw, np.uint8)))
-        known = [spans(i, k, a, a + n) for i, k, a, n, _ in parts[True]]
-        if not parts[False]:
-            return pa.concat_tables(known)
-        all_ids, all_keys, all_starts, sizes, data = map(np.concatenate, zip(*parts[False]))
-        del parts
-        head = sizes > 0
+        told = {True: [], False: []}
+        for known, *packed in zip(*(group.column(c).to_pylist() for c in CONTEXT.names[1:])):
+            told[known].append(tuple(map(_unpack, packed, ("<i8", "<i8", "<i8", "<u4", "u1", "u1"))))
+        found = [spans(i, k, a, a + n) for i, k, a, n, *_ in told[True]]
+        if told[False]:
+            # A context comes first with its size and bytes, then with size 0 for other places in its text.
+            ids, keys, starts, sizes, parts, data = map(np.concatenate, zip(*told.pop(False)))
+            head = sizes > 0
+            place, sizes = parts[np.cumsum(head) - 1], sizes[head]
+            for part in np.unique(parts):
+                own, mine = parts == part, place == part
+                found.append(sorted_part(ids[mine], keys[mine], starts[mine], head[mine], sizes[own], data[np.repeat(own, sizes)]))
+        return pa.concat_tables(found)
+
+    def sorted_part(all_ids: np.ndarray, all_keys: np.ndarray, all_starts: np.ndarray, head: np.ndarray,
+                    sizes: np.ndarray, data: np.ndarray) -> pa.Table:
         ids, slot = all_ids[head], np.cumsum(head) - 1
-        sizes = sizes[head].astype(np.int32) + np.int32(1)
+        sizes = sizes.astype(np.int32) + np.int32(1)
         begin = np.cumsum(sizes, dtype=np.int32) - sizes
         owner = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
         text, inside = np.zeros(sizes.sum(), np.uint8), np.ones(sizes.sum(), bool)
@@ -455,8 +477,7 @@ def _repeats(length: int):
         each = times[slot]
         at = np.repeat((np.cumsum(times) - times)[slot] - (np.cumsum(each) - each), each) + np.arange(each.sum())
         place = np.repeat(np.arange(len(slot)), each)
-        found = spans(all_ids[place], all_keys[place], all_starts[place] + a[at], all_starts[place] + b[at])
-        return pa.concat_tables([*known, found])
+        return spans(all_ids[place], all_keys[place], all_starts[place] + a[at], all_starts[place] + b[at])
 
     return repeats
 
@@ -496,7 +517,7 @@ def repeated_spans(table: DataFrame, length: int = 50, chunk_bytes: int = CHUNK_
     spans = (chunks.groupBy("chunk").cogroup(told.groupBy("chunk"))
              .applyInArrow(_send_contexts(length, context_buckets),
                            "bucket int, known boolean, ids binary, keys binary, starts binary, sizes binary, "
-                           "bytes binary")
+                           "parts binary, bytes binary")
              .groupBy("bucket").applyInArrow(_repeats(length), "_id long, _key long, start long, stop long"))
     whole = copies.select("_id", "_key", F.lit(0).cast("long").alias("start"), F.col("n").cast("long").alias("stop"))
     return (spans.unionByName(whole).groupBy("_id", "_key")
@@ -511,20 +532,21 @@ def dedup_suffixes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     packed = table.mapInArrow(_pack_texts, "_id long, _key long, packed binary")
 
     @F.pandas_udf("n_bytes long, spans array<struct<start:long,stop:long>>, kept binary")
-    def cut(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
+    def cut(texts: pd.Series, starts: pd.Series, stops: pd.Series) -> pd.DataFrame:
         expand, rows = zstandard.ZstdDecompressor().decompress, []
-        for raw, own in zip(texts, found):
+        for raw, start, stop in zip(texts, starts, stops):
             text, merged = expand(raw), []
-            for s in own if own is not None else ():
-                if merged and s["start"] <= merged[-1]["stop"]:
-                    merged[-1]["stop"] = max(merged[-1]["stop"], s["stop"])
-                else:
-                    merged.append(dict(s))
-            edges = [0, *(x for s in merged for x in (s["start"], s["stop"])), len(text)]
-            rows.append((len(text), merged, b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))))
+            if start is not None:
+                # Sorted by start: a span begins anew where it lies beyond all before it.
+                reach = np.maximum.accumulate(stop)
+                new = np.flatnonzero(np.concatenate(([True], start[1:] > reach[:-1])))
+                merged = list(zip(start[new].tolist(), reach[np.append(new[1:], len(stop)) - 1].tolist()))
+            edges = [0, *(x for s in merged for x in s), len(text)]
+            rows.append((len(text), [{"start": a, "stop": b} for a, b in merged],
+                         b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))))
         return pd.DataFrame(rows, columns=["n_bytes", "spans", "kept"])
 
-    return (packed.join(spans, ["_id", "_key"], "left").withColumn("_cut", cut("packed", "spans"))
+    return (packed.join(spans, ["_id", "_key"], "left").withColumn("_cut", cut("packed", F.col("spans")["start"], F.col("spans")["stop"]))
             .select(F.nullif("_id", F.lit(T.LAST_ID)).alias("_id"), "_cut.n_bytes", "_cut.spans", "_cut.kept"))
 
 

@@ -6,9 +6,15 @@ the turns are, and the layout turns the record into canonical turns. Turns are
 then rendered with markers, and every character that could begin a control
 string inside a text is escaped, so the rendering can be read back exactly.
 
-Defined cases: a null record or one of no known layout has no turns and a null
-``layout``; a null role or text is empty; a turn whose text field is absent is
-left out where the layout calls it optional (an empty instruction input).
+Defined cases: a record that is null, is not valid JSON, is no object, is nested too
+deeply to be read or has no known layout has no turns and a null ``layout`` (the first
+four also a null fingerprint); a null role or text is empty; a turn whose text field is
+absent is left out where the layout calls it optional (an empty instruction input). A
+message that is no object is a turn with an empty role. Of a text that is a list, the
+strings and the ``text`` of its items are joined; any other value is its JSON. A lone
+surrogate becomes U+FFFD. Rows of ``records`` without a ``conv_id`` are one conversation,
+repeated rows repeated turns; an empty table gives an empty table. Columns that carry the
+name of a result (``chat``, ``formatted``, ``loss_spans``) are replaced, all others kept.
 """
 
 from __future__ import annotations
@@ -30,6 +36,30 @@ TURNS = "array<struct<role:string,text:string>>"
 CANONICAL = f"fingerprint string, layout string, turns {TURNS}"
 
 
+def plain_text(value) -> str:
+    """The text of any JSON value."""
+    if value is None:
+        return ""
+    if isinstance(value, list):
+        return "".join(plain_text(v["text"] if isinstance(v, dict) and "text" in v else v) for v in value)
+    if not isinstance(value, str):
+        value = json.dumps(value, ensure_ascii=False)
+    try:
+        value.encode()
+    except UnicodeEncodeError:
+        value = value.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+    return value
+
+
+def parse(raw: str | None) -> tuple[dict, set[str]] | None:
+    """A record and its field paths; none if it is null, not valid, too deep or no object."""
+    try:
+        record = json.loads(raw) if raw is not None else None
+        return (record, field_paths(record)) if isinstance(record, dict) else None
+    except (ValueError, RecursionError):
+        return None
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where a record keeps its turns.
@@ -54,16 +84,21 @@ class Layout:
 
     def turns(self, record: dict) -> list[dict]:
         if self.each:
-            return [{"role": self.roles.get(m.get(self.role), m.get(self.role)) or "",
-                     "text": m.get(self.text) or ""} for m in record[self.each]]
+            return [self._message(m) for m in record.get(self.each) or ()]
         found = []
         for role, fields in self.single:
             values = [record.get(f) for f in fields
                       if f not in self.optional or record.get(f)]
             if values:
-                found.append({"role": role, "text": "\n\n".join(v or "" for v in values)})
+                found.append({"role": role, "text": "\n\n".join(map(plain_text, values))})
         return found
 
+    def _message(self, message) -> dict:
+        if not isinstance(message, dict):
+            return {"role": "", "text": plain_text(message)}
+        role = plain_text(message.get(self.role))
+        return {"role": self.roles.get(role, role), "text": plain_text(message.get(self.text))}
+
 
 # The layouts in common use, the most specific first.
 LAYOUTS = (
@@ -89,7 +124,7 @@ def field_paths(value, path: str = "") -> set[str]:
 
 
 def fingerprint(paths: set[str]) -> str:
-    return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()[:16]
+    return hashlib.sha256("\n".join(sorted(paths)).encode("utf-8", "surrogatepass")).hexdigest()[:16]
 
 
 def canonical(
@@ -107,11 +142,11 @@ def canonical(
         for batch in batches:
             rows = []
             for raw in batch:
-                record = json.loads(raw) if raw is not None else None
-                if not isinstance(record, dict):
+                parsed = parse(raw)
+                if parsed is None:
                     rows.append((None, None, []))
                     continue
-                paths = field_paths(record)
+                record, paths = parsed
                 key = fingerprint(paths)
                 if key not in known:
                     known[key] = next((x for x in layouts if x.paths() <= paths), None)
@@ -153,11 +188,14 @@ def render(chats: DataFrame, turns: str = "chat.turns") -> DataFrame:
                         F.when(part["loss"], F.concat(state["spans"], span))
                         .otherwise(state["spans"]).alias("spans"))
 
-    text = F.concat_ws("", F.transform("_parts", lambda p: F.concat(p["head"], p["body"], F.lit(END))))
-    return (chats.withColumn("_parts", parts)
+    own = "_parts"
+    while own in map(str.lower, chats.columns):
+        own = f"_{own}"
+    text = F.concat_ws("", F.transform(own, lambda p: F.concat(p["head"], p["body"], F.lit(END))))
+    return (chats.withColumn(own, parts)
             .withColumn("formatted", text)
-            .withColumn("loss_spans", F.aggregate("_parts", start, step, lambda s: s["spans"]))
-            .drop("_parts"))
+            .withColumn("loss_spans", F.aggregate(own, start, step, lambda s: s["spans"]))
+            .drop(own))
 
 
 def read_back(formatted: Column) -> Column:

@@ -40,7 +40,8 @@ NEVER_PARTS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising",
                "login", "search", "share", "sharing", "social", "related", "recommended", "recommendations",
                "comment", "comments", "disqus", "respond", "reply", "replies", "pagination", "pager", "toolbar",
                "copyright", "disclaimer", "alert", "skip"}
-CONTENT_PARTS = {"article", "post", "content", "main", "entry", "story", "body", "text"}
+# The head of an article is content where its class says whose head it is.
+HEADS, HEADED = {"header", "masthead"}, {"article", "post", "content", "entry", "story"}
 BLOCKS = {"address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "div", "dl",
           "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
           "header", "hr", "html", "legend", "li", "main", "nav", "ol", "p", "pre", "section", "summary", "table",
@@ -56,8 +57,8 @@ PIECES = re.compile(
     r"|<(/?)([a-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)", re.I | re.S)
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
-# Words of a class that tell what a wrapper has or what state it is in, not what it is.
-STATES, STATE_ENDS = {"has", "with", "no"}, {"open"}
+# Words of a class that tell what a wrapper has, what it is about or what state it is in, not what it is.
+STATES, STATE_ENDS = {"has", "with", "no", "category", "tag", "type", "status", "format"}, {"open", "closed"}
 # What an end tag closes only inside one cell or table.
 CELLS = {"table", "caption", "td", "th"}
 TABLE = CELLS | {"tr", "tbody", "thead", "tfoot"}
@@ -80,8 +81,10 @@ def never_content(name: str, attributes: str) -> bool:
         elif key in ("class", "id"):
             for word in value.split():
                 parts = re.split(r"[-_:]+", word)
-                told = {*parts[:next((i for i, p in enumerate(parts) if p in STATES), len(parts))]}
-                if told & NEVER_PARTS and not {*parts} & CONTENT_PARTS and parts[-1] not in STATE_ENDS:
+                told = parts[:next((i for i, p in enumerate(parts) if p in STATES), len(parts))]
+                named = [p for i, p in enumerate(told) if p in NEVER_PARTS
+                         and not (p in HEADS and i and told[i - 1] in HEADED)]
+                if named and parts[-1] not in STATE_ENDS:
                     return True
     return False
 
@@ -255,6 +258,6 @@ def extractor(pages: DataFrame, weights: Weights):
 
 def extract(pages: DataFrame, html_col: str = "html", id_col: str = "page_id", name: str = "text",
             fit_pages: int = 2000) -> DataFrame:
-    """``pages`` plus the column ``name`` with the main text."""
+    """``pages`` plus the column ``name`` with the main text; an input column of that name is replaced."""
     text: Column = extractor(pages, fit(pages, html_col, id_col, fit_pages))(F.col(html_col))
     return pages.withColumn(name, text)

@@ -53,6 +53,31 @@ def test_layouts(weights, inner, want, element):
     assert extract.main_text(page, weights) == "\n\n".join(want)
 
 
+@pytest.mark.parametrize("name", ["article-comments", "comment-body", "post-comments", "main-menu", "main-navigation",
+                                  "entry-footer", "post-sidebar", "content-sidebar", "ad-content", "promo-content",
+                                  "cookie-text", "main-header"])
+@pytest.mark.parametrize("element", ["article", "div"])
+def test_parts_of_the_page_named_after_the_article(weights, name, element):
+    other = f"<div class='{name}'><p>" + "other words " * 100 + "</p></div>"
+    page = f"<body><div><{element}><p>{WORDS}</p>{other}<p>End.</p></{element}>{other}</div></body>"
+    assert extract.main_text(page, weights) == f"{WORDS}\n\nEnd."
+
+
+@pytest.mark.parametrize("name", ["post-body", "entry-content", "main-content", "content-with-sidebar", "article-header",
+                                  "post comments-open", "post comments-closed category-social tag-search", "no-sidebar"])
+def test_wrappers_of_the_article(weights, name):
+    assert extract.main_text(f"<body><div class='{name}'><p>{WORDS}</p></div></body>", weights) == WORDS
+
+
+def test_only_the_region_can_tell():
+    """No mark and no name tells the parts of this page apart, only what pages that mark their content have outside of it."""
+    links = "<div>" + "<ul><li>one</li></ul>" * 30 + "</div>"
+    marked = f"<body>{links}<article><p>{WORDS}</p></article>{links}</body>"
+    page = f"<body>{links}<div><p>{WORDS}</p><p>{WORDS}</p></div>{links}</body>"
+    assert extract.main_text(page, extract.Weights(extract.count([marked] * 20))) == f"{WORDS}\n\n{WORDS}"
+    assert extract.main_text(page, extract.Weights({})).startswith("one\n\none")
+
+
 def test_odd_pages(spark):
     rows = [(1, None), (None, ""), (2, "just  text"), (2, "just  text"), (3, "<p>a<p>b"), (4, "<article>x y"),
             (5, "<div><p>" + "long text " * 80000), (6, "<nav>only menu</nav>"), (7, "&amp &am; < <>")]

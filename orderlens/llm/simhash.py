@@ -6,9 +6,11 @@ with their weights on the bits. The likeness of two fingerprints is the cosine
 that their share of differing bits stands for.
 
 ``within`` finds every fingerprint within a radius of the queried ones: the bits
-are cut into six blocks, of which at least three agree when at most three bits
-differ; for each choice of three blocks, permuted to the front as a key, a table
-is joined with the queries, and candidates are compared exactly.
+are cut into three blocks more than the radius has bits (six at least), of which at
+least three agree; for each choice of three blocks, permuted to the front as a key, a
+table is joined with the queries, and candidates are compared exactly. A wider radius
+is as exact, but has more tables with shorter keys: 20 tables for three bits, 165 for
+eight.
 
 Defined cases: null or empty text has no terms and the fingerprint zero; equal
 texts have equal fingerprints; documents with the same id are ordered by a hash
@@ -35,9 +37,8 @@ from orderlens.llm import text as T
 
 TERM_WORDS, HEAVIEST = 2, 8
 BITS = 128
-# Fixed values: (half, shift, width) of the six blocks.
-BLOCKS = tuple((half, shift, width) for half in ("hi", "lo") for shift, width in ((0, 22), (22, 21), (43, 21)))
-RADIUS = 3
+# Blocks that agree and make up a key, and the radius unless another is chosen.
+FRONT, RADIUS = 3, 3
 
 
 def fingerprint(texts: list[str]) -> np.ndarray:
@@ -174,25 +175,42 @@ def hex_of(hi: str = "hi", lo: str = "lo") -> Column:
     return F.lower(F.concat(F.lpad(F.hex(hi), 16, "0"), F.lpad(F.hex(lo), 16, "0")))
 
 
-def _tables(prints: DataFrame) -> DataFrame:
+def blocks(radius: int) -> list[tuple[str, int, int]]:
+    """(half, shift, width) of the blocks for a radius, nearly equal in each half, wide ones first."""
+    n = max(2 * FRONT, radius + FRONT)
+    found = []
+    for half, count in (("hi", n - n // 2), ("lo", n // 2)):
+        shift = 0
+        for k in range(count):
+            width = 64 // count + (k < 64 % count)
+            found.append((half, shift, width))
+            shift += width
+    return found
+
+
+def _tables(prints: DataFrame, radius: int) -> DataFrame:
     """A row for each table: its number and the three blocks at the front of its permutation, as one key."""
-    block = [F.shiftrightunsigned(h, s).bitwiseAND(F.lit((1 << w) - 1)) for h, s, w in BLOCKS]
-    keys = [F.struct(F.lit(k).cast("byte").alias("table"), block[a].bitwiseOR(F.shiftleft(block[b], 22))
-                     .bitwiseOR(F.shiftleft(block[c], 43)).alias("key"))
-            for k, (a, b, c) in enumerate(combinations(range(len(BLOCKS)), len(BLOCKS) - RADIUS))]
+    cut = blocks(radius)
+    block = [F.shiftrightunsigned(h, s).bitwiseAND(F.lit((1 << w) - 1)) for h, s, w in cut]
+    wide = max(w for *_, w in cut)
+    # Three widest blocks may pass 64 bits by one: a bit less in the key adds candidates and loses none.
+    second, third = wide, min(2 * wide, 64 - min(w for *_, w in cut))
+    keys = [F.struct(F.lit(k).cast("int").alias("table"), block[a].bitwiseOR(F.shiftleft(block[b], second))
+                     .bitwiseOR(F.shiftleft(block[c], third)).alias("key"))
+            for k, (a, b, c) in enumerate(combinations(range(len(cut)), FRONT))]
     return prints.withColumn("_t", F.explode(F.array(*keys))).select("*", "_t.table", "_t.key").drop("_t")
 
 
 def within(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """For each queried fingerprint (``hi``, ``lo``): ``n_near``, the rows of ``prints`` within ``radius`` <= 3 bits.
+    """For each queried fingerprint (``hi``, ``lo``): ``n_near``, the rows of ``prints`` within ``radius`` bits, 0 to 125.
 
     Equal fingerprints are counted first, so copies cost one row.
     """
-    if not 0 <= radius <= RADIUS:
-        raise ValueError(f"the tables find radii up to {RADIUS}")
-    classes = _tables(prints.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("n")))
+    if not 0 <= radius <= BITS - FRONT:
+        raise ValueError(f"the bits cannot be cut into blocks for radius {radius}")
+    classes = _tables(prints.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("n")), radius)
     asked = _tables(queries.select(F.col("hi").alias("q_hi"), F.col("lo").alias("q_lo")).distinct()
-                    .select("q_hi", "q_lo", F.col("q_hi").alias("hi"), F.col("q_lo").alias("lo"))).drop("hi", "lo")
+                    .select("q_hi", "q_lo", F.col("q_hi").alias("hi"), F.col("q_lo").alias("lo")), radius).drop("hi", "lo")
     differing = (F.bit_count(F.col("hi").bitwiseXOR(F.col("q_hi")))
                  + F.bit_count(F.col("lo").bitwiseXOR(F.col("q_lo"))))
     # Queries grow with the corpus, so they are never broadcast: one plan at every size.

@@ -85,14 +85,15 @@ def test_null_and_repeated_ids(spark):
     assert Counter(r._id for r in got) == {None: 2, 3: 3}
 
 
-def test_radius_search(spark):
+@pytest.mark.parametrize("radius", [0, 2, 3, 8])
+def test_radius_search(spark, radius):
     rng = random.Random(2)
     prints = [rng.getrandbits(128) for _ in range(30)]
     for f in list(prints):
-        for k in (1, 2, 3, 4, 5):
+        for k in (1, 2, 3, 4, 5, 8, 9):
             prints.append(f ^ sum(1 << b for b in rng.sample(range(128), k)))
     prints += prints[:5]
     signed = lambda x: x - 2**64 if x >= 2**63 else x
     df = spark.createDataFrame([(signed(f >> 64), signed(f & 2**64 - 1)) for f in prints], "hi long, lo long")
-    got = {((r.hi % 2**64) << 64) | (r.lo % 2**64): r.n_near for r in simhash.within(df, df).collect()}
-    assert got == {f: sum((f ^ g).bit_count() <= 3 for g in prints) for f in prints}
+    got = {((r.hi % 2**64) << 64) | (r.lo % 2**64): r.n_near for r in simhash.within(df, df, radius).collect()}
+    assert got == {f: sum((f ^ g).bit_count() <= radius for g in prints) for f in prints}

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from orderlens.operators import trees
 from orderlens.operators.customers import IMPUTED_FEATURES
 from orderlens.operators.evaluate import (
     auc_exact, confusion_matrix, cumulative_gains, lift_at_k, roc_points, score_deciles)
@@ -227,6 +228,41 @@ def logistic_certificate(table: DataFrame, label: str, settings: Settings, weigh
         return stage(logistic_gradient(model.transform(data), label, weight), "gradient")
 
 
+def tree_certificates(
+    table: DataFrame, label: str, settings: Settings, weighted: bool = False, boosted_depth: int | None = None
+) -> DataFrame:
+    """Forest and boosted trees held against their own nodes, trained as for ``label``.
+
+    ``score_gap``: the largest difference on test rows between MLlib's probability and the one that
+    walking the saved nodes gives. ``leaf_gap``: for boosted trees the largest difference between a
+    leaf's value and the mean of what its training rows had left; for the forest, whose trees see samples
+    of the rows, between a node's training totals and its children's, relatively.
+    """
+    train, test = train_test(table, settings)
+    weight = "w" if weighted else None
+    if weighted:
+        train = with_class_weight(train, label)
+    _, fitted, held_out = _prepared(train, test)
+    spark, found = table.sparkSession, []
+    with _cached(fitted.select(label, "features", *([weight] if weighted else []))) as data:
+        estimators = classifiers(label, settings, weight, boosted_depth)
+        for name, link in ((FOREST, trees.forest_probability), (BOOSTED, trees.boosted_probability)):
+            model = estimators[name].fit(data)
+            nodes = stage(trees.saved_nodes(spark, model), "nodes")
+            walked = model.transform(held_out).withColumn("walked", trees.leaves(nodes))
+            gap = F.max(F.abs(vector_to_array("probability")[1] - link(F.col("walked"))))
+            scores = walked.agg(F.count(F.lit(1)).alias("test_rows"), gap.alias("score_gap"))
+            if name == BOOSTED:
+                gaps = trees.boosted_leaf_means(data, nodes, label, weight).select(
+                    F.coalesce(F.abs(F.col("value") - F.col("mean")), F.lit(float("inf"))).alias("gap"))
+            else:
+                gaps = trees.totals_add_up(nodes)
+            found.append(stage(scores.select(
+                F.lit(name).alias("Model"), F.lit(model.getNumTrees).alias("trees"), "test_rows", "score_gap",
+                F.coalesce(gaps.agg(F.max("gap")).scalar(), F.lit(0.0)).alias("leaf_gap")), "certificate"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def curves(scores: dict[str, DataFrame]) -> DataFrame:
     """ROC and cumulative-gains points of every model, as (Model, Curve, X, Y) rows."""
     parts = []

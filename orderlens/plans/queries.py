@@ -640,6 +640,17 @@ def logistic_check(a: Analysis) -> DataFrame:
     return found[0].unionByName(found[1]).select("label", "entries", (F.col("gradient") < 1e-3).alias("optimal"))
 
 
+@query
+def tree_check(a: Analysis) -> DataFrame:
+    """Walking a model's nodes gives its scores, and its leaves are what their training rows say."""
+    kinds = ((a.model_table, "churn", False, STAR.boosted_depth_churn), (a.mature, "repeat_180", True, STAR.boosted_depth_repeat))
+    found = [models.tree_certificates(table, label, STAR, weighted, depth).withColumn("label", F.lit(label))
+             for table, label, weighted, depth in kinds]
+    return found[0].unionByName(found[1]).select(
+        "label", "Model", "trees", "test_rows", (F.col("score_gap") < 1e-9).alias("scores_agree"),
+        (F.col("leaf_gap") < 1e-9).alias("leaves_agree"))
+
+
 @query
 def model_inputs(a: Analysis) -> DataFrame:
     """The preparation fitted on the training rows: median and deviation of every input."""

@@ -4,13 +4,15 @@ import dataclasses
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from orderlens import stages
-from orderlens.operators import attribution, models, segments
+from orderlens.operators import attribution, models, segments, trees
 from orderlens.plans import queries
 from orderlens.plans.analysis import Analysis
 from orderlens.plans.queries import STAR
@@ -83,6 +85,43 @@ def test_logistic_optimum(analysis):
     assert models.logistic_certificate(analysis.model_table, "churn", hasty, False).first()["gradient"] > 1e-2
 
 
+@pytest.mark.parametrize("label, weighted", [("churn", False), ("repeat_180", True)])
+def test_trees_against_their_nodes(analysis, label, weighted):
+    table = analysis.model_table if label == "churn" else analysis.mature
+    told = {r["Model"]: r for r in models.tree_certificates(table, label, analysis.settings, weighted, 3).collect()}
+    assert {n: r["trees"] for n, r in told.items()} == {models.FOREST: 5, models.BOOSTED: 3}
+    assert all(r["score_gap"] < 1e-9 and r["leaf_gap"] < 1e-9 and r["test_rows"] > 0 for r in told.values())
+
+
+def test_spoiled_trees(spark):
+    """A moved threshold, a changed leaf or a missing child shows; the mean of a leaf by hand; NaN goes right."""
+    rng = np.random.default_rng(5)
+    rows = [(float(a), float(b), float(a + b > 1)) for a, b in rng.random((300, 2))]
+    vectors = VectorAssembler(inputCols=["a", "b"], outputCol="features", handleInvalid="keep")
+    data = stages.stage(vectors.transform(spark.createDataFrame(rows, "a double, b double, label double")), "points")
+    model = GBTClassifier(maxIter=4, maxDepth=3, seed=1).fit(data)
+    nodes = stages.stage(trees.saved_nodes(spark, model), "nodes")
+    odd = vectors.transform(spark.createDataFrame([(float("nan"), y, 1.0) for y in (0.1, 0.5, 0.9)], "a double, b double, label double"))
+    walked = lambda n: model.transform(data.unionByName(odd)).select(F.max(F.abs(vector_to_array("probability")[1] - trees.boosted_probability(
+        trees.leaves(n)))).alias("g")).first()["g"]
+    means = lambda n: trees.boosted_leaf_means(data, n, "label").select(
+        F.max(F.coalesce(F.abs(F.col("value") - F.col("mean")), F.lit(9.0))).alias("g")).first()["g"]
+    gap = lambda n: trees.totals_add_up(n).agg(F.max("gap")).first()[0]
+    assert walked(nodes) < 1e-12 and means(nodes) < 1e-9 and gap(nodes) < 1e-9
+    moved = nodes.withColumn("threshold", F.when(F.expr("tree = 1 AND node = 0"), F.col("threshold") / 2).otherwise(F.col("threshold")))
+    assert walked(moved) > 1e-4 and means(moved) > 1e-4
+    first = nodes.filter("left < 0 AND tree = 0").agg(F.min("node")).first()[0]
+    leaf = nodes.withColumn("value", F.col("value") + F.when((F.col("tree") == 0) & (F.col("node") == first), 0.01).otherwise(0.0))
+    assert walked(leaf) > 1e-4 and means(leaf) > 1e-3
+    assert gap(nodes.filter(f"tree > 0 OR node <> {first}")) == float("inf")
+    # The first tree's leaves are plain means of the label as -1 or 1.
+    by_leaf = {}
+    for r in data.select("label", trees.leaves(nodes)["leaf"][0].alias("leaf")).collect():
+        by_leaf.setdefault(r["leaf"], []).append(2 * r["label"] - 1)
+    values = {r["node"]: r["value"] for r in nodes.filter("tree = 0 AND left < 0").collect()}
+    assert by_leaf.keys() == values.keys() and all(values[k] == pytest.approx(np.mean(v)) for k, v in by_leaf.items())
+
+
 def test_attributions_and_importance(analysis):
     names = attribution.feature_names(analysis.regions)
     values, _ = attribution.feature_attribution(analysis.mature, analysis.regions, STAR, trees=4, depth=3)

@@ -16,7 +16,8 @@ id has the id ''. Repeated rows are judged alike, each on its own.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,25 +37,55 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(WORD_BYTES).split()
 
 
+def same_windows(text: np.ndarray, starts: np.ndarray, m: int) -> np.ndarray:
+    """A number for the ``m`` symbols from each start on: equal for equal windows, 0 to their count."""
+    ids, width = np.zeros(len(starts), np.int64), int(text.max(initial=0)) + 1
+    for k in range(m):
+        ids = np.unique(ids * width + text[starts + k], return_inverse=True)[1]
+    return ids
+
+
 class Phrases:
-    """The windows of benchmark items over a vocabulary of their words; symbol 0 is every other word."""
+    """The windows of benchmark items over a vocabulary of their words; symbol 0 is every other word.
+
+    The items' symbols stand in one array, and a window is its place there, so that a word
+    of the benchmark costs a few numbers. ``groups``: for each length the place of every
+    different window, the items that have it, and where each window's items begin.
+    """
+
+    # Windows laid out as rows of symbols at a time.
+    AT_ONCE = 1 << 16
 
-    def __init__(self, items: list[tuple[str, str]], window: int):
-        found: dict[tuple, set[int]] = {}
-        self.names = [name for name, _ in items]
+    def __init__(self, items: Iterable[tuple[str, str]], window: int):
+        self.names: list[str] = []
         self.symbols: dict[bytes, int] = {}
-        for k, (_, text) in enumerate(items):
-            own = [self.symbols.setdefault(w, len(self.symbols) + 1) for w in words_of(text)]
-            for i in range(max(1, len(own) - window + 1) if own else 0):
-                found.setdefault(tuple(own[i:i + window]), set()).add(k)
-        self.shortest = min(map(len, found), default=0)
-        lengths = sorted({len(p) for p in found})
-        self.groups = []
-        for m in lengths:
-            same = [p for p in found if len(p) == m]
-            owners = [sorted(found[p]) for p in same]
-            self.groups.append((np.array(same, np.int64), np.concatenate(owners),
-                                np.cumsum([0, *map(len, owners)])))
+        placed, ends = array("i"), array("q")
+        for name, text in items:
+            self.names.append(name)
+            placed.extend(self.symbols.setdefault(w, len(self.symbols) + 1) for w in words_of(text))
+            ends.append(len(placed))
+        self.text = np.array(placed, np.int32)
+        sizes = np.diff(np.array(ends, np.int64), prepend=0)
+        begins, lengths = np.cumsum(sizes) - sizes, np.minimum(sizes, window)
+        found = [int(m) for m in np.unique(lengths) if m]
+        self.shortest = min(found, default=0)
+        self.groups = [(m, *self._distinct(begins, np.where(lengths == m, sizes - m + 1, 0), m)) for m in found]
+
+    def _distinct(self, begins: np.ndarray, counts: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of ``counts`` windows of ``m`` words from each item's begin on the different ones, and who has them."""
+        owner = np.repeat(np.arange(len(counts)), counts)
+        starts = begins[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+        ids = same_windows(self.text, starts, m)
+        first = np.unique(ids, return_index=True)[1]
+        which, owners = np.divmod(np.unique(ids * len(counts) + owner), len(counts))
+        return starts[first], owners, np.concatenate(([0], np.cumsum(np.bincount(which, minlength=len(first)))))
+
+    def blocks(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Windows of one length as rows of symbols, all owners of that length, and the rows' places among them."""
+        for m, starts, owners, bounds in self.groups:
+            for at in range(0, len(starts), self.AT_ONCE):
+                part = starts[at:at + self.AT_ONCE]
+                yield self.text[part[:, None] + np.arange(m)].astype(np.int64), owners, bounds[at:at + len(part) + 1]
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -167,7 +198,7 @@ def search_shard(docs: list[np.ndarray], phrases: Phrases) -> dict[int, tuple[li
     index = FMIndex(indexed, len(phrases.symbols))
 
     cover, pairs = np.zeros(len(indexed) + 1, np.int64), []
-    for group, owners, bounds in phrases.groups:
+    for group, owners, bounds in phrases.blocks():
         which, low, high = index.search(group)
         if not len(which):
             continue
@@ -282,8 +313,8 @@ def _search(table: DataFrame, benchmark: DataFrame, item_col: str, item_text: st
         "items": F.array().cast("array<string>")})
     blocks = item_blocks(benchmark, item_col, item_text, block_bytes)
     for k, block in enumerate(blocks, start=1):
-        rows = [(r["item"], r["text"]) for r in block.toLocalIterator()]
-        known = spark.sparkContext.broadcast(Phrases(rows, window))
+        items = ((r["item"], r["text"]) for r in block.toLocalIterator())
+        known = spark.sparkContext.broadcast(Phrases(items, window))
         found = found.mapInArrow(_scan(known, shard_words, remove and k == len(blocks)), found.schema)
     return found
 

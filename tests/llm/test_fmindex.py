@@ -68,6 +68,28 @@ def test_empty_tables_and_nulls(spark):
     assert {r.n_words for r in fmindex.find_leaks(df, bench.limit(0)).collect()} == {0, 2}
 
 
+@pytest.mark.parametrize("at_once", [3, 1 << 16])
+def test_phrases_by_places(monkeypatch, at_once):
+    """Windows and owners as a dictionary of tuples has them; laid out a few or many at a time."""
+    monkeypatch.setattr(fmindex.Phrases, "AT_ONCE", at_once)
+    rng = random.Random(8)
+    items = [(f"i{k}", " ".join(rng.choice("abc") for _ in range(rng.choice([0, 1, 2, 4, 5, 9])))) for k in range(60)]
+    items += [("twice", "a b a b a b a b a b"), ("none", None), ("i0", "c c c c")]
+    want = {}
+    for k, (_, text) in enumerate(items):
+        own = (text or "").split()
+        for i in range(max(1, len(own) - 3) if own else 0):
+            want.setdefault(tuple(own[i:i + 4]), set()).add(k)
+    phrases = fmindex.Phrases(iter(items), 4)
+    spelled, got, rows = {v: k.decode() for k, v in phrases.symbols.items()}, {}, 0
+    for group, owners, bounds in phrases.blocks():
+        rows += len(group)
+        for row, a, b in zip(group.tolist(), bounds[:-1], bounds[1:]):
+            got[tuple(spelled[s] for s in row)] = set(owners[a:b].tolist())
+    assert got == want and rows == len(want) and phrases.shortest == 1
+    assert fmindex.Phrases([], 4).groups == fmindex.Phrases([("x", None)], 4).groups == []
+
+
 def test_index_ranks_and_places():
     rng = np.random.default_rng(1)
     text = rng.integers(0, 5, 700)

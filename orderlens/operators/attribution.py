@@ -2,8 +2,8 @@
 
 The forest is trained by MLlib and its nodes are read back as a table. For every
 leaf, the features on its path and their cover ratios are laid out as rows of
-arrays; each Arrow batch of customers is then attributed against all leaves
-(path-dependent Shapley values for trees, Lundberg et al. 2018).
+arrays; each Arrow batch of customers then looks its values up in tables of the
+leaves (path-dependent Shapley values for trees, Lundberg et al. 2018).
 """
 
 from __future__ import annotations
@@ -33,6 +33,11 @@ from orderlens.stages import new_path, stage
 # need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Paths of more features have no table: it would have two answers to the power of their number.
+TABLE_FEATURES = 8
+# Answers that a task keeps, and the leaves whose answers are made at once.
+TABLE_BYTES, LEAVES_AT_ONCE = 256_000_000, 64
+
 
 def feature_names(regions: tuple[str, ...]) -> list[str]:
     return [*NUMERIC_FEATURES, *[f"region_{r}" for r in regions]]
@@ -96,8 +101,8 @@ def expected_value(leaves: list[tuple]) -> float:
     return sum(v * math.prod(b[2] for b in path.values()) for v, path in leaves)
 
 
-def shapley_values(x: np.ndarray, paths: dict[int, tuple[np.ndarray, ...]]) -> np.ndarray:
-    """Shapley values of the rows of ``x``, one column per feature.
+def path_values(o: np.ndarray, z: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Shapley values at leaves, one for each feature on the path (the last axis).
 
     With o = 1 where the row passes a feature's bounds and z its cover ratio, the
     value of feature k at a leaf is (o_k - z_k) times the integral over t in
@@ -105,20 +110,84 @@ def shapley_values(x: np.ndarray, paths: dict[int, tuple[np.ndarray, ...]]) -> n
     (Owen 1972). The integrand is a polynomial of degree m - 1, so Gauss-Legendre
     quadrature with m // 2 + 1 nodes is exact.
     """
-    phi = np.zeros(x.shape)
-    for m, (value, feature, low, high, z) in paths.items():
-        v = x[:, feature]
-        o = ((v > low) & (v <= high)).astype(float)
-        nodes, weights = np.polynomial.legendre.leggauss(m // 2 + 1)
-        total = np.zeros(o.shape)
-        for t, w in zip((nodes + 1) / 2, weights / 2):
-            factor = o * t + z * (1 - t)
-            total += w * factor.prod(axis=2, keepdims=True) / factor
-        part = (total * (o - z) * value).reshape(len(x), -1)
-        owner = feature.ravel()
-        for f in np.unique(owner):
-            phi[:, f] += part[:, owner == f].sum(axis=1)
-    return phi
+    nodes, weights = np.polynomial.legendre.leggauss(o.shape[-1] // 2 + 1)
+    total = np.zeros(np.broadcast_shapes(o.shape, z.shape))
+    for t, w in zip((nodes + 1) / 2, weights / 2):
+        factor = o * t + z * (1 - t)
+        total += w * factor.prod(axis=-1, keepdims=True) / factor
+    return total * (o - z) * value
+
+
+class Attributor:
+    """Shapley values of rows over the leaves of ``path_arrays``.
+
+    What a leaf gives depends only on which of its m features a row passes. Those 2^m answers are
+    computed once a leaf, and a row looks up its own (Yang 2021, Fast TreeSHAP). Features come as
+    places among the forest's thresholds, so that one look-up tells whether a bound is passed. Tables
+    are kept up to ``TABLE_BYTES`` and made anew for each batch beyond; paths of more than
+    ``TABLE_FEATURES`` features are computed row by row.
+    """
+
+    def __init__(self, paths: dict[int, tuple[np.ndarray, ...]]):
+        self.paths, self.kept, self.room = paths, {}, TABLE_BYTES
+        bounds: dict[int, set] = {}
+        for _, feature, low, high, _ in paths.values():
+            for f in np.unique(feature).tolist():
+                bounds.setdefault(f, set()).update(low[feature == f].tolist(), high[feature == f].tolist())
+        self.cuts = {f: np.array(sorted(b - {-math.inf, math.inf})) for f, b in bounds.items()}
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        phi = np.zeros(x.shape[::-1])
+        place = {f: np.searchsorted(cuts, x[:, f]) for f, cuts in self.cuts.items()}
+        given, pattern = np.empty(len(x)), np.empty(len(x), np.intp)
+        for m, (_, feature, *_) in self.paths.items():
+            if m > TABLE_FEATURES:
+                phi += self._row_by_row(x, m).T
+                continue
+            for at in range(0, len(feature), LEAVES_AT_ONCE):
+                for owner, passes, answers in zip(feature[at:at + LEAVES_AT_ONCE].tolist(), *self._tables(m, at)):
+                    pattern.fill(0)
+                    for f, bit in zip(owner, passes):
+                        pattern += bit[place[f]]
+                    for f, answer in zip(owner, answers):
+                        phi[f] += np.take(answer, pattern, out=given, mode="clip")
+        return phi.T
+
+    def _tables(self, m: int, at: int) -> tuple[list, np.ndarray]:
+        """For some leaves: per feature its bit of the pattern by place, and the answers (leaf, feature, pattern)."""
+        if (m, at) in self.kept:
+            return self.kept[m, at]
+        value, feature, low, high, z = (c[at:at + LEAVES_AT_ONCE] for c in self.paths[m])
+        o = (np.arange(1 << m)[:, None] >> np.arange(m) & 1).astype(float)
+        answers = np.ascontiguousarray(path_values(o, z[:, None, :], value[:, None, :]).transpose(0, 2, 1))
+        passes = []
+        for owner, lows, highs in zip(feature.tolist(), low.tolist(), high.tolist()):
+            bits = []
+            for k, (f, a, b) in enumerate(zip(owner, lows, highs)):
+                cuts, bit = self.cuts[f], np.zeros(len(self.cuts[f]) + 1, np.intp)
+                # Place i is above the cut before it and at or below its own.
+                bit[np.searchsorted(cuts, a, "right"):np.searchsorted(cuts, b) + 1] = 1 << k
+                bits.append(bit)
+            passes.append(bits)
+        if answers.nbytes <= self.room:
+            self.room -= answers.nbytes
+            self.kept[m, at] = passes, answers
+        return passes, answers
+
+    def _row_by_row(self, x: np.ndarray, m: int) -> np.ndarray:
+        value, feature, low, high, z = self.paths[m]
+        phi, owner = np.zeros(x.shape), feature.ravel()
+        for at in range(0, len(x), 64):
+            v = x[at:at + 64][:, feature]
+            part = path_values(((v > low) & (v <= high)).astype(float), z, value).reshape(len(v), -1)
+            for f in np.unique(owner):
+                phi[at:at + 64, f] = part[:, owner == f].sum(axis=1)
+        return phi
+
+
+def shapley_values(x: np.ndarray, paths: dict[int, tuple[np.ndarray, ...]]) -> np.ndarray:
+    """Shapley values of the rows of ``x``, one column per feature."""
+    return Attributor(paths)(x)
 
 
 def train_forest(train: DataFrame, names: list[str], settings: Settings, trees: int, depth: int):
@@ -139,15 +208,14 @@ def attribute(test: DataFrame, names: list[str], leaves: list[tuple]) -> DataFra
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         paths, base = shared.value
+        values = Attributor(paths)
         for pdf in batches:
-            for at in range(0, len(pdf), 64):
-                part = pdf.iloc[at:at + 64]
-                phi = shapley_values(part[names].to_numpy(dtype=float), paths)
-                out = pd.DataFrame(phi, columns=names)
-                out.insert(0, "base", base)
-                out.insert(0, "customer_unique_id", part["customer_unique_id"].to_numpy())
-                out["raw"] = list(part[names].to_numpy(dtype=float))
-                yield out
+            x = pdf[names].to_numpy(dtype=float)
+            out = pd.DataFrame(values(x), columns=names)
+            out.insert(0, "base", base)
+            out.insert(0, "customer_unique_id", pdf["customer_unique_id"].to_numpy())
+            out["raw"] = list(x)
+            yield out
 
     id_type = test.schema["customer_unique_id"].dataType.simpleString()
     columns = ", ".join(f"`{n}` double" for n in names)

@@ -100,3 +100,22 @@ def test_curves_and_deciles_cover_every_model_and_customer(analysis):
     assert {r["top"] for r in kinds} == {1.0, 100.0}
     deciles = models.best_deciles(scores)
     assert deciles.agg(F.sum("Customers")).first()[0] == scores[models.LOGISTIC].count()
+
+
+def test_attribution_tables_are_made_once(monkeypatch):
+    """Rows look their values up: the quadrature's work does not grow with them, whichever way a path is handled."""
+    rng = np.random.default_rng(7)
+    cuts = np.round(rng.random((12, 4)), 1)
+    leaves = [(float(rng.random()), {int(f): (float(c), float(c) + 0.3, float(rng.random()))
+                                     for f, c in zip(rng.permutation(5)[:2 + i % 3], cuts[i])}) for i in range(12)]
+    paths = attribution.path_arrays(leaves)
+    x = np.round(rng.random((700, 5)), 1)
+    plain, done = attribution.path_values, []
+    monkeypatch.setattr(attribution, "path_values", lambda o, z, value: done.append(o.size) or plain(o, z, value))
+    values = attribution.Attributor(paths)
+    assert values(x[:3]) == pytest.approx(values(x)[:3])
+    assert sum(done) == sum(m << m for m in paths)
+    looked_up = values(x)
+    for name, limit in (("TABLE_BYTES", 0), ("TABLE_FEATURES", 2)):
+        monkeypatch.setattr(attribution, name, limit)
+        assert attribution.shapley_values(x, paths) == pytest.approx(looked_up, abs=1e-12)

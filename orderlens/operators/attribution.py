@@ -25,7 +25,7 @@ from pyspark.storagelevel import StorageLevel
 from orderlens.operators.customers import IMPUTED_FEATURES, NUMERIC_FEATURES
 from orderlens.operators.evaluate import value_pct_rank
 from orderlens.operators.features import dummies, impute_median, with_stratified_split
-from orderlens.operators.models import with_class_weight
+from orderlens.operators.models import spread, with_class_weight
 from orderlens.settings import Settings
 from orderlens.stages import new_path, stage
 
@@ -192,11 +192,11 @@ def shapley_values(x: np.ndarray, paths: dict[int, tuple[np.ndarray, ...]]) -> n
 
 def train_forest(train: DataFrame, names: list[str], settings: Settings, trees: int, depth: int):
     rows = VectorAssembler(inputCols=names, outputCol="features").transform(
-        with_class_weight(train, "repeat_180")).select("repeat_180", "w", "features")
+        with_class_weight(spread(train), "repeat_180")).select("repeat_180", "w", "features")
     rows.persist(StorageLevel.MEMORY_AND_DISK)
     model = RandomForestClassifier(
         featuresCol="features", labelCol="repeat_180", weightCol="w", numTrees=trees,
-        maxDepth=depth, minInstancesPerNode=20, seed=settings.seed).fit(rows)
+        maxDepth=depth, minInstancesPerNode=20, seed=settings.seed, cacheNodeIds=True).fit(rows)
     rows.unpersist()
     return model
 

@@ -27,6 +27,8 @@ from orderlens.stages import stage
 
 # Features that are never missing, and the names of the models.
 PLAIN_FEATURES = ("log_order_value", "item_count", "has_review", "used_voucher")
+# Training rows that are worth a task of their own.
+TASK_ROWS = 10_000
 LOGISTIC, FOREST, BOOSTED = "Logistic Regression", "Random Forest", "Gradient Boosted Trees"
 
 
@@ -68,8 +70,9 @@ def classifiers(
     common = {"featuresCol": "features", "labelCol": label} | ({"weightCol": weight} if weight else {})
     table = {
         LOGISTIC: (LogisticRegression, {"maxIter": settings.logistic_rounds}),
+        # The places of rows in all trees are kept between levels instead of found again: the same forest.
         FOREST: (RandomForestClassifier, {"numTrees": settings.forest_trees, "maxDepth": settings.forest_depth,
-                                          "seed": settings.seed}),
+                                          "seed": settings.seed, "cacheNodeIds": True}),
         BOOSTED: (GBTClassifier, {"maxIter": settings.boosted_rounds, "seed": settings.seed,
                                   "maxDepth": boosted_depth or settings.boosted_depth_churn}),
     }
@@ -91,6 +94,16 @@ def with_class_weight(train: DataFrame, label: str) -> DataFrame:
     return train.withColumn("w", F.when(F.col(label) == 1, ratio).otherwise(1.0))
 
 
+def spread(train: DataFrame, id_col: str = "customer_unique_id") -> DataFrame:
+    """Training rows dealt evenly over the cores by id, in the order of ids; few rows stay as they are.
+
+    Trees are grown in many short passes, each as long as its largest task, and the files of a stage are as
+    many and as large as its shuffle left them. MLlib draws a forest's samples by partition and place there.
+    """
+    tasks = min(train.sparkSession.sparkContext.defaultParallelism, train.count() // TASK_ROWS)
+    return train.repartition(tasks, id_col).sortWithinPartitions(id_col) if tasks > 1 else train
+
+
 @contextmanager
 def _cached(df: DataFrame):
     df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -125,6 +138,7 @@ def _trained(
     if weighted:
         train = with_class_weight(train, label)
     _, fitted, held_out = _prepared(train, test)
+    fitted = spread(fitted)
     columns = [label, "features", *(["w"] if weighted else [])]
     with _cached(fitted.select(*columns)) as data:
         for name, estimator in classifiers(label, settings, weight, boosted_depth).items():
@@ -243,6 +257,7 @@ def tree_certificates(
     if weighted:
         train = with_class_weight(train, label)
     _, fitted, held_out = _prepared(train, test)
+    fitted = spread(fitted)
     spark, found = table.sparkSession, []
     with _cached(fitted.select(label, "features", *([weight] if weighted else []))) as data:
         estimators = classifiers(label, settings, weight, boosted_depth)

@@ -77,7 +77,8 @@ class Trees:
 
 def leaves(nodes: DataFrame, features: str | Column = "features") -> Column:
     """A row in every tree, in their order: ``leaf``, ``value`` (times the tree's weight), ``before``: the sum so far."""
-    rows = nodes.select("tree", "weight", "node", "feature", "threshold", "left", "right", "value").collect()
+    # The nodes of a model, whose number is set by its parameters.
+    rows = nodes.select("tree", "weight", "node", "feature", "threshold", "left", "right", "value").toArrow().to_pylist()
     shared = nodes.sparkSession.sparkContext.broadcast(Trees(rows))
 
     @F.pandas_udf("leaf array<int>, value array<double>, before array<double>")

@@ -119,3 +119,16 @@ def test_attribution_tables_are_made_once(monkeypatch):
     for name, limit in (("TABLE_BYTES", 0), ("TABLE_FEATURES", 2)):
         monkeypatch.setattr(attribution, name, limit)
         assert attribution.shapley_values(x, paths) == pytest.approx(looked_up, abs=1e-12)
+
+
+def test_training_rows_are_spread_over_the_cores(spark):
+    """Many rows in one file are dealt evenly, the same way whatever the layout; few stay where they are."""
+    table = spark.range(45_000).withColumnRenamed("id", "customer_unique_id").coalesce(1)
+    one = models.spread(table)
+    rows = [[r[0] for r in part] for part in one.rdd.glom().collect()]
+    assert len(rows) == 4 and sum(map(len, rows)) == 45_000 and max(map(len, rows)) < 1.05 * 45_000 / 4
+    assert all(part == sorted(part) for part in rows)
+    other = models.spread(table.repartition(7))
+    assert [[r[0] for r in part] for part in other.rdd.glom().collect()] == rows
+    assert models.spread(table.limit(500)).rdd.getNumPartitions() == 1
+    assert models.classifiers("label", STAR)[models.FOREST].getCacheNodeIds()

@@ -21,7 +21,7 @@ from orderlens.plans.analysis import Analysis
 from orderlens.settings import Settings
 from orderlens.sources import files, replicate
 from orderlens.sources.star import star_tables
-from orderlens.stages import new_path, stage
+from orderlens.stages import at_once, new_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -598,7 +598,8 @@ def rank_auc(scored: DataFrame) -> float:
 
 def areas_agree(metrics: DataFrame, scores: dict[str, DataFrame]) -> F.Column:
     """Is a model's area the one that the ranks of its scores give (the evaluator bins scores)?"""
-    areas = F.create_map(*[F.lit(x) for name, scored in scores.items() for x in (name, rank_auc(scored))])
+    found = at_once(metrics.sparkSession, rank_auc, scores.values())
+    areas = F.create_map(*[F.lit(x) for pair in zip(scores, found) for x in pair])
     return F.abs(metrics["AUC_ROC"] - areas[metrics["Model"]]) < 2e-3
 
 
@@ -624,7 +625,7 @@ def repeat_model_check(a: Analysis) -> DataFrame:
 def best_model_check(a: Analysis) -> DataFrame:
     """The scores of the test rows are those of the model with the largest area by ranks."""
     scores = a.churn_predictions
-    areas = {name: rank_auc(scored) for name, scored in scores.items()}
+    areas = dict(zip(scores, at_once(a.model_table.sparkSession, rank_auc, scores.values())))
     best = scores[max(sorted(areas), key=areas.get)].select(F.col("id").alias("customer_unique_id"), "score")
     table = models.score_table(a.model_table, STAR, scores).join(best, "customer_unique_id")
     same = F.abs(F.col("churn_prob") - F.col("score")) < 1e-12

@@ -12,9 +12,11 @@ machine is accepted only when the executors run on it.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -50,6 +52,17 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def at_once(spark: SparkSession, work: Callable, parts: Iterable) -> list:
+    """``work`` on a few independent parts, in their order, whose Spark jobs run beside each other.
+
+    For parts made of many short jobs, which leave cores idle when they run one after the other.
+    """
+    parts = list(parts)
+    with ThreadPool(max(1, len(parts))) as pool:
+        # Each thread takes on the caller's job group and tags, as in MLlib's CrossValidator.
+        return pool.map(inheritable_thread_target(spark)(work), parts, 1)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete one path of the shared folder through the Hadoop file system."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,7 +1,9 @@
+import threading
+
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from orderlens.operators import attribution, evaluate, models, segments
@@ -132,3 +134,25 @@ def test_training_rows_are_spread_over_the_cores(spark):
     assert [[r[0] for r in part] for part in other.rdd.glom().collect()] == rows
     assert models.spread(table.limit(500)).rdd.getNumPartitions() == 1
     assert models.classifiers("label", STAR)[models.FOREST].getCacheNodeIds()
+
+
+@pytest.mark.parametrize("step, report", [
+    ("confusion_matrix", models.classification_metrics), ("lift_at_k", models.ranking_metrics),
+    ("roc_points", models.curves), ("cumulative_gains", models.curves), ("auc_exact", models.best_model)])
+def test_models_are_evaluated_beside_each_other(spark, monkeypatch, step, report):
+    """Every model's step waits for those of the others; results stay with their model, in order."""
+    rows = [(i, float(i % 3 == 0), (i * 37 % 50) / 50) for i in range(50)]
+    scored = spark.createDataFrame(rows, "id long, label double, score double").withColumn(
+        "prediction", F.when(F.col("score") > 0.5, 1.0).otherwise(0.0)).withColumn(
+        "rawPrediction", array_to_vector(F.array(-F.col("score"), "score")))
+    scores = {"a": scored, "b": scored.withColumn("score", F.col("label") / 2 + 0.1).withColumn(
+        "rawPrediction", array_to_vector(F.array(-F.col("score"), "score")))}
+    plain, met = report(scores), threading.Barrier(2)
+    alone, meets = getattr(models, step), lambda *args: (met.wait(60), alone(*args))[1]
+    monkeypatch.setattr(models, step, meets)
+    again = report(scores)
+    if step == "auc_exact":
+        assert plain == again == "b"
+    else:
+        assert [r["Model"] for r in again.select("Model").distinct().orderBy("Model").collect()] == ["a", "b"]
+        assert sorted(map(tuple, again.collect())) == sorted(map(tuple, plain.collect()))

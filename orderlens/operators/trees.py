@@ -11,10 +11,12 @@ A missing number (NaN) goes right, as in MLlib.
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
+import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,11 +77,15 @@ class Trees:
         return at
 
 
+def _shared(nodes: DataFrame) -> Broadcast[Trees]:
+    """The nodes of a model, whose number is set by its parameters."""
+    rows = nodes.select("tree", "weight", "node", "feature", "threshold", "left", "right", "value").toArrow().to_pylist()
+    return nodes.sparkSession.sparkContext.broadcast(Trees(rows))
+
+
 def leaves(nodes: DataFrame, features: str | Column = "features") -> Column:
     """A row in every tree, in their order: ``leaf``, ``value`` (times the tree's weight), ``before``: the sum so far."""
-    # The nodes of a model, whose number is set by its parameters.
-    rows = nodes.select("tree", "weight", "node", "feature", "threshold", "left", "right", "value").toArrow().to_pylist()
-    shared = nodes.sparkSession.sparkContext.broadcast(Trees(rows))
+    shared = _shared(nodes)
 
     @F.pandas_udf("leaf array<int>, value array<double>, before array<double>")
     def walked(x: pd.Series) -> pd.DataFrame:
@@ -113,14 +119,35 @@ def boosted_leaf_means(fitted: DataFrame, nodes: DataFrame, label: str, weight:
 
     A tree is fitted on what the trees before it leave: the first on the label as -1 or 1 (y), each later one
     on 4y / (1 + exp(2 y m)), with m the weighted sum of the trees before. A leaf's value is the weighted mean
-    of its rows. One pass over ``fitted``; sums per leaf are combined before the shuffle.
+    of its rows. One pass over ``fitted``: a task adds its rows up per leaf and sends a row a leaf, however many they are.
     """
     y, w = 2 * F.col(label).cast("double") - 1, F.col(weight) if weight else F.lit(1.0)
-    rows = fitted.select(y.alias("y"), w.cast("double").alias("w"), leaves(nodes).alias("found"))
-    long = rows.select("y", "w", F.posexplode(F.arrays_zip("found.leaf", "found.before")).alias("tree", "c"))
-    rest = F.when(F.col("tree") == 0, F.col("y")).otherwise(4 * F.col("y") / (1 + F.exp(2 * F.col("y") * F.col("c")["before"])))
-    means = (long.groupBy("tree", F.col("c")["leaf"].alias("node"))
-             .agg((F.sum(F.col("w") * rest) / F.sum("w")).alias("mean")))
+    rows = fitted.select(y.alias("y"), w.cast("double").alias("w"), vector_to_array("features").alias("x"))
+    shared = _shared(nodes)
+
+    def leaf_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees = shared.value
+        count, size = trees.left.shape
+        hits, weights, rests = (np.zeros(count * size) for _ in range(3))
+        tree = np.arange(count)[None, :]
+        for batch in batches:
+            # A few hundred rows at a time, so that rows times trees stays small.
+            for at in range(0, batch.num_rows, 512):
+                y, w, x = batch.slice(at, 512).columns
+                y, w = (c.to_numpy(zero_copy_only=False)[:, None] for c in (y, w))
+                leaf = trees.walk(np.stack(x.to_numpy(zero_copy_only=False)))
+                value = trees.value[tree, leaf]
+                before = np.cumsum(value, axis=1) - value
+                rest = np.where(tree == 0, y, 4 * y / (1 + np.exp(2 * y * before)))
+                own = (tree * size + leaf).ravel()
+                for total, part in ((hits, None), (weights, np.broadcast_to(w, leaf.shape).ravel()), (rests, (w * rest).ravel())):
+                    total += np.bincount(own, part, count * size)
+        met = np.flatnonzero(hits)
+        yield pa.record_batch([pa.array((met // size).astype(np.int32)), pa.array((met % size).astype(np.int32)),
+                               pa.array(weights[met]), pa.array(rests[met])], ["tree", "node", "weight", "rest"])
+
+    means = (rows.mapInArrow(leaf_sums, "tree int, node int, weight double, rest double").groupBy("tree", "node")
+             .agg((F.sum("rest") / F.sum("weight")).alias("mean")))
     return nodes.filter("left < 0").select("tree", "node", "value").join(means, ["tree", "node"], "full")
 
 

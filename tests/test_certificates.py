@@ -122,6 +122,29 @@ def test_spoiled_trees(spark):
     assert by_leaf.keys() == values.keys() and all(values[k] == pytest.approx(np.mean(v)) for k, v in by_leaf.items())
 
 
+def test_leaf_means_send_a_row_a_leaf(spark):
+    """A task sends a row a leaf it met, not one a row and tree; weighted means by hand."""
+    rows = [(x / 10, float(x % 7 < 3), 1.0 + x % 2) for x in range(400)]
+    points = spark.createDataFrame(rows, "a double, label double, w double").repartition(3)
+    data = stages.stage(VectorAssembler(inputCols=["a"], outputCol="features").transform(points), "points")
+    model = GBTClassifier(maxIter=3, maxDepth=2, seed=1, weightCol="w").fit(data)
+    nodes = stages.stage(trees.saved_nodes(spark, model), "nodes")
+    found = trees.boosted_leaf_means(data, nodes, "label", "w")
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    sums: dict = {}
+    for r in data.select("label", "w", trees.leaves(nodes).alias("f")).collect():
+        y = 2 * r["label"] - 1
+        for tree, (leaf, before) in enumerate(zip(r["f"]["leaf"], r["f"]["before"])):
+            rest = y if tree == 0 else 4 * y / (1 + np.exp(2 * y * before))
+            cell = sums.setdefault((tree, leaf), [0.0, 0.0])
+            cell[0] += r["w"] * rest
+            cell[1] += r["w"]
+    got = {(r["tree"], r["node"]): (r["value"], r["mean"]) for r in found.collect()}
+    assert got.keys() == sums.keys()
+    for key, (rest, weight) in sums.items():
+        assert got[key][1] == pytest.approx(rest / weight, abs=1e-12) and got[key][0] == pytest.approx(rest / weight, abs=1e-9)
+
+
 def test_attributions_and_importance(analysis):
     names = attribution.feature_names(analysis.regions)
     values, _ = attribution.feature_attribution(analysis.mature, analysis.regions, STAR, trees=4, depth=3)

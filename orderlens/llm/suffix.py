@@ -185,15 +185,16 @@ def _send_anchors(length: int, buckets: int):
     """The different anchors of each chunk, and how many different contexts each has there, at most 65,535."""
 
     def route(chunk: int, hashes: np.ndarray, sides: np.ndarray) -> pa.RecordBatch:
-        order = np.lexsort((sides, hashes))
+        # Anchors are the smallest hashes about them, so their high bits are mostly 0: the low ones deal them out evenly.
+        bucket = (hashes & np.uint64(0xFFFFFFFF)) * np.uint64(buckets) >> np.uint64(32)
+        order = np.lexsort((sides, hashes, bucket))
         hashes, sides = hashes[order], sides[order]
         new = np.concatenate(([True], (np.diff(hashes) != 0) | (np.diff(sides) != 0)))
         hashes = hashes[new]
         at = np.flatnonzero(np.concatenate(([True], np.diff(hashes) != 0)))
         counts = np.minimum(np.diff(np.append(at, len(hashes))), 65_535).astype("<u2")
         hashes = hashes[at]
-        # Sorted hashes: a bucket is a range of them, and differences are small numbers.
-        bucket = (hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+        bucket = bucket[order][new][at]
         cuts = np.flatnonzero(np.diff(bucket)) + 1
         rows = [(int(bucket[a]), chunk, _gaps(hashes[a:b]), _pack(counts[a:b]))
                 for a, b in zip(np.concatenate(([0], cuts)), np.concatenate((cuts, [len(bucket)])))]

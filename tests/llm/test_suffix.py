@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from orderlens.llm import queries, suffix
@@ -107,3 +108,16 @@ def test_doubled_row_with_separate_passages(hot):
     once = known([1, 2])
     assert len(once) == 2 and all(d == 2 and n >= 50 for d, _, n in once)
     assert set(known([1, 2, 2])) == set(known([2, 1])) == set(once)
+
+
+def test_anchors_are_dealt_evenly_over_the_buckets():
+    """Anchors are the smallest hashes of their windows; no bucket may get most of them, and none is lost."""
+    text = np.random.default_rng(3).integers(97, 123, 200_000).astype(np.uint8).tobytes()
+    packed = next(suffix._chunks(1 << 20)(iter([pa.record_batch(
+        [pa.array([1]), pa.array([1]), pa.array([text.decode()])], ["_id", "_key", "_text"])])))
+    chunk = pa.record_batch([pa.array([7]), packed.column("sizes"), packed.column("texts")], ["chunk", "sizes", "texts"])
+    rows = pa.Table.from_batches(suffix._send_anchors(50, 40)(iter([chunk]))).to_pylist()
+    dealt = {r["bucket"]: suffix._sums(r["hashes"]) for r in rows}
+    assert len(dealt) == len(rows) == 40 and max(map(len, dealt.values())) < 1.5 * min(map(len, dealt.values()))
+    every = np.unique(np.concatenate([h for _, _, part in suffix.pieces([text], 50) for h in [suffix.anchors(part, 50)[3]]]))
+    assert np.array_equal(np.sort(np.concatenate(list(dealt.values()))), every)

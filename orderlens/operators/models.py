@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -129,32 +128,31 @@ def _areas(pred: DataFrame) -> dict[str, float]:
             for name, metric in (("AUC_ROC", "areaUnderROC"), ("PR_AUC", "areaUnderPR"))}
 
 
-def _trained(
-    table: DataFrame, label: str, settings: Settings, weighted: bool, boosted_depth: int | None
-) -> Iterator[tuple[str, DataFrame]]:
-    """Fit every classifier on one shared split; yields its name and scored test rows."""
+def predictions(
+    table: DataFrame, label: str, settings: Settings, weighted: bool = False,
+    boosted_depth: int | None = None,
+) -> dict[str, DataFrame]:
+    """Staged test scores (id, label, score, prediction, rawPrediction) of every classifier, each fitted once.
+
+    Metrics, curves and deciles are computed from these tables, so a label needs one fit. The forest's few long
+    passes keep every core at work and come first, by themselves; the other models are fitted in hundreds of short
+    passes that leave cores idle, and these run beside each other, as does the scoring of the test rows.
+    """
     train, test = train_test(table, settings)
     weight = "w" if weighted else None
     if weighted:
         train = with_class_weight(train, label)
     _, fitted, held_out = _prepared(train, test)
     fitted = spread(fitted)
-    columns = [label, "features", *(["w"] if weighted else [])]
-    with _cached(fitted.select(*columns)) as data:
-        for name, estimator in classifiers(label, settings, weight, boosted_depth).items():
-            yield name, _score_columns(estimator.fit(data).transform(held_out), label)
+    estimators = classifiers(label, settings, weight, boosted_depth)
+    with _cached(fitted.select(label, "features", *([weight] if weight else []))) as data:
+        forest = estimators[FOREST].fit(data)
 
+        def scored(name: str) -> DataFrame:
+            model = forest if name == FOREST else estimators[name].fit(data)
+            return stage(_score_columns(model.transform(held_out), label), "predictions")
 
-def predictions(
-    table: DataFrame, label: str, settings: Settings, weighted: bool = False,
-    boosted_depth: int | None = None,
-) -> dict[str, DataFrame]:
-    """Staged test scores (id, label, score, prediction, rawPrediction) of every classifier, each fitted once.
-
-    Metrics, curves and deciles are computed from these tables, so a label needs one fit.
-    """
-    return {name: stage(scored, "predictions")
-            for name, scored in _trained(table, label, settings, weighted, boosted_depth)}
+        return dict(zip(estimators, at_once(table.sparkSession, scored, estimators)))
 
 
 def churn_predictions(table: DataFrame, settings: Settings) -> dict[str, DataFrame]:

@@ -1,4 +1,5 @@
 import threading
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -156,3 +157,33 @@ def test_models_are_evaluated_beside_each_other(spark, monkeypatch, step, report
     else:
         assert [r["Model"] for r in again.select("Model").distinct().orderBy("Model").collect()] == ["a", "b"]
         assert sorted(map(tuple, again.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_models_of_many_short_passes_are_fitted_beside_each_other(spark, monkeypatch):
+    """Logistic model and boosted trees wait for each other's fit, after the forest's; scores stay with their model."""
+    def cell(k, n):
+        return (F.col("customer_unique_id") * k % n).cast("double")
+
+    table = spark.range(400).withColumnRenamed("id", "customer_unique_id").select(
+        "customer_unique_id", (cell(7, 11) > 5).cast("int").alias("churn"), F.concat(F.lit("r"), cell(1, 3)).alias("region"),
+        *[cell(3 + i, 13 + i).alias(c) for i, c in enumerate(models.PLAIN_FEATURES + models.IMPUTED_FEATURES)])
+    settings = replace(STAR, logistic_rounds=5, forest_trees=3, boosted_rounds=2)
+    before = models.predictions(table, "churn", settings)
+    plain, met, begun = models.classifiers, threading.Barrier(2), []
+
+    class Waiting:
+        def __init__(self, name, estimator):
+            self.name, self.estimator = name, estimator
+
+        def fit(self, data):
+            begun.append(self.name)
+            if self.name != models.FOREST:
+                met.wait(60)
+            return self.estimator.fit(data)
+
+    monkeypatch.setattr(models, "classifiers", lambda *args: {n: Waiting(n, e) for n, e in plain(*args).items()})
+    after = models.predictions(table, "churn", settings)
+    assert begun[0] == models.FOREST and len(begun) == 3
+    assert list(after) == [models.LOGISTIC, models.FOREST, models.BOOSTED]
+    found = [{n: sorted((r["id"], r["score"]) for r in df.collect()) for n, df in scores.items()} for scores in (before, after)]
+    assert found[0] == found[1] and len({str(rows) for rows in found[0].values()}) == 3

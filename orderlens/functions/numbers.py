@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 MONEY = "decimal(38,6)"
 # A value is split into blocks of 2^20 units, whole units and a fraction.
 BLOCK = 2 ** 20
+# Whole numbers up to this one are doubles.
+EXACT = 2 ** 53
 
 
 def exact_sum(sql: str, digits: int = 6) -> Column:
@@ -16,8 +18,8 @@ def exact_sum(sql: str, digits: int = 6) -> Column:
 
     Values are rounded to ``digits`` decimals (at most 9; use ``F.sum`` for finer ones) and added
     in three long sums: blocks of 2^20 units, units within a block, and fractions. Values up to 1e21
-    and 9e18 / 10^digits rows a group fit; the parts meet once a group, in a decimal, so
-    the result is the double nearest to the exact sum.
+    and 9e18 / 10^digits rows a group fit; the parts meet once a group, in a long where they are
+    small and else in a decimal, so the result is the double nearest to the exact sum.
     """
     scale = 10 ** digits
     value = f"CAST(({sql}) AS DOUBLE)"
@@ -27,8 +29,13 @@ def exact_sum(sql: str, digits: int = 6) -> Column:
     fractions = f"SUM({rest} % {scale})"
     whole = f"CAST({blocks} AS DECIMAL(25,0)) * {BLOCK} + {units} + {fractions} DIV {scale}"
     part = f"CAST({fractions} % {scale} AS DECIMAL({digits + 1},0)) / {scale}"
-    return F.expr(f"CAST(CAST({whole} AS DECIMAL({37 - digits},0)) + CAST({part} AS DECIMAL({digits + 2},{digits}))"
-                  " AS DOUBLE)")
+    nearest = f"CAST(CAST({whole} AS DECIMAL({37 - digits},0)) + CAST({part} AS DECIMAL({digits + 2},{digits})) AS DOUBLE)"
+    # A total of at most 2^53 / scale units is a whole number of fractions that a double holds: one division rounds it alike.
+    room = EXACT // scale
+    small = (f"ABS({blocks}) <= {room * 4 // 10 // BLOCK} AND {units} <= {room * 4 // 10}"
+             f" AND {fractions} <= {room // 10 * scale}")
+    total = f"({blocks} * {BLOCK} + {units}) * {scale} + {fractions}"
+    return F.expr(f"CASE WHEN {small} THEN CAST({total} AS DOUBLE) / {scale}D ELSE {nearest} END")
 
 
 def exact_avg(sql: str) -> Column:

@@ -2,6 +2,7 @@
 
 import math
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,6 +50,25 @@ def test_exact_sum_has_no_range(spark, values):
     assert fine.filter("x < 1").agg(exact_sum("x", 9)).first()[0] == 5e-9
 
 
+@pytest.mark.parametrize("digits", [0, 2, 6, 9])
+def test_exact_sum_uses_decimals_for_large_totals_only(spark, digits):
+    """Totals on either side of what a double holds, negative and null ones; small ones take the first branch."""
+    edge = Fraction(2 ** 53, 10 ** digits)
+    fine = [0.1, 0.7, 1e-5] if digits else [3.0, 4.0]
+    groups = [[float(edge * k // 10), *fine] for k in (-12, -8, -4, -3, 3, 4, 8, 9, 12)] + [[-0.3, 0.2], [-0.0], [None, 2.5], [None]]
+    rows = [(i, x) for i, values in enumerate(groups) for x in values]
+    got = dict(spark.createDataFrame(rows, "g int, x double").groupBy("g").agg(exact_sum("x", digits)).collect())
+
+    def rounded(x):
+        low = math.floor(Fraction(x) / 2 ** 20) * 2 ** 20
+        return low * 10 ** digits + round((x - low) * 10.0 ** digits)
+
+    for i, values in enumerate(groups):
+        known = [x for x in values if x is not None]
+        assert got[i] == (float(Fraction(sum(map(rounded, known)), 10 ** digits)) if known else None)
+    assert str(exact_sum("x", digits)).startswith("Column<'CASE WHEN")
+
+
 def test_reports_at_very_large_revenue(spark):
     rows = [(i, 1 + i % 5, 100 * (i % 7), s, 1e15, 1.0, True, 0.0, 4.0, 5.0, 1.0, f"S{i % 3}", f"c{i % 2}")
             for i, s in enumerate(["Recent Buyers", "At-Risk Buyers", "Lost Customers", "Repeat Buyers"] * 10)]

@@ -10,6 +10,9 @@ from orderlens.functions.numbers import exact_sum, percent
 from orderlens.sources.contracts import OrderTables
 
 VOUCHER = "voucher"
+# Bits of the filter on order ids; its words hold 2^6 bits each, so at most a million words are broadcast.
+FILTER_BITS = 2 ** 26
+WORD_SHIFT = 6
 
 
 def _item_measures() -> dict[str, Column]:
@@ -52,25 +55,56 @@ def order_reviews(reviews: DataFrame) -> DataFrame:
     return _per_order(reviews, _review_measures())
 
 
-def order_measures(t: OrderTables) -> DataFrame:
-    """All child measures per order, aggregated before any join so that sums cannot fan out."""
+def likely_in(rows: DataFrame, orders: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """``rows`` without most of those whose ``order_id`` is not in ``orders``; all others stay, once each.
+
+    Every order sets one of ``bits`` bits by the hash of its id. The words that hold a set bit are broadcast,
+    at most ``bits`` / 64 however many orders there are, so rows are dropped before any shuffle. Ids that
+    share a bit pass as well: an exact join must follow.
+    """
+    def place(ids: DataFrame) -> Column:
+        return F.pmod(F.xxhash64(ids["order_id"]), F.lit(bits))
+
+    def word(at: Column) -> Column:
+        return F.shiftright(at, WORD_SHIFT)
+
+    def bit(at: Column) -> Column:
+        return at.bitwiseAND(2 ** WORD_SHIFT - 1).cast("int")
+
+    at = place(orders)
+    words = (orders.filter(F.col("order_id").isNotNull())
+             .select(word(at).alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit(at)).alias("_bit"))
+             .groupBy("_word").agg(F.bit_or("_bit").alias("_bits")))
+    seen = rows.filter(F.col("order_id").isNotNull())
+    at = place(seen)
+    return seen.join(F.broadcast(words), (word(at) == F.col("_word"))
+                     & (F.bit_get("_bits", bit(at)) == 1), "left_semi")
+
+
+def order_measures(t: OrderTables, orders: DataFrame | None = None) -> DataFrame:
+    """All child measures per order, aggregated before any join so that sums cannot fan out.
+
+    With ``orders``, lines of most other orders are left out before they are added up.
+    """
     if t.lines is not None:
-        return _per_order(t.lines, _item_measures() | _payment_measures() | _review_measures())
+        lines = t.lines if orders is None else likely_in(t.lines, orders)
+        return _per_order(lines, _item_measures() | _payment_measures() | _review_measures())
     # Paid orders are the only ones the facts keep, so payments lead the join.
     return (order_payments(t.payments)
             .join(order_items(t.items), "order_id", "left")
             .join(order_reviews(t.reviews), "order_id", "left"))
 
 
-def order_facts(t: OrderTables) -> DataFrame:
+def order_facts(t: OrderTables, early: bool = False) -> DataFrame:
     """One row per delivered, dated and paid order, with its customer and child measures.
 
     The order-keyed joins come first and share one shuffle on ``order_id``; the
-    customer lookup sees only the rows that survive the filters.
+    customer lookup sees only the rows that survive the filters. ``early`` leaves out
+    lines of other orders before that shuffle, for one more scan of the orders.
     """
     kept = t.orders.filter(
         (F.col("order_status") == t.delivered) & F.col("order_purchase_timestamp").isNotNull())
-    paid = kept.join(order_measures(t).filter(F.col("payment_value").isNotNull()), "order_id")
+    paid = kept.join(order_measures(t, kept if early else None).filter(F.col("payment_value").isNotNull()), "order_id")
     return paid.join(t.customers, "customer_id", "left")
 
 

@@ -27,7 +27,7 @@ class Analysis:
 
     @cached_property
     def facts(self) -> DataFrame:
-        return stage(facts.order_facts(self.tables), "facts")
+        return stage(facts.order_facts(self.tables, early=True), "facts")
 
     @cached_property
     def rfm(self) -> DataFrame:

@@ -130,6 +130,27 @@ def test_one_pass_and_three_pass_measures_agree(spark):
     assert fused.count() == joined.count()
 
 
+@pytest.mark.parametrize("bits", [64, 2 ** 26])
+def test_lines_of_other_orders_go_before_they_are_added_up(spark, bits):
+    orders = spark.createDataFrame([(1,), (1,), (64,), (-7,), (None,)], "order_id long")
+    lines = spark.createDataFrame([(i, v) for i in (1, 2, 64, -7, None, *range(100, 400)) for v in (1.0, 2.0)],
+                                  "order_id long, v double")
+    left = [tuple(r) for r in facts.likely_in(lines, orders, bits).collect()]
+    assert sorted(r for r in left if r[0] in (1, 64, -7)) == [(i, v) for i in (-7, 1, 64) for v in (1.0, 2.0)]
+    assert len(left) < 100 and None not in {r[0] for r in left}
+    text = spark.createDataFrame([("a",), ("b",)], "order_id string")
+    assert "a" in {r[0] for r in facts.likely_in(text, text.filter("order_id = 'a'"), bits).collect()}
+
+
+def test_early_facts_are_the_same_and_shuffle_fewer_lines(spark):
+    t = star.star_tables(spark, "/root/testdata/sf0.001")
+    late, early = facts.order_facts(t), facts.order_facts(t, early=True)
+    assert late.exceptAll(early).count() == 0 == early.exceptAll(late).count()
+    text = early._jdf.queryExecution().executedPlan().toString()
+    lines = text[:text.index("l_orderkey")]
+    assert "LeftSemi" in lines[lines.rindex("partial_sum"):], "before the first sums"
+
+
 def test_impute_and_dummies(spark):
     df = spark.createDataFrame([(1, 1.0, "N"), (2, None, "S"), (3, 4.0, "N"), (4, 8.0, None)],
                                "id long, v double, region string")

@@ -1,6 +1,7 @@
 """Order facts, RFM, first orders and labels on hand-made tables."""
 
 import datetime as dt
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -160,6 +161,29 @@ def test_impute_and_dummies(spark):
     assert tuple(wide[1])[-2:] == (1, 0) and tuple(wide[4])[-2:] == (0, 0)
 
 
+@pytest.mark.parametrize("n, accuracy", [(1, 10_000), (2, 10_000), (999, 10_000), (1000, 10_000), (1000, 10 ** 7), (1001, 4)])
+def test_medians_are_exact_and_do_not_sort_the_table(spark, monkeypatch, n, accuracy):
+    columns = {"even": lambda i: i / 7, "ties": lambda i: float(i % 3), "gaps": lambda i: -i / 3 if i % 4 else None,
+               "none": lambda i: None, "one": lambda i: 5.0}
+    rows = [(i, *(f(i * 7919 % n) for f in columns.values())) for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, " + ", ".join(f"{c} double" for c in columns)).repartition(3)
+
+    def refuse(*args):
+        raise AssertionError("ranked")
+
+    monkeypatch.setattr(features, "group_percentiles", refuse)
+    found = {r["feature"]: r["median"] for r in features.medians(df, tuple(columns), "id", accuracy).collect()}
+    known = {c: sorted(r[j + 1] for r in rows if r[j + 1] is not None) for j, c in enumerate(columns)}
+    assert found == {c: pytest.approx(statistics.median(v)) for c, v in known.items() if v}
+
+
+def test_medians_that_the_sketch_misses_are_ranked(spark, monkeypatch):
+    df = spark.range(100).select("id", F.col("id").cast("double").alias("v"), F.lit(2.0).alias("w"))
+    wrong = F.percentile_approx
+    monkeypatch.setattr(features.F, "percentile_approx", lambda c, shares, accuracy: wrong(c, [0.9, 0.95], accuracy))
+    assert {tuple(r) for r in features.medians(df, ("v", "w"), "id").collect()} == {("v", 49.5), ("w", 2.0)}
+
+
 def test_splits_depend_on_ids_only(spark):
     df = spark.range(2000).withColumn("y", (F.col("id") % 10 == 0).cast("double"))
     a = by(features.with_split(df, "id", 42), "id")

@@ -21,8 +21,14 @@ def medians(table: DataFrame, columns: tuple[str, ...], id_col: str, accuracy: i
     told = table.agg(*[F.struct(F.count(v).alias("n"), F.percentile_approx(v, around, accuracy).alias("q")).alias(f"_{i}")
                        for i, v in enumerate(values.values())]).first()
     known = [(i, c, told[i]["n"], *told[i]["q"]) for i, c in enumerate(columns) if told[i]["n"]]
+
+    def listed(rows: list[tuple[str, float]]) -> DataFrame:
+        one = table.sparkSession.range(1 if rows else 0)
+        row = [F.struct(F.lit(c).alias("feature"), F.lit(m).cast("double").alias("median")) for c, m in rows or [("", 0.0)]]
+        return one.select(F.inline(F.array(*row)))
+
     if not known:
-        return table.sparkSession.createDataFrame([], "feature string, median double")
+        return listed([])
     cells = [F.when(values[c] < low, F.struct(F.lit(i).alias("i"), F.lit(None).cast("double").alias("value")))
              .when(values[c] <= high, F.struct(F.lit(i).alias("i"), values[c].alias("value"))) for i, c, _, low, high in known]
     # Rows below the limits are counted together, under a null value, which sorts first.
@@ -43,11 +49,10 @@ def medians(table: DataFrame, columns: tuple[str, ...], id_col: str, accuracy: i
         else:
             part = (n - 1) % 2 / 2
             found.append((c, low * (1 - part) + high * part))
-    result = table.sparkSession.createDataFrame(found, "feature string, median double")
     if not missed:
-        return result
+        return listed(found)
     long = table.unpivot([id_col], missed, "feature", "value")
-    return result.unionByName(group_percentiles(long, "feature", "value", id_col, {"median": 0.5}))
+    return listed(found).unionByName(group_percentiles(long, "feature", "value", id_col, {"median": 0.5}))
 
 
 def impute_median(table: DataFrame, columns: tuple[str, ...], id_col: str) -> DataFrame:

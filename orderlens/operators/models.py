@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -130,10 +131,13 @@ def _areas(pred: DataFrame) -> dict[str, float]:
 
 def predictions(
     table: DataFrame, label: str, settings: Settings, weighted: bool = False,
-    boosted_depth: int | None = None,
-) -> dict[str, DataFrame]:
+    boosted_depth: int | None = None, then: Callable[[str, DataFrame], object] | None = None,
+) -> dict:
     """Staged test scores (id, label, score, prediction, rawPrediction) of every classifier, each fitted once.
 
+    ``then`` is called with name and scores of a model as soon as it is scored, while others are still
+    fitted; its results are returned in place of the scores.
+
     Metrics, curves and deciles are computed from these tables, so a label needs one fit. The forest's few long
     passes keep every core at work and come first, by themselves; the other models are fitted in hundreds of short
     passes that leave cores idle, and these run beside each other, as does the scoring of the test rows.
@@ -150,17 +154,18 @@ def predictions(
 
         def scored(name: str) -> DataFrame:
             model = forest if name == FOREST else estimators[name].fit(data)
-            return stage(_score_columns(model.transform(held_out), label), "predictions")
+            scores = stage(_score_columns(model.transform(held_out), label), "predictions")
+            return then(name, scores) if then else scores
 
         return dict(zip(estimators, at_once(table.sparkSession, scored, estimators)))
 
 
-def churn_predictions(table: DataFrame, settings: Settings) -> dict[str, DataFrame]:
-    return predictions(table, "churn", settings, False, settings.boosted_depth_churn)
+def churn_predictions(table: DataFrame, settings: Settings, then: Callable[[str, DataFrame], object] | None = None) -> dict:
+    return predictions(table, "churn", settings, False, settings.boosted_depth_churn, then)
 
 
-def repeat_predictions(mature: DataFrame, settings: Settings) -> dict[str, DataFrame]:
-    return predictions(mature, "repeat_180", settings, True, settings.boosted_depth_repeat)
+def repeat_predictions(mature: DataFrame, settings: Settings, then: Callable[[str, DataFrame], object] | None = None) -> dict:
+    return predictions(mature, "repeat_180", settings, True, settings.boosted_depth_repeat, then)
 
 
 def _session(scores: dict[str, DataFrame]) -> SparkSession:
@@ -209,11 +214,19 @@ def repeat_metrics(mature: DataFrame, settings: Settings) -> DataFrame:
     return ranking_metrics(repeat_predictions(mature, settings))
 
 
+def with_area(name: str, scored: DataFrame) -> tuple[DataFrame, float]:
+    """Scores of a model and their exact AUC."""
+    return scored, auc_exact(scored).first()["auc"] or 0.0
+
+
+def best_of(measured: dict[str, tuple[DataFrame, float]]) -> str:
+    return max(sorted(measured), key=lambda name: measured[name][1])
+
+
 def best_model(scores: dict[str, DataFrame]) -> str:
     """The model with the highest exact AUC; ties go to the smaller name."""
-    found = at_once(_session(scores), lambda scored: auc_exact(scored).first()["auc"] or 0.0, scores.values())
-    areas = dict(zip(scores, found))
-    return max(sorted(areas), key=areas.get)
+    found = at_once(_session(scores), lambda name: with_area(name, scores[name]), scores)
+    return best_of(dict(zip(scores, found)))
 
 
 def fitted_inputs(table: DataFrame, settings: Settings) -> DataFrame:
@@ -284,18 +297,33 @@ def tree_certificates(
     return reduce(DataFrame.unionByName, found)
 
 
-def curves(scores: dict[str, DataFrame]) -> DataFrame:
-    """ROC and cumulative-gains points of every model, as (Model, Curve, X, Y) rows."""
+def model_curves(name: str, scored: DataFrame) -> DataFrame:
+    """ROC and cumulative-gains points of one model, as (Model, Curve, X, Y) rows."""
     kinds = {"ROC": (roc_points, "FPR", "TPR"), "Gains": (cumulative_gains, "Selected_pct", "Captured_pct")}
 
-    def part(key: tuple[str, str]) -> DataFrame:
-        name, curve = key
+    def part(curve: str) -> DataFrame:
         points, x, y = kinds[curve]
-        return points(scores[name]).select(
+        return points(scored).select(
             F.lit(name).alias("Model"), F.lit(curve).alias("Curve"), F.col(x).alias("X"), F.col(y).alias("Y"))
 
-    return reduce(DataFrame.unionByName, at_once(
-        _session(scores), part, [(name, curve) for name in scores for curve in kinds]))
+    return reduce(DataFrame.unionByName, at_once(scored.sparkSession, part, kinds))
+
+
+def all_curves(parts: dict[str, DataFrame]) -> DataFrame:
+    """The curves of several models as one table."""
+    return reduce(DataFrame.unionByName, parts.values())
+
+
+def curves(scores: dict[str, DataFrame]) -> DataFrame:
+    """ROC and cumulative-gains points of every model, as (Model, Curve, X, Y) rows."""
+    parts = at_once(_session(scores), lambda name: model_curves(name, scores[name]), scores)
+    return all_curves(dict(zip(scores, parts)))
+
+
+def deciles_of_best(measured: dict[str, tuple[DataFrame, float]]) -> DataFrame:
+    """Decile table of the model with the highest area, from ``with_area`` of every model."""
+    best = best_of(measured)
+    return score_deciles(measured[best][0]).withColumn("Model", F.lit(best))
 
 
 def best_deciles(scores: dict[str, DataFrame]) -> DataFrame:

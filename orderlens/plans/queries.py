@@ -556,17 +556,17 @@ def model_compare(a: Analysis) -> DataFrame:
 
 @query
 def churn_curves(a: Analysis) -> DataFrame:
-    return models.curves(a.churn_predictions)
+    return models.all_curves(models.churn_predictions(a.model_table, STAR, models.model_curves))
 
 
 @query
 def repeat_curves(a: Analysis) -> DataFrame:
-    return models.curves(a.repeat_predictions)
+    return models.all_curves(models.repeat_predictions(a.mature, STAR, models.model_curves))
 
 
 @query
 def repeat_deciles(a: Analysis) -> DataFrame:
-    return models.best_deciles(a.repeat_predictions)
+    return models.deciles_of_best(models.repeat_predictions(a.mature, STAR, models.with_area))
 
 
 @query
@@ -663,7 +663,7 @@ def model_inputs(a: Analysis) -> DataFrame:
 @query
 def curve_check(a: Analysis) -> DataFrame:
     """Every curve begins and ends where it must and never falls."""
-    points = models.curves(a.repeat_predictions)
+    points = models.all_curves(models.repeat_predictions(a.mature, STAR, models.model_curves))
     whole = F.when(F.col("Curve") == "ROC", 1.0).otherwise(100.0)
     along = W.partitionBy("Model", "Curve").orderBy("X", "Y")
     falls = F.coalesce(F.col("Y") < F.lag("Y").over(along), F.lit(False))

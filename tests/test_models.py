@@ -137,6 +137,40 @@ def test_training_rows_are_spread_over_the_cores(spark):
     assert models.classifiers("label", STAR)[models.FOREST].getCacheNodeIds()
 
 
+def test_models_are_evaluated_while_others_are_fitted(spark, analysis, monkeypatch):
+    """The boosted trees' fit waits for the other models' curves and areas; results are those of staged scores."""
+    settings = replace(STAR, logistic_rounds=5, forest_trees=3, boosted_rounds=2)
+    scores = models.predictions(analysis.mature, "repeat_180", settings, True, 4)
+    plain, done = models.classifiers, threading.Semaphore(0)
+
+    class Late:
+        def __init__(self, estimator):
+            self.estimator = estimator
+
+        def fit(self, data):
+            assert all(done.acquire(timeout=60) for _ in range(2))
+            return self.estimator.fit(data)
+
+    def late(*args):
+        found = plain(*args)
+        return found | {models.BOOSTED: Late(found[models.BOOSTED])}
+
+    def noted(then):
+        def run(name, scored):
+            result = then(name, scored)
+            done.release()
+            return result
+        return run
+
+    monkeypatch.setattr(models, "classifiers", late)
+    for then, whole, known in ((models.model_curves, models.all_curves, models.curves(scores)),
+                               (models.with_area, models.deciles_of_best, models.best_deciles(scores))):
+        found = whole(models.repeat_predictions(analysis.mature, settings, noted(then)))
+        assert found.columns == known.columns
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, known.collect()))
+        done = threading.Semaphore(0)
+
+
 @pytest.mark.parametrize("step, report", [
     ("confusion_matrix", models.classification_metrics), ("lift_at_k", models.ranking_metrics),
     ("roc_points", models.curves), ("cumulative_gains", models.curves), ("auc_exact", models.best_model)])
